@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ._keys import listify, null_safe_on
 
 _RN = "__rn"
-_GROUP = "__grp"
 
 
 def latest_preferred(df: DataFrame, keys, order) -> DataFrame:
@@ -31,21 +30,20 @@ def latest_preferred(df: DataFrame, keys, order) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys, order, exempt: Column | None = None) -> DataFrame:
-    """DED-2/4/8/9: keep the first row per key in ``order``; rows where
-    ``exempt`` is true are all kept.  NULL key values group together (pandas
-    ``duplicated``) and a NULL ``exempt`` is not an exemption.
+    """DED-2/4/8/9: keep the first row per key in ``order``; a later row with
+    the same key is dropped unless ``exempt`` is true for it (pandas
+    ``~duplicated(keys) | exempt``).  NULL key values group together and a
+    NULL ``exempt`` is not an exemption.
 
-    Exempt rows are given a partition of their own, so the filter stays a
-    plain ``rn == 1`` and keeps the partial top-1 before the shuffle.
+    Without an exemption this is ``rn == 1`` and gets the partial top-1
+    before the shuffle; with one, every row of a key is ranked.
     """
     keys = listify(keys)
-    part = list(keys)
-    if exempt is not None:
-        df = df.withColumn(_GROUP, F.when(F.coalesce(exempt, F.lit(False)),
-                                          F.monotonically_increasing_id()))
-        part.append(_GROUP)
-    out = latest_preferred(df, part, order)
-    return out.drop(_GROUP) if exempt is not None else out
+    if exempt is None:
+        return latest_preferred(df, keys, order)
+    w = Window.partitionBy(*keys).orderBy(*listify(order))
+    keep = (F.col(_RN) == 1) | F.coalesce(exempt, F.lit(False))
+    return df.withColumn(_RN, F.row_number().over(w)).filter(keep).drop(_RN)
 
 
 def highest_per_key(df: DataFrame, keys, id_col: str) -> DataFrame:

@@ -42,7 +42,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -
 
 
 def remap_identity(df: DataFrame, col: str, mapping: DataFrame,
-                   from_col: str, to_col: str, id_col: str | None = None) -> DataFrame:
+                   from_col: str, to_col: str, id_col: str | None = None,
+                   out: str | None = None) -> DataFrame:
     """JN-5: ``map.get(x, x)``: replace ``col`` by its mapped value when one exists.
 
     The map is made unique first (T3): NULL keys dropped, highest ``id_col``
@@ -55,7 +56,8 @@ def remap_identity(df: DataFrame, col: str, mapping: DataFrame,
         m = m.dropDuplicates([from_col])
     m = m.select(F.col(from_col).alias("__from"), F.col(to_col).alias("__to"))
     joined = df.join(m, df[col] == m["__from"], "left")
-    return joined.withColumn(col, F.coalesce(F.col("__to"), F.col(col))).drop("__from", "__to")
+    return (joined.withColumn(out or col, F.coalesce(F.col("__to"), F.col(col)))
+                  .drop("__from", "__to"))
 
 
 def flag_members(df: DataFrame, keys, members: DataFrame, flag: str,
