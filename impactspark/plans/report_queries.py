@@ -58,17 +58,14 @@ def month_pivot_two_metrics(spark, sf_dir):
                           {"Payment": fx.money_sum("o_totalprice"), "Count": count_lit()})
 
 
-_PARTNER_YEAR = 1996
-
-
-@query("partner_projection", m.with_ctes(_WINDOW_SQL, body=f"""
+@query("result_export", m.with_ctes(_WINDOW_SQL, body=f"""
 SELECT o_custkey,
-  {_two_metric_cols(label=lambda mo, me: f"{mo} {_PARTNER_YEAR + (1 if rp.FY_MONTHS.index(mo) >= 9 else 0)} ({me})", rnd=True)}
+  {_two_metric_cols(rnd=True)}
 FROM win GROUP BY o_custkey
 """))
-def partner_projection(spark, sf_dir):
-    """SNK-4/5, PRJ-2/10: the monthly table with dated headers, rounded money, int counts."""
-    return rp.export_projection(month_pivot_two_metrics(spark, sf_dir), _PARTNER_YEAR)
+def result_export(spark, sf_dir):
+    """SNK-5: the monthly summary with money rounded to cents and counts as int."""
+    return rp.result_export(month_pivot_two_metrics(spark, sf_dir))
 
 
 # ------------------------------------------------------ RSH-2, WIN-1, PRJ-9
@@ -96,41 +93,77 @@ def entries_wide(spark, sf_dir):
 
 
 # ------------------------------------------------------------ RSH-4, RSH-6
+# Driver mapping of the breakdown: person = customer, opportunity type =
+# order status, opportunity name = order priority, one cohort per person.
 _RANKS = (1, 2, 3, 4, 5)
+_PARTNER_YEAR = 1996
+_BREAKDOWN_SQL = """
+entries AS (
+  SELECT o_custkey, o_orderstatus AS earning_opportunity_type, o_orderpriority AS name,
+         'cohort-' || CAST(o_custkey % 3 AS VARCHAR) AS cohort, o_orderdate, o_totalprice, month
+  FROM win
+)""", """
+eon_rank AS (
+  SELECT o_custkey, earning_opportunity_type, name,
+         row_number() OVER (PARTITION BY o_custkey, earning_opportunity_type
+                            ORDER BY first_eon_date, name) AS op_num
+  FROM (SELECT o_custkey, earning_opportunity_type, name, min(o_orderdate) AS first_eon_date
+        FROM entries GROUP BY o_custkey, earning_opportunity_type, name)
+)""", """
+first_dates AS (
+  SELECT o_custkey, earning_opportunity_type, min(o_orderdate) AS first_date FROM entries GROUP BY ALL
+)""", """
+keyed AS (
+  SELECT e.*, r.op_num, f.first_date FROM entries e
+  JOIN eon_rank r USING (o_custkey, earning_opportunity_type, name)
+  JOIN first_dates f USING (o_custkey, earning_opportunity_type)
+)"""
 
 
-def _ranked_cols():
+def _ranked_cols(header=lambda h: h):
     cols = []
     for mo in rp.FY_MONTHS:
         for r in _RANKS:
             hit = f"month = '{mo}' AND op_num = {r}"
             cols.append(f"CAST(COALESCE(SUM(CASE WHEN {hit} THEN CAST(o_totalprice AS DECIMAL(18,2)) END), 0)"
-                        f" AS DOUBLE) AS {_q(f'{mo} {r} (Value)')}")
-            cols.append(f"CAST(COUNT(CASE WHEN {hit} THEN 1 END) AS BIGINT) AS {_q(f'{mo} {r} (Gigs)')}")
+                        f" AS DOUBLE) AS {_q(header(rp.value_header(mo, r)))}")
+            cols.append(f"CAST(COUNT(CASE WHEN {hit} THEN 1 END) AS BIGINT) AS {_q(header(rp.gig_header(mo, r)))}")
     return ",\n  ".join(cols)
 
 
-@query("ranked_pivot", m.with_ctes(_WINDOW_SQL, """
-firsts AS (SELECT o_custkey, o_orderpriority, min(o_orderdate) AS first_date FROM win GROUP BY ALL)""", """
-ranks AS (
-  SELECT o_custkey, o_orderpriority,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY first_date, o_orderpriority) AS op_num
-  FROM firsts
-)""", body=f"""
-SELECT o_custkey,
-  {_ranked_cols()}
-FROM win JOIN ranks USING (o_custkey, o_orderpriority)
-GROUP BY o_custkey
-"""))
+def _ranked_sql(header=lambda h: h):
+    return m.with_ctes(_WINDOW_SQL, *_BREAKDOWN_SQL, body=f"""
+SELECT o_custkey, first_date AS {_q(header('first_date'))},
+  earning_opportunity_type AS {_q(header('earning_opportunity_type'))}, cohort AS {_q(header('cohort'))},
+  {_ranked_cols(header)}
+FROM keyed
+GROUP BY o_custkey, first_date, earning_opportunity_type, cohort
+""")
+
+
+@query("ranked_pivot", _ranked_sql())
 def ranked_pivot(spark, sf_dir):
-    """RSH-4 / RSH-6 / AGG-9 / WIN-2 (PIPE-11): opportunity numbers ranked by
-    first date per person, then (month x number) value/gig pairs."""
-    w = _win(m.Tables(spark, sf_dir))
-    firsts = (w.groupBy("o_custkey", "o_orderpriority").agg(F.min("o_orderdate").alias("first_date")))
-    ranks = rank_within(firsts, ["o_custkey"], [F.col("first_date"), F.col("o_orderpriority")],
-                        out="op_num").drop("first_date")
-    j = w.join(ranks, ["o_custkey", "o_orderpriority"])
-    return rp.ranked_pivot(j, "o_custkey", "month", "op_num", F.col("o_totalprice"), _RANKS)
+    """RSH-4 / RSH-6 / AGG-9 / WIN-2 (PIPE-11): opportunities numbered by first
+    date within (person, type), then value and gig columns per (month, number)."""
+    w = _win(m.Tables(spark, sf_dir)).select(
+        "o_custkey", F.col("o_orderstatus").alias("earning_opportunity_type"),
+        F.col("o_orderpriority").alias("name"),
+        F.concat(F.lit("cohort-"), (F.col("o_custkey") % 3).cast("string")).alias("cohort"),
+        "o_orderdate", "o_totalprice", "month")
+    keys = ["o_custkey", "earning_opportunity_type"]
+    eon = w.groupBy(*keys, "name").agg(F.min("o_orderdate").alias("first_eon_date"))
+    eon = rank_within(eon, keys, [F.col("first_eon_date"), F.col("name")], out="op_num")
+    firsts = w.groupBy(*keys).agg(F.min("o_orderdate").alias("first_date"))
+    j = w.join(eon.drop("first_eon_date"), keys + ["name"]).join(firsts, keys)
+    return rp.ranked_pivot(j, ["o_custkey", "first_date", "earning_opportunity_type", "cohort"],
+                           "month", "op_num", F.col("o_totalprice"), _RANKS)
+
+
+@query("partner_projection", _ranked_sql(lambda h: rp.partner_header(h, _PARTNER_YEAR)))
+def partner_projection(spark, sf_dir):
+    """SNK-4 / PRJ-2 / PRJ-10: the breakdown with partner headers (only
+    opportunity 1 of each month carries the year)."""
+    return rp.partner_export(ranked_pivot(spark, sf_dir), _PARTNER_YEAR)
 
 
 # --------------------------------------------------------------- RSH-5, AGG-1
