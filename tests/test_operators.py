@@ -145,7 +145,7 @@ def test_ranked_pivot_trim_keeps_only_live_pairs(spark):
     df = spark.createDataFrame([("a", "April", 1, 5.0), ("a", "May", 2, 0.0)],
                                "p string, month string, op int, v double")
     out = rp.ranked_pivot(df, "p", "month", "op", F.col("v"), [1, 2], trim=True)
-    assert out.columns == ["p", "April 1 (Value)", "April 1 (Gigs)"]
+    assert out.columns == ["p", "Earning Opportunity 1 ZAR Value (April)", "# of Gig 1 (April)"]
 
 
 def test_count_once_invariant(spark):
@@ -210,9 +210,19 @@ def test_field_lookup_empty_filters_give_no_rows(spark):
 
 
 def test_partner_header():
-    assert rp.partner_header("April (Payment)", 2025) == "April 2025 (Payment)"
-    assert rp.partner_header("January (Count)", 2025) == "January 2026 (Count)"
-    assert rp.partner_header("o_custkey", 2025) == "o_custkey"
+    h = rp.partner_header
+    assert h("Earning Opportunity 1 ZAR Value (April)", 2025) == "Earning Opportunity 1 ZAR Value (April 2025)"
+    assert h("Earning Opportunity 1 ZAR Value (January)", 2025) == "Earning Opportunity 1 ZAR Value (January 2026)"
+    assert h("Earning Opportunity 2 ZAR Value (April)", 2025) == "Earning Opportunity 2 ZAR Value (April)"
+    assert h("# of Gig 1 (April)", 2025) == "# of Gig 1 (April)"
+    assert h("first_date", 2025) == "Date First Earning Opportunity Secured"
+    assert h("o_custkey", 2025) == "o_custkey"
+
+
+def test_result_export_rounds_and_casts(spark):
+    df = spark.createDataFrame([("a", 1.005, 2)], "p string, `April (Payment)` double, `April (Count)` bigint")
+    out = rp.result_export(df)
+    assert dict(out.dtypes)["April (Count)"] == "int"
 
 
 def test_duplicate_members_and_key_violations(spark):
