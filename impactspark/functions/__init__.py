@@ -1,6 +1,6 @@
 """Column -> Column functions: strings, numbers, dates, predicates."""
 
-from .dates import (age_calendar, age_days365, band_calendar, band_days365, fy_rank,
+from .dates import (age_calendar, covers_through, age_days365, band_calendar, band_days365, fy_rank,
                     fy_start_year, in_period, month_bucket, month_name, month_year,
                     month_year_padded, parse_dates, suspect_date)
 from .numbers import clean_money, floor_div, money_round, money_sum, money_text, money_unparseable

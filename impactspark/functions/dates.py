@@ -138,3 +138,13 @@ def in_period(d, start: str, end: str, whole_last_day: bool = True) -> Column:
     if whole_last_day:
         return F.to_date(d).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     return d.between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+
+
+def covers_through(run_month: str) -> str:
+    """DT-9: the last day the prior state covers -- the day before the run month.
+
+    A driver-side constant (compare it with dates, not midnight timestamps).
+    """
+    import datetime as _dt
+    first = _dt.date.fromisoformat(run_month[:7] + "-01")
+    return (first - _dt.timedelta(days=1)).isoformat()

@@ -6,7 +6,8 @@ from .dedup import (cross_source_repeats, drop_covered, drop_exact_duplicates, d
                     duplicate_report, highest_per_key, keep_first, key_violations,
                     latest_preferred)
 from .frames import (all_but, column_gaps, drop_if_present, drop_null_all, drop_null_any,
-                     in_window, rename_positional, select_contract, top_k, union_all)
+                     in_window, preview, rename_positional, select_contract, sort_output, top_k,
+                     union_all, worst)
 from .joins import (align_full, enrich_checked, enrich_tiers, fill_where, flag_members,
                     left_chain, null_safe_join, remap_identity, resolve_ids, unmatched)
 from .lookups import (field_lookup, join_map, map_frame, map_label, map_literal, merge_maps,

@@ -72,3 +72,32 @@ def column_gaps(df: DataFrame, required, allowed=None) -> tuple[list, list]:
 def top_k(df: DataFrame, k: int, order) -> DataFrame:
     """SRT-5: first ``k`` rows in ``order`` (Spark plans TakeOrderedAndProject)."""
     return df.orderBy(*listify(order)).limit(k)
+
+
+def sort_output(df: DataFrame, cols, descending=(), nulls_first: bool = False) -> DataFrame:
+    """SRT-1/2/3: order at the sink only (Spark keeps no order between stages).
+
+    PostgreSQL sorts NULLs last ascending; Spark sorts them first, so the
+    null placement is always explicit here.
+    """
+    desc = set(descending)
+    keys = []
+    for c in listify(cols):
+        col = F.col(c)
+        if c in desc:
+            keys.append(col.desc_nulls_first() if nulls_first else col.desc_nulls_last())
+        else:
+            keys.append(col.asc_nulls_first() if nulls_first else col.asc_nulls_last())
+    return df.orderBy(*keys)
+
+
+def worst(df: DataFrame, key: str, value: str) -> DataFrame:
+    """SRT-6: the ``key`` with the largest absolute ``value`` (one-row frame)."""
+    return df.agg(F.max_by(F.col(key), F.abs(F.col(value))).alias(key),
+                  F.max(F.abs(F.col(value))).alias(f"max_abs_{value}"))
+
+
+def preview(df: DataFrame, n: int = 10, fraction: float | None = None, seed: int = 0) -> DataFrame:
+    """SRT-7: a head or a seeded random sample for human review (never an output)."""
+    out = df.sample(fraction=fraction, seed=seed) if fraction else df
+    return out.limit(n)

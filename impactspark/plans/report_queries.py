@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..operators import (Check, count_lit, pivot, per_key_diff, rank_within, reconcile,
-                         run_checks, split_drops)
+                         run_checks, split_drops, worst)
 from ..operators.quality import ERROR, WARN
 from . import model as m
 from . import reports as rp
@@ -222,6 +222,17 @@ def reconcile_months(spark, sf_dir):
         "month", "a_value", "b_value", "a_count", "b_count", "diff", "ok")
 
 
+@query("worst_month", m.with_ctes(_REC_SQL, body="""
+SELECT arg_max(month, abs(diff)) AS month, max(abs(diff)) AS max_abs_diff FROM (
+  SELECT COALESCE(a.month, b.month) AS month,
+         ROUND(COALESCE(a.v, 0.0) - COALESCE(b.v, 0.0), 2) AS diff
+  FROM a FULL OUTER JOIN b ON a.month = b.month)
+"""))
+def worst_month(spark, sf_dir):
+    """SRT-6: the month with the largest reconciliation difference."""
+    return worst(reconcile_months(spark, sf_dir), "month", "diff")
+
+
 @query("per_person_diff", """
 WITH a AS (
   SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v

@@ -2,7 +2,8 @@
 
 from .sinks import read_report, write_csv, write_report, write_state
 from .templates import (ORDER_COLS, SourceSpec, layout_width, load_all, read_blocks,
-                        read_header_csv, read_positional, read_sheets, read_state, scan, tag,
+                        read_header_csv, read_positional, read_sheets, read_state, relational, scan,
+                        tag,
                         with_row_order)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -172,3 +172,16 @@ def load_all(spark: SparkSession, specs, shapers: dict, **kw):
         shaper = shapers[spec.kind or spec.name]
         out[spec.name] = shaper(spark, spec, scan(spark, spec), **kw)
     return out
+
+
+def relational(spark: SparkSession, table: str, jdbc_url: str | None = None, properties=None,
+               partition_column: str | None = None, bounds=None, num_partitions: int | None = None):
+    """SRC-8: a relational table -- a catalog table, or a JDBC table read in
+    parallel slices of ``partition_column`` (``bounds=(lower, upper)``)."""
+    if jdbc_url is None:
+        return spark.table(table)
+    kw = {}
+    if partition_column:
+        kw = dict(column=partition_column, lowerBound=bounds[0], upperBound=bounds[1],
+                  numPartitions=num_partitions or 8)
+    return spark.read.jdbc(jdbc_url, table, properties=properties or {}, **kw)
