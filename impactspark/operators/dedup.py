@@ -29,21 +29,24 @@ def latest_preferred(df: DataFrame, keys, order) -> DataFrame:
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
-def keep_first(df: DataFrame, keys, order, exempt: Column | None = None) -> DataFrame:
+def keep_first(df: DataFrame, keys, order, exempt: Column | None = None,
+               skew_safe: bool = False) -> DataFrame:
     """DED-2/4/8/9: keep the first row per key in ``order``; a later row with
     the same key is dropped unless ``exempt`` is true for it (pandas
     ``~duplicated(keys) | exempt``).  NULL key values group together and a
     NULL ``exempt`` is not an exemption.
 
     Without an exemption this is ``rn == 1`` and gets the partial top-1
-    before the shuffle; with one, every row of a key is ranked.
+    before the shuffle; with one, every row of a key is ranked --
+    ``skew_safe`` (order given as column names, last one integral) spreads a
+    hot key over bounded buckets (see ``windows.row_number_in_key``).
     """
+    from .windows import row_number_in_key
     keys = listify(keys)
     if exempt is None:
         return latest_preferred(df, keys, order)
-    w = Window.partitionBy(*keys).orderBy(*listify(order))
     keep = (F.col(_RN) == 1) | F.coalesce(exempt, F.lit(False))
-    return df.withColumn(_RN, F.row_number().over(w)).filter(keep).drop(_RN)
+    return row_number_in_key(df, keys, order, _RN, skew_safe).filter(keep).drop(_RN)
 
 
 def highest_per_key(df: DataFrame, keys, id_col: str) -> DataFrame:
@@ -90,7 +93,8 @@ def cross_source_repeats(df: DataFrame, keys, source: str = "source") -> DataFra
                    .filter((F.col("n_rows") > 1) & (F.col("n_sources") > 1)))
 
 
-def drop_covered(live: DataFrame, state: DataFrame, keys, order, covered=None):
+def drop_covered(live: DataFrame, state: DataFrame, keys, order, covered=None,
+                 skew_safe: bool = False):
     """DED-5 / SET-4: remove from ``live`` the rows already present in ``state``.
 
     Multiset semantics: if the state holds a key ``c`` times, the first ``c``
@@ -99,24 +103,20 @@ def drop_covered(live: DataFrame, state: DataFrame, keys, order, covered=None):
     which live rows may be matched at all (e.g. ``date <= covered_through``).
     Keys compare NULL-safely.  Returns ``(kept, dropped)``.
 
-    Only live rows whose key occurs in the state are ranked; the state side
-    is reduced to one row per key by an aggregate first.
+    One pass: the state is reduced to one count per key by an aggregate
+    (combined map-side), joined NULL-safely to the live rows, and one window
+    ranks the covered live rows inside their key.
     """
     keys = listify(keys)
     counts = state.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
-    cond = F.coalesce(covered, F.lit(True)) if covered is not None else F.lit(True)
-    flagged = live.withColumn("__cand", cond)
-    cand = flagged.filter("__cand")
-    rest = flagged.filter(~F.col("__cand")).drop("__cand")
     c = counts.select(*[F.col(k).alias("__k_" + k) for k in keys], "__c")
-    joined = cand.join(c, null_safe_on(cand, c, keys, ["__k_" + k for k in keys]), "left")
+    cand = F.coalesce(covered, F.lit(True)) if covered is not None else F.lit(True)
+    flagged = live.withColumn("__cand", cand)
+    joined = flagged.join(c, null_safe_on(flagged, c, keys, ["__k_" + k for k in keys]), "left")
+    # uncovered rows get their own partition so they never sit in a covered key's group
+    from .windows import row_number_in_key
+    ranked = row_number_in_key(joined, keys + ["__cand"], order, "__rank", skew_safe) \
+        .withColumn("__rank", F.col("__rank") - 1)
+    drop_me = F.col("__cand") & F.coalesce(F.col("__rank") < F.col("__c"), F.lit(False))
     helper = ["__cand", "__c", "__rank"] + ["__k_" + k for k in keys]
-    untouched = joined.filter(F.col("__c").isNull()).drop(*helper)
-    w = Window.partitionBy(*keys).orderBy(*listify(order))
-    ranked = (joined.filter(F.col("__c").isNotNull())
-                    .withColumn("__rank", F.row_number().over(w) - 1))
-    drop_me = F.col("__rank") < F.col("__c")
-    kept = (ranked.filter(~drop_me).drop(*helper)
-                  .unionByName(untouched).unionByName(rest))
-    dropped = ranked.filter(drop_me).drop(*helper)
-    return kept, dropped
+    return ranked.filter(~drop_me).drop(*helper), ranked.filter(drop_me).drop(*helper)

@@ -1,24 +1,66 @@
-"""Ranking operators (WIN-1..3)."""
+"""Ranking operators (WIN-1..3).
+
+Ranking inside a key is the one place where a hot key cannot be combined
+map-side.  ``row_number_in_key(..., skew_safe=True)`` splits every key into
+deterministic buckets of its order -- all order columns but the last, plus
+``floor(last / chunk)`` of the final integral column (a row number or id) --
+ranks rows locally per (key, bucket), and adds the number of the key's rows
+in earlier buckets, read from a small per-(key, bucket) count table.  A key
+holding a third of all rows is spread over many tasks of at most ``chunk``
+rows each, and the result equals ``row_number()`` exactly.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._keys import listify
+from ._keys import listify, null_safe_on
+
+DEFAULT_CHUNK = 1 << 20
+
+
+def row_number_in_key(df: DataFrame, keys, order, out: str, skew_safe: bool = False,
+                      chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """1-based ``row_number()`` of each row inside its key, in ``order``.
+
+    With ``skew_safe`` the order must be plain ascending columns (names),
+    unique inside a key, the last one integral.
+    """
+    keys, order = listify(keys), listify(order)
+    if not skew_safe:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w))
+    names = [o if isinstance(o, str) else None for o in order]
+    if None in names:
+        raise ValueError("skew_safe ranking needs the order as column names")
+    buckets = [f"__b{i}" for i in range(len(names))]
+    bexpr = {b: F.col(n) for b, n in zip(buckets[:-1], names[:-1])}
+    bexpr[buckets[-1]] = F.floor(F.col(names[-1]) / chunk)
+    d = df.withColumns(bexpr)
+    local = Window.partitionBy(*keys, *buckets).orderBy(*[F.col(n) for n in names])
+    d = d.withColumn("__local", F.row_number().over(local))
+    sizes = d.groupBy(*keys, *buckets).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    offsets = offsets.select(*[F.col(c).alias("__o" + c) for c in keys + buckets], "__off")
+    cond = null_safe_on(d, offsets, keys + buckets, ["__o" + c for c in keys + buckets])
+    j = d.join(offsets, cond, "inner")
+    j = j.withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
+    return j.drop("__local", "__off", *buckets, *["__o" + c for c in keys + buckets])
 
 
-def running_index(df: DataFrame, keys, order, out: str = "row_id") -> DataFrame:
+def running_index(df: DataFrame, keys, order, out: str = "row_id", skew_safe: bool = False) -> DataFrame:
     """WIN-1: 0-based position of each row inside its key, in ``order``
     (pandas ``cumcount`` with an explicit order instead of input order)."""
-    w = Window.partitionBy(*listify(keys)).orderBy(*listify(order))
-    return df.withColumn(out, (F.row_number().over(w) - 1).cast("int"))
+    out_df = row_number_in_key(df, keys, order, "__rn1", skew_safe)
+    return out_df.withColumn(out, (F.col("__rn1") - 1).cast("int")).drop("__rn1")
 
 
-def rank_within(df: DataFrame, keys, order, out: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, keys, order, out: str = "rank", skew_safe: bool = False) -> DataFrame:
     """WIN-2: 1-based rank (``row_number``) inside each key."""
-    w = Window.partitionBy(*listify(keys)).orderBy(*listify(order))
-    return df.withColumn(out, F.row_number().over(w).cast("int"))
+    out_df = row_number_in_key(df, keys, order, "__rn1", skew_safe)
+    return out_df.withColumn(out, F.col("__rn1").cast("int")).drop("__rn1")
 
 
 def count_once(df: DataFrame, key: str, order_cols, baseline: DataFrame | None = None,

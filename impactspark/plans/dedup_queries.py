@@ -226,8 +226,8 @@ def keep_first_exempt(spark, sf_dir):
               .unionByName(ev.filter(F.col("event_id") % 6 == 0)
                              .withColumn("event_id", F.col("event_id") + 1000000000)
                              .withColumn("src", F.lit(3))))
-    out = keep_first(rows, ["user_id", "value", "day"], [F.col("src"), F.col("event_id")],
-                     exempt=F.col("cohort").eqNullSafe(F.lit(EXEMPT_COHORT)))
+    out = keep_first(rows, ["user_id", "value", "day"], ["src", "event_id"],
+                     exempt=F.col("cohort").eqNullSafe(F.lit(EXEMPT_COHORT)), skew_safe=True)
     return out.select("src", "event_id", "user_id", "cohort", "value", "day")
 
 
@@ -264,8 +264,8 @@ def drop_covered_q(spark, sf_dir):
     state = ev.filter(F.col("day") <= through)
     live = (ev.withColumn("copy", F.lit(1))
               .unionByName(ev.filter(F.col("event_id") % 7 == 0).withColumn("copy", F.lit(2))))
-    kept, _ = drop_covered(live, state, _KEY, [F.col("copy"), F.col("event_id")],
-                           covered=F.col("day") <= through)
+    kept, _ = drop_covered(live, state, _KEY, ["copy", "event_id"],
+                           covered=F.col("day") <= through, skew_safe=True)
     return kept.select("copy", "event_id", "user_id", "cohort", "value", "day")
 
 

@@ -167,17 +167,17 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig):
         data, log2 = split_drops(data, rules, by=["source"])
     else:
         log2 = None
-    data = keep_first(data, list(KEY), order, exempt=exempt)                          # DED-4
+    data = keep_first(data, list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4
     data, log3 = split_drops(data, [("zero payment", F.col("payment") == 0),         # FLT-14
                                     ("missing payment", F.col("payment").isNull() | F.isnan("payment"))],
                              by=["source"])
     data = data.withColumn("cohort", map_label("cohort", cfg.cohort_map,                # LKP-2
                                                keep_targets=cfg.idempotent_remap))
-    data = keep_first(data, list(KEY), order, exempt=exempt)                          # DED-4 again
+    data = keep_first(data, list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4 again
     prev = data.filter(F.col("source") == "prev_combined")                            # DED-5
     live = data.filter(F.col("source") != "prev_combined")
     kept_live, resubmitted = drop_covered(
-        live, prev, list(KEY), order,
+        live, prev, list(KEY), list(ORDER_COLS), skew_safe=True,
         covered=F.col("date_service_accessed") <= F.lit(cfg.covered_through + " 23:59:59.999999").cast("timestamp_ntz"))
     entries = prev.unionByName(kept_live)
     backfills = (kept_live.filter(F.col("date_service_accessed")
@@ -227,7 +227,7 @@ def singles(demo: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- PIPE-9/10
 def entries_wide(entries: DataFrame) -> DataFrame:
     """PIPE-9: n-th entry of a person in a month on row n, per cohort row."""
-    ranked = rank_within(entries, ["umuzi_email", "month"], [F.col(c) for c in ORDER_COLS], out="row_id")
+    ranked = rank_within(entries, ["umuzi_email", "month"], list(ORDER_COLS), out="row_id", skew_safe=True)
     fields = ["payment", "earning_opportunity_type", "earning_opportunity_name", "earning_opportunity_extra_info"]
     from ..operators import pivot
     p = pivot(ranked, ["umuzi_email", "cohort", "row_id"], "month", list(rp.FY_MONTHS),

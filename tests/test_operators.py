@@ -229,3 +229,15 @@ def test_duplicate_members_and_key_violations(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, None), (5, "b")], "id int, k string")
     assert [r[0] for r in rows(op.duplicate_members(df, ["k"]), "id")] == [1, 2, 3, 4]
     assert rows(op.key_violations(df, ["k"])) == [(None, 2), ("a", 2)]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1000])
+def test_skew_safe_row_number_equals_window(spark, chunk):
+    from impactspark.operators.windows import row_number_in_key
+    rnd = random.Random(chunk)
+    # one hot key with most of the rows, a NULL key, and a few small keys
+    data = [(rnd.choice(["hot"] * 8 + ["a", "b", None]), rnd.randint(0, 3), i) for i in range(400)]
+    df = spark.createDataFrame(data, "k string, src int, seq int")
+    plain = row_number_in_key(df, ["k"], [F.col("src"), F.col("seq")], "rn")
+    safe = row_number_in_key(df, ["k"], ["src", "seq"], "rn", skew_safe=True, chunk=chunk)
+    assert rows(safe, "seq", "rn") == rows(plain, "seq", "rn")
