@@ -20,10 +20,14 @@ def money_text(c) -> Column:
 
 
 def clean_money(c) -> Column:
-    """NUM-1: ``'R 1 200.50'`` -> 1200.5; unparseable, NaN and infinite -> NULL."""
+    """NUM-1: ``'R 1 200.50'`` -> 1200.5; unparseable, NaN and infinite -> NULL.
+
+    The numeric pattern admits no NaN or infinity spelling; an exponent that
+    overflows (``1e999``) still casts to infinity and is rejected here.
+    """
     t = money_text(c)
     v = F.when(t.rlike(_NUMBER), t.try_cast("double"))
-    return F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v)
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
 
 
 def money_unparseable(c) -> Column:

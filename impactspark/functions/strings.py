@@ -34,9 +34,14 @@ def _nfkc_batch(s: pd.Series) -> pd.Series:
 
 
 def nfkc(c) -> Column:
-    """STR-3: Unicode NFKC; the UDF only sees values that hold non-ASCII text."""
+    """STR-3: Unicode NFKC.
+
+    Spark evaluates a Python UDF for every row even inside a CASE, so ASCII
+    values (already NFKC) are handed over as NULL -- a bit in the Arrow
+    batch -- and only text with a non-ASCII character is normalised in Python.
+    """
     c = as_col(c)
-    return F.when(c.rlike(r"[^\x00-\x7F]"), _nfkc_batch(c)).otherwise(c)
+    return F.coalesce(_nfkc_batch(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 
 def normalize_email(c, nfkc_fold: bool = False) -> Column:

@@ -130,8 +130,8 @@ WHERE raw IS NOT NULL AND payment IS NULL GROUP BY raw
 """))
 def money_unparseable(spark, sf_dir):
     """AGG-12: frequency of raw payment values that do not parse."""
-    d = _money_texts(m.Tables(spark, sf_dir))
-    return value_frequency(d, "raw", fx.money_unparseable("raw"))
+    d = _money_texts(m.Tables(spark, sf_dir)).withColumn("payment", fx.clean_money("raw"))
+    return value_frequency(d, "raw", F.col("raw").isNotNull() & F.col("payment").isNull())
 
 
 # -------------------------------------------------------------------- STR-1

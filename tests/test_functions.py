@@ -32,9 +32,9 @@ def test_pad_id_never_truncates(spark):
 
 
 def test_clean_money(spark):
-    raw = ["R 1 200.50", "1,200", "Done", "0", "", "inf", "12d", "R 1 200,50", None, "-3.5", "1e3"]
+    raw = ["R 1 200.50", "1,200", "Done", "0", "", "inf", "12d", "R 1 200,50", None, "-3.5", "1e3", "1e999"]
     got = col_values(one_col(spark, raw), fx.clean_money("v"))
-    assert got == [1200.5, 1200.0, None, 0.0, None, None, None, 120050.0, None, -3.5, 1000.0]
+    assert got == [1200.5, 1200.0, None, 0.0, None, None, None, 120050.0, None, -3.5, 1000.0, None]
 
 
 def test_money_unparseable_flags_only_non_null_failures(spark):
