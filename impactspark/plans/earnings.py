@@ -87,16 +87,23 @@ _PARTNER_NAMES = ("umuzi_email", "payment", "date_service_accessed", "cohort",
 
 
 def load_id_keyed(spark: SparkSession, path: str, name: str, priority: int, rich: DataFrame,
-                  sheets=None, lead_rows: int = 2):
+                  sheets=None, lead_rows: int = 2, resolve_emails: bool = True):
     """LD-9 / LD-13: rows keyed by national id, resolved to the canonical e-mail.
 
-    Returns ``(entries, unresolved)``; ids that do not resolve are reported,
-    not silently dropped (T15).
+    The template column takes an e-mail *or* an id (T15).  With
+    ``resolve_emails`` an e-mail found there is used as the e-mail (it is
+    canonicalised downstream like every other); ``False`` is the parity mode
+    where such rows never resolve.  Returns ``(entries, unresolved)``: what
+    does not resolve is reported, not dropped silently.
     """
     df = read_sheets(spark, path, sheets or {0: range(1, 8)}, _ID_NAMES, lead_rows)
     df = df.filter(F.col("id_number").isNotNull() & F.col("date_service_accessed").isNotNull())
     ok, bad = resolve_ids(df, "id_number", rich, "id_number", "umuzi_email", "umuzi_email",
                           order_col="learner_id")
+    if resolve_emails:
+        is_email = F.col("id_number").contains("@")
+        ok = ok.unionByName(bad.filter(is_email).withColumn("umuzi_email", F.col("id_number")))
+        bad = bad.filter(~is_email)
     ok = ok.withColumns({"date_service_accessed": fx.parse_dates("date_service_accessed"),
                          "payment": fx.clean_money("payment")})
     return tag(ok.select(*CANON_COLS, "_file", "_row"), name, priority), bad.select("id_number", "_file", "_row")
