@@ -201,6 +201,8 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig):
 
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint (``spark.checkpoint.dir``)."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -28,11 +28,11 @@ def month_pivot(df: DataFrame, index, month_col: str, metrics: dict,
 
 
 def entries_wide(df: DataFrame, index, month_col: str, order, fields,
-                 months=FY_MONTHS) -> DataFrame:
+                 months=FY_MONTHS, skew_safe: bool = False) -> DataFrame:
     """RSH-2 + WIN-1 + PRJ-9 (PIPE-9): the n-th entry of a person in each month
     lands on row n; columns ``{month}_{field}`` for every fiscal month."""
     index = listify(index)
-    ranked = running_index(df, index + [month_col], order, out="row_id")
+    ranked = running_index(df, index + [month_col], order, out="row_id", skew_safe=skew_safe)
     aggs = {f: F.max(F.col(f)) for f in fields}
     return pivot(ranked, index + ["row_id"], month_col, list(months), aggs,
                  name=lambda mo, f: f"{mo}_{f}")
