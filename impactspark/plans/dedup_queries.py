@@ -189,7 +189,7 @@ ev AS (
   SELECT event_id, user_id,
     CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_type END AS cohort,
     CASE WHEN event_id % 13 = 0 THEN NULL ELSE value END AS value,
-    CAST(ts AS DATE) AS day
+    date_trunc('day', ts) AS day
   FROM events
 )"""
 
@@ -200,7 +200,7 @@ def _ev(t):
         "event_id", "user_id",
         F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("event_type")).alias("cohort"),
         F.when(k % 13 == 0, F.lit(None)).otherwise(F.col("value")).alias("value"),
-        F.to_date("ts").alias("day"))
+        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"))
 
 
 EXEMPT_COHORT = "purchase"
@@ -237,7 +237,7 @@ _KEY = ["user_id", "cohort", "value", "day"]
 
 
 @query("drop_covered", m.with_ctes(_EV_SQL, f"""
-state AS (SELECT * FROM ev WHERE day <= DATE '{COVERED_THROUGH}')""", """
+state AS (SELECT * FROM ev WHERE day <= TIMESTAMP '{COVERED_THROUGH}')""", """
 live AS (
   SELECT 1 AS copy, * FROM ev
   UNION ALL SELECT 2 AS copy, * FROM ev WHERE event_id % 7 = 0
@@ -246,7 +246,7 @@ counts AS (SELECT user_id, cohort, value, day, count(*) AS c FROM state GROUP BY
 cand AS (
   SELECT l.*, row_number() OVER (PARTITION BY l.user_id, l.cohort, l.value, l.day
                                  ORDER BY l.copy, l.event_id) - 1 AS rnk
-  FROM live l WHERE l.day <= DATE '{COVERED_THROUGH}'
+  FROM live l WHERE l.day <= TIMESTAMP '{COVERED_THROUGH}'
 )""", body=f"""
 SELECT c.copy, c.event_id, c.user_id, c.cohort, c.value, c.day
 FROM cand c LEFT JOIN counts k
@@ -254,13 +254,13 @@ FROM cand c LEFT JOIN counts k
  AND c.value IS NOT DISTINCT FROM k.value AND c.day IS NOT DISTINCT FROM k.day
 WHERE c.rnk >= COALESCE(k.c, 0)
 UNION ALL
-SELECT copy, event_id, user_id, cohort, value, day FROM live WHERE NOT (day <= DATE '{COVERED_THROUGH}')
+SELECT copy, event_id, user_id, cohort, value, day FROM live WHERE NOT (day <= TIMESTAMP '{COVERED_THROUGH}')
 """))
 def drop_covered_q(spark, sf_dir):
     """DED-5 / SET-4 / JN-7: drop live rows already in the prior state (multiset,
     NULL-safe keys); second copies of covered rows survive as back-fills."""
     ev = _ev(m.Tables(spark, sf_dir))
-    through = F.lit(COVERED_THROUGH).cast("date")
+    through = F.lit(COVERED_THROUGH).cast("timestamp_ntz")
     state = ev.filter(F.col("day") <= through)
     live = (ev.withColumn("copy", F.lit(1))
               .unionByName(ev.filter(F.col("event_id") % 7 == 0).withColumn("copy", F.lit(2))))

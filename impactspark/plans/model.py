@@ -76,7 +76,7 @@ def learners(t: Tables) -> DataFrame:
         idn.alias("id_number"),
         F.col("c_mktsegment").alias("race"),
         F.when(k % 3 == 0, F.lit("Female")).when(k % 3 == 1, F.lit("Male")).alias("gender"),
-        dob.alias("date_of_birth"),
+        dob.cast("timestamp_ntz").alias("date_of_birth"),
         (F.col("c_acctbal") < 0).alias("has_disability_or_differently_abled"),
         F.col("c_nationkey").alias("nearest_city"),
         F.when(k % 11 == 0, F.lit("")).otherwise((F.col("c_nationkey") % 5).cast("string")).alias("province"),
@@ -110,7 +110,7 @@ learners AS (
       ELSE id13 END AS id_number,
     c_mktsegment AS race,
     CASE c_custkey % 3 WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' END AS gender,
-    dob AS date_of_birth,
+    CAST(dob AS TIMESTAMP) AS date_of_birth,
     c_acctbal < 0 AS has_disability_or_differently_abled,
     c_nationkey AS nearest_city,
     CASE WHEN c_custkey % 11 = 0 THEN '' ELSE CAST(c_nationkey % 5 AS VARCHAR) END AS province,
