@@ -33,9 +33,26 @@ CALENDAR_TOP = "Over 50"
 UNKNOWN = "Unknown"
 
 
+def _shape(fmt: str) -> str:
+    """A regex every text the layout can parse matches: each run of pattern
+    letters becomes digits (years may carry a sign), other characters stay."""
+    import re
+    out = []
+    for run in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", fmt):
+        tok = run.group(0)
+        if tok[0].isalpha():
+            out.append(r"[+-]?[0-9]+" if tok[0] == "y" else r"[0-9]+")
+        else:
+            out.append(re.escape(tok))
+    return "^" + "".join(out) + "$"
+
+
 def _first_parse(c: Column, formats) -> Column:
+    """First layout that parses.  A failed parse costs a JVM exception, so each
+    layout is only tried on text of its shape (at most one real parse per value)."""
     txt = c.cast("string")
-    return F.coalesce(*[F.try_to_timestamp(txt, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    tries = [F.when(txt.rlike(_shape(f)), F.try_to_timestamp(txt, F.lit(f))) for f in formats]
+    return F.coalesce(*tries).cast("timestamp_ntz")
 
 
 def parse_dates(c, formats=DATE_FORMATS, serial_dates: bool = False) -> Column:
