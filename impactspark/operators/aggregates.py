@@ -46,3 +46,17 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def value_frequency(df: DataFrame, raw: str, bad: Column) -> DataFrame:
     """AGG-12: how often each offending raw value occurs."""
     return (df.filter(bad).groupBy(raw).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def distinct_list_by_key(df: DataFrame, keys, value: str, out: str, sep: str = ", ",
+                         mins: dict | None = None) -> DataFrame:
+    """AGG-5 in two steps: distinct (key, value) pairs first -- a hash
+    aggregate combined map-side -- then one sorted, ``sep``-joined list per
+    key (NULL when the key has no non-NULL value).  ``mins`` carries
+    ``{name: column}`` minimums through both steps."""
+    keys, mins = listify(keys), dict(mins or {})
+    pairs = df.groupBy(*keys, value).agg(*[F.min(c).alias(n) for n, c in mins.items()])
+    lst = F.array_sort(F.collect_list(value))
+    return pairs.groupBy(*keys).agg(
+        *[F.min(n).alias(n) for n in mins],
+        F.when(F.size(lst) > 0, F.array_join(lst, sep)).alias(out))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fx
-from ..operators import joined_distinct, union_all
+from ..operators import distinct_list_by_key, union_all
 
 SERVICE_COLUMNS = ("learner_id", "date_service_accessed", "service_used", "service_name")
 
@@ -67,11 +67,10 @@ def certificate_services(certs: DataFrame, courses: DataFrame, pathway_courses:
                 c["course_id"] == F.col("__cid"))
           .join(pathway_courses.select(F.col("course_id").alias("__pc"), "pathway"),
                 F.col("course_id") == F.col("__pc")))
-    return (j.groupBy("learner_id", "course_name")
-             .agg(F.min("certificate_uploaded_at").alias("date_service_accessed"),
-                  joined_distinct("pathway").alias("service_name"))
-             .select("learner_id", "date_service_accessed",
-                     F.col("course_name").alias("service_used"), "service_name"))
+    out = distinct_list_by_key(j, ["learner_id", "course_name"], "pathway", "service_name",
+                               mins={"date_service_accessed": "certificate_uploaded_at"})
+    return out.select("learner_id", "date_service_accessed",
+                      F.col("course_name").alias("service_used"), "service_name")
 
 
 def logged_services(eligible: DataFrame, branches) -> DataFrame:
