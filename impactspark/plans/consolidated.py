@@ -163,3 +163,29 @@ def people_checks(combined: DataFrame, ind6: DataFrame) -> DataFrame:
 def participants(combined: DataFrame) -> DataFrame:
     """PIPE-6: participants list."""
     return combined.select(*PARTICIPANT_COLS)
+
+
+def registration_checks(five: DataFrame) -> DataFrame:
+    """Indicator-5 extract passed through: it must have rows (error) and
+    should hold no duplicate rows (warning)."""
+    n = five.agg(F.count(F.lit(1)).alias("rows"))
+    dup = five.groupBy(*five.columns).agg(F.count(F.lit(1)).alias("c")) \
+              .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("dups"))
+    t1 = n.select(F.lit("ind5").alias("stage"), F.lit("indicator 5 extract contains rows").alias("check"),
+                  F.when(F.col("rows") > 0, "PASS").otherwise("FAIL").alias("status"),
+                  F.lit(ERROR).alias("level"),
+                  F.when(F.col("rows") > 0, "").otherwise("the extract is empty").alias("detail"),
+                  F.when(F.col("rows") > 0, 0).otherwise(1).cast("bigint").alias("offenders"))
+    t2 = dup.select(F.lit("ind5").alias("stage"), F.lit("indicator 5 has no duplicate rows").alias("check"),
+                    F.when(F.col("dups") == 0, "PASS").otherwise("WARN").alias("status"),
+                    F.lit(WARN).alias("level"),
+                    F.when(F.col("dups") == 0, "").otherwise("duplicates passed through as-is").alias("detail"),
+                    F.col("dups").cast("bigint").alias("offenders"))
+    return t1.unionByName(t2)
+
+
+def names_review(combined: DataFrame, rich_raw: DataFrame) -> DataFrame:
+    """JN-9 after consolidation: canonical e-mails with no dimension row, per source."""
+    rich, _ = learner_dimension(rich_raw)
+    from ..operators import unmatched
+    return unmatched(combined, rich, "umuzi_email", by=["source"])

@@ -19,7 +19,7 @@ from .. import functions as fx
 from ..operators import (Check, blocks_to_rows, count_once, drop_covered, enrich_tiers,
                          flag_members, highest_per_key, keep_first, map_label, rank_within,
                          resolve_ids, run_checks, split_drops, union_all, unmatched)
-from ..operators.quality import ERROR
+from ..operators.quality import ERROR, WARN
 from ..operators.reshape import BLOCK_FIELDS, ID_FIELDS
 from ..sources import ORDER_COLS, read_blocks, read_sheets, read_state, scan, tag
 from . import reports as rp
@@ -178,14 +178,17 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig):
     data, log3 = split_drops(data, [("zero payment", F.col("payment") == 0),         # FLT-14
                                     ("missing payment", F.col("payment").isNull() | F.isnan("payment"))],
                              by=["source"])
-    data = data.withColumn("cohort", map_label("cohort", cfg.cohort_map,                # LKP-2
-                                               keep_targets=cfg.idempotent_remap))
+    data = data.withColumn("__raw_cohort", F.col("cohort")).withColumn(
+        "cohort", map_label("cohort", cfg.cohort_map, keep_targets=cfg.idempotent_remap))   # LKP-2
     data = keep_first(data, list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4 again
     prev = data.filter(F.col("source") == "prev_combined")                            # DED-5
     live = data.filter(F.col("source") != "prev_combined")
     kept_live, resubmitted = drop_covered(
         live, prev, list(KEY), list(ORDER_COLS), skew_safe=True,
         covered=F.col("date_service_accessed") <= F.lit(cfg.covered_through + " 23:59:59.999999").cast("timestamp_ntz"))
+    unmapped_cohorts = (kept_live.unionByName(prev)
+                        .filter(F.col("cohort").isNull() & F.col("__raw_cohort").isNotNull())
+                        .groupBy(F.col("__raw_cohort").alias("cohort")).agg(F.count(F.lit(1)).alias("rows")))
     entries = prev.unionByName(kept_live)
     backfills = (kept_live.filter(F.col("date_service_accessed")
                                   <= F.lit(cfg.covered_through + " 23:59:59.999999").cast("timestamp_ntz"))
@@ -194,9 +197,25 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig):
     checks = run_checks(entries, [
         Check("clean", "dates in window", (d < F.lit(cfg.report_start).cast("timestamp_ntz"))
               | (d > F.lit(cfg.as_of).cast("timestamp_ntz")), ERROR, "pre-window or future date survived"),
-        Check("clean", "type filled", F.col("earning_opportunity_type").isNull(), ERROR, "type backfill failed")])
-    return entries, {"drops": union_all(logs), "backfills": backfills, "resubmitted": resubmitted,
-                     "unmatched": unmatched_emails, "checks": checks}
+        Check("clean", "type filled", F.col("earning_opportunity_type").isNull(), ERROR, "type backfill failed"),
+        Check("clean", "cohort mapped", F.col("cohort").isNull() & F.col("__raw_cohort").isNotNull(), WARN,
+              "cohort labels without a map entry became NULL")])
+    dups = (entries.groupBy(*CANON_COLS, "month", "source").agg(F.count(F.lit(1)).alias("n"))
+                   .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")))
+    checks = checks.unionByName(_count_check(dups, "clean", "no duplicates", ERROR))
+    entries = entries.drop("__raw_cohort")
+    return entries, {"drops": union_all(logs), "backfills": backfills, "resubmitted": resubmitted.drop("__raw_cohort"),
+                     "unmatched": unmatched_emails, "unmapped_cohorts": unmapped_cohorts, "checks": checks}
+
+
+def _count_check(counts: DataFrame, stage: str, name: str, level: str, detail: str = "") -> DataFrame:
+    """A check row from a one-row frame holding the offender count ``n``."""
+    failed = "FAIL" if level == ERROR else "WARN"
+    return counts.select(F.lit(stage).alias("stage"), F.lit(name).alias("check"),
+                         F.when(F.col("n") == 0, "PASS").otherwise(failed).alias("status"),
+                         F.lit(level).alias("level"),
+                         F.when(F.col("n") == 0, "").otherwise(detail).alias("detail"),
+                         F.col("n").cast("bigint").alias("offenders"))
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -345,6 +364,17 @@ def report_checks(entries: DataFrame, summary: DataFrame, brk: DataFrame, recon:
         F.count_distinct(F.when(F.col("t") == "b", F.col("umuzi_email"))).alias("b_people"),
         F.count_distinct(F.when(F.col("t") == "s", F.col("umuzi_email"))).alias("s_people"))
     bad = recon.agg(F.count_if(~F.col("ok")).alias("bad_months"))
+    status_t = _count_check(brk.agg(F.count_if(F.col("`Current Status`").isNull()).alias("n")),
+                            "report", "status mapped", WARN, "types without a status mapping")
+    keys_t = _count_check(brk.agg(F.count_if(F.col("first_date").isNull()
+                                             | F.col("earning_opportunity_type").isNull()
+                                             | F.col("cohort").isNull()).alias("n")),
+                          "report", "pivot keys non-null", ERROR, "NULL in a pivot index key")
+    # every entry must reach the long form (inner joins to its op_num and first date)
+    counted = union_all([breakdown_long(entries).select(F.lit(-1).alias("s")),
+                         entries.select(F.lit(1).alias("s"))])
+    op_t = _count_check(counted.agg(F.sum("s").alias("n")), "report", "opportunity number assigned",
+                        ERROR, "entries without an op_num")
     t1 = agg.select(F.lit("report").alias("stage"), F.lit("count-once equals non-baseline people").alias("check"),
                     F.when(F.col("ones") == F.col("new_people"), "PASS").otherwise("FAIL").alias("status"),
                     F.lit(ERROR).alias("level"), F.lit("").alias("detail"),
@@ -353,8 +383,6 @@ def report_checks(entries: DataFrame, summary: DataFrame, brk: DataFrame, recon:
                     F.when(F.col("b_people") == F.col("s_people"), "PASS").otherwise("FAIL").alias("status"),
                     F.lit(ERROR).alias("level"), F.lit("").alias("detail"),
                     F.abs(F.col("b_people") - F.col("s_people")).cast("bigint").alias("offenders"))
-    t3 = bad.select(F.lit("report").alias("stage"), F.lit("tables reconcile").alias("check"),
-                    F.when(F.col("bad_months") == 0, "PASS").otherwise("FAIL").alias("status"),
-                    F.lit(ERROR).alias("level"), F.lit("").alias("detail"),
-                    F.col("bad_months").cast("bigint").alias("offenders"))
-    return union_all([t1, t2, t3])
+    t3 = _count_check(bad.select(F.col("bad_months").alias("n")), "report", "tables reconcile", ERROR,
+                      "months whose totals differ")
+    return union_all([t1, t2, t3, status_t, keys_t, op_t])

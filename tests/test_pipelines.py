@@ -267,3 +267,15 @@ def test_earnings_report_tables_reconcile(spark, tmp_path):
     wide = earn.entries_wide(entries)
     assert "May_payment" in wide.columns and "March_earning_opportunity_extra_info" in wide.columns
     assert earn.learner_demographics(summary, rich_frame(spark)).count() == summary.count()
+
+
+def test_catalogue_checks(spark, tmp_path):
+    frames, cfg = earnings_fixtures(spark, tmp_path)
+    cfg.cohort_map = {"XA-Alias": "XA-Canon", "XA-Sept": "XA-Sept"}      # 'Other' now unmapped
+    entries, logs = earn.clean_entries(frames, rich_frame(spark), cfg)
+    status = {r["check"]: (r["status"], r["offenders"]) for r in logs["checks"].collect()}
+    assert status["cohort mapped"][0] == "WARN" and status["no duplicates"] == ("PASS", 0)
+    assert rows(logs["unmapped_cohorts"]) == [("Other", 1)]
+    five = spark.createDataFrame([(1, "a"), (1, "a")], "learner_id int, email string")
+    t = {r["check"]: r["status"] for r in cons.registration_checks(five).collect()}
+    assert t == {"indicator 5 extract contains rows": "PASS", "indicator 5 has no duplicate rows": "WARN"}
