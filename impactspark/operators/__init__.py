@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from .aggregates import (count_rows, distinct_list_by_key, duplicate_rows, first_non_null,
-                         joined_distinct,
+                         first_non_null_cols, joined_distinct,
                          sorted_distinct, value_frequency)
 from .dedup import (cross_source_repeats, drop_covered, drop_exact_duplicates, duplicate_members,
                     duplicate_report, highest_per_key, keep_first, key_violations,

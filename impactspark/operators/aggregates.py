@@ -11,14 +11,18 @@ from ..functions._util import as_col
 from ._keys import listify
 
 
+def first_non_null_cols(order, cols) -> list:
+    """AGG-6 as aggregate expressions, to combine with others in one ``agg``."""
+    order = as_col(order)
+    return [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in cols]
+
+
 def first_non_null(df: DataFrame, keys, order, cols) -> DataFrame:
     """AGG-6: per key and per column, the value of the first row (in ``order``)
     where that column is not NULL -- one output row may mix input rows, as
     pandas ``groupby.first`` does.  ``order`` is one Column (use a struct for
     a compound order)."""
-    order = as_col(order)
-    return df.groupBy(*listify(keys)).agg(
-        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in cols])
+    return df.groupBy(*listify(keys)).agg(*first_non_null_cols(order, cols))
 
 
 def sorted_distinct(c) -> Column:

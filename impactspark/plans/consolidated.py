@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fx
-from ..operators import (Check, cross_source_repeats, duplicate_report, first_non_null,
+from ..operators import (Check, cross_source_repeats, duplicate_report, first_non_null_cols,
                          highest_per_key, keep_first, run_checks, sorted_distinct, split_drops,
                          union_all)
 from ..operators.quality import ERROR, WARN
@@ -134,16 +134,16 @@ def keep_first_exact(data: DataFrame) -> DataFrame:
 def supported_people(combined: DataFrame) -> DataFrame:
     """PIPE-5 (indicator 6): one row per learner -- first non-NULL value per
     column in input order, sorted distinct service list, latest date and the
-    month of that date."""
+    month of that date -- in a single aggregate (one shuffle, combined map-side)."""
     combined = combined.filter(F.col("umuzi_email").isNotNull())   # pandas groupby drops NULL keys
     order = F.struct(*[F.col(c) for c in ORDER_COLS])
     firsts = [c for c in IND7_COLS if c not in ("umuzi_email", "service_name", "date_service_accessed",
                                                 "month_of_service_accessed")]
-    a = first_non_null(combined, "umuzi_email", order, firsts)
-    b = combined.groupBy("umuzi_email").agg(sorted_distinct("service_name").alias("service_name"),
-                                            F.max("date_service_accessed").alias("date_service_accessed"))
-    out = a.join(b, "umuzi_email", "full_outer") \
-           .withColumn("month_of_service_accessed", fx.month_name("date_service_accessed"))
+    out = combined.groupBy("umuzi_email").agg(
+        *first_non_null_cols(order, firsts),
+        sorted_distinct("service_name").alias("service_name"),
+        F.max("date_service_accessed").alias("date_service_accessed"))
+    out = out.withColumn("month_of_service_accessed", fx.month_name("date_service_accessed"))
     return out.select(*IND7_COLS)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (count_once, cross_source_repeats, drop_covered, drop_exact_duplicates,
                          duplicate_members, duplicate_report, duplicate_rows, enrich_tiers,
-                         fill_where, first_non_null, flag_members, highest_per_key, keep_first,
+                         fill_where, first_non_null_cols, flag_members, highest_per_key, keep_first,
                          key_violations, rank_within, remap_identity, sorted_distinct, unmatched)
 from .. import functions as fx
 from . import model as m
@@ -362,12 +362,11 @@ def person_rollup(spark, sf_dir):
     ev = e.select("user_id", "ts", "event_id", "event_type",
                   F.when(k % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("a"), k.cast("string"))).alias("note"),
                   F.when(k % 5 != 0, F.lit(None)).otherwise(F.col("value")).alias("score"))
-    firsts = first_non_null(ev, "user_id", F.struct("ts", "event_id"), ["note", "score"])
-    rest = ev.groupBy("user_id").agg(F.array_join(sorted_distinct("event_type"), ", ").alias("event_types"),
-                                     F.max("ts").alias("last_ts"))
-    return (firsts.join(rest, "user_id")
-                  .select("user_id", "note", "score", "event_types", "last_ts",
-                          fx.month_name("last_ts").alias("last_month")))
+    out = ev.groupBy("user_id").agg(
+        *first_non_null_cols(F.struct("ts", "event_id"), ["note", "score"]),
+        F.array_join(sorted_distinct("event_type"), ", ").alias("event_types"),
+        F.max("ts").alias("last_ts"))
+    return out.withColumn("last_month", fx.month_name("last_ts"))
 
 
 # ------------------------------------------------------------- AGG-9, WIN-2
