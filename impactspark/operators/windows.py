@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._keys import listify, null_safe_on
+from ._keys import listify
 
 DEFAULT_CHUNK = 1 << 20
 
@@ -37,17 +37,23 @@ def row_number_in_key(df: DataFrame, keys, order, out: str, skew_safe: bool = Fa
     buckets = [f"__b{i}" for i in range(len(names))]
     bexpr = {b: F.col(n) for b, n in zip(buckets[:-1], names[:-1])}
     bexpr[buckets[-1]] = F.floor(F.col(names[-1]) / chunk)
-    d = df.withColumns(bexpr)
-    local = Window.partitionBy(*keys, *buckets).orderBy(*[F.col(n) for n in names])
+    # one struct key: struct equality treats NULL fields as equal, so the
+    # join below is NULL-safe and uses the window's own partitioning
+    d = df.withColumn("__key", F.struct(*[F.col(k) for k in keys])).withColumns(bexpr)
+    local = Window.partitionBy("__key", *buckets).orderBy(*[F.col(n) for n in names])
     d = d.withColumn("__local", F.row_number().over(local))
-    sizes = d.groupBy(*keys, *buckets).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
+    # sizes come from the ranked frame itself, so both branches share its exchange
+    sizes = d.groupBy("__key", *buckets).agg(F.max("__local").alias("__n"))
+    before = Window.partitionBy("__key").orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    offsets = offsets.select(*[F.col(c).alias("__o" + c) for c in keys + buckets], "__off")
-    cond = null_safe_on(d, offsets, keys + buckets, ["__o" + c for c in keys + buckets])
+    offsets = offsets.select(F.col("__key").alias("__ok"), *[F.col(b).alias("__o" + b) for b in buckets],
+                             "__off")
+    cond = d["__key"] == offsets["__ok"]
+    for b in buckets:
+        cond = cond & (d[b] == offsets["__o" + b])
     j = d.join(offsets, cond, "inner")
     j = j.withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
-    return j.drop("__local", "__off", *buckets, *["__o" + c for c in keys + buckets])
+    return j.drop("__key", "__ok", "__local", "__off", *buckets, *["__o" + b for b in buckets])
 
 
 def running_index(df: DataFrame, keys, order, out: str = "row_id", skew_safe: bool = False) -> DataFrame:

@@ -2,9 +2,9 @@
 five report tables, reconciled before anything is written.
 
 The cleaned entries feed five outputs; ``materialise`` cuts their lineage
-with a reliable ``checkpoint()`` (in ``spark.checkpoint.dir``) so the five
-consumers and any task retry after a lost executor re-read it instead of
-recomputing the whole cleaning chain.
+with a table written to the shared checkpoint folder (``spark.checkpoint.dir``)
+so the five consumers and any task retry after a lost executor re-read it
+instead of recomputing the whole cleaning chain.
 """
 
 from __future__ import annotations
@@ -139,13 +139,20 @@ def load_prior(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ PIPE-7
-def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig):
+def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint: bool = True):
     """PIPE-7: union -> strip/normalise/remap -> window -> backfill type ->
     DED-3 -> FLT-15 -> DED-4 -> FLT-14 -> LKP-2 -> DED-4 -> DED-5 (contract order).
 
+    A skew-safe rank reads its input twice (bucket sizes, then ranks) and the
+    coverage pass splits state from live rows, so with ``checkpoint`` the
+    input of each of these steps is written once to the checkpoint folder:
+    every consumer and every task retry reads it back instead of recomputing
+    the chain above.
+
     Returns ``(entries, logs)``; ``logs`` holds the drop log, the back-fills,
     the unmatched e-mails and the check table.
     """
+    cut = materialise if checkpoint else (lambda df: df)
     rich = rich_raw.withColumns({"umuzi_email": fx.normalize_email("umuzi_email"),
                                  "email": fx.normalize_email("email")})
     data = union_all([f.select(*CANON_COLS, "source", *ORDER_COLS) for f in frames])
@@ -174,13 +181,14 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig):
         data, log2 = split_drops(data, rules, by=["source"])
     else:
         log2 = None
-    data = keep_first(data, list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4
+    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4
     data, log3 = split_drops(data, [("zero payment", F.col("payment") == 0),         # FLT-14
                                     ("missing payment", F.col("payment").isNull() | F.isnan("payment"))],
                              by=["source"])
     data = data.withColumn("__raw_cohort", F.col("cohort")).withColumn(
         "cohort", map_label("cohort", cfg.cohort_map, keep_targets=cfg.idempotent_remap))   # LKP-2
-    data = keep_first(data, list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4 again
+    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4 again
+    data = cut(data)
     prev = data.filter(F.col("source") == "prev_combined")                            # DED-5
     live = data.filter(F.col("source") != "prev_combined")
     kept_live, resubmitted = drop_covered(
@@ -219,10 +227,20 @@ def _count_check(counts: DataFrame, stage: str, name: str, level: str, detail: s
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (``spark.checkpoint.dir``)."""
+    """Cut lineage with a table written to the shared checkpoint folder.
+
+    One job computes the frame once and writes it as Parquet under
+    ``spark.checkpoint.dir``; the returned frame reads it back, so later
+    stages, several consumers and task retries after a lost executor never
+    recompute the chain above.  (An RDD checkpoint would compute it twice.)
+    """
+    import uuid
+
     from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 # ------------------------------------------------------------------ PIPE-8
