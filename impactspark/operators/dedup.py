@@ -30,7 +30,7 @@ def latest_preferred(df: DataFrame, keys, order) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys, order, exempt: Column | None = None,
-               skew_safe: bool = False) -> DataFrame:
+               skew_safe=False) -> DataFrame:
     """DED-2/4/8/9: keep the first row per key in ``order``; a later row with
     the same key is dropped unless ``exempt`` is true for it (pandas
     ``~duplicated(keys) | exempt``).  NULL key values group together and a
@@ -94,7 +94,7 @@ def cross_source_repeats(df: DataFrame, keys, source: str = "source") -> DataFra
 
 
 def drop_covered(live: DataFrame, state: DataFrame, keys, order, covered=None,
-                 skew_safe: bool = False):
+                 skew_safe=False):
     """DED-5 / SET-4: remove from ``live`` the rows already present in ``state``.
 
     Multiset semantics: if the state holds a key ``c`` times, the first ``c``

@@ -20,14 +20,24 @@ from ._keys import listify
 DEFAULT_CHUNK = 1 << 20
 
 
-def row_number_in_key(df: DataFrame, keys, order, out: str, skew_safe: bool = False,
+def largest_group(df: DataFrame, keys) -> int:
+    """Rows in the largest key group (one aggregate, combined map-side)."""
+    return int(df.groupBy(*listify(keys)).count().agg(F.max("count")).first()[0] or 0)
+
+
+def row_number_in_key(df: DataFrame, keys, order, out: str, skew_safe=False,
                       chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """1-based ``row_number()`` of each row inside its key, in ``order``.
 
     With ``skew_safe`` the order must be plain ascending columns (names),
-    unique inside a key, the last one integral.
+    unique inside a key, the last one integral.  ``skew_safe="auto"`` first
+    reads the size of the largest key group (one aggregate) and buckets only
+    when some key holds more than ``chunk`` rows -- the plain window is used
+    when no group is hot.
     """
     keys, order = listify(keys), listify(order)
+    if skew_safe == "auto":
+        skew_safe = largest_group(df, keys) > chunk
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w))
@@ -56,14 +66,14 @@ def row_number_in_key(df: DataFrame, keys, order, out: str, skew_safe: bool = Fa
     return j.drop("__key", "__ok", "__local", "__off", *buckets, *["__o" + b for b in buckets])
 
 
-def running_index(df: DataFrame, keys, order, out: str = "row_id", skew_safe: bool = False) -> DataFrame:
+def running_index(df: DataFrame, keys, order, out: str = "row_id", skew_safe=False) -> DataFrame:
     """WIN-1: 0-based position of each row inside its key, in ``order``
     (pandas ``cumcount`` with an explicit order instead of input order)."""
     out_df = row_number_in_key(df, keys, order, "__rn1", skew_safe)
     return out_df.withColumn(out, (F.col("__rn1") - 1).cast("int")).drop("__rn1")
 
 
-def rank_within(df: DataFrame, keys, order, out: str = "rank", skew_safe: bool = False) -> DataFrame:
+def rank_within(df: DataFrame, keys, order, out: str = "rank", skew_safe=False) -> DataFrame:
     """WIN-2: 1-based rank (``row_number``) inside each key."""
     out_df = row_number_in_key(df, keys, order, "__rn1", skew_safe)
     return out_df.withColumn(out, F.col("__rn1").cast("int")).drop("__rn1")

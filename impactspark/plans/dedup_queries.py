@@ -227,7 +227,7 @@ def keep_first_exempt(spark, sf_dir):
                              .withColumn("event_id", F.col("event_id") + 1000000000)
                              .withColumn("src", F.lit(3))))
     out = keep_first(rows, ["user_id", "value", "day"], ["src", "event_id"],
-                     exempt=F.col("cohort").eqNullSafe(F.lit(EXEMPT_COHORT)), skew_safe=True)
+                     exempt=F.col("cohort").eqNullSafe(F.lit(EXEMPT_COHORT)), skew_safe="auto")
     return out.select("src", "event_id", "user_id", "cohort", "value", "day")
 
 
@@ -265,7 +265,7 @@ def drop_covered_q(spark, sf_dir):
     live = (ev.withColumn("copy", F.lit(1))
               .unionByName(ev.filter(F.col("event_id") % 7 == 0).withColumn("copy", F.lit(2))))
     kept, _ = drop_covered(live, state, _KEY, ["copy", "event_id"],
-                           covered=F.col("day") <= through, skew_safe=True)
+                           covered=F.col("day") <= through, skew_safe="auto")
     return kept.select("copy", "event_id", "user_id", "cohort", "value", "day")
 
 

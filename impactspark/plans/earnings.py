@@ -181,18 +181,18 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
         data, log2 = split_drops(data, rules, by=["source"])
     else:
         log2 = None
-    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4
+    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe="auto")   # DED-4
     data, log3 = split_drops(data, [("zero payment", F.col("payment") == 0),         # FLT-14
                                     ("missing payment", F.col("payment").isNull() | F.isnan("payment"))],
                              by=["source"])
     data = data.withColumn("__raw_cohort", F.col("cohort")).withColumn(
         "cohort", map_label("cohort", cfg.cohort_map, keep_targets=cfg.idempotent_remap))   # LKP-2
-    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4 again
+    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe="auto")   # DED-4 again
     data = cut(data)
     prev = data.filter(F.col("source") == "prev_combined")                            # DED-5
     live = data.filter(F.col("source") != "prev_combined")
     kept_live, resubmitted = drop_covered(
-        live, prev, list(KEY), list(ORDER_COLS), skew_safe=True,
+        live, prev, list(KEY), list(ORDER_COLS), skew_safe="auto",
         covered=F.col("date_service_accessed") <= F.lit(cfg.covered_through + " 23:59:59.999999").cast("timestamp_ntz"))
     unmapped_cohorts = (kept_live.unionByName(prev)
                         .filter(F.col("cohort").isNull() & F.col("__raw_cohort").isNotNull())
@@ -273,7 +273,7 @@ def singles(demo: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- PIPE-9/10
 def entries_wide(entries: DataFrame) -> DataFrame:
     """PIPE-9: n-th entry of a person in a month on row n, per cohort row."""
-    ranked = rank_within(entries, ["umuzi_email", "month"], list(ORDER_COLS), out="row_id", skew_safe=True)
+    ranked = rank_within(entries, ["umuzi_email", "month"], list(ORDER_COLS), out="row_id", skew_safe="auto")
     fields = ["payment", "earning_opportunity_type", "earning_opportunity_name", "earning_opportunity_extra_info"]
     from ..operators import pivot
     p = pivot(ranked, ["umuzi_email", "cohort", "row_id"], "month", list(rp.FY_MONTHS),

@@ -89,7 +89,7 @@ def entries_wide(spark, sf_dir):
     """RSH-2 / WIN-1 / PRJ-9 (PIPE-9): n-th entry per person and month on row n."""
     w = _win(m.Tables(spark, sf_dir)).select(
         "o_custkey", "o_orderkey", "month", *[F.col(s).alias(f) for f, s in _FIELDS.items()])
-    return rp.entries_wide(w, "o_custkey", "month", ["o_orderkey"], list(_FIELDS), skew_safe=True)
+    return rp.entries_wide(w, "o_custkey", "month", ["o_orderkey"], list(_FIELDS), skew_safe="auto")
 
 
 # ------------------------------------------------------------ RSH-4, RSH-6

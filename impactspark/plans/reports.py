@@ -28,7 +28,7 @@ def month_pivot(df: DataFrame, index, month_col: str, metrics: dict,
 
 
 def entries_wide(df: DataFrame, index, month_col: str, order, fields,
-                 months=FY_MONTHS, skew_safe: bool = False) -> DataFrame:
+                 months=FY_MONTHS, skew_safe=False) -> DataFrame:
     """RSH-2 + WIN-1 + PRJ-9 (PIPE-9): the n-th entry of a person in each month
     lands on row n; columns ``{month}_{field}`` for every fiscal month."""
     index = listify(index)

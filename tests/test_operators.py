@@ -241,3 +241,16 @@ def test_skew_safe_row_number_equals_window(spark, chunk):
     plain = row_number_in_key(df, ["k"], [F.col("src"), F.col("seq")], "rn")
     safe = row_number_in_key(df, ["k"], ["src", "seq"], "rn", skew_safe=True, chunk=chunk)
     assert rows(safe, "seq", "rn") == rows(plain, "seq", "rn")
+
+
+def test_auto_skew_safe_buckets_only_hot_keys(spark):
+    from impactspark.operators.windows import largest_group, row_number_in_key
+    data = [("hot", 0, i) for i in range(50)] + [("cold", 0, i) for i in range(3)]
+    df = spark.createDataFrame(data, "k string, src int, seq int")
+    assert largest_group(df, ["k"]) == 50
+    plain = row_number_in_key(df, ["k"], [F.col("src"), F.col("seq")], "rn")
+    auto_hot = row_number_in_key(df, ["k"], ["src", "seq"], "rn", skew_safe="auto", chunk=10)
+    auto_cold = row_number_in_key(df, ["k"], ["src", "seq"], "rn", skew_safe="auto", chunk=100)
+    assert "__b1" in auto_hot._jdf.queryExecution().optimizedPlan().toString()
+    assert "__b1" not in auto_cold._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(auto_hot, "k", "seq", "rn") == rows(auto_cold, "k", "seq", "rn") == rows(plain, "k", "seq", "rn")
