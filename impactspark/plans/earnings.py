@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampNTZType
 
@@ -20,8 +20,8 @@ from ..operators import (Check, blocks_to_rows, count_once, drop_covered, enrich
                          flag_members, highest_per_key, keep_first, map_label, rank_within,
                          resolve_ids, run_checks, split_drops, union_all, unmatched)
 from ..operators.quality import ERROR, WARN
-from ..operators.reshape import BLOCK_FIELDS, ID_FIELDS
-from ..sources import ORDER_COLS, read_blocks, read_sheets, read_state, scan, tag
+from ..operators.reshape import BLOCK_FIELDS
+from ..sources import ORDER_COLS, read_blocks, read_sheets, read_state, tag
 from . import reports as rp
 
 # The canonical entry columns, the resubmission key (type is

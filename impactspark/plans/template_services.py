@@ -19,7 +19,7 @@ from .. import functions as fx
 from ..operators import (Check, duplicate_members, highest_per_key, key_violations, map_label,
                          run_checks, split_explode, union_all)
 from ..operators.quality import ERROR, WARN
-from ..sources import ORDER_COLS, SourceSpec, load_all
+from ..sources import ORDER_COLS, load_all
 
 # The loader contract and the output layout of the services fact.
 LOADER_COLUMNS = ("umuzi_email", "cohort_name", "service_used", "service_name", "date_service_accessed")
