@@ -279,3 +279,38 @@ def test_catalogue_checks(spark, tmp_path):
     five = spark.createDataFrame([(1, "a"), (1, "a")], "learner_id int, email string")
     t = {r["check"]: r["status"] for r in cons.registration_checks(five).collect()}
     assert t == {"indicator 5 extract contains rows": "PASS", "indicator 5 has no duplicate rows": "WARN"}
+
+
+def test_sheet_template_loaders(spark, tmp_path):
+    """LD-4 (check-ins), LD-5 (placements, two layouts, `,`/`;`), LD-7 (two sheets, one e-mail)."""
+    base = str(tmp_path)
+    write_csv(f"{base}/checkins/sheet=0/f.csv", [
+        ["title"], ["#", "x", "emails", "note", "cohort", "used", "name", "date"],
+        ["1", "", "a@example.org,b@example.org", "n", " C9 ", "Check-in", "Coach", "03/06/2026"]])
+    write_csv(f"{base}/placements/sheet=0/f.csv", [
+        ["t"], ["t"], ["#", "emails", "cohort", "x", "used", "name", "date"],
+        ["1", "a@example.org; c@example.org", " P1 ", "", "Placement", "Job", "04/06/2026"]])
+    write_csv(f"{base}/placements/sheet=1/f.csv", [
+        ["t"], ["t"], ["#", "x", "emails", "cohort", "x", "used", "name", "date"],
+        ["1", "", "b@example.org", "P2", "", "Placement", "Job 2", "2026-06-05"]])
+    for sheet, email in ((2, "a@example.org"), (3, "")):
+        write_csv(f"{base}/xpl/sheet={sheet}/f.csv", [
+            ["t"], ["#", "email", "cohort", "x", "used", "course", "date"],
+            ["1", email, "X1", "", "Support", "Course", "06/06/2026"]])
+    names5 = ("umuzi_email", "cohort_name", "service_used", "service_name", "date_service_accessed")
+    specs = [
+        SourceSpec("checkins", f"{base}/checkins", sheets={0: (2, 3, 4, 5, 6, 7)}, lead_rows=2,
+                   names=("umuzi_email", "note", "cohort_name", "service_used", "service_name",
+                          "date_service_accessed"), kind="checkins"),
+        SourceSpec("placements", f"{base}/placements", sheets={0: (1, 2, 4, 5, 6), 1: (2, 3, 5, 6, 7)},
+                   lead_rows=3, names=names5, kind="placements"),
+        SourceSpec("xpl", f"{base}/xpl", sheets={2: (1, 2, 4, 5, 6), 3: (1, 2, 4, 5, 6)}, lead_rows=2,
+                   names=names5, kind="single"),
+    ]
+    cfg = ts.ServicesConfig(period_start="2026-06-01", period_end="2026-06-30", as_of="2026-07-01")
+    data, checks = ts.load_sources(spark, specs, cfg)
+    assert rows(data, "source", "umuzi_email", "cohort_name", "service_name") == [
+        ("checkins", "a@example.org", "C9", "Coach"), ("checkins", "b@example.org", "C9", "Coach"),
+        ("placements", "a@example.org", "P1", "Job"), ("placements", "b@example.org", "P2", "Job 2"),
+        ("placements", "c@example.org", "P1", "Job"), ("xpl", "a@example.org", "X1", "Course")]
+    assert {r["status"] for r in checks.collect()} == {"PASS"}
