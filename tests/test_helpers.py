@@ -83,3 +83,27 @@ def test_id_keyed_and_partnership_loaders(spark, tmp_path):
     p = earn.load_partnerships(spark, f"{base}/partners", "partners", 4, sheets=(0, 1))
     assert rows(p, "umuzi_email", "payment", "cohort") == [("p0@example.org", 1000.0, "C"),
                                                             ("p1@example.org", 1000.0, "C")]
+
+
+def test_read_state_missing_path_is_empty(spark, tmp_path):
+    from impactspark.sources import read_state
+    df = read_state(spark, str(tmp_path / "nothing-here"), earn.STATE_SCHEMA)
+    assert df.count() == 0 and df.columns == [f.name for f in earn.STATE_SCHEMA.fields]
+
+
+def test_grid_chain_map_window_interleave(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("p", 1.0)], "p string, `April (Payment)` double")
+    g = op.grid(df, "p", ["April (Payment)", "May (Payment)"], fill=0.0)
+    assert g.columns == ["p", "April (Payment)", "May (Payment)"] and tuple(g.first()) == ("p", 1.0, 0.0)
+    fact = spark.createDataFrame([(1, 10), (2, 99)], "id int, city int")
+    cities = spark.createDataFrame([(10, "Metro")], "cid int, name string")
+    out = op.left_chain(fact, [(cities, "city", "cid", {"name": "nearest_metro"})])
+    assert rows(out, "id", "nearest_metro") == [(1, "Metro"), (2, None)]
+    labels = spark.createDataFrame([("a", "A"), ("a", "A")], "k string, v string")
+    mapped = op.join_map(fact.withColumn("k", F.lit("a")), "k", labels, "k", "v", "label", bounded=True)
+    assert mapped.count() == 2 and {r.label for r in mapped.collect()} == {"A"}
+    ts = spark.createDataFrame([(dt.datetime(2026, 3, 31),), (dt.datetime(2026, 4, 2),), (None,)], "d timestamp_ntz")
+    assert op.in_window(ts, "d", "2026-04-01", "2026-07-01").count() == 1
+    pairs = spark.createDataFrame([("p", 1, 2, 3, 4)], "p string, v1 int, g1 int, v2 int, g2 int")
+    assert op.interleave(pairs, "p", [("v2", "g2"), ("v1", "g1")]).columns == ["p", "v2", "g2", "v1", "g1"]
