@@ -211,6 +211,16 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
     dups = (entries.groupBy(*CANON_COLS, "month", "source").agg(F.count(F.lit(1)).alias("n"))
                    .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")))
     checks = checks.unionByName(_count_check(dups, "clean", "no duplicates", ERROR))
+    # T18: month keys carry no year, so a window longer than one fiscal year
+    # would merge two Aprils in the monthly tables
+    import datetime as _dt
+    span = (_dt.date.fromisoformat(cfg.as_of[:10]) - _dt.date.fromisoformat(cfg.report_start[:10])).days
+    window_t = entries.sparkSession.createDataFrame(
+        [("clean", "window within one fiscal year", "PASS" if span <= 365 else "WARN", WARN,
+          "" if span <= 365 else f"window spans {span} days; month columns would merge years",
+          0 if span <= 365 else 1)],
+        "stage string, check string, status string, level string, detail string, offenders bigint")
+    checks = checks.unionByName(window_t)
     entries = entries.drop("__raw_cohort")
     return entries, {"drops": union_all(logs), "backfills": backfills, "resubmitted": resubmitted.drop("__raw_cohort"),
                      "unmatched": unmatched_emails, "unmapped_cohorts": unmapped_cohorts, "checks": checks}

@@ -275,6 +275,7 @@ def test_catalogue_checks(spark, tmp_path):
     entries, logs = earn.clean_entries(frames, rich_frame(spark), cfg)
     status = {r["check"]: (r["status"], r["offenders"]) for r in logs["checks"].collect()}
     assert status["cohort mapped"][0] == "WARN" and status["no duplicates"] == ("PASS", 0)
+    assert status["window within one fiscal year"] == ("PASS", 0)
     assert rows(logs["unmapped_cohorts"]) == [("Other", 1)]
     five = spark.createDataFrame([(1, "a"), (1, "a")], "learner_id int, email string")
     t = {r["check"]: r["status"] for r in cons.registration_checks(five).collect()}
