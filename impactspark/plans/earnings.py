@@ -145,9 +145,9 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
 
     A skew-safe rank reads its input twice (bucket sizes, then ranks) and the
     coverage pass splits state from live rows, so with ``checkpoint`` the
-    input of each of these steps is written once to the checkpoint folder:
-    every consumer and every task retry reads it back instead of recomputing
-    the chain above.
+    input of the first keep-first pass and the input of the coverage pass are
+    written once to the checkpoint folder: every consumer and every task retry
+    reads them back instead of recomputing the chain above.
 
     Returns ``(entries, logs)``; ``logs`` holds the drop log, the back-fills,
     the unmatched e-mails and the check table.
@@ -187,7 +187,8 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
                              by=["source"])
     data = data.withColumn("__raw_cohort", F.col("cohort")).withColumn(
         "cohort", map_label("cohort", cfg.cohort_map, keep_targets=cfg.idempotent_remap))   # LKP-2
-    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe="auto")   # DED-4 again
+    # the input of this pass is cheap to recompute from the stage written above
+    data = keep_first(data, list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe="auto")   # DED-4 again
     data = cut(data)
     prev = data.filter(F.col("source") == "prev_combined")                            # DED-5
     live = data.filter(F.col("source") != "prev_combined")
