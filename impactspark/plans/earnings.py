@@ -60,6 +60,7 @@ class EarningsConfig:
     idempotent_remap: bool = True     # T10: keep labels that are already targets
     exclusion_rules: tuple = ()       # FLT-15 predicates
     corrections: dict = field(default_factory=dict)
+    protect_exempt: bool = False      # T8: exempt cohort also spared by the exact-duplicate pass
 
 
 # ------------------------------------------------------------ LD-8 .. LD-14
@@ -174,9 +175,9 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
                                                                           "earning_opportunity_name")})
     order = [F.col(c) for c in ORDER_COLS]
     business = list(CANON_COLS) + ["month", "source"]
-    data = keep_first(data, business, order)                                        # DED-3
-    rules = [(f"exclusion rule {i + 1}", r) for i, r in enumerate(cfg.exclusion_rules)]   # FLT-15
     exempt = (F.col("cohort").eqNullSafe(F.lit(cfg.exempt_cohort)) if cfg.exempt_cohort else None)
+    data = keep_first(data, business, order, exempt=exempt if cfg.protect_exempt else None)   # DED-3
+    rules = [(f"exclusion rule {i + 1}", r) for i, r in enumerate(cfg.exclusion_rules)]   # FLT-15
     if rules:
         data, log2 = split_drops(data, rules, by=["source"])
     else:

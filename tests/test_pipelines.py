@@ -327,3 +327,17 @@ def test_rerun_identical_and_union_is_sum_of_parts(spark, tmp_path):
     per_source = {r["source"]: r["count"] for r in data.groupBy("source").count().collect()}
     singles = [ts.load_sources(spark, [s], cfg)[0].count() for s in specs if s.enabled]
     assert sum(per_source.values()) == data.count() == sum(singles)
+
+
+def test_parity_switches_t8_t10(spark, tmp_path):
+    """T8: with protect_exempt the identical exempt rows of one source survive the
+    exact pass too; T10: without keep_targets a label that is only a target turns NULL."""
+    from impactspark.operators import map_label
+    frames, cfg = earnings_fixtures(spark, tmp_path)
+    cfg.protect_exempt = True
+    entries, _ = earn.clean_entries(frames, rich_frame(spark), cfg)
+    wide_b = entries.filter("source = 'wide' AND umuzi_email = 'b@example.org'").count()
+    assert wide_b == 1          # parity mode keeps none (the first copy collapses, the other is a re-read)
+    df = spark.createDataFrame([("Canon",)], "c string")
+    assert df.select(map_label("c", {"alias": "Canon"})).first()[0] is None
+    assert df.select(map_label("c", {"alias": "Canon"}, keep_targets=True)).first()[0] == "Canon"
