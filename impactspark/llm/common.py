@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +19,28 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once a session."""
+    sc = spark.sparkContext
+    if getattr(sc, "_impactspark_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="impactspark-"), "impactspark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._impactspark_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Result-deciding settings plus a bounded Arrow batch."""
+    """Result-deciding settings, a bounded Arrow batch, and the package on the workers."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    ship_package(spark)
     return spark
 
 

@@ -9,14 +9,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, secret_scan
+from . import bpe_codec, exact_dedup, secret_scan, token_counts
 from .common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file (the operators take any path)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +37,16 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op2_bpe_codec")
+def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the bytes they decode to, as digests."""
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    coded = bpe_codec.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    decoded = bpe_codec.decode(coded, path)
+    return decoded.select("doc_id", F.expr("cast(octet_length(token_ids) / 4 as bigint)").alias("n_tokens"),
+                          F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op4_exact_dedup", """
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
@@ -41,6 +59,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(read(spark, sf_dir, "documents"))
 
 
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document."""
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"))
+    counted = token_counts.count_tokens(docs, tokenizer_path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 def _span_sql(number: int) -> str:
     kind, pattern, group, least = secret_scan.RULES[number]
     rx = pattern.replace("'", "''")
