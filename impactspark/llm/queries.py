@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, secret_scan, token_counts
+from . import bpe_codec, embedding_dedup, exact_dedup, ngram_join, secret_scan, token_counts
 from .common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,36 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(read(spark, sf_dir, "documents"))
 
 
+_REACH = """
+r AS (
+  SELECT id, id AS m FROM ids
+  UNION
+  SELECT r.id, e.v FROM r JOIN (SELECT u, v FROM links UNION ALL SELECT v, u FROM links) e ON r.m = e.u),
+c AS (SELECT id, min(m) AS component_id FROM r GROUP BY id)"""
+
+
+@query("op5_ngram_join", f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+s AS (SELECT doc_id, unnest(g) AS s, len(g) AS n FROM g),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+ids AS (SELECT doc_id AS id FROM d),
+{_REACH}
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id FROM g JOIN c ON doc_id = id
+""")
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return ngram_join.link_components(read(spark, sf_dir, "documents"))
+
+
 @query("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
@@ -98,3 +128,19 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document; the ledger starts empty, so every distinct text is scanned once."""
     found, _ = secret_scan.scan(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query("op8_embedding_dedup", f"""
+WITH RECURSIVE x AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: c::DOUBLE) AS e FROM embeddings),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM x a JOIN x b ON a.label = b.label AND a.vec_id < b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+n AS (SELECT u AS id, count(*) AS n FROM (SELECT u FROM links UNION ALL SELECT v FROM links) GROUP BY u),
+ids AS (SELECT vec_id AS id FROM x),
+{_REACH}
+SELECT c.id AS vec_id, coalesce(n, 0) AS n_links, component_id, c.id = component_id AS kept FROM c LEFT JOIN n ON c.id = n.id
+""")
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return embedding_dedup.link_components(read(spark, sf_dir, "embeddings"))
