@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, embedding_dedup, exact_dedup, ngram_join, secret_scan, token_counts
+from . import (bpe_codec, embedding_dedup, exact_dedup, ngram_join, quality, secret_scan,
+               token_counts, toxicity)
 from .common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +48,16 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; learned from the labelled rows outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.held_out(F.col("doc_id"), 5, 0)
+    weights = quality.train(docs, read(spark, sf_dir, "labels").where(~out), "quality")
+    return quality.score(docs, weights).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query("op4_exact_dedup", """
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
@@ -144,3 +155,13 @@ SELECT c.id AS vec_id, coalesce(n, 0) AS n_links, component_id, c.id = component
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings."""
     return embedding_dedup.link_components(read(spark, sf_dir, "embeddings"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; learned from the labelled rows outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.held_out(F.col("doc_id"), 4, 2)
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels").where(~out))
+    return toxicity.score(docs, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
