@@ -9,11 +9,13 @@ made on first use and kept, so a token costs a table lookup a character and
 most tokens die after a few.  Words of five letters or more match within one
 edit, from ten within two; stems and short words match exactly.
 
+Misspelled forms that clean labelled rows hold are ordinary words and match
+nothing.
+
 A hit is scored in its context window: hits inside quotation marks or near
-reporting words count as quoted, the rest as abuse, and edits that swap
-letters for digits or signs are told from ordinary ones.  A small logistic
-model over these counts, fitted on the same labelled rows around a fixed
-prior, gives the score.
+reporting words count as quoted, the rest as abuse, misspelled ones a little
+less.  A small logistic model over these counts, fitted on the same labelled
+rows around a fixed prior, gives the score.
 
 Labelled rows are a bounded sample (``MAX_ROWS`` of each label).  Scoring
 covers every row and whole texts.  Null and empty texts score as texts
@@ -34,10 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import staged
+from .texthash import shingle_sets
 
-#: Bounds of the fit: labelled rows of each label, lexicon terms.
-MAX_ROWS, MAX_TERMS = 8_000, 4_000
+#: Bounds of the fit: labelled rows of each label, lexicon terms, misspelled forms known as ordinary words.
+MAX_ROWS, MAX_TERMS, MAX_ORDINARY = 8_000, 4_000, 20_000
 STEMS = (4, 5, 6)
+#: Least logarithm of how much likelier a term is in toxic rows, and the least share of them that hold it.
+LEAST_RATIO, LEAST_SHARE = 3.0, 0.01
 #: Tokens on either side of a hit that make up its context.
 WINDOW = 6
 #: Tokens that a worker remembers as clean, and states that one automaton keeps.
@@ -50,8 +55,11 @@ REPORTING = frozenset("said says wrote writes called calls quote quoted quotes w
 OPEN, CLOSE = "\"“„«‘'", "\"”“»’'"
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[^\W_]+")
-#: Prior weights: intercept, abuse exact, swapped signs, other edits, quoted, hits a hundred tokens.
-PRIOR = np.array([-2.0, 3.0, 2.5, 0.8, 0.4, 0.3])
+#: Prior weights and their strength: intercept, abuse, quoted, abuse in a hundred tokens.
+PRIOR = np.array([-2.0, 3.0, 0.4, 0.3])
+RIDGE = np.array([1e-3, 0.02, 1.0, 0.3])
+#: What a misspelled term counts for: letters swapped for digits or signs, other edits.
+SIGNS, EDITS = 0.9, 0.75
 
 
 class Lexicon:
@@ -155,8 +163,8 @@ class Lexicon:
 class Scanner:
     """Finds hits in texts and turns them into the model's counts."""
 
-    def __init__(self, terms: list[tuple[str, float]]):
-        self.lexicon = Lexicon(terms)
+    def __init__(self, terms: list[tuple[str, float]], ordinary: frozenset = frozenset()):
+        self.lexicon, self.ordinary = Lexicon(terms), ordinary
         self.hits: dict[str, tuple[int, int, str]] = {}
         self.clean: set[str] = set()
         self.older: set[str] = set()
@@ -171,7 +179,8 @@ class Scanner:
         whole = _EDGE.sub("", raw)
         best = None
         for part in dict.fromkeys([whole, *_INNER.findall(whole)]):
-            if 2 < len(part) <= 64 and (m := self.lexicon.match(part)) and (best is None or m[1] < best[1]):
+            if 2 < len(part) <= 64 and (m := self.lexicon.match(part)) and (best is None or m[1] < best[1]) \
+                    and not (m[1] and part in self.ordinary):
                 best = (*m, part)
         if best is None:
             if len(self.clean) >= MEMO:
@@ -183,30 +192,22 @@ class Scanner:
         return best
 
     def counts(self, text: str) -> np.ndarray:
-        """Intercept, abuse exact, swapped signs, other edits, quoted, hits a hundred tokens."""
-        out = np.zeros(len(PRIOR))
-        out[0] = 1
+        """Intercept, abuse, quoted, abuse in a hundred tokens."""
         tokens = text.lower().split()
         found = {t: h for t in set(tokens) if (h := self.look(t)) is not None}
-        if not found:
-            return out
-        for i, t in enumerate(tokens):
+        abuse = quoted = 0.0
+        for i, t in enumerate(tokens if found else ()):
             hit = found.get(t)
             if hit is None:
                 continue
             term, edits, form = hit
-            strength = min(1.0, self.lexicon.terms[term][1] / 4)
+            strength = min(1.0, self.lexicon.terms[term][1] / LEAST_RATIO)
             if self._quoted(tokens, i):
-                out[4] += strength
-            elif edits == 0:
-                out[1] += strength
-            elif not form.isalpha():
-                out[2] += strength
+                quoted += strength
             else:
-                out[3] += strength
-        out[5] = min(10.0, 100 * out[1:5].sum() / len(tokens))
-        out[1:5] = np.log2(1 + out[1:5])
-        return out
+                abuse += strength * (1.0 if edits == 0 else EDITS if form.isalpha() else SIGNS)
+        return np.array([1.0, math.log2(1 + abuse), math.log2(1 + quoted),
+                         min(10.0, 100 * abuse / max(1, len(tokens)))])
 
     @staticmethod
     def _quoted(tokens: list[str], i: int) -> bool:
@@ -256,7 +257,7 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
     part = lambda x, p: F.when(x > 0, x * F.log(x / ((a + b) * p))).otherwise(0.0)
     ratio = F.log(((a + 0.1) / (n1 + 1)) / ((b + 0.1) / (n0 + 1)))
     chosen = (total.withColumn("g", 2 * (part(a, share) + part(b, 1 - share))).withColumn("ratio", ratio)
-              .where((F.col("ratio") > 1.5) & (F.col("g") > 2.4 * math.log(tried)))
+              .where((F.col("ratio") > LEAST_RATIO) & (F.col("g") > 2.4 * math.log(tried)) & (a >= LEAST_SHARE * n1))
               .orderBy(F.col("g").desc(), "term").limit(MAX_TERMS).collect())
     return _prune([(r["term"], int(r["toxic"]), float(r["ratio"])) for r in chosen])
 
@@ -280,15 +281,13 @@ def _prune(terms: list[tuple[str, int, float]]) -> list[tuple[str, float]]:
     return out
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+def fit_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Logistic weights around the prior, by Newton's method (a handful of columns)."""
     w = PRIOR.copy()
-    pull = np.full(len(w), ridge)
-    pull[0] = 1e-3
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        grad = x.T @ (p - y) + pull * (w - PRIOR)
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull)
+        grad = x.T @ (p - y) + RIDGE * (w - PRIOR)
+        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(RIDGE)
         step = np.linalg.solve(hess, grad)
         w = w - step * min(1.0, 4 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-8:
@@ -299,7 +298,11 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id",
                     text: str = "text", max_rows: int = MAX_ROWS) -> DataFrame:
-    """``(id, text, label)`` of at most about ``max_rows`` labelled rows of each label, equal texts once."""
+    """``(id, text, label)`` of at most about ``max_rows`` labelled rows of each label.
+
+    Of texts with the same smallest shingle (copies and most near copies) one
+    is taken, else a large group of them would count as so many witnesses.
+    """
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).where(
         "id is not null and label in (0, 1)")
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
@@ -308,41 +311,65 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", do
     some = known.where(F.pmod(F.xxhash64("id", F.lit(13)), F.lit(top)) < cut[F.col("label")])
     rows = (docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
             .join(F.broadcast(some), "id"))  # at most 2 * max_rows slim rows
-    return staged(rows.dropDuplicates(["text", "label"]), "toxic-sample")
+
+    def sketch(batches):
+        for df in batches:
+            sets = shingle_sets([t if isinstance(t, str) else "" for t in df["text"]])
+            yield df.assign(low=[int(x[0].astype(np.int64)) if len(x) else 0 for x in sets])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    sketched = rows.mapInPandas(sketch, f"id {kind}, text string, label int, low bigint")
+    return staged(sketched.dropDuplicates(["low", "label"]).drop("low"), "toxic-sample")
+
+
+def ordinary_forms(sample: DataFrame, terms: list[tuple[str, float]]) -> frozenset:
+    """Forms within an edit of a term that clean rows hold (the most frequent ``MAX_ORDINARY``)."""
+    def run(batches):
+        scanner = Scanner(terms)
+        for df in batches:
+            found = [h[2] for t in df["text"] if isinstance(t, str)
+                     for w in set(t.lower().split()) if (h := scanner.look(w)) is not None and h[1]]
+            yield pd.DataFrame({"form": found}, dtype=object)
+
+    rows = sample.where("label = 0").select("text").mapInPandas(run, "form string")
+    top = rows.groupBy("form").count().orderBy(F.col("count").desc(), "form").limit(MAX_ORDINARY).collect()
+    return frozenset(r["form"] for r in top)
 
 
 class Model:
-    def __init__(self, terms: list[tuple[str, float]], weights: np.ndarray):
-        self.terms, self.weights = terms, weights
+    def __init__(self, terms: list[tuple[str, float]], ordinary: frozenset, weights: np.ndarray):
+        self.terms, self.ordinary, self.weights = terms, ordinary, weights
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
         max_rows: int = MAX_ROWS) -> Model:
-    """Lexicon and context weights, from a bounded sample of the labelled rows."""
+    """Lexicon, ordinary words and context weights, from a bounded sample of the labelled rows."""
     sample = sample_labelled(docs, labels, label, doc_id, text, max_rows)
     terms = learn_lexicon(sample)
+    ordinary = ordinary_forms(sample, terms)
 
     def run(batches):
-        scanner = Scanner(terms)
+        scanner = Scanner(terms, ordinary)
         for df in batches:
             x = np.array([scanner.counts(t if isinstance(t, str) else "") for t in df["text"]])
             yield pd.DataFrame({"x": list(x.reshape(-1, len(PRIOR))), "label": df["label"]})
 
     rows = sample.select("text", "label").mapInPandas(run, "x array<double>, label int").collect()  # 2 * max_rows at most
     if not rows:
-        return Model(terms, PRIOR.copy())
-    return Model(terms, fit_weights(np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows], float)))
+        return Model(terms, ordinary, PRIOR.copy())
+    x, y = np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows], float)
+    return Model(terms, ordinary, fit_weights(x, y))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", keep_text: bool = False) -> DataFrame:
     """``docs`` (without ``text`` unless kept) with ``out``: the probability that the text is toxic."""
     kept = [f for f in docs.schema.fields if f.name != out and (keep_text or f.name != text)]
     names = [f.name for f in kept]
-    shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.weights))
+    shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.ordinary, model.weights))
 
     def run(batches):
-        terms, w = shared.value
-        scanner = Scanner(terms)
+        terms, ordinary, w = shared.value
+        scanner = Scanner(terms, ordinary)
         for df in batches:
             x = np.array([scanner.counts(t if isinstance(t, str) else "") for t in df[text]]).reshape(-1, len(w))
             yield df[names].assign(**{out: 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))})
