@@ -11,21 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_codec, embedding_dedup, exact_dedup, ngram_join, quality, secret_scan,
-               token_counts, toxicity)
-from .common import prepare, read
+import corpus_pipeline
+
+from . import (bpe_codec, embedding_dedup, exact_dedup, html_extract, mixing, ngram_join, quality,
+               secret_scan, token_counts, toxicity)
+from .common import prepare, read, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def tokenizer_path(name: str) -> str:
-    """Place of a public vocabulary file (the operators take any path)."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def query(name: str, sql: str | None = None):
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +33,13 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_html_extract")
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query("op2_bpe_codec")
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
@@ -157,6 +159,20 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_components(read(spark, sf_dir, "embeddings"))
 
 
+@query("op9_mixing")
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates that bring the languages' token totals halfway (power 0.5) from their shares to equal weights.
+
+    The labelled table is the language of the rows that ``labels`` covers.
+    """
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labelled = docs.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").select(
+        "doc_id", F.col("lang").alias("domain"))
+    mixed, _ = mixing.mix(docs.select("doc_id", "text"), labelled)
+    return mixed.select("doc_id", "n_tokens", "domain", F.round("membership", 6).alias("membership"),
+                        F.round("rate", 6).alias("rate"))
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; learned from the labelled rows outside the held-out fold."""
@@ -165,3 +181,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read(spark, sf_dir, "labels").where(~out))
     return toxicity.score(docs, model).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over ``documents``."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(_pipeline)
