@@ -126,6 +126,8 @@ def _join_tile(rot: Rotation, cosine: float, block: int, cell: tuple[int, int],
         mid = np.floor((y[a, lo] + y[b, lo]) / 2 / (2 * r)).astype(np.int64) == cell[0]
         if hi - lo > 1:
             mid &= np.floor((y[a, lo + 1] + y[b, lo + 1]) / 2 / (2 * r)).astype(np.int64) == cell[1]
+        else:
+            mid &= cell[1] == 0
         a, b = a[mid], b[mid]
         gap = (y[a, :hi] - y[b, :hi]) ** 2
         own = gap[:, lo:].sum(axis=1) <= rot.limit[block]
