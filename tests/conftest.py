@@ -8,10 +8,11 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from impactspark.session import build_session
 
-    s = build_session("local[4]", shuffle_partitions=8, app_name="impactspark-tests")
+    s = build_session("local[4]", shuffle_partitions=8, app_name="impactspark-tests",
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

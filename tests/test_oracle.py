@@ -9,11 +9,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from impactspark.plans.catalog import load_all
+from impactspark.session import configure
 from tools.oracle_check import TABLES, digest
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES, SQL = load_all()
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +34,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = QUERIES[name](spark, SF)
+    df = QUERIES[name](configure(spark), SF)
     cols = df.columns
     got = [tuple(r) for r in df.collect()]
     rel = duck.execute(SQL[name])

@@ -4,15 +4,16 @@ path, filters reaching the scans."""
 
 import pytest
 
-import __spark_entry__ as entry
+from impactspark.plans.catalog import load_all
+from impactspark.session import configure
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES, _ = load_all()
 PYTHON_ALLOWED = {"email_normalise", "earnings_entries"}   # the NFKC step (non-ASCII rows only)
 
 
 def plan(spark, name):
-    return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](configure(spark), SF)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
