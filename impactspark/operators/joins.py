@@ -13,9 +13,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage_table
 from ._keys import listify, null_safe_on, prefixed
 from .dedup import highest_per_key
 
+#: Tasks over which the rows of a left join with a NULL key are spread.
+NULL_SALTS = 64
+
+
+def lookup_join(df: DataFrame, dim: DataFrame, key, dim_key: str) -> DataFrame:
+    """Left join of ``df`` to ``dim`` (unique on ``dim_key``, which is dropped), safe for hot and NULL keys.
+
+    ``dim`` was usually just made unique on its key, and a side that reuses
+    that aggregate's partitioning cannot be split by the skew join; it is
+    stored once, so both sides are plain exchanges.  Rows with a NULL key
+    match nothing; a second join column, a hash of the row on the left and a
+    stored constant on the right, deals them out instead of sending them all
+    to one task.
+    """
+    key = F.col(key) if isinstance(key, str) else key
+    d = stage_table(dim.filter(F.col(dim_key).isNotNull()).withColumn("__salt", F.lit(-1)), "lookup")
+    salt = F.when(key.isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS)).cast("int")).otherwise(-1)
+    left = df.withColumn("__lk", key).withColumn("__ls", salt)
+    return (left.join(d, (F.col("__lk") == F.col(dim_key)) & (F.col("__ls") == F.col("__salt")), "left")
+            .drop("__lk", "__ls", "__salt", dim_key))
+
 
 def left_chain(fact: DataFrame, steps) -> DataFrame:
     """JN-2: a chain of left joins ``[(dim, fact_key_col, dim_key_col, {dim_col: out_name})]``."""
@@ -55,9 +77,8 @@ def remap_identity(df: DataFrame, col: str, mapping: DataFrame,
     else:
         m = m.dropDuplicates([from_col])
     m = m.select(F.col(from_col).alias("__from"), F.col(to_col).alias("__to"))
-    joined = df.join(m, df[col] == m["__from"], "left")
-    return (joined.withColumn(out or col, F.coalesce(F.col("__to"), F.col(col)))
-                  .drop("__from", "__to"))
+    joined = lookup_join(df, m, col, "__from")
+    return joined.withColumn(out or col, F.coalesce(F.col("__to"), F.col(col))).drop("__to")
 
 
 def flag_members(df: DataFrame, keys, members: DataFrame, flag: str,
@@ -66,7 +87,7 @@ def flag_members(df: DataFrame, keys, members: DataFrame, flag: str,
     keys = listify(keys)
     mk = listify(member_keys) or keys
     m = members.select(*[F.col(a).alias("__m_" + b) for a, b in zip(mk, keys)]).distinct()
-    m = m.withColumn("__hit", F.lit(True))
+    m = stage_table(m.withColumn("__hit", F.lit(True)), "members")      # stored: hot keys of df can be split
     cond = None
     for k in keys:
         c = df[k] == m["__m_" + k]
@@ -112,7 +133,7 @@ def enrich_tiers(df: DataFrame, tiers, fields) -> DataFrame:
         tag = f"__t{i}_"
         d = dim.select(F.col(dkey).alias(tag + "key"),
                        *[F.col(f).alias(tag + f) for f in fields if f in dim.columns])
-        out = out.join(d, out[fkey] == d[tag + "key"], "left").drop(tag + "key")
+        out = lookup_join(out, d, fkey, tag + "key")
     merged = {}
     for f in fields:
         cands = [F.col(f"__t{i}_{f}") for i, (dim, _, _) in enumerate(tiers) if f in dim.columns]
@@ -141,7 +162,7 @@ def resolve_ids(df: DataFrame, id_col: str, dim: DataFrame, dim_id_col: str,
     d = dim.filter(F.col(dim_id_col).isNotNull())
     d = highest_per_key(d, [dim_id_col], order_col) if order_col else d.dropDuplicates([dim_id_col])
     d = d.select(F.col(dim_id_col).alias("__id"), F.col(value_col).alias(out_col))
-    j = df.join(d, df[id_col] == d["__id"], "left").drop("__id")
+    j = lookup_join(df, d, id_col, "__id")
     return j.filter(F.col(out_col).isNotNull()), j.filter(F.col(out_col).isNull())
 
 

@@ -1,13 +1,14 @@
 """Ranking operators (WIN-1..3).
 
 Ranking inside a key is the one place where a hot key cannot be combined
-map-side.  ``row_number_in_key(..., skew_safe=True)`` splits every key into
-deterministic buckets of its order -- all order columns but the last, plus
-``floor(last / chunk)`` of the final integral column (a row number or id) --
-ranks rows locally per (key, bucket), and adds the number of the key's rows
-in earlier buckets, read from a small per-(key, bucket) count table.  A key
-holding a third of all rows is spread over many tasks of at most ``chunk``
-rows each, and the result equals ``row_number()`` exactly.
+map-side.  ``row_number_in_key`` over named order columns splits every key
+into deterministic buckets of its order -- all order columns but the last,
+plus ``floor(last / chunk)`` of the final integral column (a row number or
+id) -- ranks rows locally per (key, bucket), and adds the number of the
+key's rows in earlier buckets, read from a small per-(key, bucket) count
+table.  A key holding a third of all rows is spread over many tasks of at
+most ``chunk`` rows each, and the result equals ``row_number()`` exactly,
+also where key or order columns are NULL.  The same plan runs at every size.
 """
 
 from __future__ import annotations
@@ -20,60 +21,47 @@ from ._keys import listify
 DEFAULT_CHUNK = 1 << 20
 
 
-def largest_group(df: DataFrame, keys) -> int:
-    """Rows in the largest key group (one aggregate, combined map-side)."""
-    return int(df.groupBy(*listify(keys)).count().agg(F.max("count")).first()[0] or 0)
-
-
-def row_number_in_key(df: DataFrame, keys, order, out: str, skew_safe=False,
+def row_number_in_key(df: DataFrame, keys, order, out: str, skew_safe: bool = False,
                       chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """1-based ``row_number()`` of each row inside its key, in ``order``.
 
     With ``skew_safe`` the order must be plain ascending columns (names),
-    unique inside a key, the last one integral.  ``skew_safe="auto"`` first
-    reads the size of the largest key group (one aggregate) and buckets only
-    when some key holds more than ``chunk`` rows -- the plain window is used
-    when no group is hot.
+    unique inside a key, the last one integral.  Without it the plain window
+    runs; use that only where a key's rows are few by construction.
     """
     keys, order = listify(keys), listify(order)
-    if skew_safe == "auto":
-        skew_safe = largest_group(df, keys) > chunk
+    if not isinstance(skew_safe, bool):
+        raise ValueError("skew_safe is True or False; it does not depend on the data")
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.row_number().over(w))
-    names = [o if isinstance(o, str) else None for o in order]
-    if None in names:
+    if not all(isinstance(o, str) for o in order):
         raise ValueError("skew_safe ranking needs the order as column names")
-    buckets = [f"__b{i}" for i in range(len(names))]
-    bexpr = {b: F.col(n) for b, n in zip(buckets[:-1], names[:-1])}
-    bexpr[buckets[-1]] = F.floor(F.col(names[-1]) / chunk)
-    # one struct key: struct equality treats NULL fields as equal, so the
-    # join below is NULL-safe and uses the window's own partitioning
-    d = df.withColumn("__key", F.struct(*[F.col(k) for k in keys])).withColumns(bexpr)
-    local = Window.partitionBy("__key", *buckets).orderBy(*[F.col(n) for n in names])
+    # struct equality and order treat NULL fields as equal and first, so the
+    # join below is NULL-safe on keys and buckets and uses the window's own partitioning
+    d = df.withColumn("__key", F.struct(*[F.col(k) for k in keys])).withColumn(
+        "__bucket", F.struct(*[F.col(n).alias(f"b{i}") for i, n in enumerate(order[:-1])],
+                             F.floor(F.col(order[-1]) / chunk).alias("chunk")))
+    local = Window.partitionBy("__key", "__bucket").orderBy(*[F.col(n) for n in order])
     d = d.withColumn("__local", F.row_number().over(local))
     # sizes come from the ranked frame itself, so both branches share its exchange
-    sizes = d.groupBy("__key", *buckets).agg(F.max("__local").alias("__n"))
-    before = Window.partitionBy("__key").orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    offsets = offsets.select(F.col("__key").alias("__ok"), *[F.col(b).alias("__o" + b) for b in buckets],
-                             "__off")
-    cond = d["__key"] == offsets["__ok"]
-    for b in buckets:
-        cond = cond & (d[b] == offsets["__o" + b])
-    j = d.join(offsets, cond, "inner")
+    sizes = d.groupBy("__key", "__bucket").agg(F.max("__local").alias("__n"))
+    before = Window.partitionBy("__key").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("__key").alias("__ok"), F.col("__bucket").alias("__ob"),
+                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    j = d.join(offsets, (d["__key"] == offsets["__ok"]) & (d["__bucket"] == offsets["__ob"]), "inner")
     j = j.withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
-    return j.drop("__key", "__ok", "__local", "__off", *buckets, *["__o" + b for b in buckets])
+    return j.drop("__key", "__bucket", "__ok", "__ob", "__local", "__off")
 
 
-def running_index(df: DataFrame, keys, order, out: str = "row_id", skew_safe=False) -> DataFrame:
+def running_index(df: DataFrame, keys, order, out: str = "row_id", skew_safe: bool = False) -> DataFrame:
     """WIN-1: 0-based position of each row inside its key, in ``order``
     (pandas ``cumcount`` with an explicit order instead of input order)."""
     out_df = row_number_in_key(df, keys, order, "__rn1", skew_safe)
     return out_df.withColumn(out, (F.col("__rn1") - 1).cast("int")).drop("__rn1")
 
 
-def rank_within(df: DataFrame, keys, order, out: str = "rank", skew_safe=False) -> DataFrame:
+def rank_within(df: DataFrame, keys, order, out: str = "rank", skew_safe: bool = False) -> DataFrame:
     """WIN-2: 1-based rank (``row_number``) inside each key."""
     out_df = row_number_in_key(df, keys, order, "__rn1", skew_safe)
     return out_df.withColumn(out, F.col("__rn1").cast("int")).drop("__rn1")

@@ -245,13 +245,14 @@ def split_explode_pairs(spark, sf_dir):
 
 
 # ------------------------------------------------------------ RSH-1, SRC-5
-def _wide_blocks(t, n_blocks=3):
-    """Line items 1..n widened into rows of 2 + 5n columns.
+def _wide_blocks(t):
+    """All line items widened into rows of 2 + 5n columns, n being the largest line number (one aggregate).
 
     An order may repeat a line number, so each repeat (``copy``) of an order
     gets its own wide row; the copy number becomes the cohort id.
     """
-    li = t.lineitem.filter(F.col("l_linenumber") <= n_blocks)
+    li = t.lineitem
+    n_blocks = li.agg(F.max("l_linenumber")).first()[0] or 0
     w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_LINE_ORDER)
     li = li.withColumn("copy", F.row_number().over(w))
     aggs = []
@@ -286,7 +287,6 @@ SELECT 'o' || CAST(l_orderkey AS VARCHAR) || '@example.org' AS umuzi_email,
        'part-' || CAST(l_partkey AS VARCHAR) AS earning_opportunity_name,
        l_linenumber AS block
 FROM lineitem
-WHERE l_linenumber <= 3
 QUALIFY (l_orderkey + l_linenumber) % 7 <> 0
 """)
 def blocks_to_rows_q(spark, sf_dir):

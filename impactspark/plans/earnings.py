@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType, T
 from .. import functions as fx
 from ..operators import (Check, blocks_to_rows, count_once, drop_covered, enrich_tiers,
                          flag_members, highest_per_key, keep_first, map_label, rank_within,
-                         resolve_ids, run_checks, split_drops, union_all, unmatched)
+                         remap_identity, resolve_ids, run_checks, split_drops, union_all, unmatched)
 from ..operators.quality import ERROR, WARN
 from ..operators.reshape import BLOCK_FIELDS
 from ..sources import ORDER_COLS, read_blocks, read_sheets, read_state, tag
@@ -60,6 +60,7 @@ class EarningsConfig:
     idempotent_remap: bool = True     # T10: keep labels that are already targets
     exclusion_rules: tuple = ()       # FLT-15 predicates
     corrections: dict = field(default_factory=dict)
+    whole_last_day: bool = False      # T9: the covered period ends at the last day's midnight, or with its last instant
     protect_exempt: bool = False      # T8: exempt cohort also spared by the exact-duplicate pass
 
 
@@ -159,11 +160,8 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
     data = union_all([f.select(*CANON_COLS, "source", *ORDER_COLS) for f in frames])
     data = fx.strip_columns(data, list(STRING_COLS))
     email = fx.replace_values(fx.normalize_email("umuzi_email", nfkc_fold=True), cfg.corrections)
-    emap = highest_per_key(rich.filter(F.col("email").isNotNull()), ["email"], "learner_id") \
-        .select(F.col("email").alias("__p"), F.col("umuzi_email").alias("__c"))
-    data = data.withColumn("umuzi_email", email)
-    data = (data.join(emap, data["umuzi_email"] == emap["__p"], "left")
-                .withColumn("umuzi_email", F.coalesce("__c", "umuzi_email")).drop("__p", "__c"))
+    data = remap_identity(data.withColumn("umuzi_email", email), "umuzi_email", rich, "email", "umuzi_email",
+                          id_col="learner_id")
     unmatched_emails = unmatched(data, rich, "umuzi_email")
     d = F.col("date_service_accessed")
     data, log1 = split_drops(data, [
@@ -182,26 +180,26 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
         data, log2 = split_drops(data, rules, by=["source"])
     else:
         log2 = None
-    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe="auto")   # DED-4
+    data = keep_first(cut(data), list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4
     data, log3 = split_drops(data, [("zero payment", F.col("payment") == 0),         # FLT-14
                                     ("missing payment", F.col("payment").isNull() | F.isnan("payment"))],
                              by=["source"])
     data = data.withColumn("__raw_cohort", F.col("cohort")).withColumn(
         "cohort", map_label("cohort", cfg.cohort_map, keep_targets=cfg.idempotent_remap))   # LKP-2
     # the input of this pass is cheap to recompute from the stage written above
-    data = keep_first(data, list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe="auto")   # DED-4 again
+    data = keep_first(data, list(KEY), list(ORDER_COLS), exempt=exempt, skew_safe=True)   # DED-4 again
     data = cut(data)
+    in_period = d <= F.lit(cfg.covered_through + (" 23:59:59.999999" if cfg.whole_last_day else "")).cast("timestamp_ntz")
     prev = data.filter(F.col("source") == "prev_combined")                            # DED-5
     live = data.filter(F.col("source") != "prev_combined")
     kept_live, resubmitted = drop_covered(
-        live, prev, list(KEY), list(ORDER_COLS), skew_safe="auto",
-        covered=F.col("date_service_accessed") <= F.lit(cfg.covered_through + " 23:59:59.999999").cast("timestamp_ntz"))
+        live, prev, list(KEY), list(ORDER_COLS), skew_safe=True,
+        covered=in_period)
     unmapped_cohorts = (kept_live.unionByName(prev)
                         .filter(F.col("cohort").isNull() & F.col("__raw_cohort").isNotNull())
                         .groupBy(F.col("__raw_cohort").alias("cohort")).agg(F.count(F.lit(1)).alias("rows")))
     entries = prev.unionByName(kept_live)
-    backfills = (kept_live.filter(F.col("date_service_accessed")
-                                  <= F.lit(cfg.covered_through + " 23:59:59.999999").cast("timestamp_ntz"))
+    backfills = (kept_live.filter(in_period)
                           .groupBy("source", "cohort").agg(F.count(F.lit(1)).alias("rows")))
     logs = [l for l in (log1, log2, log3) if l is not None]
     checks = run_checks(entries, [
@@ -239,20 +237,9 @@ def _count_check(counts: DataFrame, stage: str, name: str, level: str, detail: s
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a table written to the shared checkpoint folder.
-
-    One job computes the frame once and writes it as Parquet under
-    ``spark.checkpoint.dir``; the returned frame reads it back, so later
-    stages, several consumers and task retries after a lost executor never
-    recompute the chain above.  (An RDD checkpoint would compute it twice.)
-    """
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Cut lineage with a table written to the shared checkpoint folder (see ``session.stage_table``)."""
+    from ..session import stage_table
+    return stage_table(df)
 
 
 # ------------------------------------------------------------------ PIPE-8
@@ -285,7 +272,7 @@ def singles(demo: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- PIPE-9/10
 def entries_wide(entries: DataFrame) -> DataFrame:
     """PIPE-9: n-th entry of a person in a month on row n, per cohort row."""
-    ranked = rank_within(entries, ["umuzi_email", "month"], list(ORDER_COLS), out="row_id", skew_safe="auto")
+    ranked = rank_within(entries, ["umuzi_email", "month"], list(ORDER_COLS), out="row_id", skew_safe=True)
     fields = ["payment", "earning_opportunity_type", "earning_opportunity_name", "earning_opportunity_extra_info"]
     from ..operators import pivot
     p = pivot(ranked, ["umuzi_email", "cohort", "row_id"], "month", list(rp.FY_MONTHS),
@@ -317,8 +304,12 @@ def breakdown_long(entries: DataFrame) -> DataFrame:
 
 
 def breakdown(entries: DataFrame, demo: DataFrame, baseline: DataFrame, programme_names: DataFrame,
-              ranks, trim: bool = True) -> DataFrame:
-    """PIPE-11: earning opportunities secured, with partner columns."""
+              ranks=None, trim: bool = True) -> DataFrame:
+    """PIPE-11: earning opportunities secured, with partner columns.
+
+    ``ranks`` are the opportunity numbers (None: all that the data hold); a
+    list that leaves one out is refused, since its money would be lost.
+    """
     long = breakdown_long(entries)
     index = ["umuzi_email", "first_date", "earning_opportunity_type", "cohort"]
     wide = rp.ranked_pivot(long, index, "month", "op_num", F.col("payment"), ranks, trim=trim)
@@ -361,24 +352,25 @@ def learner_demographics(summary: DataFrame, rich_raw: DataFrame) -> DataFrame:
     return summary.select("umuzi_email").join(rich.select(*cols), "umuzi_email", "left")
 
 
-def reconcile_tables(entries: DataFrame, tol: float = 0.01) -> DataFrame:
-    """PIPE-13 / REC-1 / AGG-13: the summary and the breakdown, both summed per
-    month from their long forms (before pivoting), aligned and compared."""
+def reconcile_tables(summary: DataFrame, brk: DataFrame, tol: float = 0.01) -> DataFrame:
+    """PIPE-13 / REC-1 / AGG-13: the two tables as shipped, their month columns
+    summed and compared; money that either table lost shows as a difference."""
     from ..operators import reconcile
-    a = (entries.filter(F.col("umuzi_email").isNotNull()).groupBy("month")
-                .agg(fx.money_sum("payment").alias("v"), F.count("payment").alias("n")))
-    long = breakdown_long(entries)
-    b = long.groupBy("month").agg(fx.money_sum("payment").alias("v"), F.count(F.lit(1)).alias("n"))
+    a = rp.summary_long(summary).groupBy("month").agg(fx.money_sum("v").alias("v"), F.sum("n").alias("n"))
+    b = rp.breakdown_long(brk).groupBy("month").agg(fx.money_sum("v").alias("v"), F.sum("n").alias("n"))
     return reconcile(a, b, "month", "v", count="n", tol=tol)
 
 
-def person_diff(entries: DataFrame, month: str, tol: float = 0.005) -> DataFrame:
-    """REC-2: people whose summary and breakdown totals differ in ``month``."""
-    from ..operators import per_key_diff
-    e = entries.filter(F.col("month") == month)
-    a = e.filter(F.col("umuzi_email").isNotNull()).groupBy("umuzi_email").agg(fx.money_sum("payment").alias("v"))
-    b = breakdown_long(e).groupBy("umuzi_email").agg(fx.money_sum("payment").alias("v"))
-    return per_key_diff(a, b, "umuzi_email", "v", tol=tol)
+def person_diff(summary: DataFrame, brk: DataFrame, month: str | None = None, tol: float = 0.005) -> DataFrame:
+    """REC-2: people whose totals in the two shipped tables differ in ``month``
+    (None: the month with the largest difference)."""
+    from ..operators import per_key_diff, worst
+    if month is None:
+        top = worst(reconcile_tables(summary, brk), "month", "diff").first()
+        month = top["month"] if top else None
+    side = lambda df: (df.filter(F.col("month") == month).groupBy("umuzi_email")
+                       .agg(fx.money_sum("v").alias("v")))
+    return per_key_diff(side(rp.summary_long(summary)), side(rp.breakdown_long(brk)), "umuzi_email", "v", tol=tol)
 
 
 def report_checks(entries: DataFrame, summary: DataFrame, brk: DataFrame, recon: DataFrame) -> DataFrame:

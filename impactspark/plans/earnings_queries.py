@@ -126,7 +126,7 @@ counts AS (SELECT em, payment, o_orderdate, cohort, extra, ename, count(*) AS c
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY em, payment, o_orderdate, cohort, extra, ename, cand
                                ORDER BY prio, rowk) - 1 AS rk
-  FROM (SELECT *, o_orderdate <= TIMESTAMP '{COVERED_THROUGH} 23:59:59.999999' AS cand
+  FROM (SELECT *, o_orderdate <= TIMESTAMP '{COVERED_THROUGH}' AS cand
         FROM resub2 WHERE source <> 'prev_combined')
 )""", """
 kept AS (

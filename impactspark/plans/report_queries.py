@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import functions as fx
-from ..operators import (Check, count_lit, pivot, per_key_diff, rank_within, reconcile,
+from ..operators import (Check, count_lit, pivot, per_key_diff, reconcile,
                          run_checks, split_drops, worst)
 from ..operators.quality import ERROR, WARN
 from . import model as m
@@ -89,7 +90,7 @@ def entries_wide(spark, sf_dir):
     """RSH-2 / WIN-1 / PRJ-9 (PIPE-9): n-th entry per person and month on row n."""
     w = _win(m.Tables(spark, sf_dir)).select(
         "o_custkey", "o_orderkey", "month", *[F.col(s).alias(f) for f, s in _FIELDS.items()])
-    return rp.entries_wide(w, "o_custkey", "month", ["o_orderkey"], list(_FIELDS), skew_safe="auto")
+    return rp.entries_wide(w, "o_custkey", "month", ["o_orderkey"], list(_FIELDS), skew_safe=True)
 
 
 # ------------------------------------------------------------ RSH-4, RSH-6
@@ -103,11 +104,11 @@ entries AS (
          'cohort-' || CAST(o_custkey % 3 AS VARCHAR) AS cohort, o_orderdate, o_totalprice, month
   FROM win
 )""", """
-eon_rank AS (
+numbered AS (
   SELECT o_custkey, earning_opportunity_type, name,
          row_number() OVER (PARTITION BY o_custkey, earning_opportunity_type
-                            ORDER BY first_eon_date, name) AS op_num
-  FROM (SELECT o_custkey, earning_opportunity_type, name, min(o_orderdate) AS first_eon_date
+                            ORDER BY started, name) AS op_num
+  FROM (SELECT o_custkey, earning_opportunity_type, name, min(o_orderdate) AS started
         FROM entries GROUP BY o_custkey, earning_opportunity_type, name)
 )""", """
 first_dates AS (
@@ -115,7 +116,7 @@ first_dates AS (
 )""", """
 keyed AS (
   SELECT e.*, r.op_num, f.first_date FROM entries e
-  JOIN eon_rank r USING (o_custkey, earning_opportunity_type, name)
+  JOIN numbered r USING (o_custkey, earning_opportunity_type, name)
   JOIN first_dates f USING (o_custkey, earning_opportunity_type)
 )"""
 
@@ -150,16 +151,21 @@ def ranked_pivot(spark, sf_dir):
         F.col("o_orderpriority").alias("name"),
         F.concat(F.lit("cohort-"), (F.col("o_custkey") % 3).cast("string")).alias("cohort"),
         "o_orderdate", "o_totalprice", "month")
+    # rows reduce to one per (person, type, name, cohort, month) map-side, before anything is ranked or joined
     keys = ["o_custkey", "earning_opportunity_type"]
-    eon = w.groupBy(*keys, "name").agg(F.min("o_orderdate").alias("first_eon_date"))
-    eon = rank_within(eon, keys, [F.col("first_eon_date"), F.col("name")], out="op_num")
-    firsts = w.groupBy(*keys).agg(F.min("o_orderdate").alias("first_date"))
-    j = w.join(eon.drop("first_eon_date"), keys + ["name"]).join(firsts, keys)
+    cells = w.groupBy(*keys, "name", "cohort", "month").agg(
+        F.min("o_orderdate").alias("first"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("v"),
+        F.count(F.lit(1)).alias("n"))
+    eon = cells.groupBy(*keys, "name").agg(F.min("first").alias("started"))
+    span = Window.partitionBy(*keys)
+    eon = eon.select(*keys, "name", F.row_number().over(span.orderBy("started", "name")).alias("op_num"),
+                     F.min("started").over(span).alias("first_date"))
+    j = cells.join(eon, keys + ["name"])
     return rp.ranked_pivot(j, ["o_custkey", "first_date", "earning_opportunity_type", "cohort"],
-                           "month", "op_num", F.col("o_totalprice"), _RANKS)
+                           "month", "op_num", F.col("v"), _RANKS, gigs=F.col("n"))
 
 
-@query("partner_projection", _ranked_sql(lambda h: rp.partner_header(h, _PARTNER_YEAR)))
+@query("partner_projection", _ranked_sql(lambda h: rp.partner_headers(_PARTNER_YEAR).get(h, h)))
 def partner_projection(spark, sf_dir):
     """SNK-4 / PRJ-2 / PRJ-10: the breakdown with partner headers (only
     opportunity 1 of each month carries the year)."""
@@ -233,26 +239,23 @@ def worst_month(spark, sf_dir):
     return worst(reconcile_months(spark, sf_dir), "month", "diff")
 
 
-@query("per_person_diff", """
-WITH a AS (
-  SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v
-  FROM orders WHERE date_trunc('month', o_orderdate) = TIMESTAMP '1997-01-01' GROUP BY 1
-),
-b AS (
-  SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v
-  FROM orders WHERE date_trunc('month', o_orderdate) = TIMESTAMP '1997-01-01' AND o_orderkey % 50 <> 0
-  GROUP BY 1
-)
-SELECT COALESCE(a.o_custkey, b.o_custkey) AS o_custkey,
-  COALESCE(a.v, 0.0) AS a_value, COALESCE(b.v, 0.0) AS b_value,
-  ROUND(COALESCE(a.v, 0.0) - COALESCE(b.v, 0.0), 2) AS diff
-FROM a FULL OUTER JOIN b ON a.o_custkey = b.o_custkey
-WHERE abs(COALESCE(a.v, 0.0) - COALESCE(b.v, 0.0)) > 0.005
-""")
+@query("per_person_diff", m.with_ctes(_REC_SQL, """
+bad AS (
+  SELECT COALESCE(a.month, b.month) AS month FROM a FULL OUTER JOIN b ON a.month = b.month
+  ORDER BY abs(ROUND(COALESCE(a.v, 0.0) - COALESCE(b.v, 0.0), 2)) DESC, 1 LIMIT 1
+)""", """
+sums AS (
+  SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS a_value,
+    CAST(SUM(CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS b_value
+  FROM orders JOIN bad ON date_trunc('month', o_orderdate) = bad.month GROUP BY o_custkey
+)""", body="""
+SELECT o_custkey, a_value, b_value, ROUND(a_value - b_value, 2) AS diff FROM sums WHERE abs(a_value - b_value) > 0.005
+"""))
 def per_person_diff(spark, sf_dir):
-    """REC-2: people whose two totals for one month differ by more than half a cent."""
-    o = m.Tables(spark, sf_dir).orders.filter(
-        fx.month_bucket("o_orderdate") == F.lit("1997-01-01").cast("timestamp_ntz"))
+    """REC-2: people whose two totals differ by more than half a cent, in the month that reconciles worst."""
+    t = m.Tables(spark, sf_dir)
+    month = worst_month(spark, sf_dir).select("month")
+    o = t.orders.withColumn("month", fx.month_bucket("o_orderdate")).join(F.broadcast(month), "month")   # one row
     a = o.groupBy("o_custkey").agg(fx.money_sum("o_totalprice").alias("v"))
     b = o.filter(F.col("o_orderkey") % 50 != 0).groupBy("o_custkey").agg(fx.money_sum("o_totalprice").alias("v"))
     return per_key_diff(a, b, "o_custkey", "v", tol=0.005)

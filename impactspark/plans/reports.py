@@ -2,9 +2,9 @@
 
 All pivots take their value lists up front (the twelve fiscal months, and
 for the ranked pivot the opportunity numbers), so each is one two-phase
-aggregate.  Only ``ranked_pivot(trim=True)`` runs one extra small action:
-it reads the distinct (month, number) pairs that carry money, which is a
-list of column names, bounded by 12 x the largest opportunity number.
+aggregate.  ``ranked_pivot`` first reads the largest opportunity number (one
+aggregate), and with ``trim`` the distinct (month, number) pairs that carry
+money: a list of column names, bounded by 12 x that number.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def month_pivot(df: DataFrame, index, month_col: str, metrics: dict,
 
 
 def entries_wide(df: DataFrame, index, month_col: str, order, fields,
-                 months=FY_MONTHS, skew_safe=False) -> DataFrame:
+                 months=FY_MONTHS, skew_safe: bool = False) -> DataFrame:
     """RSH-2 + WIN-1 + PRJ-9 (PIPE-9): the n-th entry of a person in each month
     lands on row n; columns ``{month}_{field}`` for every fiscal month."""
     index = listify(index)
@@ -46,11 +46,24 @@ def gig_header(month: str, op_num) -> str:
     return f"# of Gig {op_num} ({month})"
 
 
+def rank_list(df: DataFrame, rank_col: str, ranks=None) -> list[int]:
+    """The opportunity numbers 1..largest; given ``ranks`` are checked to hold every number in use."""
+    used = df.agg(F.max(rank_col)).first()[0] or 0
+    if ranks is None:
+        return list(range(1, used + 1))
+    if used > max(ranks, default=0):
+        raise ValueError(f"opportunity numbers reach {used}, beyond the listed {list(ranks)}")
+    return list(ranks)
+
+
 def ranked_pivot(df: DataFrame, index, month_col: str, rank_col: str, value: Column,
-                 ranks, months=FY_MONTHS, trim: bool = False) -> DataFrame:
+                 ranks=None, months=FY_MONTHS, trim: bool = False, gigs: Column | None = None) -> DataFrame:
     """RSH-4 + RSH-6 (PIPE-11): one value and one gig column per (month,
     opportunity number), interleaved, ordered by fiscal month then number.
-    ``trim`` keeps only pairs that carry a non-zero value somewhere."""
+    The numbers come from the data (see ``rank_list``); ``trim`` keeps only
+    pairs that carry a non-zero value somewhere.  ``gigs`` counts a row (one when
+    not given), for rows that were summed before."""
+    ranks = rank_list(df, rank_col, ranks)
     keyed = df.withColumn("__pair", F.concat_ws("|", F.col(month_col), F.col(rank_col).cast("string")))
     pairs = [(mo, r) for mo in months for r in ranks]
     if trim:
@@ -60,7 +73,7 @@ def ranked_pivot(df: DataFrame, index, month_col: str, rank_col: str, value: Col
     names = {f"{mo}|{r}": (mo, r) for mo, r in pairs}
     # pivot() emits (value, gig) per pair in pair order: already the RSH-6 interleave
     return pivot(keyed, index, "__pair", keys,
-                 {"v": F.sum(value.cast("decimal(18,2)")).cast("double"), "g": F.count(F.lit(1))},
+                 {"v": F.sum(value.cast("decimal(18,2)")).cast("double"), "g": F.count(F.lit(1)) if gigs is None else F.sum(gigs)},
                  name=lambda k, me: (value_header if me == "v" else gig_header)(*names[k]), fill=0)
 
 
@@ -80,24 +93,44 @@ PARTNER_RENAME = {
 }
 
 
-def month_with_year(month: str, fy_start: int) -> str:
-    """DT-7: April..December belong to ``fy_start``, January..March to the next year."""
-    return f"{month} {fy_start + (1 if FY_MONTHS.index(month) >= 9 else 0)}"
-
-
-def partner_header(column: str, fy_start: int) -> str:
-    """SNK-4: partner header of a breakdown column.  Only opportunity 1 of each
-    month carries the year; named columns take their partner label."""
-    if column.startswith("Earning Opportunity ") and column.split()[2] == "1":
-        month = column.rsplit("(", 1)[1].rstrip(")")
-        return column.replace(f"({month})", f"({month_with_year(month, fy_start)})")
-    return PARTNER_RENAME.get(column, column)
+def partner_headers(fy_start: int, months=FY_MONTHS) -> dict[str, str]:
+    """SNK-4: column -> partner header.  Opportunity 1 of each month carries the
+    year (months from January on belong to the next one); named columns take
+    their partner label; every other column keeps its name."""
+    dated = {value_header(mo, 1): value_header(f"{mo} {fy_start + (k >= 9)}", 1) for k, mo in enumerate(months)}
+    return {**PARTNER_RENAME, **dated}
+
+
+def summary_long(summary: DataFrame, months=FY_MONTHS) -> DataFrame:
+    """The monthly summary as shipped, unpivoted: one (person, month, v, n) row per month column pair."""
+    cells = [F.struct(F.lit(mo).alias("month"), F.col(f"`{mo} (Payment)`").cast("double").alias("v"),
+                      F.col(f"`{mo} (Count)`").cast("bigint").alias("n")) for mo in months]
+    return summary.select("umuzi_email", F.inline(F.array(*cells)))
+
+
+def breakdown_long(brk: DataFrame, months=FY_MONTHS) -> DataFrame:
+    """The breakdown as shipped, unpivoted: one (person, month, v, n) row per value and gig column pair."""
+    own, cells = set(brk.columns), []
+    for mo in months:
+        number = 1
+        last = sum(c.endswith(f"({mo})") for c in own)     # at most so many numbers have a column
+        largest = len(own)
+        while number <= largest and last:
+            if value_header(mo, number) in own:
+                cells.append(F.struct(F.lit(mo).alias("month"), F.col(f"`{value_header(mo, number)}`").cast("double").alias("v"),
+                                      F.col(f"`{gig_header(mo, number)}`").cast("bigint").alias("n")))
+                last -= 2
+            number += 1
+    if not cells:
+        return brk.select("umuzi_email", F.lit("").alias("month"), F.lit(0.0).alias("v"),
+                          F.lit(0).cast("bigint").alias("n")).limit(0)
+    return brk.select("umuzi_email", F.inline(F.array(*cells)))
 
 
 def partner_export(df: DataFrame, fy_start: int, drop=("umuzi_email",)) -> DataFrame:
     """SNK-4 + PRJ-2/10: drop internal columns, rename headers for the partner."""
-    return df.select(*[F.col(f"`{c}`").alias(partner_header(c, fy_start))
-                       for c in df.columns if c not in set(drop)])
+    headers = partner_headers(fy_start)
+    return df.select(*[F.col(f"`{c}`").alias(headers.get(c, c)) for c in df.columns if c not in set(drop)])
 
 
 def result_export(df: DataFrame, money_suffix="(Payment)", count_suffix="(Count)") -> DataFrame:

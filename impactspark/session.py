@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that decide results; always applied.
 RESULT_CONF = {
@@ -83,3 +84,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="impactspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back.
+
+    Cuts lineage: later stages, several consumers and task retries after a
+    lost executor read the table instead of recomputing ``df``.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    _staged(df.sparkSession).append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _staged(spark: SparkSession) -> list[str]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_impactspark_staged"):
+        sc._impactspark_staged = []
+    return sc._impactspark_staged
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the tables this session has staged; call it once a run's outputs are written."""
+    paths, jvm = _staged(spark), spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -68,11 +68,5 @@ def write_state(df: DataFrame, path: str, partition_by=("month",)) -> None:
     Never read and overwrite the same state path in one job: write the new
     state to a fresh path (e.g. one per run month) and point the next run at it.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.drop(*[c for c in INTERNAL if c in df.columns]) \
-          .write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.drop(*[c for c in INTERNAL if c in df.columns])
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))

@@ -22,11 +22,15 @@ from ..plans import earnings as earn
 from ..sources import tag
 
 
-def latest_state(spark: SparkSession, state_path: str) -> DataFrame:
-    """The newest state version (empty frame before the first batch)."""
+def latest_state(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame:
+    """The newest state version, or the newest older than batch ``before``
+    (empty frame when there is none).  A retried batch must not read the
+    version that its first attempt wrote."""
     try:
         schema = StructType(list(earn.STATE_SCHEMA.fields) + [StructField("v", LongType())])
         versions = spark.read.schema(schema).parquet(state_path)
+        if before is not None:
+            versions = versions.filter(F.col("v") < before)
         newest = versions.agg(F.max("v")).first()[0]
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
@@ -41,7 +45,7 @@ def process_drop(batch: DataFrame, batch_id: int, state_path: str, rich: DataFra
                  cfg: earn.EarningsConfig) -> None:
     """One micro-batch: prior state + new drop -> cleaned entries -> new state version."""
     spark = batch.sparkSession
-    prev = latest_state(spark, state_path)
+    prev = latest_state(spark, state_path, before=int(batch_id))
     prev = tag(prev.withColumn("_file", F.lit("state")).withColumn("_row", F.monotonically_increasing_id()),
                "prev_combined", 0)
     live = tag(batch.select(*earn.CANON_COLS)

@@ -253,15 +253,22 @@ def test_earnings_report_tables_reconcile(spark, tmp_path):
     baseline = spark.createDataFrame([("c@example.org",)], "umuzi_email string")
     names = spark.createDataFrame([("XA-Canon", "Experience Lab")], "slug string, name string")
     demo = earn.demographics(entries, rich_frame(spark), rich_frame(spark))
-    brk = earn.breakdown(entries, demo, baseline, names, ranks=[1, 2, 3])
+    brk = earn.breakdown(entries, demo, baseline, names)
     by = {(r.umuzi_email, r.earning_opportunity_type): r for r in brk.collect()}
     ann = by[("a@example.org", "Experience gig")]
     assert ann["Full Name"] == "Ann Aa" and ann["Programme"] == "Experience Lab"
     assert ann["Earning Opportunity 1 ZAR Value (May)"] == 1000.0 and ann["# of Gig 1 (May)"] == 1
     assert by[("c@example.org", "Impact gig")]["Youth Count (1 vs Counted)"] == "Counted"   # baseline
     assert by[("b@example.org", "Placement")]["Programme"] == "Not Provided"
-    recon = earn.reconcile_tables(entries)
-    assert all(r.ok for r in recon.collect())
+    recon = earn.reconcile_tables(summary, brk)
+    assert all(r.ok for r in recon.collect()) and recon.count() == 12
+    assert earn.person_diff(summary, brk).count() == 0
+    # a breakdown that lost a column no longer reconciles
+    cut = brk.withColumn("Earning Opportunity 1 ZAR Value (May)", F.lit(0.0))
+    lost = earn.reconcile_tables(summary, cut)
+    assert [r.month for r in lost.filter(~F.col("ok")).collect()] == ["May"]
+    assert earn.person_diff(summary, cut).filter("umuzi_email = 'a@example.org'").count() == 1
+    assert "FAIL" in {r.status for r in earn.report_checks(entries, summary, cut, lost).collect()}
     checks = earn.report_checks(entries, summary, brk, recon)
     assert {r.status for r in checks.collect()} == {"PASS"}
     wide = earn.entries_wide(entries)
