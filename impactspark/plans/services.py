@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fx
-from ..operators import distinct_list_by_key, union_all
+from ..operators import union_all
 
 SERVICE_COLUMNS = ("learner_id", "date_service_accessed", "service_used", "service_name")
 
@@ -58,19 +58,29 @@ def programme_services(enrolments: DataFrame, cutoff: str, vendor: str) -> DataF
                               F.col("name").alias("service_name")))
 
 
+def course_completions(certs: DataFrame, courses: DataFrame, pathway_courses: DataFrame) -> DataFrame:
+    """AGG-5: per learner and course name the first certificate and the sorted list of pathways.
+
+    Certificates reduce to one row per (learner, course id) map-side before
+    anything is joined, and the course -> pathway fan-out collapses to one
+    list per course on the dimension's side, so no row is multiplied.
+    """
+    first = certs.groupBy("learner_id", "course_id").agg(F.min("certificate_uploaded_at").alias("first_at"))
+    lists = pathway_courses.groupBy(F.col("course_id").alias("__c")).agg(F.collect_set("pathway").alias("paths"))
+    info = courses.select(F.col("id").alias("__c"), F.col("name").alias("course_name")).join(lists, "__c")
+    j = first.join(info, first["course_id"] == F.col("__c"))
+    return j.groupBy("learner_id", "course_name").agg(
+        F.min("first_at").alias("first_at"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("paths")))), ", ").alias("pathways"))
+
+
 def certificate_services(certs: DataFrame, courses: DataFrame, pathway_courses: DataFrame,
                          cutoff: str) -> DataFrame:
-    """AGG-5: first certificate per learner and course, with the sorted list of
-    the course's pathways (the course -> pathway fan-out collapses here)."""
-    c = certs.filter(F.col("certificate_uploaded_at") >= F.lit(cutoff).cast("timestamp_ntz"))
-    j = (c.join(courses.select(F.col("id").alias("__cid"), F.col("name").alias("course_name")),
-                c["course_id"] == F.col("__cid"))
-          .join(pathway_courses.select(F.col("course_id").alias("__pc"), "pathway"),
-                F.col("course_id") == F.col("__pc")))
-    out = distinct_list_by_key(j, ["learner_id", "course_name"], "pathway", "service_name",
-                               mins={"date_service_accessed": "certificate_uploaded_at"})
-    return out.select("learner_id", "date_service_accessed",
-                      F.col("course_name").alias("service_used"), "service_name")
+    """Course certificates since the cutoff as services."""
+    recent = certs.filter(F.col("certificate_uploaded_at") >= F.lit(cutoff).cast("timestamp_ntz"))
+    return course_completions(recent, courses, pathway_courses).select(
+        "learner_id", F.col("first_at").alias("date_service_accessed"),
+        F.col("course_name").alias("service_used"), F.col("pathways").alias("service_name"))
 
 
 def logged_services(eligible: DataFrame, branches) -> DataFrame:
