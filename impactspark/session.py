@@ -105,12 +105,17 @@ def _staged(spark: SparkSession) -> list[str]:
     return sc._impactspark_staged
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete the tables this session has staged; call it once a run's outputs are written."""
+def staged_count(spark: SparkSession) -> int:
+    """How many tables this session has staged and not deleted."""
+    return len(_staged(spark))
+
+
+def drop_stages(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the tables this session has staged but for the first ``keep``; call it once a run's outputs are written."""
     paths, jvm = _staged(spark), spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    while paths:
+    while len(paths) > keep:
         path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n

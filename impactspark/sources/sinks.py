@@ -31,34 +31,55 @@ def write_csv(df: DataFrame, path: str, drop=INTERNAL, single_file: bool = False
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+_MANIFEST = "v bigint, table string, folder string"
+
+
+def _manifest(spark: SparkSession, base: str) -> tuple[int, dict[str, str]]:
+    """The newest version of a report and the folder of each of its tables; (0, {}) before the first."""
+    try:
+        rows = spark.read.schema(_MANIFEST).parquet(f"{base.rstrip('/')}/_manifest")
+        newest = rows.agg(F.max("v")).first()[0]
+    except Exception as e:  # noqa: BLE001 -- only a missing report is tolerated
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return 0, {}
+        raise
+    if newest is None:
+        return 0, {}
+    return newest, {r.table: r.folder for r in rows.filter(F.col("v") == newest).collect()}
+
+
 def write_report(tables: dict, base: str, create: bool, required=()) -> None:
-    """SNK-2: a report is one Parquet dataset per table under ``base/<table>``.
+    """SNK-2: a report is a set of Parquet tables that become visible together.
 
-    ``create=True`` starts a new report (its manifest lists only these
-    tables); ``create=False`` appends/replaces these tables and requires the
-    ``required`` tables to be in the existing manifest first.
+    The tables go to a new version folder; a manifest row set of that version
+    is written last and makes them the report, so a failure half-way leaves
+    the previous version as it was.  ``create=True`` starts a new report (its
+    manifest lists only these tables); ``create=False`` adds or replaces
+    these tables and requires the ``required`` ones to be there already.
     """
+    base = base.rstrip("/")
     spark = next(iter(tables.values())).sparkSession
-    manifest_path = f"{base.rstrip('/')}/_manifest"
-    existing: list[str] = []
+    version, existing = _manifest(spark, base)
     if not create:
-        try:
-            existing = [r.table for r in spark.read.parquet(manifest_path).collect()]
-        except Exception as e:  # noqa: BLE001
-            raise RuntimeError(f"report at {base} has not been created yet") from e
+        if not version:
+            raise RuntimeError(f"report at {base} has not been created yet")
         missing = [t for t in required if t not in existing]
         if missing:
             raise RuntimeError(f"report at {base} lacks base tables {missing}")
+    version += 1
+    folders = {} if create else dict(existing)
     for name, df in tables.items():
-        _texts(df).write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}")
-    names = sorted(set(existing) | set(tables))
-    spark.createDataFrame([(n,) for n in names], "table string") \
-         .coalesce(1).write.mode("overwrite").parquet(manifest_path)
+        folders[name] = f"v={version}/{name}"
+        _texts(df).write.mode("overwrite").parquet(f"{base}/{folders[name]}")
+    spark.createDataFrame([(version, t, f) for t, f in sorted(folders.items())], _MANIFEST) \
+         .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("v") \
+         .parquet(f"{base}/_manifest")
 
 
 def read_report(spark: SparkSession, base: str) -> dict:
-    tables = [r.table for r in spark.read.parquet(f"{base.rstrip('/')}/_manifest").collect()]
-    return {t: spark.read.parquet(f"{base.rstrip('/')}/{t}") for t in tables}
+    """The tables of the report's newest version."""
+    _, folders = _manifest(spark, base)
+    return {t: spark.read.parquet(f"{base.rstrip('/')}/{f}") for t, f in folders.items()}
 
 
 def write_state(df: DataFrame, path: str, partition_by=("month",)) -> None:

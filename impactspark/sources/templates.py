@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -59,10 +59,16 @@ def _reader(spark: SparkSession, schema: StructType | None, header: bool):
 
 
 def with_row_order(df: DataFrame) -> DataFrame:
-    """Add ``_file`` and a 0-based ``_row`` (data row position inside its file)."""
+    """Add ``_file`` and a 0-based ``_row`` (data row position inside its file).
+
+    The running id already follows row order inside a file, so the row number
+    is the id less the file's smallest one (one row per file, combined
+    map-side); nothing is sorted.
+    """
     df = df.withColumn("_file", F.col("_metadata.file_path")).withColumn("__mid", F.monotonically_increasing_id())
-    w = Window.partitionBy("_file").orderBy("__mid")
-    return df.withColumn("_row", (F.row_number().over(w) - 1).cast("long")).drop("__mid")
+    first = df.groupBy(F.col("_file").alias("__f")).agg(F.min("__mid").alias("__first"))
+    j = df.join(first, F.col("_file") == F.col("__f"))
+    return j.withColumn("_row", F.col("__mid") - F.col("__first")).drop("__mid", "__f", "__first")
 
 
 def read_header_csv(spark: SparkSession, path: str, columns=None) -> DataFrame:
@@ -118,15 +124,21 @@ def tag(df: DataFrame, name: str, priority: int) -> DataFrame:
     return df.withColumn("source", F.lit(name)).withColumn("_src_priority", F.lit(priority))
 
 
-def layout_width(spark: SparkSession, path: str, max_width: int = 512) -> int:
-    """SRC-5: the widest row of a template folder (one small aggregate)."""
-    df = _reader(spark, _string_schema(max_width), False).csv(path)
-    last = F.greatest(*[F.when(F.col(f"_c{i}").isNotNull(), F.lit(i + 1)).otherwise(F.lit(0))
-                        for i in range(max_width)])
-    width = df.agg(F.max(last)).first()[0] or 0
-    if width >= max_width:
-        raise ValueError(f"{path}: more than {max_width - 1} columns")
-    return int(width)
+def layout_width(spark: SparkSession, path: str) -> int:
+    """SRC-5: the widest row of a template folder, up to its last filled cell.
+
+    The separators outside quotes give the widest row's true length; that
+    many columns are read, so no cell lies beyond the ones looked at.
+    """
+    text = spark.read.option("wholetext", True).text(path).select(
+        F.explode(F.split(F.regexp_replace("value", '"[^"]*"', ""), "\r?\n")).alias("line"))
+    cells = text.agg(F.max(F.size(F.split("line", ",", -1)))).first()[0] or 0
+    if not cells:
+        return 0
+    df = _reader(spark, _string_schema(cells), False).csv(path)
+    last = F.array_max(F.array(*[F.when(F.col(f"_c{i}").isNotNull(), F.lit(i + 1)).otherwise(F.lit(0))
+                                 for i in range(cells)]))
+    return int(df.agg(F.max(last)).first()[0] or 0)
 
 
 def read_blocks(spark: SparkSession, path: str, lead_rows: int, first_col: int = 1,

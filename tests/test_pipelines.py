@@ -348,3 +348,51 @@ def test_parity_switches_t8_t10(spark, tmp_path):
     df = spark.createDataFrame([("Canon",)], "c string")
     assert df.select(map_label("c", {"alias": "Canon"})).first()[0] is None
     assert df.select(map_label("c", {"alias": "Canon"}, keep_targets=True)).first()[0] == "Canon"
+
+
+def test_wide_templates_have_no_column_limit(spark, tmp_path):
+    from impactspark.sources import layout_width
+    cells = [f"v{i}" for i in range(700)] + ["", "a,b", ""]
+    write_csv(f"{tmp_path}/wide/f.csv", [["title"], cells])
+    assert layout_width(spark, f"{tmp_path}/wide") == 702
+    cells = [f"v{i}" for i in range(511)] + ["", "x"]
+    write_csv(f"{tmp_path}/gap/f.csv", [cells])
+    assert layout_width(spark, f"{tmp_path}/gap") == 513
+
+
+def test_template_rows_are_numbered_without_a_sort(spark, tmp_path):
+    from impactspark.sources.templates import read_positional
+    for k in range(5):
+        write_csv(f"{tmp_path}/many/f{k}.csv", [["head"]] + [[f"{k}-{i}"] for i in range(20)])
+    df = read_positional(spark, f"{tmp_path}/many", [0], ["v"], lead_rows=1)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert sorted((r["v"], r["_row"]) for r in df.collect()) == sorted((f"{k}-{i}", i) for k in range(5) for i in range(20))
+
+
+def test_month_run_writes_all_or_nothing(spark, tmp_path):
+    from impactspark.operators.quality import ValidationError
+    from impactspark.plans.month_run import run_month
+    from impactspark.session import staged_count
+    from impactspark.sources import read_report
+    frames, cfg = earnings_fixtures(spark, tmp_path)
+    baseline = spark.createDataFrame([("c@example.org",)], "umuzi_email string")
+    names = spark.createDataFrame([("XA-Canon", "Experience Lab")], "slug string, name string")
+    rich = rich_frame(spark)
+    report, state, before = str(tmp_path / "report"), str(tmp_path / "state"), staged_count(spark)
+    done = run_month(frames, rich, rich, baseline, names, cfg, report, f"{state}/m1")
+    assert staged_count(spark) == before
+    first = {k: rows(v) for k, v in read_report(spark, report).items()}
+    assert sorted(first) == done and first["summary"] and first["breakdown"]
+    run_month(frames, rich, rich, baseline, names, cfg, report, f"{state}/m1")
+    assert {k: rows(v) for k, v in read_report(spark, report).items()} == first
+    # a failed error-level check writes nothing
+    real = earn.report_checks
+    try:
+        earn.report_checks = lambda *a: real(*a).withColumn("status", F.lit("FAIL"))
+        with pytest.raises(ValidationError):
+            run_month(frames, rich, rich, baseline, names, cfg, report, f"{state}/m2")
+    finally:
+        earn.report_checks = real
+    assert {k: rows(v) for k, v in read_report(spark, report).items()} == first
+    assert not (tmp_path / "state" / "m2").exists() and staged_count(spark) == before

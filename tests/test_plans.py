@@ -24,8 +24,7 @@ def test_no_cartesian_products_or_python(spark, name):
         assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
 
 
-@pytest.mark.parametrize("name", ["latest_preferred", "registrations", "identity_remap",
-                                  "highest_id_per_key"])
+@pytest.mark.parametrize("name", ["latest_preferred", "registrations", "highest_id_per_key"])
 def test_keep_first_is_cut_before_the_shuffle(spark, name):
     p = plan(spark, name)
     assert "WindowGroupLimit" in p and "Partial" in p
@@ -48,3 +47,41 @@ def test_skew_safe_ranking_buckets_when_forced(spark):
     p = out._jdf.queryExecution().executedPlan().toString()
     # every ranking window is partitioned by key + bucket, never by the key alone
     assert "__bucket" in p
+
+
+def test_hot_keys_of_lookups_are_split(spark):
+    """One key on a third of the rows, no broadcasts: the skew join splits it in all four lookups."""
+    from pyspark.sql import functions as F
+
+    from impactspark.operators import enrich_tiers, flag_members, highest_per_key, remap_identity, resolve_ids
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        facts = spark.range(0, 300_000, 1, 8).select(
+            F.when(i % 3 == 0, F.lit("hot")).when(i % 3 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), i)).alias("k"),
+            F.sha2(i.cast("string"), 256).alias("payload"))
+        dim = spark.range(0, 2000).select(
+            F.when(i < 5, F.lit("hot")).otherwise(F.concat(F.lit("k"), i)).alias("a"), i.alias("learner_id"),
+            F.concat(F.lit("v"), i).alias("b"))
+        frames = {
+            "remap": remap_identity(facts, "k", dim, "a", "b", id_col="learner_id"),
+            "members": flag_members(facts, ["k"], dim, "hit", member_keys=["a"]),
+            "resolve": resolve_ids(facts, "k", dim, "a", "b", "value", order_col="learner_id")[0],
+            "tiers": enrich_tiers(facts, [(highest_per_key(dim, ["a"], "learner_id"), "k", "a")], ["b"]),
+        }
+        counts = {}
+        for name, df in frames.items():
+            counts[name] = len(df.collect())
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), name
+        assert counts == {"remap": 300_000, "members": 300_000, "resolve": counts["resolve"], "tiers": 300_000}
+        assert frames["remap"].where("k = 'v4'").count() == 100_000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

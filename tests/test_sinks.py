@@ -30,6 +30,18 @@ def test_report_create_then_append(spark, tmp_path):
     assert sorted(read_report(spark, base)) == ["five", "six", "summary"]
 
 
+def test_a_failed_report_leaves_the_last_version(spark, tmp_path):
+    base = str(tmp_path / "report")
+    one, two = spark.createDataFrame([(1,)], "n int"), spark.createDataFrame([(2,)], "n int")
+    write_report({"a": one, "b": one}, base, create=True)
+    broken = two.select(F.raise_error(F.lit("no")).alias("n"))
+    with pytest.raises(Exception, match="no"):
+        write_report({"a": two, "b": broken}, base, create=True)
+    assert {k: rows(v) for k, v in read_report(spark, base).items()} == {"a": [(1,)], "b": [(1,)]}
+    write_report({"a": two}, base, create=True)
+    assert {k: rows(v) for k, v in read_report(spark, base).items()} == {"a": [(2,)]}
+
+
 def test_state_partitions_are_replaced_not_appended(spark, tmp_path):
     path = str(tmp_path / "state")
     may = spark.createDataFrame([("a", "May"), ("b", "May")], "e string, month string")
