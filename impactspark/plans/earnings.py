@@ -75,7 +75,7 @@ def load_wide(spark: SparkSession, path: str, name: str, priority: int, lead_row
                           keep_if="payment", block_col="__b")
     rows = rows.withColumns({"payment": fx.clean_money("payment"),
                              "date_service_accessed": fx.parse_dates("date_service_accessed"),
-                             "_file": F.col("__f"), "_row": F.col("__r") * 1000 + F.col("__b")})
+                             "_file": F.col("__f"), "_row": F.col("__r") * k + F.col("__b")})
     rows = rows.filter(F.col("payment").isNotNull())
     return tag(rows.select(*CANON_COLS, "_file", "_row"), name, priority)
 

@@ -13,9 +13,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import stage_table
 from ..sources import tag
 from . import earnings as earn
 from . import model as m
+from . import registrations as reg
+from . import reports as rp
 from .catalog import query
 
 # Fixed parameters of this query.
@@ -152,8 +155,157 @@ def earnings_entries(spark, sf_dir):
     backfill types, exact dedup, keep-first with the exempt cohort, drop zero
     and missing payments, remap cohorts, keep-first again, drop what the prior
     state already covers (multiset, NULL-safe keys)."""
+    return _entries(spark, sf_dir).select(*earn.CANON_COLS, "source", "month")
+
+
+def _entries(spark, sf_dir):
     t = m.Tables(spark, sf_dir)
     cfg = earn.EarningsConfig(report_start=REPORT_START, as_of=AS_OF, covered_through=COVERED_THROUGH,
                               fy_start_year=1996, exempt_cohort=EXEMPT, cohort_map=COHORT_MAP)
     entries, _ = earn.clean_entries(_sources(t), _rich(t), cfg)
-    return entries.select(*earn.CANON_COLS, "source", "month")
+    return entries
+
+
+# ---------------------------------------------------------------- PIPE-8..13
+# The reports over those entries.  Dimension: eligible learners first, then all learners by
+# personal and by canonical e-mail; baseline: every fourth learner; two cohorts have a programme.
+PROGRAMMES = (("Cohort U", "Urgent lab"), ("Cohort H", "High lab"))
+
+_ALL_SQL = """
+cleaned AS (
+  SELECT prio, rowk, em, payment, o_orderdate, cohort, extra, etype2, ename, month FROM prev
+  UNION ALL SELECT prio, rowk, em, payment, o_orderdate, cohort, extra, etype2, ename, month FROM kept
+)"""
+_CHAIN = (m.LEARNERS_SQL, *_BASE_SQL, _ALL_SQL)
+_MONTHS_SQL = "fiscal AS (SELECT unnest([" + ", ".join(f"'{mo}'" for mo in rp.FY_MONTHS) + "]) AS month)"
+
+
+def _people(spark, t):
+    apps = reg.applications_to_use(m.applications(t), m.application_status(spark))
+    return reg.enrichment_dimension(m.learners(t), apps, m.cities(t), m.provinces(t), m.area_types(t))
+
+
+def _all_people(t):
+    metro = m.cities(t).select(F.col("id").alias("nearest_city"), F.col("name").alias("nearest_metro"))
+    return (m.learners(t).join(metro, "nearest_city", "left").drop("province")
+            .withColumnRenamed("id", "learner_id"))
+
+
+@query("earnings_demographics", m.with_ctes(*_CHAIN, """
+known AS (
+  SELECT l.id, l.email, l.umuzi_email, l.first_name, l.race, l.gender, l.date_of_birth, metro.n_name AS metro,
+    coalesce(l.umuzi_email, l.email) AS main_email,
+    (coalesce(l.is_south_african_citizen, FALSE) OR coalesce(l.nationality = 'South African', FALSE))
+      AND coalesce(NOT l.is_currently_employed AND NOT l.test_account, FALSE) AS eligible
+  FROM learners l LEFT JOIN nation metro ON metro.n_nationkey = l.nearest_city
+)""", """
+tiers AS (
+  SELECT 1 AS tier, main_email AS key, max(id) AS id FROM known WHERE eligible GROUP BY 2
+  UNION ALL SELECT 2, email, max(id) FROM known GROUP BY 2
+  UNION ALL SELECT 3, umuzi_email, max(id) FROM known GROUP BY 2
+)""", """
+matched AS (
+  SELECT key, arg_min(first_name, tier) FILTER (first_name IS NOT NULL) AS first_name,
+    arg_min(race, tier) FILTER (race IS NOT NULL) AS race, arg_min(gender, tier) FILTER (gender IS NOT NULL) AS gender,
+    arg_min(date_of_birth, tier) FILTER (date_of_birth IS NOT NULL) AS dob,
+    arg_min(metro, tier) FILTER (metro IS NOT NULL) AS metro, arg_min(known.id, tier) AS learner_id
+  FROM tiers JOIN known USING (id) WHERE key IS NOT NULL GROUP BY key
+)""", """
+once AS (
+  SELECT * FROM cleaned QUALIFY row_number() OVER (
+    PARTITION BY em, extra, etype2, ename, o_orderdate, payment ORDER BY prio, rowk) = 1
+)""", """
+aged AS (
+  SELECT *, CAST(floor(date_diff('day', CAST(dob AS DATE), CAST(o_orderdate AS DATE)) / 365) AS BIGINT) AS age
+  FROM once LEFT JOIN matched ON key = em
+)""", body="""
+SELECT em AS umuzi_email, payment, o_orderdate AS date_service_accessed, cohort, ename AS earning_opportunity_name,
+  CAST(learner_id AS DOUBLE) AS learner_id, first_name, race, gender, metro AS nearest_metro,
+  CAST(age AS DOUBLE) AS age_service_accessed,
+  CASE WHEN age <= 17 THEN '17 and below' WHEN age <= 25 THEN '18-25' WHEN age <= 35 THEN '26-35'
+       WHEN age > 35 THEN '36+' END AS age_range,
+  strftime(o_orderdate, '%B %Y') AS month_of_service_accessed
+FROM aged
+"""))
+def earnings_demographics(spark, sf_dir):
+    """PIPE-8 / JN-6 / DED-8: three-tier demographics with per-column fallback, one row per six columns."""
+    t = m.Tables(spark, sf_dir)
+    out = earn.demographics(_entries(spark, sf_dir), _people(spark, t), _all_people(t))
+    return out.select("umuzi_email", "payment", "date_service_accessed", "cohort", "earning_opportunity_name",
+                      F.col("learner_id").cast("double").alias("learner_id"), "first_name", "race", "gender",
+                      "nearest_metro", F.col("age_service_accessed").cast("double").alias("age_service_accessed"),
+                      "age_range", "month_of_service_accessed")
+
+
+def _shipped(spark, sf_dir):
+    """The stored summary and breakdown tables (PIPE-10, PIPE-11), opportunity numbers from the data."""
+    t = m.Tables(spark, sf_dir)
+    entries = stage_table(_entries(spark, sf_dir), "entries")
+    demo = earn.demographics(entries, _people(spark, t), _all_people(t))
+    baseline = _all_people(t).filter("learner_id % 4 = 0 AND umuzi_email IS NOT NULL").select("umuzi_email")
+    names = spark.createDataFrame(list(PROGRAMMES), "slug string, name string")
+    brk = earn.breakdown(entries, demo, baseline, names)
+    return stage_table(earn.summarized(entries), "summary"), stage_table(brk, "breakdown")
+
+
+_SHIPPED_KEYS = ("first_date", "Youth Count (1 vs Counted)", "Counted Y1", "Current Status", "cohort", "Programme",
+                 "earning_opportunity_type")
+
+
+@query("earnings_breakdown", m.with_ctes(*_CHAIN, """
+cells AS (
+  SELECT em, etype2, coalesce(cohort, 'Missing Cohort Info') AS cohort, month,
+    CAST(sum(CAST(payment AS DECIMAL(18,2))) AS DOUBLE) AS v, count(*) AS n
+  FROM cleaned GROUP BY ALL
+)""", """
+started AS (SELECT em, etype2, min(o_orderdate) AS first_date FROM cleaned GROUP BY ALL)""", """
+lines AS (
+  SELECT em, etype2, cohort, first_date, em IN (SELECT umuzi_email FROM learners WHERE id % 4 = 0 AND umuzi_email IS NOT NULL) AS old,
+    row_number() OVER (PARTITION BY em ORDER BY first_date, etype2, cohort) AS place
+  FROM (SELECT DISTINCT em, etype2, cohort FROM cells) JOIN started USING (em, etype2)
+)""", body="""
+SELECT em AS umuzi_email, first_date, CASE WHEN place = 1 AND NOT old THEN '1' ELSE 'Counted' END AS mark, old AS baseline,
+  CASE etype2 WHEN 'Placement' THEN 'Placement' ELSE 'Active' END AS status, cohort,
+  CASE cohort WHEN 'Cohort U' THEN 'Urgent lab' WHEN 'Cohort H' THEN 'High lab' ELSE 'Not Provided' END AS programme,
+  etype2 AS earning_opportunity_type, month, v, n
+FROM cells JOIN lines USING (em, etype2, cohort)
+"""))
+def earnings_breakdown(spark, sf_dir):
+    """PIPE-11 / RSH-4 / DED-9 / JN-8 / WIN-3: the shipped breakdown, its month columns unpivoted again."""
+    _, brk = _shipped(spark, sf_dir)
+    long = rp.breakdown_long(brk, keep=_SHIPPED_KEYS).filter("n > 0")
+    return long.groupBy("umuzi_email", "first_date", F.col(f"`{_SHIPPED_KEYS[1]}`").alias("mark"),
+                        F.col(f"`{_SHIPPED_KEYS[2]}`").alias("baseline"), F.col(f"`{_SHIPPED_KEYS[3]}`").alias("status"),
+                        "cohort", F.col("Programme").alias("programme"), "earning_opportunity_type", "month").agg(
+        F.sum(F.col("v").cast("decimal(18,2)")).cast("double").alias("v"), F.sum("n").alias("n"))
+
+
+@query("earnings_reconcile", m.with_ctes(*_CHAIN, _MONTHS_SQL, """
+sums AS (
+  SELECT month, CAST(sum(CAST(payment AS DECIMAL(18,2))) AS DOUBLE) AS v, count(*) AS n FROM cleaned GROUP BY month
+)""", body="""
+SELECT month, coalesce(v, 0.0) AS a_value, coalesce(v, 0.0) AS b_value, coalesce(n, 0) AS a_count, coalesce(n, 0) AS b_count,
+  CAST(0 AS DOUBLE) AS diff, TRUE AS ok
+FROM fiscal LEFT JOIN sums USING (month)
+"""))
+def earnings_reconcile(spark, sf_dir):
+    """PIPE-13 / REC-1 / AGG-13: the shipped summary against the shipped breakdown, month by month."""
+    summary, brk = _shipped(spark, sf_dir)
+    return earn.reconcile_tables(summary, brk).select("month", "a_value", "b_value", "a_count", "b_count", "diff", "ok")
+
+
+@query("earnings_learners", m.with_ctes(*_CHAIN, """
+known AS (
+  SELECT coalesce(umuzi_email, email) AS key, max(id) AS id FROM learners
+  WHERE (coalesce(is_south_african_citizen, FALSE) OR coalesce(nationality = 'South African', FALSE))
+    AND coalesce(NOT is_currently_employed AND NOT test_account, FALSE) GROUP BY 1
+)""", body="""
+SELECT em AS umuzi_email, l.id_number, l.gender, l.race, l.date_of_birth
+FROM (SELECT DISTINCT em FROM cleaned) LEFT JOIN known ON key = em LEFT JOIN learners l ON l.id = known.id
+"""))
+def earnings_learners(spark, sf_dir):
+    """PIPE-12 / JN-12: the summary's people with their row of the deduplicated dimension."""
+    t = m.Tables(spark, sf_dir)
+    dim = _people(spark, t)
+    out = earn.learner_demographics(earn.summarized(_entries(spark, sf_dir)), dim)
+    return out.select("umuzi_email", "id_number", "gender", "race", "date_of_birth")

@@ -108,8 +108,9 @@ def summary_long(summary: DataFrame, months=FY_MONTHS) -> DataFrame:
     return summary.select("umuzi_email", F.inline(F.array(*cells)))
 
 
-def breakdown_long(brk: DataFrame, months=FY_MONTHS) -> DataFrame:
-    """The breakdown as shipped, unpivoted: one (person, month, v, n) row per value and gig column pair."""
+def breakdown_long(brk: DataFrame, months=FY_MONTHS, keep=()) -> DataFrame:
+    """The breakdown as shipped, unpivoted: one (person, month, v, n) row per value and
+    gig column pair, with the columns ``keep``."""
     own, cells = set(brk.columns), []
     for mo in months:
         number = 1
@@ -122,9 +123,9 @@ def breakdown_long(brk: DataFrame, months=FY_MONTHS) -> DataFrame:
                 last -= 2
             number += 1
     if not cells:
-        return brk.select("umuzi_email", F.lit("").alias("month"), F.lit(0.0).alias("v"),
+        return brk.select("umuzi_email", *[F.col(f"`{c}`") for c in keep], F.lit("").alias("month"), F.lit(0.0).alias("v"),
                           F.lit(0).cast("bigint").alias("n")).limit(0)
-    return brk.select("umuzi_email", F.inline(F.array(*cells)))
+    return brk.select("umuzi_email", *[F.col(f"`{c}`") for c in keep], F.inline(F.array(*cells)))
 
 
 def partner_export(df: DataFrame, fy_start: int, drop=("umuzi_email",)) -> DataFrame:
