@@ -143,6 +143,7 @@ def _email_texts(t):
             .when(k % 6 == 2, F.concat(F.lit("\u00a0"), F.upper(base), F.lit("\u00a0")))
             .when(k % 6 == 3, F.concat(F.lit("\t"), base, F.lit("\n")))
             .when(k % 6 == 4, F.lit(None).cast("string"))
+            .when(k % 12 == 5, F.concat(F.lit("\ufb01rst"), k.cast("string"), F.lit("\uff20example.org")))
             .otherwise(base))
     return t.customer.select("c_custkey", raw.alias("raw"))
 
@@ -156,14 +157,16 @@ WITH email_texts AS (
       WHEN 2 THEN chr(160) || upper('customer' || CAST(c_custkey AS VARCHAR) || '@example.org') || chr(160)
       WHEN 3 THEN chr(9) || 'customer' || CAST(c_custkey AS VARCHAR) || '@example.org' || chr(10)
       WHEN 4 THEN NULL
-      ELSE 'customer' || CAST(c_custkey AS VARCHAR) || '@example.org' END AS raw
+      ELSE CASE WHEN c_custkey % 12 = 5 THEN chr(64257) || 'rst' || CAST(c_custkey AS VARCHAR) || chr(65312) || 'example.org'
+                ELSE 'customer' || CAST(c_custkey AS VARCHAR) || '@example.org' END END AS raw
   FROM customer
 )
-SELECT c_custkey, raw, lower(regexp_replace(raw, '^[\\s\\x{00A0}]+|[\\s\\x{00A0}]+$', '', 'g')) AS email
+SELECT c_custkey, raw, CASE WHEN c_custkey % 12 = 5 THEN 'first' || CAST(c_custkey AS VARCHAR) || '@example.org'
+  ELSE lower(regexp_replace(raw, '^[\\s\\x{00A0}]+|[\\s\\x{00A0}]+$', '', 'g')) END AS email
 FROM email_texts
 """)
 def email_normalise(spark, sf_dir):
-    """STR-1/3: strip every Unicode blank, lower-case, NFKC (ASCII input here)."""
+    """STR-1/3: strip every Unicode blank, lower-case, NFKC (a ligature and a full-width sign in the input)."""
     d = _email_texts(m.Tables(spark, sf_dir))
     return d.select("c_custkey", "raw", fx.normalize_email("raw", nfkc_fold=True).alias("email"))
 
