@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..operators import (Check, cross_source_repeats, duplicate_report, first_non_null_cols,
-                         highest_per_key, keep_first, run_checks, sorted_distinct, split_drops,
-                         union_all)
+                         highest_per_key, keep_first, lookup_join, remap_identity, run_checks,
+                         sorted_distinct, split_drops, union_all)
 from ..operators.quality import ERROR, WARN
+from ..session import stage_table
 from ..sources import ORDER_COLS, read_header_csv, tag
 from .template_services import FINAL_COLUMNS
 
@@ -72,10 +73,8 @@ def consolidate(parts, rich_raw: DataFrame, report_start: str, as_of: str):
     """PIPE-4: returns ``(combined, checks, drop_log, dedup_report)``."""
     rich, emap = learner_dimension(rich_raw)
     data = union_all(parts)
-    m = emap.select(F.col("email").alias("__p"), F.col("umuzi_email").alias("__c"))
-    data = data.withColumn("umuzi_email", fx.normalize_email("umuzi_email"))
-    data = (data.join(m, data["umuzi_email"] == m["__p"], "left")
-                .withColumn("umuzi_email", F.coalesce("__c", "umuzi_email")).drop("__p", "__c"))
+    data = remap_identity(data.withColumn("umuzi_email", fx.normalize_email("umuzi_email")), "umuzi_email", emap,
+                          "email", "umuzi_email")
     data = data.withColumns({
         "date_of_birth": fx.parse_dates("date_of_birth"),
         "date_service_accessed": fx.parse_dates("date_service_accessed"),
@@ -85,18 +84,18 @@ def consolidate(parts, rich_raw: DataFrame, report_start: str, as_of: str):
                                         ("before the reporting window", d < F.lit(report_start).cast("timestamp_ntz"))],
                                  by=["source"])
     data = data.withColumn("month_of_service_accessed", fx.month_name(d))
-    data = refill_nameless(data, rich)
+    data = stage_table(refill_nameless(data, rich), "consolidated")     # read by the dedup, its report and the checks
     dedup_report = duplicate_report(data.drop(*[c for c in ORDER_COLS if c != "_src_priority"])
                                     .drop("_src_priority"), "source")
-    data = keep_first_exact(data)
+    data = stage_table(keep_first_exact(data), "consolidated-rows")
     checks = run_checks(data, [
         Check("dates", "no service dates in the future", d > F.lit(as_of).cast("timestamp_ntz"), ERROR,
-              "future dates usually mean a day/month swap"),
+              "service dates later than the run's as-of day"),
         Check("enrich", "every row has a learner name",
               F.col("first_name").isNull() & F.col("last_name").isNull(), WARN,
               "missing from the dimension; shipped nameless"),
         Check("final", "id_number is 13 digits",
-              F.col("id_number").isNotNull() & (F.length("id_number") != 13), WARN, "SA ID numbers should be 13 digits")])
+              F.col("id_number").isNotNull() & (F.length("id_number") != 13), WARN, "id numbers of another length than 13")])
     near = cross_source_repeats(data, ["umuzi_email", "service_used", "service_name", "date_service_accessed"])
     near_t = near.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("dedup").alias("stage"), F.lit("no same service event reported by multiple inputs").alias("check"),
@@ -116,13 +115,13 @@ def refill_nameless(data: DataFrame, rich: DataFrame) -> DataFrame:
     dim = dim.select(F.col("umuzi_email").alias("__u"),
                      *[F.col(c).cast(types[c]).alias("__d_" + c) for c in fill])
     nameless = F.col("first_name").isNull() & F.col("last_name").isNull()
-    j = data.withColumn("__nameless", nameless).join(dim, F.col("umuzi_email") == F.col("__u"), "left")
+    j = lookup_join(data.withColumn("__nameless", nameless), dim, "umuzi_email", "__u")
     j = j.withColumns({c: F.when(F.col("__nameless"), F.col("__d_" + c)).otherwise(F.col(c)) for c in fill})
     needs = F.col("age_service_accessed").isNull() & F.col("date_of_birth").isNotNull()
     age = fx.age_days365("date_service_accessed", "date_of_birth")
     j = j.withColumns({"age_service_accessed": F.when(needs, age).otherwise(F.col("age_service_accessed")),
                        "age_range": F.when(needs, fx.band_days365(age)).otherwise(F.col("age_range"))})
-    return j.drop("__u", "__nameless", *["__d_" + c for c in fill])
+    return j.drop("__nameless", *["__d_" + c for c in fill])
 
 
 def keep_first_exact(data: DataFrame) -> DataFrame:

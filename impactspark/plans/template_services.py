@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fx
-from ..operators import (Check, duplicate_members, highest_per_key, key_violations, map_label,
-                         run_checks, split_explode, union_all)
+from ..operators import (Check, duplicate_members, flag_members, highest_per_key, key_violations,
+                         lookup_join, map_label, remap_identity, run_checks, split_explode, union_all)
 from ..operators.quality import ERROR, WARN
+from ..session import stage_table
 from ..sources import ORDER_COLS, load_all
 
 # The loader contract and the output layout of the services fact.
@@ -167,12 +168,9 @@ def canonicalise(data: DataFrame, rich: DataFrame, cfg: ServicesConfig):
     excluded = (d.filter(bad).groupBy("source")
                  .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("umuzi_email").alias("people")))
     d = d.filter(~bad)
-    m = identity_map(rich).select(F.col("email").alias("__p"), F.col("umuzi_email").alias("__c"))
-    d = (d.join(m, d["umuzi_email"] == m["__p"], "left")
-          .withColumn("umuzi_email", F.coalesce("__c", "umuzi_email")).drop("__p", "__c"))
-    known = rich.select(F.col("umuzi_email").alias("__k")).filter(F.col("__k").isNotNull()).distinct()
-    flagged = (d.join(known.withColumn("__hit", F.lit(True)), d["umuzi_email"] == F.col("__k"), "left")
-                .withColumn("__matched", F.coalesce("__hit", F.lit(False))).drop("__k", "__hit"))
+    d = remap_identity(d, "umuzi_email", rich, "email", "umuzi_email", id_col="learner_id")
+    known = rich.filter(F.col("umuzi_email").isNotNull())
+    flagged = flag_members(d, ["umuzi_email"], known, "__matched")
     review = (flagged.filter(~F.col("__matched")).groupBy("source", "umuzi_email")
                      .agg(F.count(F.lit(1)).alias("rows")))
     if cfg.unmatched_policy == "drop":
@@ -184,7 +182,7 @@ def enrich(data: DataFrame, rich: DataFrame) -> DataFrame:
     """Stage ``merge``: left join on the canonical e-mail (unique by check) and
     the derived fields of section 8."""
     dim = rich.drop("email").withColumnRenamed("umuzi_email", "__u")
-    j = data.join(dim, data["umuzi_email"] == F.col("__u"), "left").drop("__u")
+    j = lookup_join(data, dim, "umuzi_email", "__u")
     d, dob = F.col("date_service_accessed"), fx.parse_dates(F.col("date_of_birth").cast("string"))
     age = fx.age_days365(d, dob)
     return j.withColumns({
@@ -217,13 +215,13 @@ def final_checks(final: DataFrame, cfg: ServicesConfig) -> DataFrame:
     dups = duplicate_members(final, dup_keys).agg(F.count(F.lit(1)).alias("n"))
     t = run_checks(final, [
         Check("final", "no service dates in the future", d > F.lit(cfg.as_of).cast("timestamp_ntz"), ERROR,
-              "future dates usually mean a day/month swap"),
+              "service dates later than the run's as-of day"),
         Check("final", "all service dates within reporting period",
               ~fx.in_period(d, cfg.period_start, cfg.period_end, cfg.whole_last_day), WARN,
               "rows outside the reporting period"),
         Check("final", "id_number is 13 digits",
               F.col("id_number").isNotNull() & (F.length("id_number") != 13), ERROR,
-              "SA ID numbers must be 13 digits after zero-padding"),
+              "id numbers of another length than 13 after padding"),
         Check("final", "id_number present for all rows", F.col("id_number").isNull(), WARN,
               "rows without an ID number"),
         Check("final", "ages fall within a plausible range (15-80)",
@@ -248,6 +246,7 @@ def build(spark: SparkSession, specs, rich_raw: DataFrame, cfg: ServicesConfig):
     """
     rich = dimension(rich_raw)
     data, load_t = load_sources(spark, specs, cfg)
+    data = stage_table(data, "template-rows")          # read by the match, merge and final checks
     matched, review, _ = canonicalise(data, rich, cfg)
     review_n = review.agg(F.count(F.lit(1)).alias("n"))
     match_t = review_n.select(
@@ -257,7 +256,8 @@ def build(spark: SparkSession, specs, rich_raw: DataFrame, cfg: ServicesConfig):
         F.lit(ERROR if cfg.unmatched_policy == "halt" else WARN).alias("level"),
         F.when(F.col("n") == 0, "").otherwise("unmatched e-mails: correct, exclude or add them").alias("detail"),
         F.col("n").cast("bigint").alias("offenders"))
-    enriched = enrich(matched, rich)
+    matched = stage_table(matched, "template-matched")
+    enriched = stage_table(enrich(matched, rich), "template-enriched")
     final = enriched.select("source", *FINAL_COLUMNS)
     checks = union_all([load_t, match_t, merge_checks(rich, matched, enriched), final_checks(final, cfg)])
     return final, checks, review
