@@ -29,6 +29,6 @@ def query(name: str, sql: str | None = None):
 
 def load_all():
     """Import every query module (registration happens at import)."""
-    from . import (cleaning_queries, dedup_queries, earnings_queries,  # noqa: F401
+    from . import (cleaning_queries, consolidated_queries, dedup_queries, earnings_queries,  # noqa: F401
                    people_queries, report_queries)
     return QUERIES, ORACLE
