@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import released
+
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Merged pre-tokens in each of a worker's two memo generations, and the longest one kept.
@@ -204,6 +206,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
     shared = share(docs.sparkSession, path, pattern)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
 
+    @released
     def run(batches):
         codec = _codec(shared)
         for df in batches:
@@ -220,9 +223,28 @@ def decode(rows: DataFrame, path: str, ids: str = "token_ids", out: str = "decod
     shared = share(rows.sparkSession, path)
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.BinaryType())])
 
+    @released
     def run(batches):
         codec = _codec(shared)
         for df in batches:
             yield df.assign(**{out: pd.Series([codec.decode(x or b"") for x in df[ids]], index=df.index, dtype=object)})
 
     return rows.mapInPandas(run, schema)
+
+
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", out: str = "decoded",
+                      pattern: str = PATTERN) -> DataFrame:
+    """``encode`` and then ``decode`` of its ids in one worker: one vocabulary in memory instead of two."""
+    docs = docs.drop(*[c for c in (ids, out) if c in docs.columns])
+    shared = share(docs.sparkSession, path, pattern)
+    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(out, T.BinaryType())])
+
+    @released
+    def run(batches):
+        codec = _codec(shared)
+        for df in batches:
+            found = codec.encode([t if isinstance(t, str) else "" for t in df[text]])
+            yield df.assign(**{ids: pd.Series(found, index=df.index, dtype=object),
+                               out: pd.Series([codec.decode(x) for x in found], index=df.index, dtype=object)})
+
+    return docs.mapInPandas(run, schema)

@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import released
+
 #: Paths below this share of the page's mean score are dropped.
 SHARE = 0.1
 
@@ -215,6 +217,7 @@ def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFram
     names = [f.name for f in kept]
     source = pages.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{html}`"))
 
+    @released
     def run(batches):
         for df in batches:
             texts = [main_text(x) if isinstance(x, str) else "" for x in df[html]]

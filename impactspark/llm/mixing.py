@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, staged
+from .common import free_name, released, staged
 from .texthash import words
 
 MAX_ROWS, BUCKETS, MAX_DOMAINS = 8_000, 1 << 15, 256
@@ -74,6 +74,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", te
         return Memberships(["all"], np.zeros((BUCKETS, 1)))
     number = {d: k for k, d in enumerate(names)}
 
+    @released
     def count(batches):
         total = np.zeros((len(names), BUCKETS))
         for df in batches:
@@ -111,6 +112,7 @@ def _unfold(p: np.ndarray, history: list[np.ndarray], step: float, strength: flo
 
 def _sums(slim: DataFrame, history: list[np.ndarray], step: float, strength: float, least: float, size: int) -> np.ndarray:
     """``sum_i n_i rate_i p_id`` for each domain under the rates that the history gives."""
+    @released
     def run(batches):
         total = np.zeros(size)
         for df in batches:
@@ -175,6 +177,7 @@ class Solved:
         self.shared = shared = docs.sparkSession.sparkContext.broadcast(model)
         self.domains = model.domains
 
+        @released
         def weigh(batches):
             for df in batches:
                 n, p = shared.value.of(_texts(df["text"]))
@@ -190,6 +193,7 @@ class Solved:
             ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True))).fields])
         shared, solved, domains = self.shared, self.mix, self.domains
 
+        @released
         def rate(batches):
             named = np.array(domains, object)
             for df in batches:

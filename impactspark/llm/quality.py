@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import released, staged
 from .texthash import LOWER, SPACE, flatten, mix, span_hashes
 
 BITS = 18
@@ -152,6 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
     rows = (docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
             .join(F.broadcast(sample), "id"))  # at most max_rows slim rows
 
+    @released
     def extract(batches):
         for df in batches:
             f = features(_texts(df["text"]))
@@ -176,6 +177,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "
     kept = [f for f in docs.schema.fields if f.name not in (text, out)]
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2 MB, whatever the input
 
+    @released
     def run(batches):
         w = shared.value
         for df in batches:

@@ -42,8 +42,22 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> U(31))
 
 
+#: Bytes that are hashed at once (a longer word is hashed alone).
+WINDOW = 1 << 20
+
+
 def span_hashes(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each span ``flat[start:end]``."""
+    """Hash of each span ``flat[start:end]`` (in order, apart), a window of spans at a time."""
+    out, i = [np.empty(0, U)], 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + WINDOW, side="right")))
+        low, high = start[i], end[j - 1]
+        out.append(_hash_window(flat[low:high], start[i:j] - low, end[i:j] - low))
+        i = j
+    return np.concatenate(out)
+
+
+def _hash_window(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     up, down = (p[:len(flat)] for p in _power(max(1, len(flat))))
     with np.errstate(over="ignore"):
         total = np.concatenate([np.zeros(1, U), np.cumsum((flat.astype(U) + U(1)) * up)])

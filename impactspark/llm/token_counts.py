@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, staged
+from .common import free_name, released, staged
 
 CHUNK, OVERLAP = 32_768, 512
 #: Segments that a worker remembers in each of two generations, and the longest one it does.
@@ -147,6 +147,7 @@ def _counter(shared) -> Counter:
 def _count_whole(docs: DataFrame, shared, text: str, out: str) -> DataFrame:
     schema = T.StructType([*[f for f in docs.schema.fields if f.name != text], T.StructField(out, T.LongType())])
 
+    @released
     def run(batches):
         counter = _counter(shared)
         for df in batches:
@@ -158,6 +159,7 @@ def _count_whole(docs: DataFrame, shared, text: str, out: str) -> DataFrame:
 
 def _cut(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """``(digest, k, chunks, at, text)`` of each text's chunks with their overlaps."""
+    @released
     def run(batches):
         for df in batches:
             for digest, t in zip(df["digest"], df["text"], strict=True):
@@ -171,6 +173,7 @@ def _cut(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
 
 def _count_chunks(chunks: DataFrame, shared, chunk: int, overlap: int) -> DataFrame:
     """``(digest, k, chunks, first, last, n)``: the splice places in the text, null where none."""
+    @released
     def run(batches):
         counter = _counter(shared)
         for df in batches:

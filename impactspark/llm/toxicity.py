@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import released, staged
 from .texthash import shingle_sets
 
 #: Bounds of the fit: labelled rows of each label, lexicon terms, misspelled forms known as ordinary words.
@@ -46,7 +46,7 @@ LEAST_RATIO, LEAST_SHARE = 3.0, 0.01
 #: Tokens on either side of a hit that make up its context.
 WINDOW = 6
 #: Tokens that a worker remembers as clean, and states that one automaton keeps.
-MEMO, STATES = 400_000, 200_000
+MEMO, STATES = 150_000, 200_000
 THRESHOLD = 0.3
 
 #: Words that report what somebody else said, and quotation marks.
@@ -230,6 +230,7 @@ def _words(text: str) -> set[str]:
 
 def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
     """Terms with the logarithm of how much likelier they are in toxic rows; ``sample`` has text and label."""
+    @released
     def count(batches):
         seen: dict[str, list[int]] = {}
         for df in batches:
@@ -312,6 +313,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", do
     rows = (docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
             .join(F.broadcast(some), "id"))  # at most 2 * max_rows slim rows
 
+    @released
     def sketch(batches):
         for df in batches:
             sets = shingle_sets([t if isinstance(t, str) else "" for t in df["text"]])
@@ -324,6 +326,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", do
 
 def ordinary_forms(sample: DataFrame, terms: list[tuple[str, float]]) -> frozenset:
     """Forms within an edit of a term that clean rows hold (the most frequent ``MAX_ORDINARY``)."""
+    @released
     def run(batches):
         scanner = Scanner(terms)
         for df in batches:
@@ -348,6 +351,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     terms = learn_lexicon(sample)
     ordinary = ordinary_forms(sample, terms)
 
+    @released
     def run(batches):
         scanner = Scanner(terms, ordinary)
         for df in batches:
@@ -367,6 +371,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score",
     names = [f.name for f in kept]
     shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.ordinary, model.weights))
 
+    @released
     def run(batches):
         terms, ordinary, w = shared.value
         scanner = Scanner(terms, ordinary)
