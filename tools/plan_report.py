@@ -42,12 +42,12 @@ def main(argv=None):
     ap.add_argument("--sf", default="/root/testdata/sf0.1")
     args = ap.parse_args(argv)
 
-    import __spark_entry__ as entry
+    from impactspark.plans.catalog import load_all
     from impactspark.session import build_session
 
     spark = build_session("local[8]", 16)
     spark.sparkContext.setLogLevel("ERROR")
-    qs = entry.queries()
+    qs = load_all()[0]
     print(f"# Physical plans of the registered queries ({os.path.basename(args.sf)}, before run time)\n")
     print("Generated by `tools/plan_report.py`.  Exchanges = shuffles; partial top-1 = "
           "`WindowGroupLimit` before the shuffle.\n")
