@@ -5,11 +5,14 @@ its open block elements (names with class and id).  Per path the text length
 and the punctuation of all its blocks are added up and set against the
 number of blocks and of linked characters.  The two ratios are smoothed with
 those of the path's ancestors and descendants, fused by their geometric
-mean and scaled by the unlinked share of the path's own text; paths that
-fall below a share of the page's weighted mean are dropped.  What is never main text goes by its element, class or id: menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments.  When a page has an ``article`` or ``main`` element, only
-paths below one compete.
+mean and scaled by the unlinked share of the path's own text.  Paths that
+reach a share of the page's weighted mean choose the content: the deepest
+node that holds them all, or the ``article`` or ``main`` around it.  Below it
+every path stays whose text is not mostly links, so plain lists, tables and
+terms stay whatever the paragraphs beside them score.  What is never main
+text goes by its element, class or id: menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments.  When a page
+has an ``article`` or ``main`` element, only paths below one compete.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by one space.  Null or empty html and
@@ -21,6 +24,7 @@ an empty result.
 from __future__ import annotations
 
 import html as references
+import os.path
 import re
 from collections import defaultdict
 
@@ -31,8 +35,10 @@ from pyspark.sql import types as T
 
 from .common import released
 
-#: Paths below this share of the page's mean score are dropped.
+#: Paths from this share of the page's mean score on choose the content node.
 SHARE = 0.1
+#: Below that node only paths with a larger linked share than this are dropped.
+LINKED = 0.5
 
 #: Fixed values of HTML: elements by what they mean here.
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption "
@@ -58,6 +64,8 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I | re.S)
 _NAME = re.compile(r"[a-z]+")
+_HEADING = re.compile(r"/h[1-6](?:\[[^\]]*\])?$")
+_INSIDE = re.compile(r".*/(?:article|main)(?:\[[^\]]*\])?(?=/|$)", re.S)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
 
@@ -190,25 +198,41 @@ def _scores(blocks: list[tuple[str, str, int, bool]]) -> dict[str, float]:
             free = max(0.0, 1 - a / max(n, 1.0))
             text += weight * n / c * free
             marksum += weight * (m + 1) / c * free
-        free = 1.0 if re.search(r"/h[1-6](?:\[[^\]]*\])?$", path) else max(0.0, 1 - own[3] / max(own[0], 1.0))
+        free = 1.0 if _HEADING.search(path) else max(0.0, 1 - own[3] / max(own[0], 1.0))
         out[path] = (text * marksum) ** 0.5 * free
     return out
 
 
+def _kept(blocks: list[tuple[str, str, int, bool]]) -> set[str]:
+    """The paths that score well, and the mostly unlinked ones below the node that holds those."""
+    score = _scores(blocks)
+    size = sum(len(t) for _, t, _, _ in blocks)
+    mean = sum(score[p] * len(t) for p, t, _, _ in blocks) / size
+    good = {p for p in score if score[p] >= SHARE * mean}
+    steps = os.path.commonprefix([p.split("/")[:-1] for p in sorted(good)])
+    node = "/".join(steps)
+    around = _INSIDE.match(node)
+    node = around.group() if around else node
+    length, linked = defaultdict(int), defaultdict(int)
+    for path, text, links, _ in blocks:
+        length[path] += len(text)
+        linked[path] += min(links, len(text))
+    return good | {p for p in score if (p == node or p.startswith(node + "/"))
+                   and (linked[p] <= LINKED * length[p] or _HEADING.search(p))}
+
+
 def main_text(source: str | None) -> str:
     """The main text of one page."""
     if not source:
         return ""
     blocks = [b for b in Page(source).blocks if not b[3]]
-    inside = [b for b in blocks if re.search(r"/(?:article|main)(?:\[[^\]]*\])?(?:/|$)", b[0])]
+    inside = [b for b in blocks if _INSIDE.match(b[0])]
     if inside:
         blocks = inside
     if not blocks:
         return ""
-    score = _scores(blocks)
-    size = sum(len(t) for _, t, _, _ in blocks)
-    mean = sum(score[p] * len(t) for p, t, _, _ in blocks) / size
-    return " ".join(t for p, t, _, _ in blocks if score[p] >= SHARE * mean)
+    kept = _kept(blocks)
+    return " ".join(t for p, t, _, _ in blocks if p in kept)
 
 
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:

@@ -28,6 +28,21 @@ def test_main_text(source, text):
     assert H.main_text(source) == text
 
 
+def test_plain_lists_tables_and_terms_beside_long_paragraphs():
+    para = ("word " * 11 + "end, " + "more " * 10 + "end. ") * 3 + "last words of it, and so on."
+    lists = "<ul>" + "".join(f"<li>unpunctuated list item {k}</li>" for k in range(20)) + "</ul>"
+    table = "<table>" + "".join(f"<tr><td>cell {k} a</td><td>cell {k} b</td></tr>" for k in range(6)) + "</table>"
+    terms = "<dl>" + "".join(f"<dt>term {k}</dt><dd>its meaning {k}</dd>" for k in range(5)) + "</dl>"
+    links = "<ul class=more>" + "".join(f"<li><a href={k}>see also {k}</a></li>" for k in range(9)) + "</ul>"
+    want = ["Title", *[para.strip()] * 6, *[f"unpunctuated list item {k}" for k in range(20)],
+            *[f"cell {k} {c}" for k in range(6) for c in "ab"], *[x for k in range(5) for x in (f"term {k}", f"its meaning {k}")]]
+    inner = f"<h1>Title</h1>{f'<p>{para}</p>' * 6}{lists}{table}{terms}{links}"
+    for page in (f"<nav><a href=/>home</a></nav><article>{inner}</article>",
+                 f"<article><div class=text><h1>Title</h1>{f'<p>{para}</p>' * 6}</div>{lists}{table}{terms}{links}</article>",
+                 f"<body><nav>menu</nav><div class=text>{inner}</div><footer>end</footer></body>"):
+        assert H.main_text(page).split() == " ".join(want).split()
+
+
 def test_random_markup_never_fails():
     rng = random.Random(6)
     parts = ["<p>", "</p>", "<div class='ad'>", "</div>", "<a href=\"x>y\">", "</a>", "<!--", "-->", "<script>", "</script>",
