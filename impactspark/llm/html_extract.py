@@ -11,7 +11,9 @@ node that holds them all, or the ``article`` or ``main`` around it.  Below it
 every path stays whose text is not mostly links, so plain lists, tables and
 terms stay whatever the paragraphs beside them score.  What is never main
 text goes by its element, class or id: menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments.  When a page
+notices, adverts, forms, scripts, styles and reader comments.  A class or id
+does not count on what wraps the article or most of the page's text (see
+``Page._wrappers``).  When a page
 has an ``article`` or ``main`` element, only paths below one compete.
 
 Character references are decoded, white space inside a block becomes one
@@ -57,6 +59,11 @@ BAD = frozenset("ad ads advert adverts advertisement advertising adslot banner s
                 "popup modal comment comments commentlist reply replies disqus discussion share sharing social related "
                 "recommended newsletter subscribe subscription signup login search widget pagination pager toolbar "
                 "copyright legal disclaimer gdpr toc skip teaser".split())
+#: Words of BAD that name what readers wrote, and words that turn a name into a property of a wrapper.
+READERS = frozenset("comment comments commentlist reply replies disqus discussion".split())
+PROPERTY = frozenset("has with without no not".split())
+#: A wrapper leaves less than this share of its own text outside.
+OUTSIDE = 0.1
 #: Roles with the same meaning.
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
@@ -69,11 +76,12 @@ _INSIDE = re.compile(r".*/(?:article|main)(?:\[[^\]]*\])?(?=/|$)", re.S)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
 
-def _signs(attributes: str) -> tuple[bool, str]:
-    """Whether the attributes name something that is not main text, and the class and id for the path."""
+def _signs(attributes: str) -> tuple[bool, set[str], str]:
+    """Whether the attributes hide the element or give it such a role; the words of its class and id that name what
+    is not main text ("" for one that is only a property, as in has-sidebar); class and id for the path."""
     if not attributes.strip():
-        return False, ""
-    bad, label = False, []
+        return False, set(), ""
+    bad, named, label = False, set(), []
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = references.unescape(next((v for v in values if v), "")).lower()
         name = name.lower()
@@ -83,39 +91,74 @@ def _signs(attributes: str) -> tuple[bool, str]:
             bad |= value.strip() in ROLES
         elif name in ("class", "id"):
             label.append(value)
-            bad |= any(w in BAD for w in _NAME.findall(value.replace("_", "-")))
-    return bad, ".".join(label)
+            for part in value.split():
+                names = _NAME.findall(part)
+                named |= {"" if before in PROPERTY else w for before, w in zip(["", *names], names) if w in BAD or w == "header"}
+    return bad, named, ".".join(label)
 
 
 class Page:
-    """Blocks ``(path, text, linked characters, skipped, inside article)`` of one page."""
+    """Blocks ``(path, text, linked characters, skipped)`` of one page."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, str, int, bool]] = []
-        self.stack: list[tuple[str, bool, str]] = [("", False, "")]  # element, skipped, path
+        self.stack: list[tuple[str, bool, str, tuple[int, ...]]] = [("", False, "", ())]  # element, skipped, path, named
+        self.found: list[tuple[str, str, int, tuple[int, ...]]] = []  # blocks that no element, role or hidden skips
+        self.named: list[set[str]] = []  # the words of each element that its class or id names
+        self.holders: set[int] = set()  # those around an article or main
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
         self._read(source)
+        skipped = set(range(len(self.named))) - self._wrappers()
+        self.blocks = [(path, text, links, not skipped.isdisjoint(names)) for path, text, links, names in self.found]
+
+    def _wrappers(self) -> set[int]:
+        """Named elements that are the page's layout: they hold an article or main, or more than half of the text, and
+        either the name is only a property of theirs or next to no other text stands outside all named elements (none
+        for names of readers' comments); with an article or main outside those, only what is in it counts."""
+        if not self.named:
+            return set()
+        size = [0] * len(self.named)
+        for _, text, _, names in self.found:
+            for k in names:
+                size[k] += len(text)
+        half = sum(len(text) for _, text, _, _ in self.found) / 2
+        free = [b for b in self.found if not b[3]]
+        inside = [b for b in free if _INSIDE.match(b[0])]
+        length, linked = defaultdict(int), defaultdict(int)
+        for path, text, links, _ in inside or free:
+            if not _HEADING.search(path):
+                length[path] += len(text)
+                linked[path] += min(links, len(text))
+        outside = sum(n for path, n in length.items() if linked[path] <= LINKED * n)
+        return {k for k, words in enumerate(self.named) if (k in self.holders or size[k] > half) and (
+            words == {""} or outside <= (0 if words & READERS else OUTSIDE * size[k]))}
 
     def _flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, skipped, path = self.stack[-1]
-                self.blocks.append((path, text, self.linked, skipped))
+                _, skipped, path, names = self.stack[-1]
+                if not skipped:
+                    self.found.append((path, text, self.linked, names))
             self.parts = []
         self.linked = 0
 
     def _open(self, name: str, attributes: str) -> None:
-        bad, label = _signs(attributes)
-        _, skipped, path = self.stack[-1]
+        bad, words, label = _signs(attributes)
+        _, skipped, path, names = self.stack[-1]
         step = f"{name}[{label}]" if label else name
-        inside = any(n in ("article", "main") for n, _, _ in self.stack)
-        bad = bad and name not in ("html", "body", "main", "article")
-        head = not inside and (name == "header" or "header" in _NAME.findall(label))
-        skip = skipped or bad or head or name in SKIP
-        self.stack.append((name, skip, f"{path}/{step}" if name in BLOCK else path))
+        inside = any(n in ("article", "main") for n, _, _, _ in self.stack)
+        outer = name in ("html", "body", "main", "article")
+        if inside:
+            words.discard("header")
+        skip = skipped or bad and not outer or name == "header" and not inside or name in SKIP
+        if words and not outer and not skip:
+            names = (*names, len(self.named))
+            self.named.append(words)
+        if name in ("main", "article") and not skip:
+            self.holders.update(names)
+        self.stack.append((name, skip, f"{path}/{step}" if name in BLOCK else path, names))
 
     def _close(self, names: tuple[str, ...], until: frozenset | set = frozenset()) -> None:
         for k in range(len(self.stack) - 1, 0, -1):

@@ -43,6 +43,22 @@ def test_plain_lists_tables_and_terms_beside_long_paragraphs():
         assert H.main_text(page).split() == " ".join(want).split()
 
 
+@pytest.mark.parametrize("source,text", [
+    *((f"<body><nav>m</nav><div class='{c}'><article><p>{LONG}</p><div class=sidebar>no</div></article><div id=comments>no, no."
+       f"</div></div><footer>z", LONG)
+      for c in ("container has-sidebar", "with-comments", "no-banner", "sidebar", "page_sidebar-left", "fixed-header")),
+    (f"<p>Call us.<div class='wrap no-banner'><h1>Title</h1><p>{LONG}<p>{LONG}</div><div class=banner>{LONG}</div>",
+     f"Call us. Title {LONG} {LONG}"),
+    (f"<article><h1>Title</h1><div class='text share'><p>{LONG}</p></div><div class=share>no</div></article>", f"Title {LONG}"),
+    (f"<body class=fixed-header><div class='header'>no</div><p>{LONG}</p>", LONG),
+    (f"<article><p>{LONG}</p></article><div class=comments>{f'<article><p>{LONG}</p></article>' * 9}</div>", LONG),
+    (f"<main><p>{LONG}</p><div class=comments>{f'<article><p>{LONG}</p></article>' * 20}</div></main>", LONG),
+    (f"<div class=text><p>{LONG}</p></div><div id=comments>{f'<article><p>{LONG}</p></article>' * 20}</div>", LONG),
+])
+def test_class_words_of_wrappers(source, text):
+    assert H.main_text(source) == text
+
+
 def test_random_markup_never_fails():
     rng = random.Random(6)
     parts = ["<p>", "</p>", "<div class='ad'>", "</div>", "<a href=\"x>y\">", "</a>", "<!--", "-->", "<script>", "</script>",
