@@ -10,9 +10,14 @@ rates match the targets: regularised least squares
     1/2 sum_d (T_d - t_d)^2 / t_d + strength / 2 sum_i u_i (rate_i - 1)^2,
     T_d = sum_i u_i p_id rate_i,  u_i = tokens_i / all tokens,
 
-solved by projected gradient steps.  A step needs one sum of as many numbers
-as there are domains; the rates themselves are never stored or collected,
-each task unfolds them from the (short) history of gradients.
+solved over one price for each domain: the best rates are
+max(least, 1 - p_i price), and the prices follow by Newton steps with a line
+search, which converge alike for frequent and rare domains.  A step needs one
+sum of totals and curvature (a row for each domain); the rates themselves are
+never stored or collected, each task unfolds them from the prices.  Strength
+starts at ``STRENGTH`` and falls until every total is within ``TOLERANCE`` of
+the smallest target; targets that no rates meet, or that ``steps`` do not
+suffice for, are reported by a warning.
 
 The classifier is fitted on a bounded sample of labelled rows (``MAX_ROWS``,
 those with the smallest id hashes); memberships, totals and rates cover all
@@ -23,6 +28,8 @@ rates; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -104,69 +111,101 @@ def tempered(share: np.ndarray, power: float) -> np.ndarray:
 
 
 def _unfold(p: np.ndarray, history: list[np.ndarray], step: float, strength: float, least: float) -> np.ndarray:
-    rate = np.ones(len(p))
-    for g in history:
-        rate = np.maximum(least, rate - step * (p @ g + strength * (rate - 1)))
-    return rate
+    """Rates under the prices that the steps of ``history`` add up to (whatever the strength they were found for)."""
+    return np.maximum(least, 1 - step * (p @ np.sum(history, axis=0))) if history else np.ones(len(p))
 
 
 def _sums(slim: DataFrame, history: list[np.ndarray], step: float, strength: float, least: float, size: int) -> np.ndarray:
-    """``sum_i n_i rate_i p_id`` for each domain under the rates that the history gives."""
+    """A row for each domain d: ``sum_i n_i p_id p_ie`` over the rows whose rate can still fall, for each domain e,
+    and ``sum_i n_i rate_i p_id``."""
     @released
     def run(batches):
-        total = np.zeros(size)
+        total = np.zeros((size, size + 1))
         for df in batches:
             p = np.stack(df["p"]) if len(df) else np.zeros((0, size))
-            total += (df["n"].to_numpy(np.float64) * _unfold(p, history, step, strength, least)) @ p
-        yield pd.DataFrame([total], columns=[f"s{k}" for k in range(size)])
+            n, rate = df["n"].to_numpy(np.float64), _unfold(p, history, step, strength, least)
+            free = n * (rate > least) if history else n
+            total += np.column_stack([(p * free[:, None]).T @ p, (n * rate) @ p])
+        yield pd.DataFrame(total, columns=names).assign(domain=range(size))
 
-    names = [f"s{k}" for k in range(size)]
-    parts = slim.mapInPandas(run, ", ".join(f"{n} double" for n in names))
-    row = parts.agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names]).first()
-    return np.array(list(row), float)
+    names = [f"s{k}" for k in range(size + 1)]
+    parts = slim.mapInPandas(run, ", ".join(f"{n} double" for n in names) + ", domain int")
+    out = np.zeros((size, size + 1))
+    for r in parts.groupBy("domain").agg(*[F.sum(n).alias(n) for n in names]).collect():  # a row for each domain
+        out[r["domain"]] = list(r)[1:]
+    return out
 
 
 class Mix:
-    """What the solver found: shares, targets (as shares of all tokens) and the gradients' history."""
+    """What the solver found: shares, targets and reached totals (as shares of all tokens), the prices' steps, and
+    whether all targets are met within the tolerance."""
 
-    def __init__(self, domains, share, target, history, step, strength, least, reached):
+    def __init__(self, domains, share, target, history, step, strength, least, reached, met):
         self.domains, self.share, self.target, self.history = domains, share, target, history
-        self.step, self.strength, self.least, self.reached = step, strength, least, reached
+        self.step, self.strength, self.least, self.reached, self.met = step, strength, least, reached, met
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         return _unfold(p, self.history, self.step, self.strength, self.least)
 
 
 def solve(slim: DataFrame, domains: list[str], targets: dict[str, float] | None, power: float,
-          least: float = 0.0, steps: int = STEPS, strength: float = STRENGTH) -> Mix:
+          least: float = 0.0, steps: int = STEPS, strength: float | None = None) -> Mix:
     """Rates for ``slim`` (columns n, p).
 
     ``targets`` are weights by domain (None: the shares to the ``power``).
-    With ``least`` > 0 the total grows until every target can be met.
+    With ``least`` > 0 the total grows until every target can be met.  A given
+    ``strength`` is kept; None: ``STRENGTH``, less where the targets need it.
     """
-    size = len(domains)
-    total = _sums(slim, [], 0.0, strength, 0.0, size)
+    size, fixed = len(domains), strength is not None
+    strength = strength if fixed else STRENGTH
+
+    def look(history: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray | None]:
+        got = _sums(slim, history, 1.0, strength, least, size)
+        return (got[:, -1], got[:, :-1]) if got.ndim == 2 else (got, None)  # totals alone: secants give the curvature
+
+    total, bend = look([])
     n = max(total.sum(), 1.0)
     share = total / n
+    bend = np.diag(share) if (secant := bend is None) else bend / n
     target = tempered(share, power) if targets is None else np.array([targets.get(d, 0.0) for d in domains])
     target = target / target.sum() if target.sum() > 0 else share.copy()
     if least > 0:
         held = target > 0
         target = target * max(1.0, float((least * share[held] / target[held]).max(initial=0.0)))
-    scale = 1 / np.maximum(target, 1e-6)
-    # memberships sum to 1, so u-weighted curvature is at most the largest scale times share, summed
-    step = 1.0 / (float((scale * share).max(initial=1.0)) * 1.05 + strength)
-    history: list[np.ndarray] = []
-    reached = share
-    for _ in range(steps):
-        gap = reached - target
-        if np.abs(gap).max(initial=0.0) <= TOLERANCE * max(1e-9, float(target[target > 0].min(initial=1.0))):
+    weight = np.maximum(target, 1e-6)
+    near = TOLERANCE * max(1e-9, float(target[target > 0].min(initial=1.0)))
+    price, reached, best, met = np.zeros(size), share, None, False
+    while True:
+        slope = strength * weight * price + target - reached
+        while steps > 0 and np.abs(slope).max(initial=0.0) > 0.02 * near:
+            move = np.linalg.lstsq(bend + strength * np.diag(weight), -slope, rcond=None)[0]
+            down, length = abs(float(slope @ move)), 1.0
+            while True:
+                steps -= 1
+                reached, bent = look([price + length * move])
+                reached = reached / n
+                after = strength * weight * (price + length * move) + target - reached
+                if steps <= 0 or (up := float(after @ move)) <= 0.25 * down:
+                    break
+                length *= min(0.5, max(0.1, down / (down + up)))
+            if secant:  # BFGS, without the strength's part
+                s, y = length * move, after - slope - strength * weight * length * move
+                if s @ y > 1e-12 * (s @ s):
+                    bend = bend + np.outer(y, y) / (s @ y) - np.outer(bend @ s, bend @ s) / (s @ bend @ s)
+            else:
+                bend = bent / n
+            price, slope = price + length * move, after
+        # with a least rate, a domain may be over its target because no rate can fall further
+        off = float((target - reached if least > 0 else np.abs(reached - target)).max(initial=0.0))
+        met = bool(np.abs(reached - target).max(initial=0.0) <= near)
+        if fixed or off <= near or steps <= 0:
+            break
+        if best is not None and off > 0.5 * best[2]:
+            price, reached, _ = best  # no rates meet the targets; a lower strength makes them extreme, not nearer
             break
-        history.append(scale * gap)
-        before, reached = reached, _sums(slim, history, step, strength, least, size) / n
-        if np.abs(reached - before).max() <= 0.02 * TOLERANCE * float(target[target > 0].min(initial=1.0)):
-            break  # as near as the least rate allows
-    return Mix(domains, share, target, history, step, strength, least, reached)
+        best = price, reached, off
+        strength *= min(0.25, max(1e-3, 0.5 * near / off))
+    return Mix(domains, share, target, [price], 1.0, strength, least, reached, met)
 
 
 class Solved:
@@ -184,7 +223,10 @@ class Solved:
                 yield pd.DataFrame({"n": n, "p": list(p)})
 
         slim = docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(weigh, "n bigint, p array<double>")
-        self.mix = solve(staged(slim, "mix-slim"), model.domains, targets, power, least)
+        self.mix = m = solve(staged(slim, "mix-slim"), model.domains, targets, power, least)
+        if not m.met:
+            far = [(abs(r - t), f"{d} {r:.3g} for {t:.3g}") for d, r, t in zip(m.domains, m.reached, m.target, strict=True)]
+            warnings.warn(f"targets not met: {', '.join(x for _, x in sorted(far, reverse=True)[:5])}", stacklevel=4)
 
     def rated(self, docs: DataFrame, text: str, names: tuple[str, str, str, str]) -> DataFrame:
         """``docs`` with token count, likeliest domain, its membership and the rate under ``names``."""

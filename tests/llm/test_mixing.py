@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from impactspark.llm import mixing as M
 from impactspark.llm.common import prepare
@@ -60,6 +61,47 @@ def test_rates_minimise_the_stated_objective():
         assert cost(np.maximum(0, r + rng.normal(size=60) * 0.02)) >= best - 1e-4
 
 
+def solved_locally(monkeypatch, p, n, **given):
+    """The solver over arrays, with as many sums as it took."""
+    calls = []
+
+    def sums(slim, history, step, strength, least, size):
+        calls.append(history)
+        rate = M._unfold(p, history, step, strength, least)
+        free = n * (rate > least) if history else n
+        return np.column_stack([(p * free[:, None]).T @ p, (n * rate) @ p])
+
+    monkeypatch.setattr(M, "_sums", sums)
+    return M.solve(None, [f"d{k}" for k in range(p.shape[1])], None, **given), len(calls)
+
+
+def test_rare_domains_reach_their_targets(monkeypatch):
+    for small in (1e-3, 1e-4, 1e-6):
+        n = np.array([0.8, 0.15, 0.05 - small, small]) * 1e9
+        for given in ({"power": 0.5}, {"power": 0.0}, {"power": 0.7, "least": 1.0}):
+            solved, calls = solved_locally(monkeypatch, np.eye(4), n, **given)
+            assert solved.met and calls < 30, (small, given, calls)
+            assert np.abs(solved.reached / solved.target - 1).max() <= 1e-3, (small, given)
+
+
+def test_soft_and_unreachable_targets(monkeypatch):
+    rng = np.random.default_rng(2)
+    p = np.exp(rng.normal(size=(4000, 12)) * 4 + np.linspace(0, 9, 12))
+    p /= p.sum(axis=1, keepdims=True)
+    solved, calls = solved_locally(monkeypatch, p, rng.integers(1, 900, 4000).astype(float), power=0.5)
+    assert solved.met and calls < 60 and np.abs(solved.reached / solved.target - 1).max() <= 1e-3
+    solved, calls = solved_locally(monkeypatch, np.array([[0.6, 0.4], [0.7, 0.3]]), np.array([900.0, 90.0]), power=-3.0)
+    assert not solved.met and calls <= M.STEPS + 1
+
+
+def test_missed_targets_are_reported(spark):
+    prepare(spark)
+    mixed = docs(spark, ["red1 blue1"] * 4)
+    labelled = spark.createDataFrame([(0, "red"), (1, "blue")], "doc_id long, domain string")
+    with pytest.warns(UserWarning, match="targets not met"):
+        M.mix(mixed, labelled, {"red": 0.9, "blue": 0.1})
+
+
 def test_no_document_falls_below_the_least_rate(spark):
     prepare(spark)
     df, labelled, _ = corpus(spark)
