@@ -19,9 +19,10 @@ starts at ``STRENGTH`` and falls until every total is within ``TOLERANCE`` of
 the smallest target; targets that no rates meet, or that ``steps`` do not
 suffice for, are reported by a warning.
 
-The classifier is fitted on a bounded sample of labelled rows (``MAX_ROWS``,
-those with the smallest id hashes); memberships, totals and rates cover all
-documents.  Texts without words weigh nothing and get rate 1 (or
+The domains are those of all labelled rows that have a document; a target for
+another one is an error.  The classifier is fitted on a bounded sample of
+these rows (``MAX_ROWS``, dealt evenly over the domains and in each those with
+the smallest id hashes); memberships, totals and rates cover all documents.  Texts without words weigh nothing and get rate 1 (or
 ``least``); null domains are not learned from; repeated rows get equal
 rates; an empty table gives an empty result.
 """
@@ -64,21 +65,33 @@ class Memberships:
         return size, p / p.sum(axis=1, keepdims=True)
 
 
+def _parts(sizes: dict[str, int], rows: int) -> dict[str, float]:
+    """The part of each domain's rows to take: small domains whole, the others alike many, ``rows`` in all."""
+    out, left = {}, rows
+    for k, (d, n) in enumerate(sorted(sizes.items(), key=lambda x: x[1])):
+        out[d] = min(1.0, left / (len(sizes) - k) / n)
+        left -= out[d] * n
+    return out
+
+
 def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 domain: str = "domain", max_rows: int = MAX_ROWS) -> Memberships:
     """Learns the domains of ``labelled`` (``doc_id``, ``domain``) from a bounded sample of its rows."""
     known = labelled.select(F.col(doc_id).alias("id"), F.col(domain).cast("string").alias("domain")).where(
         "id is not null and domain is not null")
-    part = min(1.0, max_rows / max(1, known.count()))
-    some = known.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 20)) < int(part * (1 << 20)))
-    rows = staged(docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-                  .join(F.broadcast(some), "id").select("text", "domain"), "mix-sample")  # max_rows slim rows at most
-    names = [r["domain"] for r in rows.groupBy("domain").count().orderBy(F.col("count").desc(), "domain")
-             .limit(MAX_DOMAINS + 1).collect()]
+    known = staged(known.join(docs.select(F.col(f"`{doc_id}`").alias("id")), "id", "left_semi"), "mix-labelled")
+    sizes = {r["domain"]: r["count"] for r in known.groupBy("domain").count().orderBy(F.col("count").desc(), "domain")
+             .limit(MAX_DOMAINS + 1).collect()}
+    names = list(sizes)
     if len(names) > MAX_DOMAINS:
         raise ValueError(f"more than {MAX_DOMAINS} domains")
     if not names:
         return Memberships(["all"], np.zeros((BUCKETS, 1)))
+    top = 1 << 40
+    cut = F.create_map(*[F.lit(x) for d, part in _parts(sizes, max_rows).items() for x in (d, max(1, int(part * top)))])
+    some = known.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(top)) < cut[F.col("domain")])
+    rows = staged(docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+                  .join(F.broadcast(some), "id").select("text", "domain"), "mix-sample")  # max_rows slim rows at most
     number = {d: k for k, d in enumerate(names)}
 
     @released
@@ -164,6 +177,8 @@ def solve(slim: DataFrame, domains: list[str], targets: dict[str, float] | None,
         return (got[:, -1], got[:, :-1]) if got.ndim == 2 else (got, None)  # totals alone: secants give the curvature
 
     total, bend = look([])
+    if targets and total.sum() > 0 and (lost := sorted(set(targets) - set(domains))):
+        raise ValueError(f"targets without a domain: {lost}")
     n = max(total.sum(), 1.0)
     share = total / n
     bend = np.diag(share) if (secant := bend is None) else bend / n

@@ -102,6 +102,21 @@ def test_missed_targets_are_reported(spark):
         M.mix(mixed, labelled, {"red": 0.9, "blue": 0.1})
 
 
+def test_rare_domains_are_sampled_and_unknown_targets_raise(spark):
+    prepare(spark)
+    texts = [f"red{k % 30} red{k % 7}" for k in range(600)] + ["blue1 blue2 blue3", "blue1 blue3"]
+    df = docs(spark, texts)
+    labelled = spark.createDataFrame([(k, "red" if k < 600 else "blue") for k in range(602)] + [(9000, "gone")],
+                                     "doc_id long, domain string")
+    model = M.fit_domains(df, labelled, max_rows=20)
+    assert model.domains == ["red", "blue"]
+    assert (model.of(["blue2 blue3", "red1 red2"])[1].argmax(axis=1) == [1, 0]).all()
+    assert M._parts({"a": 1000, "b": 100, "c": 2}, 102) == {"c": 1.0, "b": 0.5, "a": 0.05}
+    with pytest.raises(ValueError, match="green"):
+        M.mix(df, labelled, {"red": 0.5, "green": 0.5})
+    assert M.mix(df.limit(0), labelled, {"red": 0.5, "green": 0.5})[0].count() == 0
+
+
 def test_no_document_falls_below_the_least_rate(spark):
     prepare(spark)
     df, labelled, _ = corpus(spark)
