@@ -2,7 +2,9 @@
 
 The lexicon is learned from labelled rows: words, and stems (prefixes that
 stand for every word they begin), whose document counts in toxic rows stand
-out by a likelihood-ratio test corrected for the number of terms tried.  All
+out by a likelihood-ratio test corrected for the number of terms tried, be
+they few or many of the toxic rows.  Words that clean rows hold as well, as
+quotations do, count for less; stems must be all but absent there.  All
 terms form one trie.  A state of the automaton is the set of (trie node,
 edits so far) pairs that a token's characters can have reached; states are
 made on first use and kept, so a token costs a table lookup a character and
@@ -41,8 +43,9 @@ from .texthash import shingle_sets
 #: Bounds of the fit: labelled rows of each label, lexicon terms, misspelled forms known as ordinary words.
 MAX_ROWS, MAX_TERMS, MAX_ORDINARY = 8_000, 4_000, 20_000
 STEMS = (4, 5, 6)
-#: Least logarithm of how much likelier a term is in toxic rows, and the least share of them that hold it.
-LEAST_RATIO, LEAST_SHARE = 3.0, 0.01
+#: Least logarithm of how much likelier a word is in toxic rows, the one from which it counts in full (the least of a
+#: stem), and the least number of toxic rows that hold a term.
+LEAST_RATIO, FULL_RATIO, LEAST_ROWS = 1.0, 3.0, 3
 #: Tokens on either side of a hit that make up its context.
 WINDOW = 6
 #: Tokens that a worker remembers as clean, and states that one automaton keeps.
@@ -201,7 +204,7 @@ class Scanner:
             if hit is None:
                 continue
             term, edits, form = hit
-            strength = min(1.0, self.lexicon.terms[term][1] / LEAST_RATIO)
+            strength = min(1.0, self.lexicon.terms[term][1] / FULL_RATIO)
             if self._quoted(tokens, i):
                 quoted += strength
             else:
@@ -257,10 +260,14 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
     a, b = F.col("toxic"), F.col("clean")
     part = lambda x, p: F.when(x > 0, x * F.log(x / ((a + b) * p))).otherwise(0.0)
     ratio = F.log(((a + 0.1) / (n1 + 1)) / ((b + 0.1) / (n0 + 1)))
+    least = F.when(F.col("term").endswith("*"), FULL_RATIO).otherwise(LEAST_RATIO)
     chosen = (total.withColumn("g", 2 * (part(a, share) + part(b, 1 - share))).withColumn("ratio", ratio)
-              .where((F.col("ratio") > LEAST_RATIO) & (F.col("g") > 2.4 * math.log(tried)) & (a >= LEAST_SHARE * n1))
-              .orderBy(F.col("g").desc(), "term").limit(MAX_TERMS).collect())
-    return _prune([(r["term"], int(r["toxic"]), float(r["ratio"])) for r in chosen])
+              .where((F.col("ratio") > least) & (F.col("g") > 2.4 * math.log(tried)) & (a >= LEAST_ROWS))
+              .orderBy(F.col("g").desc(), "term").limit((1 + len(STEMS)) * MAX_TERMS).collect())
+    order = {r["term"]: k for k, r in enumerate(chosen)}
+    kept = _prune([(r["term"], int(r["toxic"]), float(r["ratio"])) for r in chosen])
+    best = {t for t, _ in sorted(kept, key=lambda x: order[x[0]])[:MAX_TERMS]}
+    return [x for x in kept if x[0] in best]
 
 
 def _prune(terms: list[tuple[str, int, float]]) -> list[tuple[str, float]]:

@@ -116,6 +116,28 @@ def test_toxicity_learns_terms_and_catches_misspellings(spark):
     assert got[2] < X.THRESHOLD and got[0] < X.THRESHOLD and got[3] == got[4] < X.THRESHOLD
 
 
+def test_lexicon_keeps_rare_terms_of_large_samples_and_quoted_ones(spark):
+    prepare(spark)
+    rng = random.Random(4)
+    code = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k * 7919 % 100000:05d}")
+    rows = []
+    for i in range(12_000):
+        ws = [f"{rng.choice('klmn')}{rng.choice('aeiou')}{rng.choice('rst')}" for _ in range(12)] + [f"z{i}"]
+        toxic = i % 4 == 0
+        if toxic:  # 150 rare terms, each in 20 of 3,000 toxic rows (0.67%)
+            ws.insert(3, code(i // 4 % 150) + "ux")
+        if toxic and rng.random() < 0.3:
+            ws.insert(5, "scoundrel")
+        if not toxic and rng.random() < 0.02:
+            ws[5:5] = ["wrote", '"scoundrel"']
+        rows.append((i, " ".join(ws), int(toxic)))
+    sample = spark.createDataFrame(rows, "id long, text string, label int")
+    terms = dict(X.learn_lexicon(sample))
+    assert sum(any(w == t or t.endswith("*") and w.startswith(t[:-1]) for t in terms)
+               for w in (code(k) + "ux" for k in range(150))) == 150
+    assert X.LEAST_RATIO < terms["scoundrel"] < X.FULL_RATIO
+
+
 def test_toxicity_of_odd_tables(spark):
     prepare(spark)
     df, labels, _ = labelled(spark, 40)
