@@ -11,8 +11,9 @@ made on first use and kept, so a token costs a table lookup a character and
 most tokens die after a few.  Words of five letters or more match within one
 edit, from ten within two; stems and short words match exactly.
 
-Misspelled forms that clean labelled rows hold are ordinary words and match
-nothing.
+Misspelled forms that clean labelled rows hold (more than one, unless the form
+is all letters), and that are no likelier in toxic ones, are ordinary words and
+match nothing.
 
 A hit is scored in its context window: hits inside quotation marks or near
 reporting words count as quoted, the rest as abuse, misspelled ones a little
@@ -46,6 +47,9 @@ STEMS = (4, 5, 6)
 #: Least logarithm of how much likelier a word is in toxic rows, the one from which it counts in full (the least of a
 #: stem), and the least number of toxic rows that hold a term.
 LEAST_RATIO, FULL_RATIO, LEAST_ROWS = 1.0, 3.0, 3
+#: Least number of clean rows that make a form with digits or signs within reach of a term an ordinary word (plain
+#: words need one, as most of a language's words are rare), and of toxic rows that can show it to be likelier there.
+LEAST_ORDINARY = 2
 #: Tokens on either side of a hit that make up its context.
 WINDOW = 6
 #: Tokens that a worker remembers as clean, and states that one automaton keeps.
@@ -332,17 +336,27 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", do
 
 
 def ordinary_forms(sample: DataFrame, terms: list[tuple[str, float]]) -> frozenset:
-    """Forms within an edit of a term that clean rows hold (the most frequent ``MAX_ORDINARY``)."""
+    """Forms within an edit of a term that clean rows hold, unless ``LEAST_ORDINARY`` toxic rows or more show them to
+    be likelier there (the most frequent ``MAX_ORDINARY``)."""
     @released
     def run(batches):
         scanner = Scanner(terms)
         for df in batches:
-            found = [h[2] for t in df["text"] if isinstance(t, str)
-                     for w in set(t.lower().split()) if (h := scanner.look(w)) is not None and h[1]]
-            yield pd.DataFrame({"form": found}, dtype=object)
+            found = []
+            for text, label in zip(df["text"], df["label"], strict=True):
+                hits = map(scanner.look, set(text.lower().split()) if isinstance(text, str) else ())
+                found += [(form, label) for form in {h[2] for h in hits if h is not None and h[1]}]
+            yield pd.DataFrame(found, columns=["form", "label"]).astype({"form": object, "label": "int32"})
 
-    rows = sample.where("label = 0").select("text").mapInPandas(run, "form string")
-    top = rows.groupBy("form").count().orderBy(F.col("count").desc(), "form").limit(MAX_ORDINARY).collect()
+    if not terms:
+        return frozenset()
+    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    rows = sample.select("text", "label").mapInPandas(run, "form string, label int")
+    top = (rows.groupBy("form").agg(F.sum(1 - F.col("label")).alias("clean"), F.sum("label").alias("toxic"))
+           .where((F.col("clean") >= F.when(F.col("form").rlike(r"^\p{L}+$"), 1).otherwise(LEAST_ORDINARY))
+                  & ((F.col("toxic") < LEAST_ORDINARY)
+                     | (F.col("clean") * sizes.get(1, 0) >= F.col("toxic") * sizes.get(0, 0))))
+           .orderBy(F.col("clean").desc(), "form").limit(MAX_ORDINARY).collect())
     return frozenset(r["form"] for r in top)
 
 

@@ -138,6 +138,15 @@ def test_lexicon_keeps_rare_terms_of_large_samples_and_quoted_ones(spark):
     assert X.LEAST_RATIO < terms["scoundrel"] < X.FULL_RATIO
 
 
+def test_one_clean_row_does_not_make_a_misspelling_ordinary(spark):
+    prepare(spark)
+    rows = [(f"you sc0undrel {k}", 1) for k in range(5)] + [(f"an scoundrels {k}", 0) for k in range(3)]
+    rows += [("you scoundrol", 1), ("a scoundrol", 1), ("he wrote sc0undrel", 0), ("scoundrol", 0), ("it is sco*ndrel sco*ndrel", 0)] + [(f"plain {k}", 0) for k in range(20)]
+    sample = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, text string, label int")
+    assert X.ordinary_forms(sample, [("scoundrel", 5.0)]) == {"scoundrels"}
+    assert X.ordinary_forms(sample, []) == frozenset()
+
+
 def test_toxicity_of_odd_tables(spark):
     prepare(spark)
     df, labels, _ = labelled(spark, 40)
