@@ -116,3 +116,9 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def read_bytes(path: str) -> bytes:
+    """A small file on the driver, such as a tokenizer's vocabulary."""
+    with open(path, "rb") as f:
+        return f.read()

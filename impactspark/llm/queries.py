@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import (bpe_codec, embedding_dedup, exact_dedup, html_extract, mixing, ngram_join, quality,
-               secret_scan, token_counts, toxicity)
+               secret_scan, token_alignment, token_counts, toxicity)
 from .common import prepare, read, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,6 +183,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).docs
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     return corpus_pipeline.run(spark, sf_dir)
