@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import (bpe_codec, embedding_dedup, exact_dedup, html_extract, mixing, ngram_join, quality,
-               secret_scan, token_alignment, token_counts, toxicity)
+from . import (bpe_codec, embedding_dedup, exact_dedup, html_extract, importance_sampling, mixing, ngram_join,
+               quality, secret_scan, token_alignment, token_counts, toxicity)
 from .common import prepare, read, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,6 +190,51 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).docs
 
 
+_GRAMS = """
+  SELECT {key} AS id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM {table}"""
+
+
+@query("op12_importance_sampling", f"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS c),
+d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+own AS ({_GRAMS.format(key="doc_id", table="d")}),
+target AS ({_GRAMS.format(key="item_id", table="b")}),
+seen AS (SELECT DISTINCT f, hex(f) AS x FROM (SELECT f FROM own UNION SELECT f FROM target)),
+coded AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT)),
+    lambda v, y: xor(v // 256, c[1 + xor(v, y) % 256])), 4294967295) % 10000 AS bucket FROM seen, crc),
+s AS (SELECT bucket, count(*) AS s FROM own JOIN coded USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM target JOIN coded USING (f) GROUP BY bucket),
+g AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM own) + 10000)
+    / ((s + 1)::DOUBLE * ((SELECT count(*) FROM target) + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+m AS (
+  SELECT id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM own JOIN coded USING (f) JOIN g USING (bucket) GROUP BY id),
+scored AS (
+  SELECT doc_id, len(w) AS words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+  FROM d LEFT JOIN m ON doc_id = id),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k FROM scored WHERE words >= 20)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN k <= 25 * (SELECT count(*) FROM r) // 100 THEN k END AS rank
+FROM scored LEFT JOIN r USING (doc_id)
+""")
+def op12_importance_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn towards the benchmark's distribution of words and word pairs."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance_sampling.resample(docs, read(spark, sf_dir, "benchmark"))
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     return corpus_pipeline.run(spark, sf_dir)
