@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import (bpe_codec, embedding_dedup, exact_dedup, html_extract, importance_sampling, mixing, ngram_join,
-               quality, secret_scan, token_alignment, token_counts, toxicity)
+               pii_extraction, quality, secret_scan, token_alignment, token_counts, toxicity)
 from .common import prepare, read, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -235,6 +235,12 @@ def op12_importance_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_sampling.resample(docs, read(spark, sf_dir, "benchmark"))
 
 
+@query("op13_pii_extraction")
+def op13_pii_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base patterns, and what contexts of theirs discover."""
+    return pii_extraction.extract(read(spark, sf_dir, "documents").select("doc_id", "text")).docs
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     return corpus_pipeline.run(spark, sf_dir)
