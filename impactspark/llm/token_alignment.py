@@ -16,6 +16,9 @@ at each cut the two tokens that end there are linked.
    vocabularies and are broadcast; a document's links then meet the counts of
    the map without a shuffle and those of pairs in its block.
 
+Where the merges of A are proven to be those of its ranks (``merge_ranks``), a
+faster library for rank files encodes that side; the ids are the same.
+
 Long texts are encoded in segments.  Before a single space between two
 visible ASCII characters A always starts a token (see ``token_counts``), and
 so does B if no piece holds a space after another character, which is proven
@@ -30,6 +33,7 @@ an empty result and no pairs.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -42,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe_codec import PATTERN
 from .common import free_name, read_bytes, released, staged
 from .token_counts import read_tokenizer
 
@@ -93,17 +98,54 @@ def identity_map(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return np.array([at.get(x, -1) if x else -1 for x in a], np.int64)
 
 
+@functools.lru_cache(maxsize=2)
+def merge_ranks(spec: str) -> dict[bytes, int] | None:
+    """The vocabulary of a byte-level tokenizer as ranks, or None if merging by rank could differ from its merges.
+
+    It can't if ids follow the order of the merges and the bytes of each
+    merge's product, merged by lower ranks alone, end as that merge's two
+    parts: what stands beside these bytes in a text never merged with them
+    then, so the two parts are what a text shows, too.
+    """
+    model, of = json.loads(spec)["model"], byte_of_char()
+    if model.get("type") != "BPE" or model.get("ignore_merges") or model.get("dropout") or not set(of) <= set(model["vocab"]):
+        return None
+    raw = lambda s: bytes(of.get(c, 0) for c in s)
+    ranks = {raw(s): i for s, i in model["vocab"].items() if all(c in of for c in s)}
+    last = max(ranks[bytes([b])] for b in range(256))
+    for merge in model["merges"]:
+        left, right = map(raw, merge if isinstance(merge, list) else merge.split(" "))
+        rank = ranks.get(left + right, -1)
+        if rank <= last:
+            return None
+        last = rank
+        parts = [bytes([b]) for b in left + right]
+        while len(parts) > 2:
+            low, k = min((ranks.get(x + y, rank), k) for k, (x, y) in enumerate(zip(parts, parts[1:], strict=False)))
+            if low >= rank:
+                break
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+        if parts != [left, right]:
+            return None
+    return ranks if len(ranks) == 256 + len(model["merges"]) else None
+
+
 class Pair:
     """Both tokenizers inside a worker."""
 
-    def __init__(self, spec: str, model: bytes):
+    def __init__(self, spec: str, model: bytes, ranks: dict[bytes, int] | None = None):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(spec)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        if ranks is None:
+            self.a = Tokenizer.from_str(spec)
+            self.a.no_truncation()
+            self.a.no_padding()
+            self.a.encode_special_tokens = True
+        else:
+            self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.lossless = ranks is not None  # every byte has an id, and ids only join bytes
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.bytes_a, self.bytes_b = bytes_a(spec), bytes_b(model)
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
@@ -135,20 +177,24 @@ class Pair:
         b: list[list] = [[] for _ in texts]
         for i in range(0, len(parts), 64):
             some = parts[i:i + 64]
-            for k, e, ids in zip(owner[i:i + 64], self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False),
-                                 self.b.encode(some, num_threads=1), strict=True):
-                a[k].append(np.array(e.ids, np.int64))
-                b[k].append(np.array(ids, np.int64))
+            for k, left, right in zip(owner[i:i + 64], self._ids_a([" " + p for p in some]), self.b.encode(some, num_threads=1), strict=True):
+                a[k].append(np.array(left, np.int64))
+                b[k].append(np.array(right, np.int64))
         out = []
         for t, x, y in zip(texts, a, b, strict=True):
             x, y = np.concatenate([none, *x]), np.concatenate([none, *y])
             if len(x):
                 raw = b" " + t.encode("utf-8", "surrogatepass")
-                if self._spelt(self.bytes_a, x) != raw or self._spelt(self.bytes_b, y) != raw:
+                if self._spelt(self.bytes_b, y) != raw or not (self.lossless or self._spelt(self.bytes_a, x) == raw):
                     x = y = none
             out.append((x, y))
         return out
 
+    def _ids_a(self, texts: list[str]) -> list:
+        if self.lossless:
+            return [self.ranked.encode_to_numpy(t, disallowed_special=()) for t in texts]
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
     @staticmethod
     def _spelt(table: list[bytes], ids: np.ndarray) -> bytes:
         return b"".join(map(table.__getitem__, ids.tolist()))
@@ -292,11 +338,11 @@ _PAIRS: dict[int, Pair] = {}
 
 
 def _pair(shared) -> Pair:
-    spec, model = shared.value
+    spec, model, ranks = shared.value
     key = hash((spec, model))
     if key not in _PAIRS:
         _PAIRS.clear()
-        _PAIRS[key] = Pair(spec, model)
+        _PAIRS[key] = Pair(spec, model, ranks)
     return _PAIRS[key]
 
 
@@ -355,7 +401,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text") -> Alig
     """Align both tokenizers on every text; see the module's docstring."""
     spark = docs.sparkSession
     spec, model = read_tokenizer(path_a), read_bytes(path_b)
-    shared = spark.sparkContext.broadcast((spec, model))
+    shared = spark.sparkContext.broadcast((spec, model, merge_ranks(spec)))
     taken = {c.lower() for c in RESULT}
     kept = [c for c in docs.columns if c != text and c.lower() not in taken]
     inner = docs.select(*[F.col(f"`{c}`") for c in kept])

@@ -117,6 +117,27 @@ def test_segments_and_small_blocks_change_nothing(spark, libraries, monkeypatch)
     assert got == dict(enumerate(want))
 
 
+def test_ranks_replace_merges_only_where_proven(libraries):
+    spec = open(PATH_A, encoding="utf-8").read()
+    ranks = A.merge_ranks(spec)
+    assert ranks and len(ranks) == 50_256
+    model = open(PATH_B, "rb").read()
+    fast, slow = A.Pair(spec, model, ranks), A.Pair(spec, model)
+    texts = [*odd_texts(8, 300), *["".join(map(chr, range(k, k + 64))) for k in range(0, 0xD800, 64)]]
+    for x, y in zip(fast.encode(texts), slow.encode(texts), strict=True):
+        assert (x[0] == y[0]).all() and (x[1] == y[1]).all()
+    other = json.loads(spec)
+    merges = other["model"]["merges"]
+    merges[10], merges[11] = merges[11], merges[10]
+    assert A.merge_ranks(json.dumps(other)) is None, "ids out of the merges' order"
+    small = {chr_: i for i, chr_ in enumerate(A.byte_of_char())}
+    small |= {"bc": 256, "ab": 257, "abc": 258}
+    bpe = {"model": {"type": "BPE", "vocab": small, "merges": [["b", "c"], ["a", "b"], ["ab", "c"]]}}
+    assert A.merge_ranks(json.dumps(bpe)) is None, "a product whose bytes merge another way"
+    bpe["model"]["merges"][2] = ["a", "bc"]
+    assert len(A.merge_ranks(json.dumps(bpe))) == 259
+
+
 def test_blocks_close_when_full():
     block = A._Block(3)
     at, n = block.add(A.np.array([5, 9, 5]))
