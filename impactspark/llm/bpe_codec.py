@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import released
+from .common import released, without
 
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -201,8 +201,7 @@ def share(spark, path: str, pattern: str = PATTERN):
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", pattern: str = PATTERN) -> DataFrame:
     """``docs`` with ``ids``: the token ids of the whole text, little-endian unsigned 32-bit, as binary."""
-    if ids in docs.columns:
-        docs = docs.drop(ids)
+    docs = without(docs, ids, keep=(text,))
     shared = share(docs.sparkSession, path, pattern)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
 
@@ -218,8 +217,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
 
 def decode(rows: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """``rows`` with ``out``: the bytes that the ids stand for (null ids: no bytes)."""
-    if out in rows.columns:
-        rows = rows.drop(out)
+    rows = without(rows, out, keep=(ids,))
     shared = share(rows.sparkSession, path)
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.BinaryType())])
 
@@ -235,7 +233,7 @@ def decode(rows: DataFrame, path: str, ids: str = "token_ids", out: str = "decod
 def encode_and_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", out: str = "decoded",
                       pattern: str = PATTERN) -> DataFrame:
     """``encode`` and then ``decode`` of its ids in one worker: one vocabulary in memory instead of two."""
-    docs = docs.drop(*[c for c in (ids, out) if c in docs.columns])
+    docs = without(docs, ids, out, keep=(text,))
     shared = share(docs.sparkSession, path, pattern)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(out, T.BinaryType())])
 

@@ -122,3 +122,9 @@ def read_bytes(path: str) -> bytes:
     """A small file on the driver, such as a tokenizer's vocabulary."""
     with open(path, "rb") as f:
         return f.read()
+
+
+def without(df: DataFrame, *names: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` without the columns of these names in any case (``keep`` stay): what a result replaces."""
+    gone = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in keep or c.lower() not in gone])

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import released
+from .common import released, without
 
 #: Paths from this share of the page's mean score on choose the content node.
 SHARE = 0.1
@@ -280,7 +280,8 @@ def main_text(source: str | None) -> str:
 
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
     """``pages`` without ``html``, with ``out``: the main text of each page."""
-    kept = [f for f in pages.schema.fields if f.name not in (html, out)]
+    pages = without(pages, out, keep=(html,))
+    kept = [f for f in pages.schema.fields if f.name != html]
     names = [f.name for f in kept]
     source = pages.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{html}`"))
 

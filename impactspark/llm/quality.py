@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import released, staged
+from .common import released, staged, without
 from .texthash import LOWER, SPACE, flatten, mix, span_hashes
 
 BITS = 18
@@ -174,7 +174,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` without ``text``, with ``out``: the probability of label 1."""
-    kept = [f for f in docs.schema.fields if f.name not in (text, out)]
+    docs = without(docs, out, keep=(text,))
+    kept = [f for f in docs.schema.fields if f.name != text]
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2 MB, whatever the input
 
     @released

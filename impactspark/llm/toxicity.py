@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import released, staged
+from .common import released, staged, without
 from .texthash import shingle_sets
 
 #: Bounds of the fit: labelled rows of each label, lexicon terms, misspelled forms known as ordinary words.
@@ -388,7 +388,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", keep_text: bool = False) -> DataFrame:
     """``docs`` (without ``text`` unless kept) with ``out``: the probability that the text is toxic."""
-    kept = [f for f in docs.schema.fields if f.name != out and (keep_text or f.name != text)]
+    docs = without(docs, out, keep=(text,))
+    kept = [f for f in docs.schema.fields if keep_text or f.name != text]
     names = [f.name for f in kept]
     shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.ordinary, model.weights))
 
