@@ -56,7 +56,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids, back = "token_ids", free_name(docs, "decoded")
     coded = bpe_codec.encode_and_decode(docs, path, ids=ids, out=back)
     same = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col(back)
-    return coded.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_tokens", ids, "round_trip")],
+    return coded.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_tokens", ids, "round_trip")],
                         F.expr(f"cast(octet_length({ids}) / 4 as bigint)").alias("n_tokens"), ids,
                         same.alias("round_trip"))
 
