@@ -11,10 +11,9 @@ cut without such a place in the overlap fails to align; its document is
 encoded again with wider overlaps and chunks until all cuts align (at the
 widest it is one chunk).
 
-Shorter texts are encoded in one piece.  There, the same boundaries (and the
-one between an ASCII letter or digit and a comma or full stop) cut a text
-into segments whose counts a worker remembers, so that a segment met before
-is not encoded again.
+Shorter texts are encoded in one piece.  Where the merges are proven to be
+those of the ranks (``rank_merges``) the faster library for rank files
+encodes, otherwise the tokenizer's own; the tokens are the same.
 
 Null texts count as empty (0 tokens); each row gives one row, extra columns
 are kept; an empty table gives an empty result.
@@ -23,6 +22,7 @@ are kept; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
@@ -31,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, released, staged
+from .bpe_codec import PATTERN
+from .common import free_name, released, staged, without
+from .rank_merges import merge_ranks
 
 CHUNK, OVERLAP = 32_768, 512
-#: Segments that a worker remembers in each of two generations, and the longest one it does.
-MEMO, MEMO_CHARS = 250_000, 64
+#: Short texts that are encoded together.
+TOGETHER = 32
 
-_SEGMENT = re.compile(r"(?<=[!-~])(?= [!-~])|(?<=[A-Za-z0-9])(?=[,.])")
 _STABLE = re.compile(r"(?<=[!-~]) (?=[!-~])")
 
 
@@ -57,58 +58,50 @@ def read_tokenizer(path: str) -> str:
     return text
 
 
+def special_tokens(spec: str) -> dict[str, int] | None:
+    """The strings that stand for a token of their own, or None if they are not plain ones that only one rule can find."""
+    added = json.loads(spec).get("added_tokens", ())
+    names = [t["content"] for t in added]
+    plain = all(t.get("special") and not t.get("single_word") for t in added)
+    apart = not any(x != y and y.startswith(x) for x in names for y in names)
+    return {t["content"]: t["id"] for t in added} if plain and apart and all(names) else None
+
+
 class Counter:
-    """Counts by one tokenizer inside a worker."""
+    """Counts by one tokenizer inside a worker; ``ranks`` are given where they are proven to give the same tokens."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, ranks: dict[bytes, int] | None = None):
+        self.ranked, special = None, special_tokens(spec)
+        if ranks is not None and special is not None:
+            import tiktoken
+
+            self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+            sizes = {i: len(x) for x, i in ranks.items()} | {i: len(x.encode()) for x, i in special.items()}
+            self.size = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)], np.int64)
+            return
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, int] = {}
-        self.older: dict[str, int] = {}
-
-    def starts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end offsets of the tokens of a text."""
-        spans = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
-        return spans[:, 0], spans[:, 1]
-
-    def _learn(self, segments: list[str]) -> dict[str, int]:
-        """Counts of inner segments, encoded as one text between copies of " a".
-
-        Every segment starts and ends at a stable boundary there too.
-        """
-        if not segments:
-            return {}
-        size = np.fromiter(map(len, segments), np.int64, len(segments))
-        first, _ = self.starts("a" + " a".join(segments))
-        at = 1 + np.concatenate([[0], np.cumsum(size + 2)])
-        counts = np.diff(np.searchsorted(first, at)) - 1
-        counts[-1] += 1  # no " a" after the last one
-        return dict(zip(segments, counts.tolist(), strict=True))
 
     def whole(self, texts: list[str]) -> list[int]:
         """Token counts of texts, each encoded as a whole."""
-        cut = [_SEGMENT.split(t) for t in texts]
-        inner = set().union(*[c[1:-1] for c in cut])
-        memo, older = self.memo, self.older
-        known, unknown = {}, []
-        for s in inner:
-            n = memo.get(s) or older.get(s)
-            if n is None:
-                unknown.append(s)
-            else:
-                known[s] = n
-        fresh = self._learn(unknown)
-        known.update(fresh)
-        if len(memo) >= MEMO:
-            self.memo, self.older = {}, memo
-        self.memo.update((s, n) for s, n in known.items() if len(s) <= MEMO_CHARS)
-        ends = [s for c in cut for s in (c if len(c) == 1 else (c[0], c[-1]))]
-        edge = iter([len(e) for e in self.tokenizer.encode_batch_fast(ends, add_special_tokens=False)])
-        return [next(edge) if len(c) == 1 else next(edge) + next(edge) + sum(map(known.__getitem__, c[1:-1]))
-                for c in cut]
+        if self.ranked is not None:
+            return [len(self.ranked.encode_to_numpy(t, allowed_special="all")) for t in texts]
+        return [len(e) for k in range(0, len(texts), TOGETHER)
+                for e in self.tokenizer.encode_batch_fast(texts[k:k + TOGETHER], add_special_tokens=False)]
+
+    def starts(self, text: str) -> np.ndarray:
+        """Byte offset of the start of each token of a text, and of its end."""
+        raw = np.zeros(1, np.int64)
+        if self.ranked is not None:
+            return np.concatenate([raw, np.cumsum(self.size[self.ranked.encode_to_numpy(text, allowed_special="all")])])
+        coded = self.tokenizer.encode(text, add_special_tokens=False)
+        chars = np.array([b for _, b in coded.offsets], np.int64)  # a token's end; what starts there may leave out a space
+        size = np.fromiter((len(c.encode("utf-8", "surrogatepass")) for c in text), np.int64, len(text))
+        return np.concatenate([raw, np.concatenate([raw, np.cumsum(size)])[chars]])
 
     def chunk(self, text: str, left: tuple[int, int], right: tuple[int, int]) -> tuple[int, int, int]:
         """Splice places (relative, -1: none) in the two overlaps and the tokens between them.
@@ -116,31 +109,33 @@ class Counter:
         ``left`` and ``right`` are the ranges to look in; an empty range at a
         text's end stands for that end itself.
         """
-        first, last = self.starts(text)
-        a = 0 if left[0] == left[1] == 0 else self._stable(text, first, last, *left)
-        b = len(text) if right[0] == right[1] == len(text) else self._stable(text, first, last, *right)
-        if a < 0 or b < 0:
-            return a, b, 0
-        return a, b, int(np.searchsorted(first, b) - np.searchsorted(first, a))
-
-    def _stable(self, text: str, first: np.ndarray, last: np.ndarray, low: int, high: int) -> int:
+        starts = self.starts(text)
+        a, first = (0, 0) if left[0] == left[1] == 0 else self._stable(text, starts, *left)
+        b, last = (len(text), len(starts) - 1) if right[0] == right[1] == len(text) else self._stable(text, starts, *right)
+        return a, b, last - first if a >= 0 and b >= 0 else 0
+
+    @staticmethod
+    def _stable(text: str, starts: np.ndarray, low: int, high: int) -> tuple[int, int]:
+        """The first stable boundary in the range where a token starts in this encoding, and the tokens before it."""
+        at, byte = 0, 0
         for m in _STABLE.finditer(text, max(low, 1), high):
-            p = m.start()
-            k = int(np.searchsorted(first, p))
-            if 0 < k < len(first) and first[k] <= p + 1 and last[k - 1] <= p:
-                return p
-        return -1
+            byte += len(text[at:m.start()].encode("utf-8", "surrogatepass"))
+            at = m.start()
+            k = int(np.searchsorted(starts, byte))
+            if starts[k] == byte:
+                return at, k
+        return -1, 0
 
 
 _COUNTERS: dict[int, Counter] = {}
 
 
 def _counter(shared) -> Counter:
-    spec = shared.value
+    spec, ranks = shared.value
     key = hash(spec)
     if key not in _COUNTERS:
         _COUNTERS.clear()
-        _COUNTERS[key] = Counter(spec)
+        _COUNTERS[key] = Counter(spec, ranks)
     return _COUNTERS[key]
 
 
@@ -190,9 +185,11 @@ def _count_chunks(chunks: DataFrame, shared, chunk: int, overlap: int) -> DataFr
 
 def _count_huge(texts: DataFrame, shared, chunk: int, overlap: int) -> DataFrame:
     """``(digest, n_tokens)`` of distinct texts, by chunks on rows of their own."""
-    done = None
+    done, spark = None, texts.sparkSession
     while True:
-        pieces = _cut(texts, chunk, overlap).repartition("digest", "k")
+        # a stated number of partitions: few bytes of text are much work, so they must not be put together
+        deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        pieces = _cut(texts, chunk, overlap).repartition(deal, "digest", "k")
         parts = _count_chunks(pieces, shared, chunk, overlap).groupBy("digest").agg(
             F.array_sort(F.collect_list(F.struct("k", "first", "last", "n"))).alias("c"))
         meets = F.expr("forall(sequence(1, size(c)), i -> i = size(c) or (c[i].first >= 0 and c[i].first = c[i - 1].last))")
@@ -214,9 +211,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
     Texts of up to ``chunk`` characters never shuffle.  Longer ones spread by
     chunk; equal ones are encoded once and joined back by their digest.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_tokenizer(path))
-    if out in docs.columns and out != text:
-        docs = docs.drop(out)
+    spec = read_tokenizer(path)
+    shared = docs.sparkSession.sparkContext.broadcast((spec, merge_ranks(spec)))
+    docs = without(docs, out, keep=(text,))
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     long = F.length(body) > chunk
     short = _count_whole(docs.where(~long), shared, text, out)
