@@ -70,12 +70,12 @@ def load_wide(spark: SparkSession, path: str, name: str, priority: int, lead_row
     """LD-8: self-sizing repeating-block workbook (SRC-5 + RSH-1)."""
     df, k = read_blocks(spark, path, lead_rows, first_col=first_col)
     df = df.filter(F.col("umuzi_email").isNotNull())
-    rows = blocks_to_rows(df.withColumn("__f", F.col("_file")).withColumn("__r", F.col("_row")),
-                          ["umuzi_email", "cohort", "__f", "__r"], list(BLOCK_FIELDS), k,
+    rows = blocks_to_rows(df, ["umuzi_email", "cohort", "_file", "_row", "_blocks"], list(BLOCK_FIELDS), k,
                           keep_if="payment", block_col="__b")
+    # a file's own number of blocks spaces its rows
     rows = rows.withColumns({"payment": fx.clean_money("payment"),
                              "date_service_accessed": fx.parse_dates("date_service_accessed"),
-                             "_file": F.col("__f"), "_row": F.col("__r") * k + F.col("__b")})
+                             "_row": F.col("_row") * F.col("_blocks") + F.col("__b")})
     rows = rows.filter(F.col("payment").isNotNull())
     return tag(rows.select(*CANON_COLS, "_file", "_row"), name, priority)
 

@@ -9,6 +9,7 @@ settings that matter at scale (AQE, skew-join handling, file split size).
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -64,6 +65,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once a session (local sessions already have them)."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_impactspark_sent", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="impactspark-code-"), "impactspark")
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(top), os.path.basename(top)))
+    sc._impactspark_sent = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a local one only when unset.
 

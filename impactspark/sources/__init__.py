@@ -1,9 +1,9 @@
 """Sources (template scans, prior state) and sinks."""
 
 from .sinks import read_report, write_csv, write_report, write_state
-from .templates import (ORDER_COLS, SourceSpec, layout_width, load_all, read_blocks,
+from .records import read_records
+from .templates import (ORDER_COLS, SourceSpec, layout_width, layout_widths, load_all, read_blocks,
                         read_header_csv, read_positional, read_sheets, read_state, relational, scan,
-                        tag,
-                        with_row_order)
+                        tag)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

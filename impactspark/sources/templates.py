@@ -6,10 +6,9 @@ columns are picked by position, so every scan carries an explicit order
 key ``(_src_priority, _file, _row)``: keep-first operators downstream use it
 instead of pandas' implicit concat order.
 
-``multiLine`` parsing keeps quoted line breaks inside a cell and makes each
-file one split, so ``monotonically_increasing_id`` follows row order inside
-a file.  A folder of many files is still read in parallel, one task per
-file (or several small files per task).
+Files are scanned in splits (``records``): a large extract is many tasks,
+quoted line breaks stay inside their cell, and ``_row`` is the record's place
+in its file however the file was split.
 """
 
 from __future__ import annotations
@@ -18,9 +17,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from ..operators.reshape import block_names
+from ..operators.reshape import BLOCK_FIELDS, ID_FIELDS, block_names
+from ..session import stage_table
+from .records import cells, filled_width, header_names, read_records
 
 ORDER_COLS = ("_src_priority", "_file", "_row")
 
@@ -48,32 +49,11 @@ class SourceSpec:
     kind: str = ""
 
 
-def _string_schema(width: int) -> StructType:
-    return StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
-
-
-def _reader(spark: SparkSession, schema: StructType | None, header: bool):
-    r = (spark.read.option("header", header).option("multiLine", True)
-         .option("escape", '"').option("mode", "PERMISSIVE"))
-    return r.schema(schema) if schema is not None else r.option("inferSchema", False)
-
-
-def with_row_order(df: DataFrame) -> DataFrame:
-    """Add ``_file`` and a 0-based ``_row`` (data row position inside its file).
-
-    The running id already follows row order inside a file, so the row number
-    is the id less the file's smallest one (one row per file, combined
-    map-side); nothing is sorted.
-    """
-    df = df.withColumn("_file", F.col("_metadata.file_path")).withColumn("__mid", F.monotonically_increasing_id())
-    first = df.groupBy(F.col("_file").alias("__f")).agg(F.min("__mid").alias("__first"))
-    j = df.join(first, F.col("_file") == F.col("__f"))
-    return j.withColumn("_row", F.col("__mid") - F.col("__first")).drop("__mid", "__f", "__first")
-
-
 def read_header_csv(spark: SparkSession, path: str, columns=None) -> DataFrame:
     """SRC-1: headered CSV, every column as text (ids keep leading zeros)."""
-    df = with_row_order(_reader(spark, None, True).csv(path))
+    records = read_records(spark, path)
+    names = header_names(records)
+    df = cells(records.filter("_row > 0").withColumn("_row", F.col("_row") - 1), names)
     if columns:
         df = df.select(*columns, "_file", "_row")
     return df
@@ -90,9 +70,14 @@ def read_positional(spark: SparkSession, path: str, ordinals, names, lead_rows:
     if len(ords) != len(names):
         raise ValueError(f"{len(ords)} ordinals but {len(names)} names")
     width = width or (max(ords) + 1)
-    df = with_row_order(_reader(spark, _string_schema(width), False).csv(path))
-    df = df.filter(F.col("_row") >= lead_rows).withColumn("_row", F.col("_row") - lead_rows)
-    return df.select(*[F.col(f"_c{o}").alias(n) for o, n in zip(ords, names)], "_file", "_row")
+    return _positional(read_records(spark, path), ords, names, lead_rows, width)
+
+
+def _positional(records: DataFrame, ords, names, lead_rows: int, width: int) -> DataFrame:
+    df = cells(records.filter(F.col("_row") >= lead_rows).withColumn("_row", F.col("_row") - lead_rows),
+               [f"_c{i}" for i in range(width)])
+    others = [c for c in records.columns if c != "record"]
+    return df.select(*[F.col(f"_c{o}").alias(n) for o, n in zip(ords, names)], *others)
 
 
 def read_sheets(spark: SparkSession, path: str, sheets: dict, names, lead_rows: int) -> DataFrame:
@@ -124,38 +109,42 @@ def tag(df: DataFrame, name: str, priority: int) -> DataFrame:
     return df.withColumn("source", F.lit(name)).withColumn("_src_priority", F.lit(priority))
 
 
-def layout_width(spark: SparkSession, path: str) -> int:
-    """SRC-5: the widest row of a template folder, up to its last filled cell.
+def layout_widths(records: DataFrame) -> DataFrame:
+    """SRC-5: ``(_file, width)``: each file's widest row, up to its last filled cell."""
+    return records.groupBy("_file").agg(F.max(filled_width()).alias("width"))
 
-    The separators outside quotes give the widest row's true length; that
-    many columns are read, so no cell lies beyond the ones looked at.
-    """
-    text = spark.read.option("wholetext", True).text(path).select(
-        F.explode(F.split(F.regexp_replace("value", '"[^"]*"', ""), "\r?\n")).alias("line"))
-    cells = text.agg(F.max(F.size(F.split("line", ",", -1)))).first()[0] or 0
-    if not cells:
-        return 0
-    df = _reader(spark, _string_schema(cells), False).csv(path)
-    last = F.array_max(F.array(*[F.when(F.col(f"_c{i}").isNotNull(), F.lit(i + 1)).otherwise(F.lit(0))
-                                 for i in range(cells)]))
-    return int(df.agg(F.max(last)).first()[0] or 0)
 
+def layout_width(spark: SparkSession, path: str) -> int:
+    """SRC-5: the widest row of a template folder, up to its last filled cell."""
+    return int(layout_widths(read_records(spark, path)).agg(F.max("width")).first()[0] or 0)
 
-def read_blocks(spark: SparkSession, path: str, lead_rows: int, first_col: int = 1,
-                ids=None, fields=None) -> tuple[DataFrame, int]:
-    """SRC-5: a self-sizing ``ids + k blocks`` layout starting at ``first_col``.
 
-    Width comes from the data; a width that is not ``len(ids) + 5k`` raises
-    before anything is planned.  Returns ``(frame, k)``.
+def read_blocks(spark: SparkSession, path: str, lead_rows: int, first_col: int = 1,
+                ids=ID_FIELDS, fields=BLOCK_FIELDS) -> tuple[DataFrame, int]:
+    """SRC-5: files of self-sizing ``ids + k blocks`` layouts starting at ``first_col``, each by its own width.
+
+    Every file's number of blocks comes from its own widest row; a width that
+    is not ``len(ids) + k*len(fields)`` raises and names the file before
+    anything is planned.  Returns ``(frame, k)``: the frame has the columns of
+    the widest layout (NULL beyond a file's own) and ``_blocks``, the file's
+    number of blocks; ``k`` is the largest.  Files without a filled cell have
+    no rows.
     """
-    kwargs = {k: v for k, v in (("ids", ids), ("fields", fields)) if v is not None}
-    width = layout_width(spark, path) - first_col
-    names = block_names(width, **kwargs)
-    ords = list(range(first_col, first_col + width))
-    df = read_positional(spark, path, ords, names, lead_rows, width=first_col + width)
-    n_ids = len(ids) if ids else 2
-    n_fields = len(fields) if fields else 5
-    return df, (width - n_ids) // n_fields
+    records = read_records(spark, path)
+    extra = F.col("width") - first_col - len(ids)
+    sized = stage_table(layout_widths(records).filter("width > 0").select(
+        "_file", "width", F.when((extra > 0) & (extra % len(fields) == 0), (extra / len(fields)).cast("int")).alias("_blocks")),
+        "layouts")
+    broken = sized.filter("_blocks IS NULL").orderBy("_file").take(3)
+    if broken:
+        raise ValueError("; ".join(f"{r['_file']}: {r['width'] - first_col} columns are not {len(ids)} + k*{len(fields)}"
+                                   for r in broken))
+    k = int(sized.agg(F.max("_blocks")).first()[0] or 0)
+    if not k:
+        raise ValueError(f"{path}: no file has a filled cell")
+    names = block_names(len(ids) + k * len(fields), ids, fields)
+    ords = list(range(first_col, first_col + len(names)))
+    return _positional(records.join(sized.drop("width"), "_file"), ords, names, lead_rows, first_col + len(names)), k
 
 
 def read_state(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
