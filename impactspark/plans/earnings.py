@@ -133,11 +133,9 @@ def load_flat(spark: SparkSession, path: str, name: str, priority: int, lead_row
     return tag(df.select(*CANON_COLS, "_file", "_row"), name, priority)
 
 
-def load_prior(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-7: last month's cleaned entries; first in concat order (priority 0)."""
-    st = read_state(spark, path, STATE_SCHEMA)
-    st = st.withColumn("_file", F.lit(path)).withColumn("_row", F.monotonically_increasing_id())
-    return tag(st, "prev_combined", 0)
+def load_prior(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """SRC-7: last month's cleaned entries; first in concat order (priority 0), by their own identity among themselves."""
+    return tag(read_state(spark, path, STATE_SCHEMA, before=before), "prev_combined", 0)
 
 
 # ------------------------------------------------------------------ PIPE-7

@@ -82,12 +82,56 @@ def read_report(spark: SparkSession, base: str) -> dict:
     return {t: spark.read.parquet(f"{base.rstrip('/')}/{f}") for t, f in folders.items()}
 
 
-def write_state(df: DataFrame, path: str, partition_by=("month",)) -> None:
-    """SNK-3: the rolling state for next month's run, Parquet, partitioned.
+#: Identity of a state row: a hash of its content, and its number among equal rows.
+STATE_ID = ("entry_hash", "entry_no")
+#: Equal rows that one task numbers at once.
+_EQUAL_ROWS = 1 << 16
 
-    Dynamic partition overwrite replaces only the months present in ``df``.
-    Never read and overwrite the same state path in one job: write the new
-    state to a fresh path (e.g. one per run month) and point the next run at it.
+
+def identify(df: DataFrame) -> DataFrame:
+    """``df`` with ``entry_hash`` and ``entry_no``, the same whatever order or files its rows come in.
+
+    Equal rows are interchangeable, so each distinct row is counted (map-side
+    first, a hot one leaves a task as one row) and given out again that many
+    times, ``_EQUAL_ROWS`` to a task; nothing is ranked.
     """
-    (df.drop(*[c for c in INTERNAL if c in df.columns])
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    content = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n")).withColumn("entry_hash", F.md5(content))
+    parts = counted.withColumn("__part", F.explode(F.expr(f"sequence(0, (__n - 1) div {_EQUAL_ROWS})"))).repartition("entry_hash", "__part")
+    last = F.expr(f"least(__n, (__part + 1) * {_EQUAL_ROWS}) - 1")
+    return parts.select(*columns, "entry_hash", F.explode(F.sequence(F.col("__part") * _EQUAL_ROWS, last)).alias("entry_no"))
+
+
+def write_state(df: DataFrame, path: str, partition_by=("month",), version: int | None = None) -> int:
+    """SNK-3: the whole rolling state of a run as a new version, Parquet, partitioned, rows identified.
+
+    The version's manifest row is written last, so readers see the old state
+    or all of the new one; months that the run no longer has are gone from
+    it.  A retry that names its ``version`` writes the same one again.
+    Returns the version.
+    """
+    path = path.rstrip("/")
+    spark = df.sparkSession
+    if version is None:
+        version = _manifest(spark, path)[0] + 1
+    folder = f"v={version}"
+    plain = df.drop(*[c for c in (*INTERNAL, *STATE_ID) if c in df.columns])
+    (identify(plain).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+     .parquet(f"{path}/{folder}"))
+    spark.createDataFrame([(version, "state", folder)], _MANIFEST).coalesce(1).write.mode("overwrite") \
+         .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(f"{path}/_manifest")
+    return version
+
+
+def read_state_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The newest version of a state (older than ``before``), with ``STATE_ID``; None where there is none."""
+    path = path.rstrip("/")
+    try:
+        versions = spark.read.schema(_MANIFEST).parquet(f"{path}/_manifest")
+        newest = (versions if before is None else versions.filter(F.col("v") < before)).agg(F.max("v")).first()[0]
+    except Exception as e:  # noqa: BLE001 -- only a missing state is tolerated
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return None
+        raise
+    return None if newest is None else spark.read.parquet(f"{path}/v={newest}")

@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 from ..operators.reshape import BLOCK_FIELDS, ID_FIELDS, block_names
 from ..session import stage_table
 from .records import cells, filled_width, header_names, read_records
+from .sinks import STATE_ID, identify, read_state_version
 
 ORDER_COLS = ("_src_priority", "_file", "_row")
 
@@ -147,17 +148,32 @@ def read_blocks(spark: SparkSession, path: str, lead_rows: int, first_col: int =
     return _positional(records.join(sized.drop("width"), "_file"), ords, names, lead_rows, first_col + len(names)), k
 
 
-def read_state(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
-    """SRC-7: prior output re-read with an explicit schema; missing -> empty frame."""
-    try:
+def read_state(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", before: int | None = None) -> DataFrame:
+    """SRC-7: prior output re-read with an explicit schema and an order of its own; missing -> empty frame.
+
+    ``_file`` is the hash of a row's content and ``_row`` its number among
+    equal rows: stored with a state that ``write_state`` wrote (its newest
+    version, or the newest older than ``before``), computed for any other
+    Parquet or CSV folder.  Either way the order of the rows does not depend
+    on how their files are laid out.
+    """
+    names = [f.name for f in schema.fields]
+    df = read_state_version(spark, path, before) if fmt == "parquet" else None
+    if df is not None:
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *STATE_ID)
+    elif before is not None:
+        df = spark.createDataFrame([], schema)
+    else:
         reader = spark.read.schema(schema)
-        df = reader.parquet(path) if fmt == "parquet" else reader.option("header", True).csv(path)
-        df.limit(0).collect()          # fails fast when the path does not exist
-        return df.select(*[f.name for f in schema.fields])
-    except Exception as e:  # noqa: BLE001 -- only a missing path is tolerated
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+        try:
+            df = reader.parquet(path) if fmt == "parquet" else reader.option("header", True).csv(path)
+        except Exception as e:  # noqa: BLE001 -- only a missing path is tolerated
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            df = spark.createDataFrame([], schema)
+    if STATE_ID[0] not in df.columns:
+        df = identify(df.select(*names))
+    return df.withColumnsRenamed({STATE_ID[0]: "_file", STATE_ID[1]: "_row"})
 
 
 def load_all(spark: SparkSession, specs, shapers: dict, **kw):

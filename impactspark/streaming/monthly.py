@@ -7,54 +7,36 @@ stream with ``trigger(availableNow=True)`` picks up exactly the drops not
 yet processed (the stream checkpoint remembers them), and ``foreachBatch``
 runs the *batch* cleaning path on each micro-batch against the latest state.
 
-Every micro-batch writes a new state version ``<state>/v=<batch_id>``
-instead of overwriting the state it read; a retried batch rewrites the same
-version, so a lost executor or a restarted job never double-counts.
+Every micro-batch writes a new version of the state (``write_state``, named
+by the batch) instead of overwriting the state it read; a retried batch
+writes the same version again, so a lost executor or a restarted job never
+double-counts.  Rows of the state and of a drop are ordered by their content
+and number among equal rows, so the survivors of keep-first passes do not
+depend on file layouts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..plans import earnings as earn
-from ..sources import tag
+from ..sources import identify, read_state, tag, write_state
 
 
 def latest_state(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame:
     """The newest state version, or the newest older than batch ``before``
     (empty frame when there is none).  A retried batch must not read the
     version that its first attempt wrote."""
-    try:
-        schema = StructType(list(earn.STATE_SCHEMA.fields) + [StructField("v", LongType())])
-        versions = spark.read.schema(schema).parquet(state_path)
-        if before is not None:
-            versions = versions.filter(F.col("v") < before)
-        newest = versions.agg(F.max("v")).first()[0]
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], earn.STATE_SCHEMA)
-        raise
-    if newest is None:
-        return spark.createDataFrame([], earn.STATE_SCHEMA)
-    return versions.filter(F.col("v") == newest).drop("v")
+    return read_state(spark, state_path, earn.STATE_SCHEMA, before=before).select(*earn.CANON_COLS)
 
 
 def process_drop(batch: DataFrame, batch_id: int, state_path: str, rich: DataFrame,
                  cfg: earn.EarningsConfig) -> None:
     """One micro-batch: prior state + new drop -> cleaned entries -> new state version."""
-    spark = batch.sparkSession
-    prev = latest_state(spark, state_path, before=int(batch_id))
-    prev = tag(prev.withColumn("_file", F.lit("state")).withColumn("_row", F.monotonically_increasing_id()),
-               "prev_combined", 0)
-    live = tag(batch.select(*earn.CANON_COLS)
-                    .withColumn("_file", F.lit(f"batch-{batch_id}"))
-                    .withColumn("_row", F.monotonically_increasing_id()), "drop", 1)
-    entries, _ = earn.clean_entries([prev, live], rich, cfg)
-    (entries.select(*earn.CANON_COLS).withColumn("v", F.lit(int(batch_id)))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("v").parquet(state_path))
+    prev = earn.load_prior(batch.sparkSession, state_path, before=int(batch_id))
+    live = identify(batch.select(*earn.CANON_COLS)).withColumnsRenamed({"entry_hash": "_file", "entry_no": "_row"})
+    entries, _ = earn.clean_entries([prev, tag(live, "drop", 1)], rich, cfg)
+    write_state(entries.select(*earn.CANON_COLS, "month"), state_path, version=int(batch_id))
 
 
 def run_available(spark: SparkSession, landing: str, state_path: str, checkpoint: str,

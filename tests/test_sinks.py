@@ -1,11 +1,14 @@
 """Sinks: idempotent CSV extract, multi-table report, rolling state."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from impactspark.functions import covers_through
 from impactspark.operators import preview, sort_output, worst
-from impactspark.sources import read_report, write_csv, write_report, write_state
+from impactspark.sources import identify, read_report, read_state, write_csv, write_report, write_state
 
 from .conftest import rows
 
@@ -42,14 +45,70 @@ def test_a_failed_report_leaves_the_last_version(spark, tmp_path):
     assert {k: rows(v) for k, v in read_report(spark, base).items()} == {"a": [(2,)]}
 
 
-def test_state_partitions_are_replaced_not_appended(spark, tmp_path):
+def test_a_rerun_replaces_the_whole_state(spark, tmp_path):
+    """A corrected run that no longer has rows for a month removes it; the old version is not read again."""
+    path = str(tmp_path / "state")
+    schema = StructType([StructField("e", StringType()), StructField("month", StringType())])
+    both = spark.createDataFrame([("a", "April"), ("b", "May")], schema)
+    may = spark.createDataFrame([("b", "May")], schema)
+    assert write_state(both, path) == 1
+    assert write_state(may, path) == 2
+    assert rows(read_state(spark, path, schema), "e", "month") == [("b", "May")]
+    assert rows(read_state(spark, path, schema, before=2), "e", "month") == [("a", "April"), ("b", "May")]
+    write_state(may, path, version=2)                       # a retry
+    assert rows(read_state(spark, path, schema), "e", "month") == [("b", "May")]
+    assert read_state(spark, path, schema, before=1).count() == 0
+    assert read_state(spark, str(tmp_path / "nothing"), schema).count() == 0
+
+
+def test_a_failed_state_leaves_the_last_one(spark, tmp_path):
     path = str(tmp_path / "state")
-    may = spark.createDataFrame([("a", "May"), ("b", "May")], "e string, month string")
-    june = spark.createDataFrame([("c", "June")], "e string, month string")
-    write_state(may, path)
-    write_state(june, path)
-    write_state(june, path)                        # retry of the same month
-    assert rows(spark.read.parquet(path), "e", "month") == [("a", "May"), ("b", "May"), ("c", "June")]
+    schema = StructType([StructField("e", StringType()), StructField("month", StringType())])
+    write_state(spark.createDataFrame([("a", "May")], schema), path)
+    with pytest.raises(Exception, match="no"):
+        write_state(spark.createDataFrame([("b", "May")], schema).withColumn("e", F.raise_error(F.lit("no")).cast("string")), path)
+    assert rows(read_state(spark, path, schema), "e") == [("a",)]
+
+
+def test_identity_does_not_depend_on_the_layout(spark, tmp_path, monkeypatch):
+    from impactspark.sources import sinks
+
+    monkeypatch.setattr(sinks, "_EQUAL_ROWS", 4)
+    data = [("a", None)] * 11 + [("a", "")] * 2 + [(None, None), ("b", "x")]
+    schema = StructType([StructField("e", StringType()), StructField("t", StringType())])
+    one = identify(spark.createDataFrame(data, schema).repartition(1))
+    many = identify(spark.createDataFrame(data[::-1], schema).repartition(7))
+    assert rows(one) == rows(many) and one.count() == len(data)
+    assert sorted(r["entry_no"] for r in one.filter("e = 'a' AND t IS NULL").collect()) == list(range(11))
+    assert one.select("entry_hash").distinct().count() == 4
+    assert identify(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_survivors_are_the_same_after_the_state_is_laid_out_anew(spark, tmp_path):
+    """Two rows of one key that differ in their type only: keep-first picks the same one from any layout."""
+    from impactspark.plans import earnings as earn
+
+    day = dt.datetime(2026, 5, 3)
+    data = [(f"p{k}@x.org", 10.0, day, "C", None, t, "Gig") for k in range(40) for t in ("Impact gig", "Placement", "Learnership")]
+    rich = spark.createDataFrame([("1", "z@y.org", "z@x.org")], "learner_id string, email string, umuzi_email string")
+    cfg = earn.EarningsConfig(report_start="2026-04-01", as_of="2026-07-01", covered_through="2026-05-31", fy_start_year=2026,
+                              cohort_map={"C": "C"})
+    kept = []
+    for k, (order, parts) in enumerate(((1, 1), (-1, 6))):
+        path = str(tmp_path / f"layout{k}")
+        spark.createDataFrame(data[::order], earn.STATE_SCHEMA).repartition(parts).write.parquet(path)
+        entries, _ = earn.clean_entries([earn.load_prior(spark, path)], rich, cfg)
+        kept.append(rows(entries, "umuzi_email", "earning_opportunity_type"))
+    assert kept[0] == kept[1] and len(kept[0]) == 40
+    state = str(tmp_path / "state")
+    write_state(spark.createDataFrame(data, earn.STATE_SCHEMA).withColumn("month", F.lit("May")), state)
+    entries, _ = earn.clean_entries([earn.load_prior(spark, state)], rich, cfg)
+    assert len(rows(entries, "umuzi_email")) == 40
+    first = rows(entries, "umuzi_email", "earning_opportunity_type")
+    spark.read.parquet(f"{state}/v=1").repartition(5).sortWithinPartitions(F.col("payment").desc()).write.partitionBy("month").parquet(f"{state}/v=2")
+    spark.createDataFrame([(2, "state", "v=2")], "v bigint, table string, folder string").write.mode("append").partitionBy("v").parquet(f"{state}/_manifest")
+    entries, _ = earn.clean_entries([earn.load_prior(spark, state)], rich, cfg)
+    assert rows(entries, "umuzi_email", "earning_opportunity_type") == first
 
 
 def test_sort_output_nulls_last_like_postgres(spark):
