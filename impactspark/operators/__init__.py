@@ -9,8 +9,9 @@ from .dedup import (cross_source_repeats, drop_covered, drop_exact_duplicates, d
 from .frames import (all_but, column_gaps, drop_if_present, drop_null_all, drop_null_any,
                      in_window, preview, rename_positional, select_contract, sort_output, top_k,
                      union_all, worst)
-from .joins import (align_full, enrich_checked, enrich_tiers, fill_where, flag_members, lookup_join,
-                    left_chain, null_safe_join, remap_identity, resolve_ids, unmatched)
+from .joins import (Identifier, align_full, enrich_checked, enrich_tiers, fill_where, flag_members, fold_tiers,
+                    left_chain, lookup_join, null_safe_join, remap_identity, resolve_identifiers, resolve_ids,
+                    unmatched)
 from .lookups import (field_lookup, join_map, map_frame, map_label, map_literal, merge_maps,
                       unmapped_values)
 from .quality import (Check, ValidationError, gate, offenders, per_key_diff, reconcile,

@@ -10,7 +10,10 @@ explicitly (see ``lookups``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
@@ -121,23 +124,44 @@ def enrich_checked(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None
     return joined.drop("__dk" if dk == key else dk), dups
 
 
+def fold_tiers(tiers, fields, key: str = "__key") -> DataFrame:
+    """Several dimensions of one key as one table: ``key`` and, per field, the best tier that has a value and the value.
+
+    ``tiers`` is ``[(number, dim, dim_key), ...]``; each dimension must be
+    unique on its key.  One aggregate of their union, combined map-side.
+    """
+    parts = [dim.select(F.col(dkey).alias(key), F.lit(n).alias("__tier"),
+                        *[(F.col(f) if f in dim.columns else F.lit(None)).alias(f) for f in fields])
+             for n, dim, dkey in tiers]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    filled = lambda f: F.when(F.col(f).isNotNull(), F.col("__tier"))
+    picks = [F.struct(F.min(filled(f)).alias("tier"), F.min_by(F.col(f), filled(f)).alias("value")).alias(f) for f in fields]
+    return both.filter(F.col(key).isNotNull()).groupBy(key).agg(*picks)
+
+
 def enrich_tiers(df: DataFrame, tiers, fields) -> DataFrame:
     """JN-6: per-column fallback over several dimensions.
 
     ``tiers`` is ``[(dim, fact_key, dim_key), ...]`` in priority order; each
     dimension must be unique on its key.  For every field the first tier
-    with a non-NULL value wins (``combine_first``), column by column.
+    with a non-NULL value wins (``combine_first``), column by column.  Tiers
+    that look up the same fact key are folded into one table first, so the
+    fact is joined, and shuffled, once for each different key.
     """
+    keys: dict[str, list] = {}
+    for n, (dim, fkey, dkey) in enumerate(tiers):
+        keys.setdefault(fkey, []).append((n, dim, dkey))
     out = df
-    for i, (dim, fkey, dkey) in enumerate(tiers):
-        tag = f"__t{i}_"
-        d = dim.select(F.col(dkey).alias(tag + "key"),
-                       *[F.col(f).alias(tag + f) for f in fields if f in dim.columns])
-        out = lookup_join(out, d, fkey, tag + "key")
-    merged = {}
-    for f in fields:
-        cands = [F.col(f"__t{i}_{f}") for i, (dim, _, _) in enumerate(tiers) if f in dim.columns]
-        merged[f] = F.coalesce(*cands) if cands else F.lit(None)
+    cells: dict[str, list] = {f: [] for f in fields}
+    for i, (fkey, own) in enumerate(keys.items()):
+        held = [f for f in fields if any(f in dim.columns for _, dim, _ in own)]
+        folded = fold_tiers(own, held, key=f"__t{i}_key")
+        out = lookup_join(out, folded.withColumnsRenamed({f: f"__t{i}_{f}" for f in held}), fkey, f"__t{i}_key")
+        for f in held:
+            cells[f].append(F.when(F.col(f"__t{i}_{f}.tier").isNotNull(), F.col(f"__t{i}_{f}")))
+    merged = {f: F.lit(None) if not c else (c[0] if len(c) == 1 else F.array_min(F.array(*c)))["value"] for f, c in cells.items()}
     out = out.withColumns(merged)
     return out.drop(*[c for c in out.columns if c.startswith("__t")])
 
@@ -166,6 +190,50 @@ def resolve_ids(df: DataFrame, id_col: str, dim: DataFrame, dim_id_col: str,
     return j.filter(F.col(out_col).isNotNull()), j.filter(F.col(out_col).isNull())
 
 
+@dataclass(frozen=True)
+class Identifier:
+    """One kind of identifier: how a value of it looks, its normal form, and the dimensions that know it.
+
+    ``dims`` is ``[(dim, key_col, value_col, order_col), ...]`` in priority
+    order: an identifier that several know takes the first one's value, and
+    the highest ``order_col`` inside one.
+    """
+    kind: str
+    looks: Callable[[Column], Column]
+    normal: Callable[[Column], Column]
+    dims: tuple
+
+
+def resolve_identifiers(df: DataFrame, col: str, kinds, out: str, outcome: str = "outcome") -> DataFrame:
+    """JN-4 / T15: a column that mixes kinds of identifiers, resolved by kind in one join.
+
+    A value belongs to the first kind that it looks like.  All dimensions
+    become one table keyed by (kind, identifier), which is joined once.
+    ``outcome`` is ``<kind>`` for a resolved row, ``unknown <kind>`` where no
+    dimension knows the value, ``unreadable`` where it looks like none and
+    ``missing`` where it is NULL or blank; ``out`` is NULL in those.
+    """
+    raw = F.col(col)
+    parts, kind, normal = [], None, None
+    for k in kinds:
+        kind = F.when(k.looks(raw), k.kind) if kind is None else kind.when(k.looks(raw), k.kind)
+        normal = F.when(k.looks(raw), k.normal(raw)) if normal is None else normal.when(k.looks(raw), k.normal(raw))
+        for n, (dim, key_col, value_col, order_col) in enumerate(k.dims):
+            parts.append(dim.select(F.lit(k.kind).alias("__kind"), k.normal(F.col(key_col)).alias("__id"),
+                                    F.struct(F.lit(-n).alias("tier"), F.col(order_col).cast("decimal(38,0)").alias("o"),
+                                             F.col(value_col).alias("v")).alias("__best")))
+    known = parts[0]
+    for p in parts[1:]:
+        known = known.unionByName(p)
+    known = (known.filter(F.col("__id").isNotNull() & F.col("__best.v").isNotNull())
+             .groupBy(F.concat_ws(":", "__kind", "__id").alias("__known")).agg(F.max("__best").alias("__best")))
+    tagged = df.withColumn("__kind", kind)
+    joined = lookup_join(tagged, known, F.when(F.col("__kind").isNotNull(), F.concat_ws(":", "__kind", normal)), "__known")
+    state = (F.when(F.coalesce(F.trim(raw), F.lit("")) == "", "missing").when(F.col("__kind").isNull(), "unreadable")
+             .when(F.col("__best").isNull(), F.concat(F.lit("unknown "), F.col("__kind"))).otherwise(F.col("__kind")))
+    return joined.withColumns({out: F.col("__best.v"), outcome: state}).drop("__kind", "__best")
+
+
 def align_full(a: DataFrame, b: DataFrame, keys, a_val: str, b_val: str) -> DataFrame:
     """JN-11: full outer alignment of two keyed series, missing side = 0."""
     keys = listify(keys)

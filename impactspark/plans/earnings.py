@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampNTZType
 
 from .. import functions as fx
-from ..operators import (Check, blocks_to_rows, count_once, drop_covered, enrich_tiers,
+from ..operators import (Check, Identifier, blocks_to_rows, count_once, drop_covered, enrich_tiers,
                          flag_members, highest_per_key, keep_first, map_label, rank_within,
-                         remap_identity, resolve_ids, run_checks, split_drops, union_all, unmatched)
+                         remap_identity, resolve_identifiers, run_checks, split_drops, union_all, unmatched)
 from ..operators.quality import ERROR, WARN
 from ..operators.reshape import BLOCK_FIELDS
 from ..sources import ORDER_COLS, read_blocks, read_sheets, read_state, tag
@@ -88,27 +88,41 @@ _PARTNER_NAMES = ("umuzi_email", "payment", "date_service_accessed", "cohort",
                   "earning_opportunity_extra_info", "earning_opportunity_type", "earning_opportunity_name")
 
 
+def person_identifiers(rich: DataFrame) -> list[Identifier]:
+    """What the identifier column of the templates may hold: a national id, or an e-mail address.
+
+    An address resolves to the canonical one, as a personal address first
+    and as the canonical address itself next.
+    """
+    by = lambda key: (rich, key, "umuzi_email", "learner_id")
+    text = lambda c: F.coalesce(fx.strip(c), F.lit(""))
+    return [
+        Identifier("id number", lambda c: text(c).rlike("^[0-9]{1,13}$"), lambda c: fx.pad_id(fx.strip(c)), (by("id_number"),)),
+        Identifier("e-mail", lambda c: text(c).contains("@"), fx.normalize_email, (by("email"), by("umuzi_email")))]
+
+
 def load_id_keyed(spark: SparkSession, path: str, name: str, priority: int, rich: DataFrame,
                   sheets=None, lead_rows: int = 2, resolve_emails: bool = True):
     """LD-9 / LD-13: rows keyed by national id, resolved to the canonical e-mail.
 
-    The template column takes an e-mail *or* an id (T15).  With
-    ``resolve_emails`` an e-mail found there is used as the e-mail (it is
-    canonicalised downstream like every other); ``False`` is the parity mode
-    where such rows never resolve.  Returns ``(entries, unresolved)``: what
-    does not resolve is reported, not dropped silently.
+    The template column takes an e-mail *or* an id (T15); both resolve
+    through one join (``resolve_identifiers``).  With ``resolve_emails`` an
+    address that no learner has is used as it is (it is canonicalised
+    downstream like every other); ``False`` is the parity mode where
+    addresses never resolve.  Returns ``(entries, unresolved)``: what does
+    not resolve is reported with its outcome, not dropped silently.
     """
     df = read_sheets(spark, path, sheets or {0: range(1, 8)}, _ID_NAMES, lead_rows)
     df = df.filter(F.col("id_number").isNotNull() & F.col("date_service_accessed").isNotNull())
-    ok, bad = resolve_ids(df, "id_number", rich, "id_number", "umuzi_email", "umuzi_email",
-                          order_col="learner_id")
+    kinds = person_identifiers(rich)
+    found = resolve_identifiers(df, "id_number", kinds if resolve_emails else kinds[:1], "umuzi_email")
     if resolve_emails:
-        is_email = F.col("id_number").contains("@")
-        ok = ok.unionByName(bad.filter(is_email).withColumn("umuzi_email", F.col("id_number")))
-        bad = bad.filter(~is_email)
-    ok = ok.withColumns({"date_service_accessed": fx.parse_dates("date_service_accessed"),
-                         "payment": fx.clean_money("payment")})
-    return tag(ok.select(*CANON_COLS, "_file", "_row"), name, priority), bad.select("id_number", "_file", "_row")
+        address = F.when(F.col("outcome") == "unknown e-mail", fx.strip("id_number"))
+        found = found.withColumn("umuzi_email", F.coalesce("umuzi_email", address))
+    ok = found.filter(F.col("umuzi_email").isNotNull()).withColumns(
+        {"date_service_accessed": fx.parse_dates("date_service_accessed"), "payment": fx.clean_money("payment")})
+    bad = found.filter(F.col("umuzi_email").isNull())
+    return tag(ok.select(*CANON_COLS, "_file", "_row"), name, priority), bad.select("id_number", "outcome", "_file", "_row")
 
 
 def load_partnerships(spark: SparkSession, path: str, name: str, priority: int, sheets=range(5),
@@ -308,9 +322,11 @@ def breakdown(entries: DataFrame, demo: DataFrame, baseline: DataFrame, programm
     ``ranks`` are the opportunity numbers (None: all that the data hold); a
     list that leaves one out is refused, since its money would be lost.
     """
-    long = breakdown_long(entries)
     index = ["umuzi_email", "first_date", "earning_opportunity_type", "cohort"]
-    wide = rp.ranked_pivot(long, index, "month", "op_num", F.col("payment"), ranks, trim=trim)
+    # one row per cell of the table, stored: the largest number, the live pairs and the pivot read it
+    cells = materialise(breakdown_long(entries).groupBy(*index, "month", "op_num").agg(
+        F.sum(F.col("payment").cast("decimal(18,2)")).alias("payment"), F.count(F.lit(1)).alias("n")))
+    wide = rp.ranked_pivot(cells, index, "month", "op_num", F.col("payment"), ranks, trim=trim, gigs=F.col("n"))
     d = keep_first(demo.withColumn("umuzi_email", fx.normalize_email("umuzi_email", nfkc_fold=True)),
                    ["umuzi_email"], [F.col(c) for c in ORDER_COLS])                 # DED-9
     d = d.select(F.col("umuzi_email").alias("__e"), "id_number", "cellphone_number", "nearest_metro",

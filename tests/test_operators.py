@@ -102,6 +102,45 @@ def test_remap_identity_highest_id_wins_and_nulls_ignored(spark):
     assert rows(out) == [(None,), ("c2",), ("c4",), ("zz",)]
 
 
+def test_tiers_of_one_key_are_one_join(spark):
+    """Folded tiers equal a chain of joins with a coalesce, and the fact is shuffled once."""
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    value = lambda: rng.choice([None, "a", "b", ""])
+    dims = [spark.createDataFrame([(f"k{k}", value(), rng.choice([None, True, False])) for k in rng.sample(range(20), 12)]
+                                  + [(None, "never", True)], "k string, name string, flag boolean") for _ in range(3)]
+    fact = spark.createDataFrame([(f"k{k % 25}" if k % 7 else None, f"k{(k * 3) % 25}") for k in range(60)], "a string, b string")
+    held = [{r["k"]: r for r in d.collect() if r["k"]} for d in dims]
+    for keys in itertools.product("ab", repeat=3):
+        out = op.enrich_tiers(fact, [(d, key, "k") for d, key in zip(dims, keys)], ["name", "flag", "other"])
+        for r in out.collect():
+            for f in ("name", "flag"):
+                want = [held[n][r[key]][f] for n, key in enumerate(keys) if r[key] in held[n] and held[n][r[key]][f] is not None]
+                assert r[f] == (want[0] if want else None)
+            assert r["other"] is None
+    plan = op.enrich_tiers(fact, [(d, "a", "k") for d in dims], ["name"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_identifiers_resolve_by_kind_in_one_join(spark):
+    from impactspark.plans import earnings as earn
+
+    rich = spark.createDataFrame(
+        [(1, "123", "p1@x.org", "a@x.org"), (2, "0000000000123", "p2@x.org", "b@x.org"), (3, "9001015009087", "a@x.org", "c@x.org"),
+         (4, None, None, "d@x.org"), (5, "77", "p5@x.org", None)], "learner_id long, id_number string, email string, umuzi_email string")
+    cases = {" 123 ": ("b@x.org", "id number"), "9001015009087": ("c@x.org", "id number"), "P2@X.org ": ("b@x.org", "e-mail"),
+             "a@x.org": ("c@x.org", "e-mail"), "d@x.org": ("d@x.org", "e-mail"), "who@x.org": (None, "unknown e-mail"),
+             "555": (None, "unknown id number"), "77": (None, "unknown id number"), "n/a": (None, "unreadable"),
+             "": (None, "missing"), "  ": (None, "missing"), None: (None, "missing")}
+    df = spark.createDataFrame([(k,) for k in cases], "raw string")
+    out = op.resolve_identifiers(df, "raw", earn.person_identifiers(rich), "person")
+    assert {r["raw"]: (r["person"], r["outcome"]) for r in out.collect()} == cases
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
 def test_enrich_tiers_is_per_column(spark):
     fact = spark.createDataFrame([(1, "p1")], "k int, p string")
     t1 = spark.createDataFrame([(1, "Ann", None)], "k int, name string, phone string")
