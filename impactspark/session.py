@@ -110,6 +110,13 @@ def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, deleted with the staged tables."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _staged(spark).append(path)
+    return path
+
+
 def _staged(spark: SparkSession) -> list[str]:
     sc = spark.sparkContext
     if not hasattr(sc, "_impactspark_staged"):

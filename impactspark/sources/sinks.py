@@ -6,10 +6,13 @@ Every write is a whole-table overwrite, so re-running a job after a failure
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from ..session import ship_package
+
 INTERNAL = ("source", "_src_priority", "_file", "_row")
 
 
@@ -31,6 +34,27 @@ def write_csv(df: DataFrame, path: str, drop=INTERNAL, single_file: bool = False
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_template(df: DataFrame, path: str, lead: tuple[str, ...] = (), files: int | None = None) -> None:
+    """A template as teams submit it: CSV files without a header row that each begin with the ``lead`` lines.
+
+    Cells are written as they are (blanks kept, quotes doubled, line breaks
+    inside quotes); ``files`` deals the rows over that many files.
+    """
+    ship_package(df.sparkSession)
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)]),
+                    {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    lines = df.select(line.alias("value"))
+    if files:
+        lines = lines.repartition(files, F.xxhash64("value"))
+
+    def with_lead(batches):
+        if lead:
+            yield pa.RecordBatch.from_arrays([pa.array(lead, pa.string())], names=["value"])
+        yield from batches
+
+    lines.mapInArrow(with_lead, "value string").write.mode("overwrite").text(path)
+
+
 _MANIFEST = "v bigint, table string, folder string"
 
 
