@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._keys import listify
@@ -80,15 +80,19 @@ def sort_output(df: DataFrame, cols, descending=(), nulls_first: bool = False) -
     PostgreSQL sorts NULLs last ascending; Spark sorts them first, so the
     null placement is always explicit here.
     """
-    desc = set(descending)
-    keys = []
+    return df.orderBy(*sort_keys(cols, descending, nulls_first))
+
+
+def sort_keys(cols, descending=(), nulls_first: bool = False) -> list[Column]:
+    """The sort keys of ``sort_output``, null placement written out."""
+    desc, keys = set(descending), []
     for c in listify(cols):
         col = F.col(c)
         if c in desc:
             keys.append(col.desc_nulls_first() if nulls_first else col.desc_nulls_last())
         else:
             keys.append(col.asc_nulls_first() if nulls_first else col.asc_nulls_last())
-    return df.orderBy(*keys)
+    return keys
 
 
 def worst(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -97,7 +101,11 @@ def worst(df: DataFrame, key: str, value: str) -> DataFrame:
                   F.max(F.abs(F.col(value))).alias(f"max_abs_{value}"))
 
 
-def preview(df: DataFrame, n: int = 10, fraction: float | None = None, seed: int = 0) -> DataFrame:
-    """SRT-7: a head or a seeded random sample for human review (never an output)."""
-    out = df.sample(fraction=fraction, seed=seed) if fraction else df
-    return out.limit(n)
+def preview(df: DataFrame, n: int = 10, seed: int = 0) -> DataFrame:
+    """SRT-7: ``n`` rows for human review (never an output), the same ones on any partitioning.
+
+    The rows with the smallest content hash: a uniform choice that ``seed``
+    changes; every task keeps its own ``n`` and those are merged.
+    """
+    from .quality import row_hash
+    return df.orderBy(row_hash(df, seed)).limit(n)

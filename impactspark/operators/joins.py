@@ -13,12 +13,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import stage_table
 from ._keys import listify, null_safe_on, prefixed
 from .dedup import highest_per_key
+from .quality import counts_of
 
 #: Tasks over which the rows of a left join with a NULL key are spread.
 NULL_SALTS = 64
@@ -124,6 +125,36 @@ def enrich_checked(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None
     return joined.drop("__dk" if dk == key else dk), dups
 
 
+@dataclass(frozen=True)
+class Enriched:
+    """A stored left join and what its job counted."""
+    table: DataFrame
+    rows_before: int
+    rows_after: int
+    repeated: DataFrame | None      #: (key, n) of the dimension keys that multiply rows; None when no row was multiplied
+
+
+def enrich_counted(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> Enriched:
+    """JN-3: left join to a dimension that is stored, with a fan-out guard that costs no pass of its own.
+
+    The job that stores the result counts the rows before and after the
+    join.  Only when they differ is the dimension looked at for the keys that
+    occur more than once.  (A task that is tried again below a shuffle can be
+    counted twice; that costs a look, not a wrong answer.)
+    """
+    dk = dim_key or key
+    before, after = Observation(), Observation()
+    own = dim.withColumnRenamed(dk, "__dk")
+    joined = df.observe(before, F.count(F.lit(1)).alias("n")).join(own, F.col(key) == F.col("__dk"), "left").drop("__dk")
+    table = stage_table(joined.observe(after, F.count(F.lit(1)).alias("n")), "enriched")
+    n, m = (int(counts_of(seen).get("n") or 0) for seen in (before, after))
+    repeated = None
+    if n != m:
+        twice = dim.filter(F.col(dk).isNotNull()).groupBy(F.col(dk).alias(key)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        repeated = stage_table(twice.join(df.select(key).distinct(), key, "left_semi"), "repeated-keys")
+    return Enriched(table, n, m, repeated)
+
+
 def fold_tiers(tiers, fields, key: str = "__key") -> DataFrame:
     """Several dimensions of one key as one table: ``key`` and, per field, the best tier that has a value and the value.
 

@@ -1,17 +1,21 @@
 """Data-quality checks, drop logs and reconciliation (DQ-1..4, REC-1/2).
 
 Every check over a frame is one ``count_if`` inside a single aggregate, so
-a whole catalogue costs one pass.  The check table is a DataFrame; the only
-driver-side step is ``gate``, which reads the (few) failed check rows.
+a whole catalogue costs one pass -- or none: ``observed`` attaches the counts
+to a frame, and the job that writes it collects them (``measured``).  The
+check table is a DataFrame; the only driver-side steps are ``gate``, which
+reads the (few) failed check rows, and the counts of a written frame.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import stage_table
 from ._keys import listify
 
 ERROR, WARN, REPORT = "error", "warn", "report"
@@ -28,7 +32,11 @@ class Check:
 
 
 class ValidationError(AssertionError):
-    pass
+    """A failed gate; ``table`` is the check table it stood before."""
+
+    def __init__(self, message: str, table: DataFrame | None = None):
+        super().__init__(message)
+        self.table = table
 
 
 def run_checks(df: DataFrame, checks) -> DataFrame:
@@ -51,12 +59,68 @@ def run_checks(df: DataFrame, checks) -> DataFrame:
                     "offenders")
 
 
+CHECK_SCHEMA = "stage string, check string, status string, level string, detail string, offenders bigint"
+
+
+def observed(df: DataFrame, checks) -> tuple[DataFrame, Observation]:
+    """``df`` whose next action also counts its rows and every check's offenders.
+
+    Observe the frame that is written: its last stage counts each row once,
+    also when tasks are tried again.
+    """
+    seen = Observation()
+    counts = [F.count_if(F.coalesce(c.offending, F.lit(False))).alias(f"c{i}") for i, c in enumerate(checks)]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def counts_of(seen: Observation) -> dict:
+    """What an observed frame's action counted; empty where the optimizer left the frame out, as it does when it has no rows."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
+def measured(spark: SparkSession, seen: Observation, checks) -> DataFrame:
+    """DQ-1: the check table of an observed frame whose action has run; nothing is read."""
+    got, rows = counts_of(seen), []
+    for i, c in enumerate(checks):
+        n = int(got.get(f"c{i}") or 0)
+        status = "PASS" if not n else "FAIL" if c.level == ERROR else "WARN"
+        rows.append((c.stage, c.name, status, c.level, c.detail if n else "", n))
+    return spark.createDataFrame(rows, CHECK_SCHEMA)
+
+
+def stage_checked(df: DataFrame, name: str, checks) -> tuple[DataFrame, DataFrame]:
+    """``df`` stored (see ``session.stage_table``) and its check table, measured by the job that stores it."""
+    checks = list(checks)
+    watched, seen = observed(df, checks)
+    return stage_table(watched, name), measured(df.sparkSession, seen, checks)
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """An order of a frame's rows that no partitioning changes: a hash of their content."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def offenders(df: DataFrame, check: Check, limit: int = 20, order=None) -> DataFrame:
-    """DQ-3 / SRT-5: the first ``limit`` offending rows (a top-k preview)."""
-    out = df.filter(F.coalesce(check.offending, F.lit(False)))
-    if order is not None:
-        out = out.orderBy(*listify(order))
-    return out.limit(limit)
+    """DQ-3 / SRT-5: ``limit`` offending rows, the first in ``order`` (by content when none is given)."""
+    order = listify(order) if order is not None else [row_hash(df)]
+    return df.filter(F.coalesce(check.offending, F.lit(False))).orderBy(*order).limit(limit)
+
+
+def offenders_by_check(df: DataFrame, checks, limit: int = 20, order: Column | None = None) -> DataFrame:
+    """DQ-3 / SRT-5: ``limit`` offending rows of every check in one pass, with ``check`` and ``place``.
+
+    A row is handed out once for each check that it breaks; every task keeps
+    its first ``limit`` of a check before they are exchanged (a partial group
+    limit), so a check that a third of all rows break costs no more.
+    """
+    own = row_hash(df) if order is None else order
+    broken = F.array_compact(F.array(*[F.when(F.coalesce(c.offending, F.lit(False)), F.lit(c.name)) for c in checks]))
+    each = df.withColumn("__order", own).withColumn("check", F.explode(broken))
+    first = Window.partitionBy("check").orderBy("__order")
+    return (each.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= limit).drop("__order"))
 
 
 def gate(check_table: DataFrame, stage: str | None = None) -> None:
@@ -67,7 +131,7 @@ def gate(check_table: DataFrame, stage: str | None = None) -> None:
     failed = t.select("stage", "check", "detail", "offenders").collect()
     if failed:
         lines = "; ".join(f"{r.stage}::{r.check} ({r.offenders}) {r.detail}" for r in failed)
-        raise ValidationError(f"{len(failed)} validation failure(s): {lines}")
+        raise ValidationError(f"{len(failed)} validation failure(s): {lines}", check_table)
 
 
 def split_drops(df: DataFrame, rules, by=None):

@@ -30,5 +30,5 @@ def query(name: str, sql: str | None = None):
 def load_all():
     """Import every query module (registration happens at import)."""
     from . import (cleaning_queries, consolidated_queries, dedup_queries, earnings_queries,  # noqa: F401
-                   people_queries, report_queries, template_queries)
+                   people_queries, quality_queries, report_queries, template_queries)
     return QUERIES, ORACLE

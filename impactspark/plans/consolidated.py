@@ -46,13 +46,13 @@ def load_ind7(spark: SparkSession, path: str, name: str, priority: int, drop_coh
     out = tag(df.select(*IND7_COLS, "_file", "_row"), name, priority)
     n = out.agg(F.count(F.lit(1)).alias("n"))
     checks = n.select(
-        F.lit("load").alias("stage"), F.lit(f"{name}: file contains rows").alias("check"),
+        F.lit("load").alias("stage"), F.lit(f"{name}: at least one row was read").alias("check"),
         F.when(F.col("n") > 0, "PASS").otherwise("WARN").alias("status"), F.lit(WARN).alias("level"),
-        F.when(F.col("n") > 0, "").otherwise("loaded 0 rows").alias("detail"),
+        F.when(F.col("n") > 0, "").otherwise("nothing was read").alias("detail"),
         F.when(F.col("n") > 0, 0).otherwise(1).cast("bigint").alias("offenders"))
     if extra:
         checks = checks.unionByName(spark.createDataFrame(
-            [("load", f"{name}: no unexpected columns", "WARN", WARN, f"dropped: {sorted(extra)}", len(extra))],
+            [("load", f"{name}: columns beyond the contract", "WARN", WARN, f"dropped: {sorted(extra)}", len(extra))],
             "stage string, check string, status string, level string, detail string, offenders bigint"))
     return out, checks
 
@@ -89,16 +89,16 @@ def consolidate(parts, rich_raw: DataFrame, report_start: str, as_of: str):
                                     .drop("_src_priority"), "source")
     data = stage_table(keep_first_exact(data), "consolidated-rows")
     checks = run_checks(data, [
-        Check("dates", "no service dates in the future", d > F.lit(as_of).cast("timestamp_ntz"), ERROR,
+        Check("dates", "services not dated after the run", d > F.lit(as_of).cast("timestamp_ntz"), ERROR,
               "service dates later than the run's as-of day"),
         Check("enrich", "every row has a learner name",
               F.col("first_name").isNull() & F.col("last_name").isNull(), WARN,
               "missing from the dimension; shipped nameless"),
-        Check("final", "id_number is 13 digits",
+        Check("final", "id numbers have thirteen characters",
               F.col("id_number").isNotNull() & (F.length("id_number") != 13), WARN, "id numbers of another length than 13")])
     near = cross_source_repeats(data, ["umuzi_email", "service_used", "service_name", "date_service_accessed"])
     near_t = near.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("dedup").alias("stage"), F.lit("no same service event reported by multiple inputs").alias("check"),
+        F.lit("dedup").alias("stage"), F.lit("no event is sent by two sources").alias("check"),
         F.when(F.col("n") == 0, "PASS").otherwise("WARN").alias("status"), F.lit(WARN).alias("level"),
         F.when(F.col("n") == 0, "").otherwise("verify double reporting with the data owners").alias("detail"),
         F.col("n").cast("bigint").alias("offenders"))

@@ -138,19 +138,19 @@ def load_sources(spark: SparkSession, specs, cfg: ServicesConfig):
         missing = [c for c in LOADER_COLUMNS if c not in df.columns]
         if missing:
             raise ValueError(f"{name}: loader contract columns missing: {missing}")
-        specs_ = [Check("load", f"{name}: all service dates parsed",
+        specs_ = [Check("load", f"{name}: service dates readable",
                         F.col("date_service_accessed").isNull(), ERROR,
                         "unparseable service dates (expected DD/MM/YYYY)")]
         if by_name[name].kind == "platform":
-            specs_.append(Check("load", f"{name}: all programmes mapped to a cohort",
+            specs_.append(Check("load", f"{name}: programmes have a cohort",
                                 F.col("cohort_name").isNull(), ERROR,
                                 "add the programme to the cohort map or the drop list"))
         t = run_checks(df, specs_)
         rows = df.agg(F.count(F.lit(1)).alias("n"))
         t = t.unionByName(rows.select(
-            F.lit("load").alias("stage"), F.lit(f"{name}: file contains rows").alias("check"),
+            F.lit("load").alias("stage"), F.lit(f"{name}: at least one row was read").alias("check"),
             F.when(F.col("n") > 0, "PASS").otherwise("WARN").alias("status"), F.lit(WARN).alias("level"),
-            F.when(F.col("n") > 0, "").otherwise("source loaded 0 rows").alias("detail"),
+            F.when(F.col("n") > 0, "").otherwise("nothing was read").alias("detail"),
             F.when(F.col("n") > 0, 0).otherwise(1).cast("bigint").alias("offenders")))
         checks.append(t)
         if by_name[name].filter_to_period:
@@ -197,15 +197,15 @@ def enrich(data: DataFrame, rich: DataFrame) -> DataFrame:
 def merge_checks(rich: DataFrame, data: DataFrame, enriched: DataFrame) -> DataFrame:
     dup = key_violations(rich, ["umuzi_email"])
     t1 = dup.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("merge").alias("stage"), F.lit("row count unchanged by merge").alias("check"),
+        F.lit("merge").alias("stage"), F.lit("the dimension has one row for each address").alias("check"),
         F.when(F.col("n") == 0, "PASS").otherwise("FAIL").alias("status"), F.lit(ERROR).alias("level"),
-        F.when(F.col("n") == 0, "").otherwise("duplicate umuzi_email in the dimension fans out the join")
+        F.when(F.col("n") == 0, "").otherwise("addresses with several rows would multiply service rows")
          .alias("detail"), F.col("n").cast("bigint").alias("offenders"))
     t2 = run_checks(enriched, [
-        Check("merge", "every row received a learner_id", F.col("learner_id").isNull(), ERROR,
-              "dimension has gaps for these learners"),
-        Check("merge", "every row has a date_of_birth", F.col("date_of_birth").isNull(), WARN,
-              "age and age_range will be blank")])
+        Check("merge", "no service row without a learner", F.col("learner_id").isNull(), ERROR,
+              "learners that the dimension does not hold"),
+        Check("merge", "birth dates known", F.col("date_of_birth").isNull(), WARN,
+              "no age can be derived for these rows")])
     return t1.unionByName(t2)
 
 
@@ -214,22 +214,22 @@ def final_checks(final: DataFrame, cfg: ServicesConfig) -> DataFrame:
     dup_keys = ["learner_id", "service_used", "service_name", "date_service_accessed"]
     dups = duplicate_members(final, dup_keys).agg(F.count(F.lit(1)).alias("n"))
     t = run_checks(final, [
-        Check("final", "no service dates in the future", d > F.lit(cfg.as_of).cast("timestamp_ntz"), ERROR,
+        Check("final", "services not dated after the run", d > F.lit(cfg.as_of).cast("timestamp_ntz"), ERROR,
               "service dates later than the run's as-of day"),
-        Check("final", "all service dates within reporting period",
+        Check("final", "services dated inside the period",
               ~fx.in_period(d, cfg.period_start, cfg.period_end, cfg.whole_last_day), WARN,
               "rows outside the reporting period"),
-        Check("final", "id_number is 13 digits",
+        Check("final", "id numbers have thirteen characters",
               F.col("id_number").isNotNull() & (F.length("id_number") != 13), ERROR,
               "id numbers of another length than 13 after padding"),
-        Check("final", "id_number present for all rows", F.col("id_number").isNull(), WARN,
+        Check("final", "id numbers known", F.col("id_number").isNull(), WARN,
               "rows without an ID number"),
-        Check("final", "ages fall within a plausible range (15-80)",
+        Check("final", "ages between 15 and 80",
               F.col("age_service_accessed").isNotNull() & ~F.col("age_service_accessed").between(15, 80),
-              WARN, "implausible ages"),
-        Check("final", "cohort_name present for all rows", fx.is_blank("cohort_name"), WARN,
+              WARN, "rows with another age"),
+        Check("final", "cohorts known", fx.is_blank("cohort_name"), WARN,
               "rows without a cohort")])
-    d2 = dups.select(F.lit("final").alias("stage"), F.lit("no duplicate service records").alias("check"),
+    d2 = dups.select(F.lit("final").alias("stage"), F.lit("one row for each learner, service and date").alias("check"),
                      F.when(F.col("n") == 0, "PASS").otherwise("WARN").alias("status"),
                      F.lit(WARN).alias("level"),
                      F.when(F.col("n") == 0, "").otherwise("same learner, service and date twice").alias("detail"),
@@ -250,7 +250,7 @@ def build(spark: SparkSession, specs, rich_raw: DataFrame, cfg: ServicesConfig):
     matched, review, _ = canonicalise(data, rich, cfg)
     review_n = review.agg(F.count(F.lit(1)).alias("n"))
     match_t = review_n.select(
-        F.lit("match").alias("stage"), F.lit("all emails matched to the database").alias("check"),
+        F.lit("match").alias("stage"), F.lit("addresses known to the database").alias("check"),
         F.when(F.col("n") == 0, "PASS").when(F.lit(cfg.unmatched_policy) == "halt", "FAIL")
          .otherwise("WARN").alias("status"),
         F.lit(ERROR if cfg.unmatched_policy == "halt" else WARN).alias("level"),

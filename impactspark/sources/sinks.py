@@ -7,11 +7,14 @@ Every write is a whole-table overwrite, so re-running a job after a failure
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from ..operators.frames import sort_keys
+from ..operators.quality import gate, measured, observed, row_hash
 from ..session import ship_package
+from .records import cells, header_names, read_records
 
 INTERNAL = ("source", "_src_priority", "_file", "_row")
 
@@ -31,7 +34,34 @@ def write_csv(df: DataFrame, path: str, drop=INTERNAL, single_file: bool = False
     out = _texts(df.drop(*[c for c in drop if c in df.columns]))
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def write_sorted(df: DataFrame, path: str, cols, descending=(), nulls_first: bool = False, files: int | None = None,
+                 drop=INTERNAL) -> None:
+    """SRT-1..3 / SNK-1: a headered CSV extract in a global order, as files whose names are in that order.
+
+    Rows are dealt by range and sorted inside each, with PostgreSQL's null
+    placement (last in both directions) unless ``nulls_first``; no task holds
+    the whole table.  Rows of equal keys follow the hash of their content, so
+    the files are the same on every run and a hot key is dealt over several.
+    """
+    out = _texts(df.drop(*[c for c in drop if c in df.columns]))
+    keys = [*sort_keys(cols, descending, nulls_first), row_hash(out)]
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (out.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+     .write.mode("overwrite").option("header", True).option("escape", '"').csv(path))
+
+
+def read_sorted(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``write_sorted`` as text, with their ``position`` (from 1) in the order of the files' names."""
+    records = read_records(spark, path)
+    rows = cells(records.filter("_row > 0").withColumn("_row", F.col("_row") - 1), header_names(records))
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("__n"))     # a row for each file
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return (rows.join(F.broadcast(offsets), "_file").withColumn("position", F.col("__before") + F.col("_row") + 1)
+            .drop("_file", "_row", "__before"))
 
 
 def write_template(df: DataFrame, path: str, lead: tuple[str, ...] = (), files: int | None = None) -> None:
@@ -72,7 +102,7 @@ def _manifest(spark: SparkSession, base: str) -> tuple[int, dict[str, str]]:
     return newest, {r.table: r.folder for r in rows.filter(F.col("v") == newest).collect()}
 
 
-def write_report(tables: dict, base: str, create: bool, required=()) -> None:
+def write_report(tables: dict, base: str, create: bool, required=(), checks: dict | None = None) -> DataFrame | None:
     """SNK-2: a report is a set of Parquet tables that become visible together.
 
     The tables go to a new version folder; a manifest row set of that version
@@ -80,6 +110,12 @@ def write_report(tables: dict, base: str, create: bool, required=()) -> None:
     the previous version as it was.  ``create=True`` starts a new report (its
     manifest lists only these tables); ``create=False`` adds or replaces
     these tables and requires the ``required`` ones to be there already.
+
+    ``checks`` gives rules for some of the tables (DQ-1, DQ-3).  The job that
+    writes a table counts its offenders, so no table is read for its checks;
+    the gate stands before the manifest, so a report that breaks an
+    error-level rule never becomes visible.  Returns their check table, which
+    is also the report's table ``written_checks``.
     """
     base = base.rstrip("/")
     spark = next(iter(tables.values())).sparkSession
@@ -92,12 +128,23 @@ def write_report(tables: dict, base: str, create: bool, required=()) -> None:
             raise RuntimeError(f"report at {base} lacks base tables {missing}")
     version += 1
     folders = {} if create else dict(existing)
+    found = None
     for name, df in tables.items():
         folders[name] = f"v={version}/{name}"
-        _texts(df).write.mode("overwrite").parquet(f"{base}/{folders[name]}")
+        rules = list((checks or {}).get(name, ()))
+        watched, seen = observed(df, rules) if rules else (df, None)
+        _texts(watched).write.mode("overwrite").parquet(f"{base}/{folders[name]}")
+        if rules:
+            own = measured(spark, seen, rules)
+            found = own if found is None else found.unionByName(own)
+    if found is not None:
+        gate(found)
+        folders["written_checks"] = f"v={version}/written_checks"
+        found.coalesce(1).write.mode("overwrite").parquet(f"{base}/{folders['written_checks']}")
     spark.createDataFrame([(version, t, f) for t, f in sorted(folders.items())], _MANIFEST) \
          .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("v") \
          .parquet(f"{base}/_manifest")
+    return found
 
 
 def read_report(spark: SparkSession, base: str) -> dict:

@@ -102,6 +102,27 @@ def test_remap_identity_highest_id_wins_and_nulls_ignored(spark):
     assert rows(out) == [(None,), ("c2",), ("c4",), ("zz",)]
 
 
+def test_fan_out_is_named_only_when_rows_were_multiplied(spark):
+    fact = spark.createDataFrame([("a",), ("b",), (None,), ("x",)], "k string")
+    good = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("c", 4), (None, 5), (None, 6)], "id string, v int")
+    got = op.enrich_counted(fact, good, "k", "id")
+    assert (got.rows_before, got.rows_after, got.repeated) == (4, 4, None), "a repeated key that no row has multiplies nothing"
+    bad = good.unionByName(spark.createDataFrame([("a", 7), ("a", 8)], "id string, v int"))
+    got = op.enrich_counted(fact, bad, "k", "id")
+    assert (got.rows_before, got.rows_after) == (4, 6) and rows(got.repeated) == [("a", 3)] and got.table.count() == 6
+    none = op.enrich_counted(fact.limit(0), bad, "k", "id")
+    assert (none.rows_before, none.rows_after, none.repeated) == (0, 0, None)
+
+
+def test_offenders_of_every_check_in_one_pass(spark):
+    checks = [op.Check("s", "even", F.col("id") % 2 == 0), op.Check("s", "third", F.col("id") % 3 == 0), op.Check("s", "never", F.col("id") < 0)]
+    one, many = (op.offenders_by_check(spark.range(900).repartition(n), checks, 5) for n in (1, 9))
+    assert rows(one, "check", "place", "id") == rows(many, "check", "place", "id")
+    assert {(r["check"], r["count"]) for r in one.groupBy("check").count().collect()} == {("even", 5), ("third", 5)}
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
 def test_tiers_of_one_key_are_one_join(spark):
     """Folded tiers equal a chain of joins with a coalesce, and the fact is shuffled once."""
     import itertools

@@ -8,7 +8,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from impactspark.functions import covers_through
 from impactspark.operators import preview, sort_output, worst
-from impactspark.sources import identify, read_report, read_state, write_csv, write_report, write_state
+from impactspark.sources import (identify, read_report, read_sorted, read_state, write_csv, write_report, write_sorted,
+                                 write_state)
 
 from .conftest import rows
 
@@ -18,7 +19,7 @@ def test_write_csv_is_idempotent_and_renders_lists(spark, tmp_path):
     out = str(tmp_path / "out")
     write_csv(df, out, single_file=True)
     write_csv(df, out, single_file=True)          # re-run overwrites, never appends
-    back = spark.read.option("header", True).csv(out)
+    back = spark.read.option("header", True).option("escape", '"').csv(out)   # quotes are doubled, as other CSV tools write them
     assert back.columns == ["k", "services"]
     assert rows(back) == [("a", '["x","y"]')]
 
@@ -120,7 +121,68 @@ def test_sort_output_nulls_last_like_postgres(spark):
 def test_worst_and_preview(spark):
     df = spark.createDataFrame([("Apr", 1.0), ("May", -5.0)], "m string, diff double")
     assert tuple(worst(df, "m", "diff").first()) == ("May", 5.0)
-    assert preview(df, 1).count() == 1
+    many = spark.range(500).withColumn("t", F.lit("x"))
+    one, two = (rows(preview(many.repartition(n), 9, seed=3)) for n in (1, 7))
+    assert one == two and len(one) == 9 and one != rows(preview(many, 9, seed=4))
+
+
+def test_csv_cells_survive_quotes_and_breaks(spark, tmp_path):
+    from impactspark.sources import read_header_csv
+
+    df = spark.createDataFrame([("a", ["x", 'y "z"']), ('b, "c"\nd', None)], "k string, l array<string>")
+    write_csv(df, str(tmp_path / "out"))
+    back = read_header_csv(spark, str(tmp_path / "out"))
+    assert rows(back, "k", "l") == [("a", '["x","y \\"z\\""]'), ('b, "c"\nd', None)]
+
+
+def test_sorted_files_are_the_sorted_table(spark, tmp_path):
+    """A hot key is dealt over several files; equal rows and NULLs keep a defined place."""
+    data = [(None if k % 11 == 0 else "hot" if k % 3 == 0 else f"k{k % 50:02d}", k % 7, k) for k in range(600)] + [("hot", 0, 0)] * 3
+    df = spark.createDataFrame(data, "k string, n long, id long")
+    path = str(tmp_path / "sorted")
+    write_sorted(df, path, ["k", "n"], descending=["n"], files=8)
+    got = [(r["k"], int(r["n"])) for r in sorted(read_sorted(spark, path).collect(), key=lambda r: r["position"])]
+    assert got == sorted(((k, n) for k, n, _ in data), key=lambda t: (t[0] is None, t[0] or "", -t[1]))
+    sizes = [r["count"] for r in spark.read.option("header", True).csv(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 250
+    first = rows(read_sorted(spark, path))
+    write_sorted(df.repartition(5), path, ["k", "n"], descending=["n"], files=8)
+    assert rows(read_sorted(spark, path)) == first
+
+
+def test_a_report_that_breaks_an_error_rule_stays_invisible(spark, tmp_path):
+    from impactspark.operators import Check, ValidationError
+    from impactspark.operators.quality import ERROR, WARN
+
+    base = str(tmp_path / "report")
+    rules = {"a": [Check("s", "positive", F.col("n") <= 0, ERROR, "not positive"), Check("s", "small", F.col("n") > 1, WARN, "large")]}
+    good, bad = spark.createDataFrame([(1,), (2,)], "n int"), spark.createDataFrame([(0,), (None,)], "n int")
+    table = write_report({"a": good, "b": good}, base, create=True, checks=rules)
+    assert rows(table, "check", "status", "offenders") == [("positive", "PASS", 0), ("small", "WARN", 1)]
+    assert rows(read_report(spark, base)["written_checks"]) == rows(table)
+    with pytest.raises(ValidationError, match=r"positive \(1\)"):
+        write_report({"a": bad, "b": bad}, base, create=True, checks=rules)
+    assert rows(read_report(spark, base)["a"]) == [(1,), (2,)]
+    empty = write_report({"a": good.limit(0)}, base, create=True, checks=rules)
+    assert [r["offenders"] for r in empty.collect()] == [0, 0] and read_report(spark, base)["a"].count() == 0
+
+
+def test_a_check_while_writing_reads_nothing_twice(spark, tmp_path):
+    from impactspark.operators import Check, stage_checked
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.range(1000).mapInArrow(count, "id long")
+    table, checks = stage_checked(df, "t", [Check("s", "even", F.col("id") % 2 == 1)])
+    assert checks.first()["offenders"] == 500 and table.count() == 1000
+    assert reads.value == 1000
+    gone = spark.range(10).filter("id > 100")
+    assert stage_checked(gone, "t", [Check("s", "none", F.col("id") > 0)])[1].first()["status"] == "PASS"
 
 
 def test_covers_through():
