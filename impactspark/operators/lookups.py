@@ -44,11 +44,9 @@ def map_frame(spark, mapping: dict, key: str, value: str) -> DataFrame:
 
 
 def join_map(df: DataFrame, col: str, mapping: DataFrame, key: str, value: str,
-             out: str, default=None, bounded: bool = False) -> DataFrame:
-    """LKP-2..6 with the map held in a table (one row per key is enforced)."""
+             out: str, default=None) -> DataFrame:
+    """LKP-2..6 with the map held in a table (one row per key is enforced); the planner broadcasts it by its measured size."""
     m = mapping.dropDuplicates([key]).select(F.col(key).alias("__mk"), F.col(value).alias("__mv"))
-    if bounded:
-        m = F.broadcast(m)
     j = df.join(m, df[col] == m["__mk"], "left")
     v = F.col("__mv") if default is None else F.coalesce(F.col("__mv"), F.lit(default))
     return j.withColumn(out, v).drop("__mk", "__mv")

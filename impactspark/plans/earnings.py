@@ -153,7 +153,25 @@ def load_prior(spark: SparkSession, path: str, before: int | None = None) -> Dat
 
 
 # ------------------------------------------------------------------ PIPE-7
-def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint: bool = True):
+def entry_rules(cfg: EarningsConfig) -> list[Check]:
+    """What every cleaned entry must hold; ``__raw_cohort`` is the label before the remap."""
+    d = F.col("date_service_accessed")
+    return [
+        Check("clean", "dates in window", (d < F.lit(cfg.report_start).cast("timestamp_ntz"))
+              | (d > F.lit(cfg.as_of).cast("timestamp_ntz")), ERROR, "pre-window or future date survived"),
+        Check("clean", "type filled", F.col("earning_opportunity_type").isNull(), ERROR, "type backfill failed"),
+        Check("clean", "cohort mapped", F.col("cohort").isNull() & F.col("__raw_cohort").isNotNull(), WARN,
+              "cohort labels without a map entry became NULL")]
+
+
+def repeat_check(entries: DataFrame) -> DataFrame:
+    """No entry twice: a check row from one aggregate over the (stored) entries."""
+    dups = (entries.groupBy(*CANON_COLS, "month", "source").agg(F.count(F.lit(1)).alias("n"))
+                   .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")))
+    return _count_check(dups, "clean", "no duplicates", ERROR)
+
+
+def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint: bool = True, row_checks: bool = True):
     """PIPE-7: union -> strip/normalise/remap -> window -> backfill type ->
     DED-3 -> FLT-15 -> DED-4 -> FLT-14 -> LKP-2 -> DED-4 -> DED-5 (contract order).
 
@@ -164,7 +182,9 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
     reads them back instead of recomputing the chain above.
 
     Returns ``(entries, logs)``; ``logs`` holds the drop log, the back-fills,
-    the unmatched e-mails and the check table.
+    the unmatched e-mails and the check table.  Without ``row_checks`` the entries
+    keep ``__raw_cohort`` and the check table leaves out ``entry_rules`` and
+    ``repeat_check``: the caller has them counted where it stores the entries.
     """
     cut = materialise if checkpoint else (lambda df: df)
     rich = rich_raw.withColumns({"umuzi_email": fx.normalize_email("umuzi_email"),
@@ -214,15 +234,6 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
     backfills = (kept_live.filter(in_period)
                           .groupBy("source", "cohort").agg(F.count(F.lit(1)).alias("rows")))
     logs = [l for l in (log1, log2, log3) if l is not None]
-    checks = run_checks(entries, [
-        Check("clean", "dates in window", (d < F.lit(cfg.report_start).cast("timestamp_ntz"))
-              | (d > F.lit(cfg.as_of).cast("timestamp_ntz")), ERROR, "pre-window or future date survived"),
-        Check("clean", "type filled", F.col("earning_opportunity_type").isNull(), ERROR, "type backfill failed"),
-        Check("clean", "cohort mapped", F.col("cohort").isNull() & F.col("__raw_cohort").isNotNull(), WARN,
-              "cohort labels without a map entry became NULL")])
-    dups = (entries.groupBy(*CANON_COLS, "month", "source").agg(F.count(F.lit(1)).alias("n"))
-                   .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")))
-    checks = checks.unionByName(_count_check(dups, "clean", "no duplicates", ERROR))
     # T18: month keys carry no year, so a window longer than one fiscal year
     # would merge two Aprils in the monthly tables
     import datetime as _dt
@@ -232,8 +243,10 @@ def clean_entries(frames, rich_raw: DataFrame, cfg: EarningsConfig, checkpoint:
           "" if span <= 365 else f"window spans {span} days; month columns would merge years",
           0 if span <= 365 else 1)],
         "stage string, check string, status string, level string, detail string, offenders bigint")
-    checks = checks.unionByName(window_t)
-    entries = entries.drop("__raw_cohort")
+    checks = window_t
+    if row_checks:
+        checks = union_all([run_checks(entries, entry_rules(cfg)), repeat_check(entries), window_t])
+        entries = entries.drop("__raw_cohort")
     return entries, {"drops": union_all(logs), "backfills": backfills, "resubmitted": resubmitted.drop("__raw_cohort"),
                      "unmatched": unmatched_emails, "unmapped_cohorts": unmapped_cohorts, "checks": checks}
 
@@ -387,8 +400,16 @@ def person_diff(summary: DataFrame, brk: DataFrame, month: str | None = None, to
     return per_key_diff(side(rp.summary_long(summary)), side(rp.breakdown_long(brk)), "umuzi_email", "v", tol=tol)
 
 
-def report_checks(entries: DataFrame, summary: DataFrame, brk: DataFrame, recon: DataFrame) -> DataFrame:
-    """Count-once invariant, same people in both tables, months reconcile."""
+def breakdown_rules() -> list[Check]:
+    """What every row of the breakdown must hold."""
+    return [
+        Check("report", "status mapped", F.col("`Current Status`").isNull(), WARN, "types without a status mapping"),
+        Check("report", "pivot keys non-null", F.col("first_date").isNull() | F.col("earning_opportunity_type").isNull()
+              | F.col("cohort").isNull(), ERROR, "NULL in a pivot index key")]
+
+
+def report_checks(entries: DataFrame, summary: DataFrame, brk: DataFrame, recon: DataFrame, row_checks: bool = True) -> DataFrame:
+    """Count-once invariant, same people in both tables, months reconcile; with ``row_checks`` also ``breakdown_rules``."""
     marks = brk.select(F.col("umuzi_email"), F.col("`Youth Count (1 vs Counted)`").alias("m"),
                        F.col("`Counted Y1`").alias("y"), F.lit("b").alias("t"))
     s = summary.select("umuzi_email", F.lit(None).cast("string").alias("m"),
@@ -400,12 +421,6 @@ def report_checks(entries: DataFrame, summary: DataFrame, brk: DataFrame, recon:
         F.count_distinct(F.when(F.col("t") == "b", F.col("umuzi_email"))).alias("b_people"),
         F.count_distinct(F.when(F.col("t") == "s", F.col("umuzi_email"))).alias("s_people"))
     bad = recon.agg(F.count_if(~F.col("ok")).alias("bad_months"))
-    status_t = _count_check(brk.agg(F.count_if(F.col("`Current Status`").isNull()).alias("n")),
-                            "report", "status mapped", WARN, "types without a status mapping")
-    keys_t = _count_check(brk.agg(F.count_if(F.col("first_date").isNull()
-                                             | F.col("earning_opportunity_type").isNull()
-                                             | F.col("cohort").isNull()).alias("n")),
-                          "report", "pivot keys non-null", ERROR, "NULL in a pivot index key")
     # every entry must reach the long form (inner joins to its op_num and first date)
     counted = union_all([breakdown_long(entries).select(F.lit(-1).alias("s")),
                          entries.select(F.lit(1).alias("s"))])
@@ -421,4 +436,4 @@ def report_checks(entries: DataFrame, summary: DataFrame, brk: DataFrame, recon:
                     F.abs(F.col("b_people") - F.col("s_people")).cast("bigint").alias("offenders"))
     t3 = _count_check(bad.select(F.col("bad_months").alias("n")), "report", "tables reconcile", ERROR,
                       "months whose totals differ")
-    return union_all([t1, t2, t3, status_t, keys_t, op_t])
+    return union_all([t1, t2, t3, op_t, *([run_checks(brk, breakdown_rules())] if row_checks else [])])

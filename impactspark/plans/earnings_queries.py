@@ -191,9 +191,9 @@ def _all_people(t):
             .withColumnRenamed("id", "learner_id"))
 
 
-@query("earnings_demographics", m.with_ctes(*_CHAIN, """
+_MATCHED = ("""
 known AS (
-  SELECT l.id, l.email, l.umuzi_email, l.first_name, l.race, l.gender, l.date_of_birth, metro.n_name AS metro,
+  SELECT l.id, l.email, l.umuzi_email, l.first_name, l.last_name, l.race, l.gender, l.date_of_birth, metro.n_name AS metro,
     coalesce(l.umuzi_email, l.email) AS main_email,
     (coalesce(l.is_south_african_citizen, FALSE) OR coalesce(l.nationality = 'South African', FALSE))
       AND coalesce(NOT l.is_currently_employed AND NOT l.test_account, FALSE) AS eligible
@@ -206,11 +206,15 @@ tiers AS (
 )""", """
 matched AS (
   SELECT key, arg_min(first_name, tier) FILTER (first_name IS NOT NULL) AS first_name,
+    arg_min(last_name, tier) FILTER (last_name IS NOT NULL) AS last_name,
     arg_min(race, tier) FILTER (race IS NOT NULL) AS race, arg_min(gender, tier) FILTER (gender IS NOT NULL) AS gender,
     arg_min(date_of_birth, tier) FILTER (date_of_birth IS NOT NULL) AS dob,
     arg_min(metro, tier) FILTER (metro IS NOT NULL) AS metro, arg_min(known.id, tier) AS learner_id
   FROM tiers JOIN known USING (id) WHERE key IS NOT NULL GROUP BY key
-)""", """
+)""")
+
+
+@query("earnings_demographics", m.with_ctes(*_CHAIN, *_MATCHED, """
 once AS (
   SELECT * FROM cleaned QUALIFY row_number() OVER (
     PARTITION BY em, extra, etype2, ename, o_orderdate, payment ORDER BY prio, rowk) = 1
@@ -237,26 +241,34 @@ def earnings_demographics(spark, sf_dir):
                       "age_range", "month_of_service_accessed")
 
 
-def _shipped(spark, sf_dir):
-    """The stored summary and breakdown tables (PIPE-10, PIPE-11), opportunity numbers from the data."""
+def _shipped(spark, sf_dir, entries=None, broken=None):
+    """The stored summary and breakdown tables (PIPE-10, PIPE-11), opportunity numbers from the data.
+
+    ``broken`` are the entries that the breakdown is built from, where they differ from the summary's.
+    """
     t = m.Tables(spark, sf_dir)
-    entries = stage_table(_entries(spark, sf_dir), "entries")
+    entries = stage_table(_entries(spark, sf_dir), "entries") if entries is None else entries
     demo = earn.demographics(entries, _people(spark, t), _all_people(t))
     baseline = _all_people(t).filter("learner_id % 4 = 0 AND umuzi_email IS NOT NULL").select("umuzi_email")
     names = spark.createDataFrame(list(PROGRAMMES), "slug string, name string")
-    brk = earn.breakdown(entries, demo, baseline, names)
+    brk = earn.breakdown(entries if broken is None else broken, demo, baseline, names)
     return stage_table(earn.summarized(entries), "summary"), stage_table(brk, "breakdown")
 
 
 _SHIPPED_KEYS = ("first_date", "Youth Count (1 vs Counted)", "Counted Y1", "Current Status", "cohort", "Programme",
-                 "earning_opportunity_type")
+                 "earning_opportunity_type", "Full Name")
 
 
-@query("earnings_breakdown", m.with_ctes(*_CHAIN, """
+@query("earnings_breakdown", m.with_ctes(*_CHAIN, *_MATCHED, """
+numbered AS (
+  SELECT em, etype2, ename, row_number() OVER (PARTITION BY em, etype2 ORDER BY min(o_orderdate), ename NULLS FIRST) AS number
+  FROM cleaned GROUP BY em, etype2, ename
+)""", """
 cells AS (
-  SELECT em, etype2, coalesce(cohort, 'Missing Cohort Info') AS cohort, month,
+  SELECT c.em, c.etype2, coalesce(cohort, 'Missing Cohort Info') AS cohort, month, number,
     CAST(sum(CAST(payment AS DECIMAL(18,2))) AS DOUBLE) AS v, count(*) AS n
-  FROM cleaned GROUP BY ALL
+  FROM cleaned c JOIN numbered x ON x.em IS NOT DISTINCT FROM c.em AND x.etype2 = c.etype2 AND x.ename IS NOT DISTINCT FROM c.ename
+  GROUP BY ALL
 )""", """
 started AS (SELECT em, etype2, min(o_orderdate) AS first_date FROM cleaned GROUP BY ALL)""", """
 lines AS (
@@ -264,20 +276,20 @@ lines AS (
     row_number() OVER (PARTITION BY em ORDER BY first_date, etype2, cohort) AS place
   FROM (SELECT DISTINCT em, etype2, cohort FROM cells) JOIN started USING (em, etype2)
 )""", body="""
-SELECT em AS umuzi_email, first_date, CASE WHEN place = 1 AND NOT old THEN '1' ELSE 'Counted' END AS mark, old AS baseline,
+SELECT em AS umuzi_email, coalesce(first_name || ' ' || last_name, em) AS full_name, first_date,
+  CASE WHEN place = 1 AND NOT old THEN '1' ELSE 'Counted' END AS mark, old AS baseline,
   CASE etype2 WHEN 'Placement' THEN 'Placement' ELSE 'Active' END AS status, cohort,
   CASE cohort WHEN 'Cohort U' THEN 'Urgent lab' WHEN 'Cohort H' THEN 'High lab' ELSE 'Not Provided' END AS programme,
-  etype2 AS earning_opportunity_type, month, v, n
-FROM cells JOIN lines USING (em, etype2, cohort)
+  etype2 AS earning_opportunity_type, month, number, v, n
+FROM cells JOIN lines USING (em, etype2, cohort) LEFT JOIN matched ON key = em
 """))
 def earnings_breakdown(spark, sf_dir):
-    """PIPE-11 / RSH-4 / DED-9 / JN-8 / WIN-3: the shipped breakdown, its month columns unpivoted again."""
+    """PIPE-11 / RSH-4 / DED-9 / JN-8 / WIN-2/3 / STR-10: the shipped breakdown, its month and number columns unpivoted again."""
     _, brk = _shipped(spark, sf_dir)
     long = rp.breakdown_long(brk, keep=_SHIPPED_KEYS).filter("n > 0")
-    return long.groupBy("umuzi_email", "first_date", F.col(f"`{_SHIPPED_KEYS[1]}`").alias("mark"),
-                        F.col(f"`{_SHIPPED_KEYS[2]}`").alias("baseline"), F.col(f"`{_SHIPPED_KEYS[3]}`").alias("status"),
-                        "cohort", F.col("Programme").alias("programme"), "earning_opportunity_type", "month").agg(
-        F.sum(F.col("v").cast("decimal(18,2)")).cast("double").alias("v"), F.sum("n").alias("n"))
+    return long.select("umuzi_email", F.col("Full Name").alias("full_name"), "first_date", F.col(f"`{_SHIPPED_KEYS[1]}`").alias("mark"),
+                       F.col(f"`{_SHIPPED_KEYS[2]}`").alias("baseline"), F.col(f"`{_SHIPPED_KEYS[3]}`").alias("status"),
+                       "cohort", F.col("Programme").alias("programme"), "earning_opportunity_type", "month", "number", "v", "n")
 
 
 @query("earnings_reconcile", m.with_ctes(*_CHAIN, _MONTHS_SQL, """
@@ -294,6 +306,25 @@ def earnings_reconcile(spark, sf_dir):
     return earn.reconcile_tables(summary, brk).select("month", "a_value", "b_value", "a_count", "b_count", "diff", "ok")
 
 
+@query("earnings_losses", m.with_ctes(*_CHAIN, _MONTHS_SQL, """
+left_out AS (SELECT *, ename = 'Internship' AND cohort = 'Cohort H' AND month IN ('March', 'June') AS lost FROM cleaned)""", """
+sums AS (
+  SELECT month, CAST(sum(CAST(payment AS DECIMAL(18,2))) AS DOUBLE) AS a, count(*) AS an,
+    CAST(sum(CAST(payment AS DECIMAL(18,2))) FILTER (lost IS NOT TRUE) AS DOUBLE) AS b, count(*) FILTER (lost IS NOT TRUE) AS bn
+  FROM left_out GROUP BY month
+)""", body="""
+SELECT month, coalesce(a, 0.0) AS a_value, coalesce(b, 0.0) AS b_value, coalesce(an, 0) AS a_count, coalesce(bn, 0) AS b_count,
+  round(coalesce(a, 0.0) - coalesce(b, 0.0), 2) AS diff, abs(coalesce(a, 0.0) - coalesce(b, 0.0)) <= 0.01 AND coalesce(an, 0) = coalesce(bn, 0) AS ok
+FROM fiscal LEFT JOIN sums USING (month)
+"""))
+def earnings_losses(spark, sf_dir):
+    """PIPE-13 / REC-1: a breakdown that lost the rows of one cohort in two months; the reconciliation shows where and how much."""
+    entries = stage_table(_entries(spark, sf_dir), "entries")
+    lost = (F.col("earning_opportunity_name") == "Internship") & (F.col("cohort") == "Cohort H") & F.col("month").isin("March", "June")
+    summary, brk = _shipped(spark, sf_dir, entries, entries.filter(F.coalesce(~lost, F.lit(True))))
+    return earn.reconcile_tables(summary, brk).select("month", "a_value", "b_value", "a_count", "b_count", "diff", "ok")
+
+
 @query("earnings_learners", m.with_ctes(*_CHAIN, """
 known AS (
   SELECT coalesce(umuzi_email, email) AS key, max(id) AS id FROM learners

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import union_all
-from ..operators.quality import gate
+from ..operators.quality import gate, stage_checked
 from ..session import drop_stages, staged_count, stage_table
 from ..sources import write_report, write_state
 from . import earnings as earn
@@ -32,14 +32,16 @@ def review_lists(entries: DataFrame, demo: DataFrame) -> dict[str, DataFrame]:
 
 def build_month(frames, rich: DataFrame, fields: DataFrame, baseline: DataFrame, names: DataFrame,
                 cfg: earn.EarningsConfig) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
-    """``(tables, checks, state)``; the frames that feed several tables are stored once."""
-    entries, logs = earn.clean_entries(frames, rich, cfg)
-    entries = stage_table(entries, "entries")
+    """``(tables, checks, state)``; the frames that feed several tables are stored once, and counted by the job that stores them."""
+    entries, logs = earn.clean_entries(frames, rich, cfg, row_checks=False)
+    entries, entry_t = stage_checked(entries, "entries", earn.entry_rules(cfg))
+    entries = entries.drop("__raw_cohort")
     demo = stage_table(earn.demographics(entries, rich, fields), "demographics")
     summary = stage_table(earn.summarized(entries), "summary")
-    brk = stage_table(earn.breakdown(entries, demo, baseline, names), "breakdown")
+    brk, brk_t = stage_checked(earn.breakdown(entries, demo, baseline, names), "breakdown", earn.breakdown_rules())
     recon = stage_table(earn.reconcile_tables(summary, brk), "reconciliation")
-    checks = stage_table(union_all([logs["checks"], earn.report_checks(entries, summary, brk, recon)]), "checks")
+    checks = stage_table(union_all([entry_t, earn.repeat_check(entries), logs["checks"], brk_t,
+                                    earn.report_checks(entries, summary, brk, recon, row_checks=False)]), "checks")
     tables = {
         "summary": rp.result_export(summary), "breakdown": rp.partner_export(brk, cfg.fy_start_year),
         "entries_wide": earn.entries_wide(entries), "one_per_learner": earn.singles(demo),

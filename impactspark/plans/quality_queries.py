@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..operators import (Check, ValidationError, column_gaps, drop_if_present, drop_null_all, drop_null_any, enrich_counted,
-                         offenders_by_check, preview, row_hash, union_all)
+                         offenders_by_check, preview, union_all)
 from ..operators.quality import ERROR, WARN
 from ..session import stage_folder
 from ..sources import read_report, read_sorted, write_csv, write_report, write_sorted, write_template
@@ -49,12 +49,12 @@ def checked_report(spark, sf_dir):
     except ValidationError as e:
         refused = e.table
     tables = read_report(spark, base)
-    seen = tables["orders"].agg(F.count(F.lit(1)).alias("visible_rows"), F.max("version").alias("visible"))
+    seen = tables["orders"].agg(F.count(F.lit(1)).alias("n"), F.max("version").alias("v")).first()      # the report as readers see it
     rows = tables["written_checks"].select(F.lit("first").alias("attempt"), "check", "status", "offenders")
     assert first is not None
     if refused is not None:
         rows = rows.unionByName(refused.select(F.lit("second").alias("attempt"), "check", "status", "offenders"))
-    return rows.join(F.broadcast(seen))          # one row: the report as readers see it
+    return rows.withColumns({"visible_rows": F.lit(seen["n"]).cast("bigint"), "visible": F.lit(seen["v"])})
 
 
 @query("fan_out_guard", """

@@ -109,7 +109,7 @@ def summary_long(summary: DataFrame, months=FY_MONTHS) -> DataFrame:
 
 
 def breakdown_long(brk: DataFrame, months=FY_MONTHS, keep=()) -> DataFrame:
-    """The breakdown as shipped, unpivoted: one (person, month, v, n) row per value and
+    """The breakdown as shipped, unpivoted: one (person, month, number, v, n) row per value and
     gig column pair, with the columns ``keep``."""
     own, cells = set(brk.columns), []
     for mo in months:
@@ -118,13 +118,13 @@ def breakdown_long(brk: DataFrame, months=FY_MONTHS, keep=()) -> DataFrame:
         largest = len(own)
         while number <= largest and last:
             if value_header(mo, number) in own:
-                cells.append(F.struct(F.lit(mo).alias("month"), F.col(f"`{value_header(mo, number)}`").cast("double").alias("v"),
-                                      F.col(f"`{gig_header(mo, number)}`").cast("bigint").alias("n")))
+                cells.append(F.struct(F.lit(mo).alias("month"), F.lit(number).cast("bigint").alias("number"),
+                                      F.col(f"`{value_header(mo, number)}`").cast("double").alias("v"), F.col(f"`{gig_header(mo, number)}`").cast("bigint").alias("n")))
                 last -= 2
             number += 1
     if not cells:
-        return brk.select("umuzi_email", *[F.col(f"`{c}`") for c in keep], F.lit("").alias("month"), F.lit(0.0).alias("v"),
-                          F.lit(0).cast("bigint").alias("n")).limit(0)
+        return brk.select("umuzi_email", *[F.col(f"`{c}`") for c in keep], F.lit("").alias("month"),
+                          F.lit(0).cast("bigint").alias("number"), F.lit(0.0).alias("v"), F.lit(0).cast("bigint").alias("n")).limit(0)
     return brk.select("umuzi_email", *[F.col(f"`{c}`") for c in keep], F.inline(F.array(*cells)))
 
 

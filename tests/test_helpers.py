@@ -101,7 +101,7 @@ def test_grid_chain_map_window_interleave(spark):
     out = op.left_chain(fact, [(cities, "city", "cid", {"name": "nearest_metro"})])
     assert rows(out, "id", "nearest_metro") == [(1, "Metro"), (2, None)]
     labels = spark.createDataFrame([("a", "A"), ("a", "A")], "k string, v string")
-    mapped = op.join_map(fact.withColumn("k", F.lit("a")), "k", labels, "k", "v", "label", bounded=True)
+    mapped = op.join_map(fact.withColumn("k", F.lit("a")), "k", labels, "k", "v", "label")
     assert mapped.count() == 2 and {r.label for r in mapped.collect()} == {"A"}
     ts = spark.createDataFrame([(dt.datetime(2026, 3, 31),), (dt.datetime(2026, 4, 2),), (None,)], "d timestamp_ntz")
     assert op.in_window(ts, "d", "2026-04-01", "2026-07-01").count() == 1

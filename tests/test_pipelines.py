@@ -389,7 +389,7 @@ def test_month_run_writes_all_or_nothing(spark, tmp_path):
     # a failed error-level check writes nothing
     real = earn.report_checks
     try:
-        earn.report_checks = lambda *a: real(*a).withColumn("status", F.lit("FAIL"))
+        earn.report_checks = lambda *a, **k: real(*a, **k).withColumn("status", F.lit("FAIL"))
         with pytest.raises(ValidationError):
             run_month(frames, rich, rich, baseline, names, cfg, report, f"{state}/m2")
     finally:
