@@ -94,7 +94,8 @@ def person_identifiers(rich: DataFrame) -> list[Identifier]:
     An address resolves to the canonical one, as a personal address first
     and as the canonical address itself next.
     """
-    by = lambda key: (rich, key, "umuzi_email", "learner_id")
+    people = rich.withColumn("umuzi_email", fx.normalize_email("umuzi_email"))
+    by = lambda key: (people, key, "umuzi_email", "learner_id")
     text = lambda c: F.coalesce(fx.strip(c), F.lit(""))
     return [
         Identifier("id number", lambda c: text(c).rlike("^[0-9]{1,13}$"), lambda c: fx.pad_id(fx.strip(c)), (by("id_number"),)),
@@ -149,7 +150,7 @@ def load_flat(spark: SparkSession, path: str, name: str, priority: int, lead_row
 
 def load_prior(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """SRC-7: last month's cleaned entries; first in concat order (priority 0), by their own identity among themselves."""
-    return tag(read_state(spark, path, STATE_SCHEMA, before=before), "prev_combined", 0)
+    return tag(read_state(spark, path, STATE_SCHEMA, before=before, ordered=True), "prev_combined", 0)
 
 
 # ------------------------------------------------------------------ PIPE-7

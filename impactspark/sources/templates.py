@@ -148,10 +148,11 @@ def read_blocks(spark: SparkSession, path: str, lead_rows: int, first_col: int =
     return _positional(records.join(sized.drop("width"), "_file"), ords, names, lead_rows, first_col + len(names)), k
 
 
-def read_state(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", before: int | None = None) -> DataFrame:
-    """SRC-7: prior output re-read with an explicit schema and an order of its own; missing -> empty frame.
+def read_state(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", before: int | None = None,
+               ordered: bool = False) -> DataFrame:
+    """SRC-7: prior output re-read with an explicit schema; missing -> empty frame.
 
-    ``_file`` is the hash of a row's content and ``_row`` its number among
+    ``ordered`` adds an order of its own: ``_file`` is the hash of a row's content and ``_row`` its number among
     equal rows: stored with a state that ``write_state`` wrote (its newest
     version, or the newest older than ``before``), computed for any other
     Parquet or CSV folder.  Either way the order of the rows does not depend
@@ -171,6 +172,8 @@ def read_state(spark: SparkSession, path: str, schema: StructType, fmt: str = "p
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
             df = spark.createDataFrame([], schema)
+    if not ordered:
+        return df.select(*names)
     if STATE_ID[0] not in df.columns:
         df = identify(df.select(*names))
     return df.withColumnsRenamed({STATE_ID[0]: "_file", STATE_ID[1]: "_row"})
