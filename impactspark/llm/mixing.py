@@ -5,26 +5,31 @@ likely it belongs to each domain (hashed-word likelihoods, tempered by the
 text's length, so that mixed texts keep mixed memberships).  The domains'
 token totals are then expectations over these memberships, and a nonnegative
 rate is sought for every document such that the expected totals under the
-rates match the targets: regularised least squares
+rates match the targets: least squares over the rates,
 
-    1/2 sum_d (T_d - t_d)^2 / t_d + strength / 2 sum_i u_i (rate_i - 1)^2,
-    T_d = sum_i u_i p_id rate_i,  u_i = tokens_i / all tokens,
+    1/2 sum_d (T_d - t_d)^2 / s_d,   T_d = sum_i u_i p_id rate_i,
 
-solved over one price for each domain: the best rates are
-max(least, 1 - p_i price), and the prices follow by Newton steps with a line
-search, which converge alike for frequent and rare domains.  A step needs one
-sum of totals and curvature (a row for each domain); the rates themselves are
-never stored or collected, each task unfolds them from the prices.  Strength
-starts at ``STRENGTH`` and falls until every total is within ``TOLERANCE`` of
-the smallest target; targets that no rates meet, or that ``steps`` do not
-suffice for, are reported by a warning.
+with u_i = tokens_i / all tokens and s_d the domain's share (T_d at rate 1).
+It is minimised by accelerated projected-gradient steps from rate 1,
+
+    rate_i <- max(least, rate_i - sum_d p_id (T_d - t_d) / s_d).
+
+Dividing by the shares makes a step of length 1 safe whatever the data (the
+rows of the curvature, M_de / s_d with M_de = sum_i u_i p_id p_ie, sum to 1)
+and lets frequent and rare domains converge alike.  Every step needs one sum
+over the documents, a row for each domain; the rates are never stored or
+collected: each task repeats the steps from the domains' weights.  Steps end
+when every total is within ``TOLERANCE`` of the smallest target; targets that
+``steps`` do not meet are reported by a warning.
 
 The domains are those of all labelled rows that have a document; a target for
 another one is an error.  The classifier is fitted on a bounded sample of
 these rows (``MAX_ROWS``, dealt evenly over the domains and in each those with
-the smallest id hashes); memberships, totals and rates cover all documents.  Texts without words weigh nothing and get rate 1 (or
-``least``); null domains are not learned from; repeated rows get equal
-rates; an empty table gives an empty result.
+the smallest id hashes); memberships, totals and rates cover
+all documents.  Tokens are those of a given tokenizer, or words where none is
+given.  Texts without tokens weigh nothing and get rate 1 (or ``least``); null
+domains are not learned from; repeated rows get equal rates; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,15 +38,18 @@ import warnings
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import free_name, released, staged
+from .rank_merges import merge_ranks
 from .texthash import words
+from .token_counts import Counter, read_tokenizer
 
 MAX_ROWS, BUCKETS, MAX_DOMAINS = 8_000, 1 << 15, 256
-STEPS, STRENGTH, TOLERANCE = 60, 1e-3, 1e-3
+STEPS, TOLERANCE = 200, 1e-3
 
 
 def _texts(column: pd.Series) -> list[str]:
@@ -123,163 +131,158 @@ def tempered(share: np.ndarray, power: float) -> np.ndarray:
     return w / w.sum() if w.sum() > 0 else w
 
 
-def _unfold(p: np.ndarray, history: list[np.ndarray], step: float, strength: float, least: float) -> np.ndarray:
-    """Rates under the prices that the steps of ``history`` add up to (whatever the strength they were found for)."""
-    return np.maximum(least, 1 - step * (p @ np.sum(history, axis=0))) if history else np.ones(len(p))
+def _unfold(p: np.ndarray, history: list[tuple[np.ndarray, float]], least: float) -> np.ndarray:
+    """Rates after the steps of ``history``: the domains' weights of each, and its momentum."""
+    before = rate = np.ones(len(p))
+    for weight, momentum in history:
+        moved = np.maximum(least, rate - p @ weight)
+        rate = np.maximum(least, moved + momentum * (moved - before))
+        before = moved
+    return rate
 
 
-def _sums(slim: DataFrame, history: list[np.ndarray], step: float, strength: float, least: float, size: int) -> np.ndarray:
-    """A row for each domain d: ``sum_i n_i p_id p_ie`` over the rows whose rate can still fall, for each domain e,
-    and ``sum_i n_i rate_i p_id``."""
+def _totals(slim: DataFrame, history: list[tuple[np.ndarray, float]], least: float, size: int) -> np.ndarray:
+    """``sum_i n_i rate_i p_id`` for each domain d; one row for each task reaches the last sum."""
     @released
     def run(batches):
-        total = np.zeros((size, size + 1))
+        total = np.zeros(size)
         for df in batches:
-            p = np.stack(df["p"]) if len(df) else np.zeros((0, size))
-            n, rate = df["n"].to_numpy(np.float64), _unfold(p, history, step, strength, least)
-            free = n * (rate > least) if history else n
-            total += np.column_stack([(p * free[:, None]).T @ p, (n * rate) @ p])
-        yield pd.DataFrame(total, columns=names).assign(domain=range(size))
-
-    names = [f"s{k}" for k in range(size + 1)]
-    parts = slim.mapInPandas(run, ", ".join(f"{n} double" for n in names) + ", domain int")
-    out = np.zeros((size, size + 1))
-    for r in parts.groupBy("domain").agg(*[F.sum(n).alias(n) for n in names]).collect():  # a row for each domain
-        out[r["domain"]] = list(r)[1:]
-    return out
+            if len(df):
+                p = np.stack(df["p"])
+                total += (df["n"].to_numpy(np.float64) * _unfold(p, history, least)) @ p
+        yield pd.DataFrame([total], columns=names)
+
+    names = [f"s{k}" for k in range(size)]
+    parts = slim.select("n", "p").mapInPandas(run, ", ".join(f"{n} double" for n in names))
+    return np.array([x or 0.0 for x in parts.agg(*[F.sum(n) for n in names]).first()])
 
 
 class Mix:
-    """What the solver found: shares, targets and reached totals (as shares of all tokens), the prices' steps, and
-    whether all targets are met within the tolerance."""
+    """What the solver found: shares, targets and reached totals (as shares of all tokens), the steps, and whether all
+    targets are met within the tolerance."""
 
-    def __init__(self, domains, share, target, history, step, strength, least, reached, met):
+    def __init__(self, domains, share, target, history, least, reached, met):
         self.domains, self.share, self.target, self.history = domains, share, target, history
-        self.step, self.strength, self.least, self.reached, self.met = step, strength, least, reached, met
+        self.least, self.reached, self.met = least, reached, met
 
     def rates(self, p: np.ndarray) -> np.ndarray:
-        return _unfold(p, self.history, self.step, self.strength, self.least)
+        return _unfold(p, self.history, self.least)
 
 
 def solve(slim: DataFrame, domains: list[str], targets: dict[str, float] | None, power: float,
-          least: float = 0.0, steps: int = STEPS, strength: float | None = None) -> Mix:
+          least: float = 0.0, steps: int = STEPS) -> Mix:
     """Rates for ``slim`` (columns n, p).
 
     ``targets`` are weights by domain (None: the shares to the ``power``).
-    With ``least`` > 0 the total grows until every target can be met.  A given
-    ``strength`` is kept; None: ``STRENGTH``, less where the targets need it.
+    With ``least`` > 0 the total grows until every target can be met.
     """
-    size, fixed = len(domains), strength is not None
-    strength = strength if fixed else STRENGTH
-
-    def look(history: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray | None]:
-        got = _sums(slim, history, 1.0, strength, least, size)
-        return (got[:, -1], got[:, :-1]) if got.ndim == 2 else (got, None)  # totals alone: secants give the curvature
-
-    total, bend = look([])
+    history: list[tuple[np.ndarray, float]] = []
+    total = _totals(slim, history, least, len(domains))
     if targets and total.sum() > 0 and (lost := sorted(set(targets) - set(domains))):
         raise ValueError(f"targets without a domain: {lost}")
     n = max(total.sum(), 1.0)
-    share = total / n
-    bend = np.diag(share) if (secant := bend is None) else bend / n
+    share = reached = total / n
     target = tempered(share, power) if targets is None else np.array([targets.get(d, 0.0) for d in domains])
     target = target / target.sum() if target.sum() > 0 else share.copy()
     if least > 0:
         held = target > 0
         target = target * max(1.0, float((least * share[held] / target[held]).max(initial=0.0)))
-    weight = np.maximum(target, 1e-6)
+    scale = np.where(share > 0, share, 1.0)
     near = TOLERANCE * max(1e-9, float(target[target > 0].min(initial=1.0)))
-    price, reached, best, met = np.zeros(size), share, None, False
+    speed, cost = 1.0, np.inf
     while True:
-        slope = strength * weight * price + target - reached
-        while steps > 0 and np.abs(slope).max(initial=0.0) > 0.02 * near:
-            move = np.linalg.lstsq(bend + strength * np.diag(weight), -slope, rcond=None)[0]
-            down, length = abs(float(slope @ move)), 1.0
-            while True:
-                steps -= 1
-                reached, bent = look([price + length * move])
-                reached = reached / n
-                after = strength * weight * (price + length * move) + target - reached
-                if steps <= 0 or (up := float(after @ move)) <= 0.25 * down:
-                    break
-                length *= min(0.5, max(0.1, down / (down + up)))
-            if secant:  # BFGS, without the strength's part
-                s, y = length * move, after - slope - strength * weight * length * move
-                if s @ y > 1e-12 * (s @ s):
-                    bend = bend + np.outer(y, y) / (s @ y) - np.outer(bend @ s, bend @ s) / (s @ bend @ s)
-            else:
-                bend = bent / n
-            price, slope = price + length * move, after
         # with a least rate, a domain may be over its target because no rate can fall further
-        off = float((target - reached if least > 0 else np.abs(reached - target)).max(initial=0.0))
-        met = bool(np.abs(reached - target).max(initial=0.0) <= near)
-        if fixed or off <= near or steps <= 0:
-            break
-        if best is not None and off > 0.5 * best[2]:
-            price, reached, _ = best  # no rates meet the targets; a lower strength makes them extreme, not nearer
+        off = target - reached if least > 0 else np.abs(target - reached)
+        if off.max(initial=0.0) <= near or len(history) >= steps:
             break
-        best = price, reached, off
-        strength *= min(0.25, max(1e-3, 0.5 * near / off))
-    return Mix(domains, share, target, [price], 1.0, strength, least, reached, met)
+        last, cost = cost, float(((reached - target) ** 2 / scale).sum())
+        if cost > last:  # momentum carried too far: start it again
+            speed = 1.0
+        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
+        history.append(((reached - target) / scale, (speed - 1) / faster))
+        speed = faster
+        reached = _totals(slim, history, least, len(domains)) / n
+    met = bool(np.abs(reached - target).max(initial=0.0) <= near)
+    return Mix(domains, share, target, history, least, reached, met)
 
 
 class Solved:
-    """The fitted memberships (broadcast) and the solved rates of one table."""
+    """Documents with token counts and memberships (stored once), and the solved rates of the table."""
 
-    def __init__(self, docs: DataFrame, labelled: DataFrame, targets, power, least, doc_id, text, domain):
+    def __init__(self, docs: DataFrame, labelled: DataFrame, targets, power, least, doc_id, text, domain, tokens, keep_text):
         model = fit_domains(docs, labelled, doc_id, text, domain)
-        self.shared = shared = docs.sparkSession.sparkContext.broadcast(model)
+        spark = docs.sparkSession
+        spec = read_tokenizer(tokens) if tokens else None
+        shared = spark.sparkContext.broadcast((model, (spec, merge_ranks(spec)) if spec else None))
         self.domains = model.domains
+        self.kept = [c for c in docs.columns if keep_text or c != text]
+        self.n, self.p, body = free_name(docs, "_n"), free_name(docs, "_p"), free_name(docs, "_body")
+        own = T.StructType.fromDDL(f"`{self.n}` bigint, `{self.p}` array<double>")
+        schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType, True) for c in self.kept], *own.fields])
+        kept, n_name, p_name = self.kept, self.n, self.p
 
         @released
         def weigh(batches):
-            for df in batches:
-                n, p = shared.value.of(_texts(df["text"]))
-                yield pd.DataFrame({"n": n, "p": list(p)})
-
-        slim = docs.select(F.col(f"`{text}`").alias("text")).mapInPandas(weigh, "n bigint, p array<double>")
-        self.mix = m = solve(staged(slim, "mix-slim"), model.domains, targets, power, least)
+            model, counting = shared.value
+            counter = Counter(*counting) if counting else None
+            for batch in batches:
+                texts = [t or "" for t in batch.column(body).to_pylist()]
+                n, p = model.of(texts)
+                if counter:
+                    n = np.array(counter.whole(texts), np.int64)
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(n, pa.int64()), flat],
+                                                 names=[*kept, n_name, p_name])
+
+        source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(body))
+        self.rows = staged(source.mapInArrow(weigh, schema), "mix-weighed")
+        slim = self.rows.select(F.col(self.n).alias("n"), F.col(self.p).alias("p"))
+        self.mix = m = solve(slim, model.domains, targets, power, least)
         if not m.met:
             far = [(abs(r - t), f"{d} {r:.3g} for {t:.3g}") for d, r, t in zip(m.domains, m.reached, m.target, strict=True)]
             warnings.warn(f"targets not met: {', '.join(x for _, x in sorted(far, reverse=True)[:5])}", stacklevel=4)
 
-    def rated(self, docs: DataFrame, text: str, names: tuple[str, str, str, str]) -> DataFrame:
-        """``docs`` with token count, likeliest domain, its membership and the rate under ``names``."""
+    def rated(self, names: tuple[str, str, str, str]) -> DataFrame:
+        """The documents with token count, likeliest domain, its membership and the rate under ``names``."""
         kinds = ("bigint", "string", "double", "double")
-        schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(
-            ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True))).fields])
-        shared, solved, domains = self.shared, self.mix, self.domains
+        own = T.StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in zip(names, kinds, strict=True)))
+        schema = T.StructType([*[self.rows.schema[c] for c in self.kept], *own.fields])
+        solved, domains, kept, n_name, p_name = self.mix, self.domains, self.kept, self.n, self.p
 
-        @released
         def rate(batches):
-            named = np.array(domains, object)
-            for df in batches:
-                n, p = shared.value.of(_texts(df[text]))
+            for batch in batches:
+                n = batch.column(n_name).to_numpy(zero_copy_only=False)
+                p = batch.column(p_name).flatten().to_numpy(zero_copy_only=False).reshape(len(n), len(domains))
                 best = p.argmax(axis=1)
                 rates = np.where(n > 0, solved.rates(p), max(1.0, solved.least))
-                yield df.assign(**dict(zip(names, (n, named[best], p[np.arange(len(n)), best], rates), strict=True)))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], batch.column(n_name),
+                                                  pa.array([domains[k] for k in best], pa.string()), pa.array(p[np.arange(len(n)), best]),
+                                                  pa.array(rates)], names=schema.names)
 
-        return docs.mapInPandas(rate, schema)
+        return self.rows.mapInArrow(rate, schema)
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, power: float = 0.5,
-        least: float = 0.0, doc_id: str = "doc_id", text: str = "text", domain: str = "domain") -> tuple[DataFrame, Mix]:
+        least: float = 0.0, doc_id: str = "doc_id", text: str = "text", domain: str = "domain",
+        tokens: str | None = None, keep_text: bool = True) -> tuple[DataFrame, Mix]:
     """``docs`` with ``n_tokens``, ``domain``, ``membership`` (of that domain) and ``rate``; and what was solved.
 
+    ``tokens`` is the path of a byte-level tokenizer (None: words count).
     Columns of the input with these names are replaced.
     """
-    solved = Solved(docs, labelled, targets, power, least, doc_id, text, domain)
     added = ("n_tokens", "domain", "membership", "rate")
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in added or c == text])
-    return solved.rated(kept, text, added), solved.mix
+    solved = Solved(kept, labelled, targets, power, least, doc_id, text, domain, tokens, keep_text)
+    return solved.rated(added), solved.mix
 
 
 def resample(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, power: float = 0.5,
-             least: float = 0.0, doc_id: str = "doc_id", text: str = "text", domain: str = "domain") -> DataFrame:
+             least: float = 0.0, doc_id: str = "doc_id", text: str = "text", domain: str = "domain",
+             tokens: str | None = None) -> DataFrame:
     """``docs``, same columns, each row as many times as its rate says: the whole part, and once more when the
     id's hash falls below the rest."""
     names = tuple(free_name(docs, x) for x in ("_tokens", "_domain", "_membership", "_rate"))
-    rated = Solved(docs, labelled, targets, power, least, doc_id, text, domain).rated(docs, text, names)
+    rated = Solved(docs, labelled, targets, power, least, doc_id, text, domain, tokens, True).rated(names)
     rate, copies, one = names[3], free_name(docs, "_copies"), free_name(docs, "_copy")
     chance = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(23)), F.lit(1 << 30)) / float(1 << 30)
     times = F.floor(rate) + F.when(chance < F.col(rate) - F.floor(rate), 1).otherwise(0)

@@ -23,8 +23,8 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def wrap(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+        def run(spark: SparkSession, sf_dir: str, **given) -> DataFrame:
+            return fn(prepare(spark), sf_dir, **given)
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = run
         if sql is not None:
@@ -160,15 +160,15 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op9_mixing")
-def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates that bring the languages' token totals halfway (power 0.5) from their shares to equal weights.
+def op9_mixing(spark: SparkSession, sf_dir: str, domain: str = "lang") -> DataFrame:
+    """Rates that bring the domains' token totals halfway (power 0.5) from their shares to equal weights.
 
-    The labelled table is the language of the rows that ``labels`` covers.
+    The labelled table is the ``domain`` (``lang``, or ``source``) of the rows that ``labels`` covers.
     """
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", domain)
     labelled = docs.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").select(
-        "doc_id", F.col("lang").alias("domain"))
-    mixed, _ = mixing.mix(docs.select("doc_id", "text"), labelled)
+        "doc_id", F.col(domain).alias("domain"))
+    mixed, _ = mixing.mix(docs.select("doc_id", "text"), labelled, tokens=tokenizer_path("byte_bpe_50k.json"), keep_text=False)
     return mixed.select("doc_id", "n_tokens", "domain", F.round("membership", 6).alias("membership"),
                         F.round("rate", 6).alias("rate"))
 
