@@ -46,7 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     labelled = docs.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").select(
         "doc_id", F.col("lang").alias("domain"))
-    return mixing.resample(docs, labelled, power=MIX_POWER, least=MIX_LEAST)
+    return mixing.resample(docs, labelled, power=MIX_POWER, least=MIX_LEAST, tokens=tokenizer_path("byte_bpe_50k.json"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
