@@ -138,8 +138,8 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN s USING (doc_id)
 """)
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document; the ledger starts empty, so every distinct text is scanned once."""
-    found, _ = secret_scan.scan(read(spark, sf_dir, "documents"))
+    """Secrets of every document through a ledger: the session's, or a new one that every distinct text enters once."""
+    found = secret_scan.scan_ledger(read(spark, sf_dir, "documents"), secret_scan.ledger_path(spark))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 

@@ -12,6 +12,7 @@ paths keep one result row each; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -92,6 +93,20 @@ def unseen_blobs(versions: DataFrame, ledger: DataFrame | None, text: str = "tex
     return found.join(ledger.where(F.col("rule_version") == RULE_VERSION).select("blob").distinct(), "blob", "left_anti")
 
 
+def _joined_back(versions: DataFrame, known: DataFrame, text: str) -> DataFrame:
+    """``versions`` with the findings of their blobs (``known``: one row for each blob that has any)."""
+    known = known.select("blob", "n_assign", "n_access", "n_hex", "spans", "base_sha256")
+    names = {"n_assign", "n_access", "n_hex", "spans", "base_sha256"}
+    kept = versions.select(*[F.col(f"`{c}`") for c in versions.columns if c.lower() not in names])
+    key = free_name(kept, "_blob")
+    paths = kept.withColumn(key, blob_id(F.col(f"`{text}`")))
+    joined = paths.join(known.withColumnRenamed("blob", key), key, "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
+    return joined.select(*[F.col(f"`{c}`") for c in kept.columns], zero("n_assign"), zero("n_access"), zero("n_hex"),
+                           F.coalesce("spans", F.lit("")).alias("spans"),
+                           F.coalesce("base_sha256", F.lit(EMPTY_SHA256)).alias("base_sha256"))
+
+
 def scan(versions: DataFrame, ledger: DataFrame | None = None, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Scan all versions; returns (``versions`` with findings, rows to append to the ledger).
 
@@ -109,32 +124,68 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, text: str = "text
     if ledger is not None:
         old = ledger.where((F.col("rule_version") == RULE_VERSION) & (F.col("spans") != "")).select(*cols)
         known = known.unionByName(old.dropDuplicates(["blob"]))
-    names = {"n_assign", "n_access", "n_hex", "spans", "base_sha256"}
-    kept = versions.select(*[F.col(f"`{c}`") for c in versions.columns if c.lower() not in names])
-    key = free_name(kept, "_blob")
-    paths = kept.withColumn(key, blob_id(F.col(f"`{text}`")))
-    joined = paths.join(known.withColumnRenamed("blob", key), key, "left")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
-    result = joined.select(*[F.col(f"`{c}`") for c in kept.columns], zero("n_assign"), zero("n_access"), zero("n_hex"),
-                           F.coalesce("spans", F.lit("")).alias("spans"),
-                           F.coalesce("base_sha256", F.lit(EMPTY_SHA256)).alias("base_sha256"))
+    result = _joined_back(versions, known, text)
     clean = new.select("blob").join(found.select("blob"), "blob", "left_anti").select(
         "blob", F.lit(RULE_VERSION).alias("rule_version"), *[F.lit(0).cast("bigint").alias(c) for c in cols[1:4]],
         F.lit("").alias("spans"), F.lit(EMPTY_SHA256).alias("base_sha256"))
     return result, found.unionByName(clean)
 
 
+def scan_ledger(versions: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Scan what the ledger at ``path`` lacks, append it, and give every version its findings from the ledger.
+
+    Three steps on slim tables and one on texts: the blobs' digests are
+    stored and compared with the ledger's; only the texts of unseen ones are
+    gathered, once each, and scanned; their rows, also those without
+    findings, are appended; then the ledger's findings join back to all
+    paths.  A second run over the same versions scans nothing.  A run that
+    fails before its append leaves the ledger as it was, and rows that two
+    runs appended for one blob count once.
+    """
+    spark = versions.sparkSession
+    ledger = read_ledger(spark, path).where(F.col("rule_version") == RULE_VERSION)
+    known = staged(ledger.select("blob").distinct(), "secret-known")
+    body = F.col(f"`{text}`")
+    unseen = staged(versions.select(blob_id(body).alias("blob")).distinct().join(known, "blob", "left_anti"), "secret-unseen")
+    if not unseen.isEmpty():
+        one = Window.partitionBy("blob").orderBy("blob")
+        texts = versions.select(blob_id(body).alias("blob"), body.alias("text"))
+        if not known.isEmpty():
+            texts = texts.join(unseen, "blob", "left_semi")
+        texts = texts.withColumn("rank", F.row_number().over(one)).where("rank = 1").drop("rank")
+        found = staged(scan_blobs(texts), "secret-findings")
+        zero = [F.lit(0).cast("bigint").alias(f"n_{r[0]}") for r in RULES]
+        clean = unseen.join(found.select("blob"), "blob", "left_anti").select(
+            "blob", F.lit(RULE_VERSION).alias("rule_version"), *zero, F.lit("").alias("spans"), F.lit(EMPTY_SHA256).alias("base_sha256"))
+        update_ledger(spark, path, found.unionByName(clean))
+        ledger = read_ledger(spark, path).where(F.col("rule_version") == RULE_VERSION)
+    return _joined_back(versions, ledger.where("spans != ''").dropDuplicates(["blob"]), text)
+
+
 def update_ledger(spark: SparkSession, path: str, rows: DataFrame) -> None:
     """Append newly scanned blobs to the ledger table at ``path`` (in shared storage)."""
     rows.write.mode("append").parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The ledger at ``path``; an empty one when no path is given."""
-    if path is None:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    """The ledger at ``path``; an empty one when no path is given or nothing has been appended there yet."""
+    try:
+        if path is not None:
+            return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
 def new_ledger_path(spark: SparkSession) -> str:
     return scratch(spark, "secret-ledger")
+
+
+#: The session setting that names a ledger to go on with.
+LEDGER_SETTING = "spark.impactspark.secretLedger"
+
+
+def ledger_path(spark: SparkSession) -> str:
+    """The ledger that the session names, or a new one in the shared folder."""
+    return spark.conf.get(LEDGER_SETTING, None) or new_ledger_path(spark)

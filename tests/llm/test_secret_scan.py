@@ -56,6 +56,45 @@ def test_ledger_scans_only_what_it_has_not_seen(spark, tmp_path):
     assert {r["blob"] for r in more.collect()} == new
 
 
+def test_a_second_run_scans_nothing(spark, tmp_path, monkeypatch):
+    """Findings come from the ledger; only blobs that it lacks are scanned, repeated and null rows included."""
+    prepare(spark)
+    scanned, real = [], S.scan_blobs
+
+    def counted(blobs, *args):
+        scanned.append(blobs.count())
+        return real(blobs, *args)
+
+    monkeypatch.setattr(S, "scan_blobs", counted)
+    path, first, second = str(tmp_path / "ledger"), [*noisy(5, 30), None, "", "token=abcdefghij"], noisy(6, 20)
+    new = len({t or "" for t in first})
+    spans = lambda texts: {r["doc_id"]: r["spans"] for r in S.scan_ledger(docs(spark, texts), path).collect()}
+    assert spans(first * 2) == {i: brute(t) for i, t in enumerate(first * 2)} and scanned == [new]
+    assert spans(first * 2) == {i: brute(t) for i, t in enumerate(first * 2)} and scanned == [new]
+    both = first + second
+    assert spans(both) == {i: brute(t) for i, t in enumerate(both)}
+    assert scanned == [new, len({t or "" for t in second} - {t or "" for t in first})]
+    again = spark.read.parquet(path).where("n_assign = 1").limit(1).withColumn("rule_version", S.F.lit(S.RULE_VERSION))
+    again.write.mode("append").parquet(path)  # a row that two runs appended
+    assert len(S.scan_ledger(docs(spark, both), path).collect()) == len(both)
+    assert S.scan_ledger(docs(spark, []), str(tmp_path / "other")).count() == 0
+
+
+def test_the_query_goes_on_with_the_sessions_ledger(spark, tmp_path):
+    from impactspark.llm.queries import QUERIES
+
+    path = str(tmp_path / "ledger")
+    spark.conf.set(S.LEDGER_SETTING, path)
+    try:
+        one = sorted(QUERIES["op7_secret_scan"](spark, "/root/testdata/sf0.001").collect())
+        rows = spark.read.parquet(path).count()
+        assert sorted(QUERIES["op7_secret_scan"](spark, "/root/testdata/sf0.001").collect()) == one
+        assert spark.read.parquet(path).count() == rows, "nothing was appended again"
+    finally:
+        spark.conf.unset(S.LEDGER_SETTING)
+    assert S.ledger_path(spark) != path
+
+
 def test_another_rule_version_scans_again(spark):
     prepare(spark)
     df = docs(spark, ["token=abcdefghij"])
