@@ -156,3 +156,49 @@ def test_toxicity_of_odd_tables(spark):
     out = X.score(odd, model)
     assert out.count() == 5 and "low" in out.columns
     assert X.score(odd.limit(0), model).count() == 0
+
+
+def test_quality_query_equals_plain_loops(spark):
+    """The registered query against follow-the-regularised-leader written coordinate by coordinate over dictionaries."""
+    import math
+    import zlib
+
+    from pyspark.sql import functions as F
+
+    from impactspark.llm import quality as Q
+    from impactspark.llm.common import read
+    from impactspark.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in read(spark, sf, "documents").collect()}
+    rows = read(spark, sf, "labels").where("quality is not null").select(
+        "doc_id", "quality", F.xxhash64("doc_id", F.lit(5)).alias("turn")).collect()
+    rows = [r for r in rows if r["doc_id"] in texts and zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    coded = {i: [(int(k), float(v)) for k, v in zip(*Q.features([t])[0])] + [(-1, 1.0)] for i, t in texts.items()}
+
+    def weight(state, k):
+        z, n = state.get(k, (0.0, 0.0))
+        return 0.0 if abs(z) <= Q.L1 else -(z - math.copysign(Q.L1, z)) / ((Q.BETA + math.sqrt(n)) / Q.ALPHA + Q.L2)
+
+    total = {}
+    for _ in range(Q.ROUNDS):
+        shards = []
+        for shard in range(Q.SHARDS):
+            own = sorted((r for r in rows if r["turn"] % Q.SHARDS == shard), key=lambda r: r["turn"])
+            state = dict(total)
+            for r in own:
+                x = coded[r["doc_id"]]
+                ws = [weight(state, k) for k, _ in x]
+                p = 1 / (1 + math.exp(-sum(w * v for w, (_, v) in zip(ws, x))))
+                for w, (k, v) in zip(ws, x):
+                    z, n = state.get(k, (0.0, 0.0))
+                    g = (p - r["quality"]) * v
+                    state[k] = (z + g - (math.sqrt(n + g * g) - math.sqrt(n)) / Q.ALPHA * w, n + g * g)
+            if own:
+                shards.append(state)
+        total = {k: tuple(sum(s.get(k, (0.0, 0.0))[j] for s in shards) / len(shards) for j in (0, 1)) for k in set().union(*shards)}
+    got = QUERIES["op3_quality"](spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        x = sum(weight(total, k) * v for k, v in coded[r["doc_id"]])
+        assert abs(r["score"] - 1 / (1 + math.exp(-x))) < 1e-6
