@@ -12,8 +12,9 @@ every path stays whose text is not mostly links, so plain lists, tables and
 terms stay whatever the paragraphs beside them score.  What is never main
 text goes by its element, class or id: menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments.  A class or id
-does not count on what wraps the article or most of the page's text (see
-``Page._wrappers``).  When a page
+does not count on what wraps the article or most of the page's text, nor does
+a form (see ``Page._wrappers``); names of the site's furniture do not count
+inside an article.  When a page
 has an ``article`` or ``main`` element, only paths below one compete.
 
 Character references are decoded, white space inside a block becomes one
@@ -47,8 +48,8 @@ BLOCK = frozenset("address article aside blockquote body br caption center dd de
                   "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre "
                   "section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object canvas title".split())
-SKIP = frozenset("head nav footer aside form menu button select dialog".split())
+RAW = frozenset("script style noscript template textarea iframe svg canvas title".split())
+SKIP = frozenset("head nav footer aside menu button select dialog".split())
 CLOSES_P = BLOCK - frozenset("br caption li dd dt legend option optgroup summary tbody td tfoot th thead tr title html body".split())
 #: Elements that end open ones of the same kind, up to a boundary.
 IMPLIED = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}),
@@ -59,6 +60,8 @@ BAD = frozenset("ad ads advert adverts advertisement advertising adslot banner s
                 "popup modal comment comments commentlist reply replies disqus discussion share sharing social related "
                 "recommended newsletter subscribe subscription signup login search widget pagination pager toolbar "
                 "copyright legal disclaimer gdpr toc skip teaser".split())
+#: Words of BAD that name the site's furniture; inside an article they are about its text.
+FURNITURE = frozenset("legal search copyright disclaimer login signup toc pager pagination toolbar skip masthead gdpr".split())
 #: Words of BAD that name what readers wrote, and words that turn a name into a property of a wrapper.
 READERS = frozenset("comment comments commentlist reply replies disqus discussion".split())
 PROPERTY = frozenset("has with without no not".split())
@@ -72,6 +75,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I | re.S)
 _NAME = re.compile(r"[a-z]+")
 _HEADING = re.compile(r"/h[1-6](?:\[[^\]]*\])?$")
+_PARAGRAPH = re.compile(r"/p(?:\[[^\]]*\])?$")
 _INSIDE = re.compile(r".*/(?:article|main)(?:\[[^\]]*\])?(?=/|$)", re.S)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 
@@ -119,9 +123,10 @@ class Page:
         if not self.named:
             return set()
         size = [0] * len(self.named)
-        for _, text, _, names in self.found:
+        for path, text, _, names in self.found:
             for k in names:
-                size[k] += len(text)
+                if "form" not in self.named[k] or _PARAGRAPH.search(path):  # fields and labels do not make a form a layout
+                    size[k] += len(text)
         half = sum(len(text) for _, text, _, _ in self.found) / 2
         free = [b for b in self.found if not b[3]]
         inside = [b for b in free if _INSIDE.match(b[0])]
@@ -151,7 +156,9 @@ class Page:
         inside = any(n in ("article", "main") for n, _, _, _ in self.stack)
         outer = name in ("html", "body", "main", "article")
         if inside:
-            words.discard("header")
+            words -= FURNITURE | {"header"}
+        if name == "form" and not bad:
+            words.add("form")  # some sites wrap the whole page in one
         skip = skipped or bad and not outer or name == "header" and not inside or name in SKIP
         if words and not outer and not skip:
             names = (*names, len(self.named))
@@ -169,7 +176,7 @@ class Page:
                 return
 
     def _text(self, text: str) -> None:
-        if text:
+        if text and not self.stack[-1][1]:
             text = references.unescape(text)
             self.parts.append(text)
             if self.links:

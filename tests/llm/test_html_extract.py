@@ -86,3 +86,28 @@ def test_table_keeps_rows_and_columns(spark):
     out = H.extract(df)
     assert sorted(r["text"] for r in out.collect()) == ["", "", LONG, LONG] and "blocks" in out.columns
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_a_form_around_the_page_is_not_a_form_field():
+    body = "<p>The first paragraph of the text, with some length. It goes on.</p><p>A second one follows here, as long as that.</p>"
+    want = "The first paragraph of the text, with some length. It goes on. A second one follows here, as long as that."
+    login = "<form class='login'><label>Name</label><input name='x'><button>Go</button> Forgot your password?</form>"
+    assert H.main_text(f"<body><form id='aspnetForm'><div>{body}</div></form></body>") == want
+    assert H.main_text(f"<body><form action='/'><article>{body}</article></form></body>") == want
+    assert H.main_text(f"<body><form><nav><a href='/'>Home</a></nav><main>{body}</main><footer>End</footer></form></body>") == want
+    assert H.main_text(f"<body>{login}<div>{body}</div></body>") == want
+    assert H.main_text(f"<body><article>{body}{login}</article></body>") == want
+    assert H.main_text(f"<body>{login}</body>") == ""
+
+
+def test_furniture_names_inside_an_article_are_about_its_text():
+    text = "<article><h1>Title</h1><p class='legal'>The court ruled, at last.</p><p class='search-term'>What people looked for.</p>" \
+           "<p>An ordinary paragraph, too.</p><div class='advert'>Buy now</div><div class='share'>Share this</div></article>"
+    assert H.main_text(text) == "Title The court ruled, at last. What people looked for. An ordinary paragraph, too."
+    outside = "<div class='legal'>All rights reserved.</div><div class='search'>Search the site</div>"
+    assert H.main_text(outside + text) == H.main_text(text)
+
+
+def test_formulas_and_objects_stay_in_their_sentence():
+    assert H.main_text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold, as said.</p></article>") == "Let x=1 hold, as said."
+    assert H.main_text("<article><p>See <object data='a.svg'>the drawing</object> here, please.</p></article>") == "See the drawing here, please."
