@@ -27,42 +27,72 @@ DROPPED = ("Dropped Prog",)
 FILES = 3
 
 # ------------------------------------------------------------------ services
-_K, _I = F.col("event_id"), F.floor(F.col("event_id") / 6)
-_USER = F.col("user_id").cast("string")
-_PERSONAL = F.concat(F.lit("  Customer"), (F.col("user_id") % 1000).cast("string"), F.lit("@Example.org "))
-_CANONICAL = F.concat(F.lit("c"), _USER, F.lit("@learn.example.org"))
-_NEXT = F.concat(F.lit("c"), (F.col("user_id") + 1).cast("string"), F.lit("@learn.example.org"))
-_DATE = (F.when(_I % 3 == 0, F.date_format("ts", "dd/MM/yyyy")).when(_I % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+# Cells of the extracts, built when a session is there.
+def _k():
+    return F.col("event_id")
+
+
+def _i():
+    return F.floor(F.col("event_id") / 6)
+
+
+def _user():
+    return F.col("user_id").cast("string")
+
+
+def _personal():
+    return F.concat(F.lit("  Customer"), (F.col("user_id") % 1000).cast("string"), F.lit("@Example.org "))
+
+
+def _canonical():
+    return F.concat(F.lit("c"), _user(), F.lit("@learn.example.org"))
+
+
+def _next():
+    return F.concat(F.lit("c"), (F.col("user_id") + 1).cast("string"), F.lit("@learn.example.org"))
+
+
+def _date():
+    return (F.when(_i() % 3 == 0, F.date_format("ts", "dd/MM/yyyy")).when(_i() % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
          .otherwise(F.date_format("ts", "yyyy-MM-dd")))
-_GROUP = F.concat(F.lit(" Group "), (F.col("user_id") % 5).cast("string"), F.lit(" "))
-_NAME = F.concat("event_type", F.lit(', said "ok"\nline 2'))
-_NONE = F.lit(None).cast("string")
+
+
+def _group():
+    return F.concat(F.lit(" Group "), (F.col("user_id") % 5).cast("string"), F.lit(" "))
+
+
+def _name():
+    return F.concat("event_type", F.lit(', said "ok"\nline 2'))
+
+
+def _none():
+    return F.lit(None).cast("string")
 
 
 def _write_services(t):
     """Six sources of one event each, by ``event_id`` modulo 6; returns their specs."""
     spark, e = t.spark, t.events
     base = stage_folder(spark, "templates")
-    part = lambda k: e.filter(_K % 6 == k)
+    part = lambda k: e.filter(_k() % 6 == k)
     put = lambda df, cells, folder, lead: write_template(df.select(*[c.alias(f"c{n}") for n, c in enumerate(cells)]),
                                                          f"{base}/{folder}", lead, FILES)
-    number = _K.cast("string")
-    put(part(0), [number, _NONE, F.when(_I % 5 != 0, F.concat(_PERSONAL, F.lit(", "), _CANONICAL)), _GROUP, _NONE, F.lit("Connection"),
-                  _NAME, _DATE], "connection", ("Connection sessions", "#,x,Emails,Cohort,x,Used,Name,Date"))
-    put(part(1), [number, _NONE, F.concat(_CANONICAL, F.lit(","), _NEXT), _NONE, F.lit("Support"),
-                  F.concat("event_type", F.lit(", Coaching ")), _DATE], "general", ("General", "note", "#,x,Emails,x,Used,Names,Date"))
-    programme = (F.when(_I % 5 == 0, "Prog X").when(_I % 5 == 1, "Some Pathway Y").when(_I % 5 == 2, "Accenture pathway")
-                 .when(_I % 5 == 3, "Dropped Prog").otherwise("Prog Z"))
-    done = F.when(_I % 4 != 0, F.date_format("ts", "yyyy-MM-dd HH:mm"))
-    put(part(2), [F.lit("Name"), _CANONICAL, F.concat(F.lit(" "), "event_type", F.lit(" ")), programme, done], "platform",
+    number = _k().cast("string")
+    put(part(0), [number, _none(), F.when(_i() % 5 != 0, F.concat(_personal(), F.lit(", "), _canonical())), _group(), _none(), F.lit("Connection"),
+                  _name(), _date()], "connection", ("Connection sessions", "#,x,Emails,Cohort,x,Used,Name,Date"))
+    put(part(1), [number, _none(), F.concat(_canonical(), F.lit(","), _next()), _none(), F.lit("Support"),
+                  F.concat("event_type", F.lit(", Coaching ")), _date()], "general", ("General", "note", "#,x,Emails,x,Used,Names,Date"))
+    programme = (F.when(_i() % 5 == 0, "Prog X").when(_i() % 5 == 1, "Some Pathway Y").when(_i() % 5 == 2, "Accenture pathway")
+                 .when(_i() % 5 == 3, "Dropped Prog").otherwise("Prog Z"))
+    done = F.when(_i() % 4 != 0, F.date_format("ts", "yyyy-MM-dd HH:mm"))
+    put(part(2), [F.lit("Name"), _canonical(), F.concat(F.lit(" "), "event_type", F.lit(" ")), programme, done], "platform",
         ("Name,Email,Course,Program Name,Completion Time",))
-    both = F.concat(_PERSONAL, F.when(_I % 2 == 0, "; ").otherwise(" ,"), _CANONICAL)
-    cells = [both, _GROUP, F.lit("Placement"), F.col("event_type"), _DATE]
-    put(part(3).filter(_I % 2 == 0), [number, *cells], "placements/sheet=0", ("Placements", "h"))
-    put(part(3).filter(_I % 2 == 1), [number, _NONE, *cells], "placements/sheet=1", ("Placements", "h"))
-    put(part(4), [number, F.concat(_CANONICAL, F.lit(","), _NEXT, F.lit(",")), _GROUP, F.lit("Check-in"), F.col("event_type"), _DATE],
+    both = F.concat(_personal(), F.when(_i() % 2 == 0, "; ").otherwise(" ,"), _canonical())
+    cells = [both, _group(), F.lit("Placement"), F.col("event_type"), _date()]
+    put(part(3).filter(_i() % 2 == 0), [number, *cells], "placements/sheet=0", ("Placements", "h"))
+    put(part(3).filter(_i() % 2 == 1), [number, _none(), *cells], "placements/sheet=1", ("Placements", "h"))
+    put(part(4), [number, F.concat(_canonical(), F.lit(","), _next(), F.lit(",")), _group(), F.lit("Check-in"), F.col("event_type"), _date()],
         "checkins", ("#,Emails,Cohort,Used,Name,Date",))
-    put(part(5), [number, F.when(_I % 7 != 0, _PERSONAL), _GROUP, F.lit("Single"), F.col("event_type"), _DATE], "single", ("title",))
+    put(part(5), [number, F.when(_i() % 7 != 0, _personal()), _group(), F.lit("Single"), F.col("event_type"), _date()], "single", ("title",))
     names = ("umuzi_email", "cohort_name", "service_used", "service_name", "date_service_accessed")
     return [
         SourceSpec("connection", f"{base}/connection", (2, 3, 5, 6, 7), names, 2, kind="connection", priority=1),
@@ -167,10 +197,24 @@ def template_services(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ earnings
-_O, _J = F.col("o_orderkey"), F.floor(F.col("o_orderkey") / 4)
-_ODATE = (F.when(_J % 2 == 0, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
-_PAID = F.concat(F.lit("R "), F.format_number("o_totalprice", 2))
-_TYPE = F.when(_J % 3 != 0, F.lit("Impact gig"))
+def _o():
+    return F.col("o_orderkey")
+
+
+def _j():
+    return F.floor(F.col("o_orderkey") / 4)
+
+
+def _odate():
+    return (F.when(_j() % 2 == 0, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+
+
+def _paid():
+    return F.concat(F.lit("R "), F.format_number("o_totalprice", 2))
+
+
+def _type():
+    return F.when(_j() % 3 != 0, F.lit("Impact gig"))
 
 
 def _people_of(t):
@@ -182,9 +226,9 @@ def _identifier(t):
     """What a team typed as the person: an id number, a personal or a canonical address, or something else."""
     ids = t.customer.select(F.col("c_custkey").alias("o_custkey")).join(
         m.learners(t).select(F.col("id").alias("o_custkey"), F.col("id_number").alias("__id")), "o_custkey")
-    typed = (F.when(_J % 5 == 0, F.concat(F.lit(" Customer"), (F.col("o_custkey") % 1000).cast("string"), F.lit("@Example.org")))
-             .when(_J % 5 == 1, F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@learn.example.org")))
-             .when(_J % 5 == 2, F.lit("see list")).otherwise(F.col("__id")))
+    typed = (F.when(_j() % 5 == 0, F.concat(F.lit(" Customer"), (F.col("o_custkey") % 1000).cast("string"), F.lit("@Example.org")))
+             .when(_j() % 5 == 1, F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@learn.example.org")))
+             .when(_j() % 5 == 2, F.lit("see list")).otherwise(F.col("__id")))
     return t.orders.join(ids, "o_custkey").withColumn("typed", typed)
 
 
@@ -195,21 +239,21 @@ def _write_earnings(t):
     put = lambda df, cells, folder, lead: write_template(df.select(*[c.alias(f"c{n}") for n, c in enumerate(cells)]),
                                                          f"{base}/{folder}", lead, FILES)
     email = F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@learn.example.org"))
-    wide = o.filter(_O % 4 == 0)
+    wide = o.filter(_o() % 4 == 0)
     for folder, even, k in (("two", 0, 2), ("four", 1, 4)):
-        cells = [_O.cast("string"), email, F.lit("Cohort U")]
+        cells = [_o().cast("string"), email, F.lit("Cohort U")]
         for b in range(1, k + 1):
-            pay = F.when((_J + b) % 3 != 0, F.concat(F.lit("R "), F.format_number(F.col("o_totalprice") * b, 2)))
+            pay = F.when((_j() + b) % 3 != 0, F.concat(F.lit("R "), F.format_number(F.col("o_totalprice") * b, 2)))
             day = F.date_format(F.date_add(F.to_date("o_orderdate"), b), "yyyy-MM-dd")
             cells += [pay, day, F.lit(f'info "{b}"'), F.lit("Impact gig"), F.concat(F.lit(f"Gig {b}, "), F.col("o_orderpriority"))]
-        put(wide.filter(_J % 2 == even), cells, f"wide/{folder}", ("#,person,cohort" + ",h" * 5 * k,))
-    rest = [_PAID, _ODATE, F.lit("Cohort H"), F.col("o_orderstatus"), F.col("o_orderpriority"), _TYPE]
-    put(_identifier(t).filter(_O % 4 == 1), [_O.cast("string"), F.col("typed"), *rest], "ids/sheet=0", ("Ids", "h"))
-    partner = [F.concat(email, F.lit(" ")), F.when(_J % 7 != 0, _PAID), _ODATE, F.lit(" Cohort P "), F.col("o_orderstatus"),
-               _TYPE, F.when(_J % 2 == 0, F.concat(F.col("o_orderpriority"), F.lit(" ")))]
+        put(wide.filter(_j() % 2 == even), cells, f"wide/{folder}", ("#,person,cohort" + ",h" * 5 * k,))
+    rest = [_paid(), _odate(), F.lit("Cohort H"), F.col("o_orderstatus"), F.col("o_orderpriority"), _type()]
+    put(_identifier(t).filter(_o() % 4 == 1), [_o().cast("string"), F.col("typed"), *rest], "ids/sheet=0", ("Ids", "h"))
+    partner = [F.concat(email, F.lit(" ")), F.when(_j() % 7 != 0, _paid()), _odate(), F.lit(" Cohort P "), F.col("o_orderstatus"),
+               _type(), F.when(_j() % 2 == 0, F.concat(F.col("o_orderpriority"), F.lit(" ")))]
     for s in range(5):
-        put(o.filter((_O % 4 == 2) & (_J % 5 == s)), [_O.cast("string"), *partner], f"partners/sheet={s}", ("Partner", "h"))
-    put(o.filter(_O % 4 == 3), [_O.cast("string"), email, *rest], "flat", ("Flat", "h"))
+        put(o.filter((_o() % 4 == 2) & (_j() % 5 == s)), [_o().cast("string"), *partner], f"partners/sheet={s}", ("Partner", "h"))
+    put(o.filter(_o() % 4 == 3), [_o().cast("string"), email, *rest], "flat", ("Flat", "h"))
     return base
 
 
