@@ -191,15 +191,16 @@ def solve(slim: DataFrame, domains: list[str], targets: dict[str, float] | None,
     near = TOLERANCE * max(1e-9, float(target[target > 0].min(initial=1.0)))
     speed, cost = 1.0, np.inf
     while True:
-        # with a least rate, a domain may be over its target because no rate can fall further
-        off = target - reached if least > 0 else np.abs(target - reached)
-        if off.max(initial=0.0) <= near or len(history) >= steps:
+        gap = reached - target
+        last, cost = cost, float((gap ** 2 / scale).sum())
+        # with a least rate, a domain may stay over its target because no rate can fall further
+        enough = least > 0 and (-gap).max(initial=0.0) <= near and cost > 0.9 * last
+        if np.abs(gap).max(initial=0.0) <= near or enough or len(history) >= steps:
             break
-        last, cost = cost, float(((reached - target) ** 2 / scale).sum())
         if cost > last:  # momentum carried too far: start it again
             speed = 1.0
         faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
-        history.append(((reached - target) / scale, (speed - 1) / faster))
+        history.append((gap / scale, (speed - 1) / faster))
         speed = faster
         reached = _totals(slim, history, least, len(domains)) / n
     met = bool(np.abs(reached - target).max(initial=0.0) <= near)
