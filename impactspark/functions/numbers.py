@@ -25,9 +25,9 @@ def clean_money(c) -> Column:
     The numeric pattern admits no NaN or infinity spelling; an exponent that
     overflows (``1e999``) still casts to infinity and is rejected here.
     """
-    t = money_text(c)
-    v = F.when(t.rlike(_NUMBER), t.try_cast("double"))
-    return F.when(F.abs(v) < F.lit(float("inf")), v)
+    # every step names the one before it once: a CASE would clean the text again in each of its branches
+    v = F.regexp_extract(money_text(c), _NUMBER, 0).try_cast("double")
+    return F.nullif(F.nullif(v, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def money_unparseable(c) -> Column:

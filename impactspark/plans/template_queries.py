@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import highest_per_key, resolve_identifiers
-from ..session import stage_folder
+from ..session import stage_folder, stored_bytes
 from ..sources import SourceSpec, tag, write_state, write_template
 from . import earnings as earn
 from . import earnings_queries as eq
@@ -25,6 +25,8 @@ PERIOD_START, PERIOD_END, AS_OF = "2024-01-01", "2024-02-15", "2100-01-01"
 COHORTS = {"Prog X": "Cohort X", "Prog Z": "Cohort Z"}
 DROPPED = ("Dropped Prog",)
 FILES = 3
+# Bytes of the stored orders that add a file to each of their templates.
+FILE_BYTES = 16 << 20
 
 # ------------------------------------------------------------------ services
 # Cells of the extracts, built when a session is there.
@@ -233,11 +235,15 @@ def _identifier(t):
 
 
 def _write_earnings(t):
-    """Wide blocks, id-keyed rows, five sheets and a flat file, by ``o_orderkey`` modulo 4; returns their folder."""
+    """Wide blocks, id-keyed rows, five sheets and a flat file, by ``o_orderkey`` modulo 4; returns their folder.
+
+    A template has ``FILES`` files, more where the orders are many: a file is written by one task.
+    """
     base = stage_folder(t.spark, "templates")
     o = t.orders
+    files = FILES + stored_bytes(o) // FILE_BYTES
     put = lambda df, cells, folder, lead: write_template(df.select(*[c.alias(f"c{n}") for n, c in enumerate(cells)]),
-                                                         f"{base}/{folder}", lead, FILES)
+                                                         f"{base}/{folder}", lead, files)
     email = F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@learn.example.org"))
     wide = o.filter(_o() % 4 == 0)
     for folder, even, k in (("two", 0, 2), ("four", 1, 4)):

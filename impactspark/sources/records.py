@@ -159,13 +159,17 @@ def text_schema(names) -> StructType:
 
 
 def cells(records: DataFrame, names) -> DataFrame:
-    """The records' cells by position as text columns, before ``_file`` and ``_row``."""
+    """The records' cells by position as text columns, before ``_file`` and ``_row``.
+
+    A record's cells are made as the one row of an array: a filter on a cell then stands behind the parser,
+    where a filter on a plain expression is moved below it and parses the record again for each cell it names.
+    """
     names = list(names)
     schema = text_schema([f"_c{i}" for i in range(len(names))])
-    row = F.from_csv("record", schema.simpleString()[len("struct<"):-1].replace(":", " "), CSV_OPTIONS).alias("cells")
+    row = F.from_csv("record", schema.simpleString()[len("struct<"):-1].replace(":", " "), CSV_OPTIONS)
     others = [c for c in records.columns if c not in ("record",)]
-    return records.select(row, *others).select(
-        *[F.col(f"cells._c{i}").alias(n) for i, n in enumerate(names)], *others)
+    return records.select(F.inline(F.array(row)), *others).select(
+        *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)], *others)
 
 
 def header_names(records: DataFrame) -> list[str]:
