@@ -4,7 +4,7 @@ from .aggregates import (count_rows, distinct_list_by_key, duplicate_rows, first
                          first_non_null_cols, joined_distinct,
                          sorted_distinct, value_frequency)
 from .dedup import (cross_source_repeats, drop_covered, drop_exact_duplicates, duplicate_members,
-                    duplicate_report, highest_per_key, keep_first, key_violations,
+                    duplicate_report, highest_per_key, keep_first, keep_first_passes, key_violations,
                     latest_preferred)
 from .frames import (all_but, column_gaps, drop_if_present, drop_null_all, drop_null_any,
                      in_window, preview, rename_positional, select_contract, sort_keys, sort_output, top_k,
