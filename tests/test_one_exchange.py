@@ -114,3 +114,13 @@ def test_entries_pass_one_window_and_stay_the_same(spark, protect):
     assert rows(logs["drops"], "reason", "source", "n_dropped") == drops
     if not protect:
         assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning(") == 1
+
+
+def test_breakdown_sums_entries_before_it_numbers_them(spark):
+    data = [("a@x.org", 1.5, dt.datetime(2024, 5, d), None, "i", "t", n, "f", d) for d, n in [(3, "y"), (1, "x"), (2, "y"), (4, None), (5, None)]]
+    data += [(None, 2.0, dt.datetime(2024, 5, 9), "C", "i", "t", "x", "f", 9)]
+    entries = spark.createDataFrame(data, ENTRY).withColumn("month", F.lit("May"))
+    long = earn.breakdown_long(entries)
+    assert rows(long.select("umuzi_email", "earning_opportunity_name", "cohort", "op_num", F.col("payment").cast("double"), "n", F.dayofmonth("first_date"))) == [
+        (None, "x", "C", 1, 2.0, 1, 9), ("a@x.org", None, "Missing Cohort Info", 3, 3.0, 2, 1),
+        ("a@x.org", "x", "Missing Cohort Info", 1, 1.5, 1, 1), ("a@x.org", "y", "Missing Cohort Info", 2, 3.0, 2, 1)]
