@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from impactspark import session
 from impactspark.operators import drop_covered, keep_first, keep_first_passes
 from impactspark.plans import earnings as earn
+from impactspark.plans import earnings_queries
 from impactspark.sources import tag
 
 from .conftest import rows
@@ -124,3 +125,43 @@ def test_breakdown_sums_entries_before_it_numbers_them(spark):
     assert rows(long.select("umuzi_email", "earning_opportunity_name", "cohort", "op_num", F.col("payment").cast("double"), "n", F.dayofmonth("first_date"))) == [
         (None, "x", "C", 1, 2.0, 1, 9), ("a@x.org", None, "Missing Cohort Info", 3, 3.0, 2, 1),
         ("a@x.org", "x", "Missing Cohort Info", 1, 1.5, 1, 1), ("a@x.org", "y", "Missing Cohort Info", 2, 3.0, 2, 1)]
+
+
+def _people_and_entries(spark, n=90):
+    rnd = random.Random(3)
+    one = lambda i: (rnd.choice(["a@x.org", "A@x.org", "\uff41@x.org", "b@x.org", "c@x.org", None]), rnd.choice([5.0, 7.5]), dt.datetime(2024, 5, rnd.randint(1, 3)),
+                     rnd.choice(["C", None]), rnd.choice(["i", None]), rnd.choice(["Placement", "Impact gig"]), rnd.choice(["n", "m", None]), "f", i)
+    entries = tag(spark.createDataFrame([one(i) for i in range(n)], ENTRY), "live", 1).withColumn("month", F.lit("May"))
+    people = spark.createDataFrame([(1, "a@x.org", "p@x.org", "Ann"), (2, "c@x.org", "b@x.org", "Bo"), (3, None, "a@x.org", "Cy")],
+                                   "learner_id bigint, umuzi_email string, email string, first_name string")
+    for c in earn.DEMO_FIELDS:
+        if c not in people.columns:
+            people = people.withColumn(c, F.concat(F.lit(c), F.col("learner_id").cast("string")) if c != "date_of_birth" else F.lit(dt.datetime(2000, 1, 1)))
+    return entries, people
+
+
+def test_first_rows_of_the_demographics_are_found_in_one_exchange(spark):
+    entries, people = _people_and_entries(spark)
+    first = lambda demo: keep_first(demo.withColumn("umuzi_email", earn.person_key()), ["umuzi_email"], list(earn.ORDER_COLS))
+    whole = first(earn.demographics(entries, people, people))
+    once = earn.demographics(entries, people, people, then_first_per=earn.person_key())
+    cols = ["umuzi_email", "_row", "first_name", "id_number", "age_service_accessed", "payment"]
+    assert rows(first(once), *cols) == rows(whole, *cols) and once.count() == whole.count()
+    assert len({r[0] for r in rows(once, earn.person_key())}) == once.count() < earn.demographics(entries, people, people).count()
+
+
+def test_shipped_tables_exchange_no_entries_on_six_columns(spark, monkeypatch):
+    entries, people = _people_and_entries(spark)
+    monkeypatch.setattr(earnings_queries, "_people", lambda *a: people)
+    monkeypatch.setattr(earnings_queries, "_all_people", lambda *a: people)
+    plans = []
+    session.on_stage.append(lambda name, df: plans.append(_plan(df)) if name == "breakdown" else None)
+    try:
+        summary, brk = earnings_queries._shipped(spark, None, entries)
+    finally:
+        session.on_stage.clear()
+    demo = earn.demographics(entries, people, people)
+    names = spark.createDataFrame(list(earnings_queries.PROGRAMMES), "slug string, name string")
+    assert rows(brk) == rows(earn.breakdown(entries, demo, people.filter("learner_id % 4 = 0 AND umuzi_email IS NOT NULL").select("umuzi_email"), names))
+    assert len(plans) == 1 and "WindowGroupLimit" in plans[0]
+    assert not any("earning_opportunity_extra_info" in line for line in plans[0].splitlines() if "Exchange hashpartitioning" in line)
