@@ -80,3 +80,35 @@ def test_blocks_share_the_distance():
     rot = E.Rotation(rng.normal(size=(200, 20)) * np.linspace(3, 0.1, 20), 20, 0.93)
     assert np.allclose(rot.axes.T @ rot.axes, np.eye(20)) and abs(rot.limit.sum() - 0.14) < 1e-6
     assert rot.cuts[0][0] == 0 and rot.cuts[-1][1] == 20 and (np.diff(rot.limit) <= 0).all()
+
+
+def test_what_is_written_grows_with_the_input_not_with_a_label(spark, monkeypatch):
+    """Vectors are stored once, however many tiles their label has (stored in up to 18 cells each before)."""
+    prepare(spark)
+    monkeypatch.setattr(E, "TILE", 128)
+    stored, real = [], E.staged
+
+    def counted(df, name):
+        out = real(df, name)
+        stored.append(E.stored_bytes(out))
+        return out
+
+    monkeypatch.setattr(E, "staged", counted, raising=False)
+    monkeypatch.setattr(E, "stored_bytes", lambda df: int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()), raising=False)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(np.float32(rng.normal(size=(2000, 64))))]
+    assert E.link_components(spark.createDataFrame(rows, SCHEMA).repartition(1)).where("kept").count() == 2000
+    assert sum(stored) < 2.5 * 2000 * 64 * 4
+
+
+def test_labels_of_many_tiles_with_text_labels_doubles_and_two_lengths(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(E, "TILE", 32)
+    monkeypatch.setattr(E, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(E, "ROWS", 5)
+    monkeypatch.setattr(E, "COLUMNS", 9)
+    rows = [(i, e, f"l{k % 2}") for i, e, k in vectors(21, 16, 260)]
+    rows += [(1000 + i, e, f"l{k % 2}") for i, e, k in vectors(22, 5, 90)]
+    rows += [(2000 + i, rows[7][1], "l0") for i in range(40)] + [(3000 + i, rows[i][1], f"own{i}") for i in range(20)]
+    got = E.link_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
