@@ -150,3 +150,24 @@ def test_connected_components(spark):
     want = {i: c for i, c in components(range(100), links).items() if any(i in e and e[0] != e[1] for e in links)}
     assert {r["id"]: r["component"] for r in connected_components(df).collect()} == want
     assert connected_components(df.where("u > 1000")).count() == 0
+
+
+def crossed_groups(f, head=5, common=20, tail=75, fillers=4):
+    """Two groups of two sets with one prefix each: the heads link, and so do the others, but no group within itself."""
+    part = lambda name, n: [f"{name}{f}x{k}" for k in range(n)]
+    p, q, c, x, y = part("p", head), part("q", head), part("c", common), part("x", tail), part("y", tail)
+    out = [p + c + x, q + c + x, p + c + y, q + c + y]
+    # the tails are frequent, so that the prefixes do not hold them
+    out += [part(f"f{k}", 300) + c[-4:] + x + part(f"g{k}", 300) + c[-4:] + y for k in range(fillers)]
+    return [" ".join(t) for t in out]
+
+
+def test_groups_whose_heads_are_connected_still_link_their_other_sets(spark):
+    """Sets that are not heads linked with nothing where the heads of their lists were connected already."""
+    prepare(spark)
+    texts = dict(enumerate(t for f in range(3) for t in crossed_groups(f)))
+    got = {r["doc_id"]: r["component_id"] for r in J.link_components(docs(spark, list(texts.values()))).collect()}
+    want = components(texts, jaccard_links(texts))
+    assert want[2] == want[3] == 2 and want[0] == want[1] == 0
+    assert {i: got[i] for i in range(4)} == {i: want[i] for i in range(4)}
+    assert got == want
